@@ -44,3 +44,32 @@ def hash_unit(*cols, seed: str = "42") -> Column:
     """
     key = F.concat_ws("|", *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cols], F.lit(seed))
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+
+
+def round_half_even_exact(x, digits: int) -> Column:
+    """Half-even rounding on the exact binary value of a double (as Python's
+    ``round`` and DuckDB ``round_even`` do), not on its shortest decimal text
+    (Spark ``bround``: 147.575 -> 147.58, although the stored double is
+    147.57499999999998863...).
+
+    x * 10^d is formed exactly as p + err with Dekker's two-product (double
+    arithmetic only, so it stays in codegen); the fraction p + err - floor(p)
+    then decides the direction, and an exact tie goes to the even integer.
+    """
+    c = F.col(x) if isinstance(x, str) else x
+    scale = float(10 ** digits)
+    split = F.lit(134217729.0)  # 2^27 + 1
+    t = split * c
+    hi = t - (t - c)
+    lo = c - hi
+    p = c * scale
+    err = (hi * scale - p) + lo * scale
+    f0 = F.floor(p).cast("double")
+    frac0 = (p - f0) + err
+    f = F.when(frac0 < 0, f0 - 1).otherwise(f0)
+    frac = F.when(frac0 < 0, frac0 + 1).otherwise(frac0)
+    is_even = F.pmod(f, F.lit(2.0)) == 0
+    r = (F.when(frac > 0.5, f + 1).when(frac < 0.5, f)
+         .otherwise(F.when(is_even, f).otherwise(f + 1)))
+    finite = c.isNotNull() & ~F.isnan(c) & (F.abs(c) < 1e15)
+    return F.when(finite, r / scale).otherwise(c)

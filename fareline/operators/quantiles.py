@@ -54,15 +54,17 @@ def _gkey(group_cols) -> F.Column:
 
 
 def quantile_values(df: DataFrame, value_cols, probs, group_cols=(), *, exact: bool = True,
-                    accuracy: int = 100_000, persist: bool = True) -> dict:
+                    accuracy: int = 100_000, persist: bool = True, is_long: bool = False) -> dict:
     """{(group tuple, feature, p): value} for every group / feature / prob.
 
-    Nulls and NaN are ignored; an empty group yields None.
+    Nulls and NaN are ignored; an empty group yields None. With
+    ``is_long=True`` ``df`` is already (group cols..., feature, v).
     """
     value_cols = list(value_cols)
     group_cols = list(group_cols)
     probs = [float(p) for p in probs]
-    lf = long_form(df, value_cols, group_cols).withColumn("_gk", _gkey(group_cols))
+    lf = df if is_long else long_form(df, value_cols, group_cols)
+    lf = lf.withColumn("_gk", _gkey(group_cols))
     if not exact:
         aggs = [F.percentile_approx("v", F.array(*[F.lit(p) for p in probs]), accuracy).alias("q")]
         rows = lf.groupBy("_gk", *group_cols, "feature").agg(*aggs).collect()
@@ -87,68 +89,62 @@ def _exact(lf: DataFrame, group_cols, value_cols, probs) -> dict:
     spark = lf.sparkSession
     stats = lf.groupBy("_gk", *group_cols, "feature").agg(
         F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
-    gvals = {}
-    # target key: (gk, feature, k); state: [lo, hi, below, value]
+    # target key: (gk, feature, k); state: [lo, hi, below, value, count in [lo, hi]]
     state: dict = {}
     needs = []   # (group tuple, feature, p, gk, k0, k1, frac)
     for r in stats:
         gk, feat, n = r["_gk"], r["feature"], r["n"]
-        gvals[gk] = tuple(r[c] for c in group_cols)
+        g = tuple(r[c] for c in group_cols)
         for p in probs:
             h = (n - 1) * p
             k0 = int(math.floor(h))
             k1 = min(k0 + 1, n - 1)
-            needs.append((gvals[gk], feat, p, gk, k0, k1, h - k0))
+            needs.append((g, feat, p, gk, k0, k1, h - k0))
             for k in (k0, k1):
                 key = (gk, feat, k)
                 if key not in state:
                     solved = r["lo"] if r["lo"] == r["hi"] else None
-                    state[key] = [r["lo"], r["hi"], 0, solved]
+                    state[key] = [r["lo"], r["hi"], 0, solved, n]
     for _ in range(MAX_ROUNDS):
         open_keys = [k for k, s in state.items() if s[3] is None]
         if not open_keys:
             break
-        ranges = defaultdict(list)   # (gk, feat, lo, hi, below) -> target keys
+        ranges = defaultdict(list)   # (gk, feat, lo, hi, below, count) -> target keys
         for key in open_keys:
-            lo, hi, below, _ = state[key]
-            ranges[(key[0], key[1], lo, hi, below)].append(key)
-        rlist = list(ranges)
-        # decide per range: collect raw values or bucket
-        count_in = {}
-        collect_ids, bucket_ids = [], []
-        for i, rk in enumerate(rlist):
-            count_in[i] = None
-        hist_rows = _range_scan(spark, lf, rlist, max(16, min(MAX_BUCKETS, HIST_BUDGET // max(len(rlist), 1))))
-        by_range = defaultdict(list)
-        for rid, b, cnt, bmin, bmax in hist_rows:
-            by_range[rid].append((b, cnt, bmin, bmax))
-        to_collect = []
+            lo, hi, below, _, cnt = state[key]
+            ranges[(key[0], key[1], lo, hi, below, cnt)].append(key)
+        # small ranges ship their values (bounded); the others are bucketed
         budget = COLLECT_BUDGET
-        for rid, rk in enumerate(rlist):
-            buckets = sorted(by_range.get(rid, []))
-            for key in ranges[rk]:
-                k = key[2]
-                below = rk[4]
-                for b, cnt, bmin, bmax in buckets:
-                    if below + cnt > k:
-                        break
-                    below += cnt
-                else:  # pragma: no cover - rank outside range would be a bug
-                    raise RuntimeError(f"rank {k} not found in range {rk}")
-                state[key] = [bmin, bmax, below, bmin if bmin == bmax else None]
-                if bmin != bmax and cnt <= COLLECT_LIMIT and cnt <= budget:
-                    to_collect.append((key, bmin, bmax, below, cnt))
-                    budget -= cnt
-        if to_collect:
-            uniq = {}
-            for key, lo, hi, below, cnt in to_collect:
-                uniq.setdefault((key[0], key[1], lo, hi), []).append((key, below))
-            ulist = list(uniq)
-            vals = _range_values(spark, lf, ulist)
-            for uid, uk in enumerate(ulist):
-                v = sorted(vals.get(uid, []))
-                for key, below in uniq[uk]:
-                    state[key][3] = v[key[2] - below]
+        small, big = [], []
+        for rk in ranges:
+            if rk[5] <= COLLECT_LIMIT and rk[5] <= budget:
+                small.append(rk)
+                budget -= rk[5]
+            else:
+                big.append(rk)
+        if small:
+            vals = _range_values(spark, lf, small)
+            for rid, rk in enumerate(small):
+                v = sorted(vals.get(rid, []))
+                for key in ranges[rk]:
+                    state[key][3] = v[key[2] - rk[4]]
+        if big:
+            nb = max(16, min(MAX_BUCKETS, HIST_BUDGET // len(big)))
+            by_range = defaultdict(list)
+            for rid, b, cnt, bmin, bmax in _range_scan(spark, lf, big, nb):
+                by_range[rid].append((b, cnt, bmin, bmax))
+            for rid, rk in enumerate(big):
+                buckets = sorted(by_range.get(rid, []))
+                for key in ranges[rk]:
+                    k = key[2]
+                    below = rk[4]
+                    for b, cnt, bmin, bmax in buckets:
+                        if below + cnt > k:
+                            break
+                        below += cnt
+                    else:  # pragma: no cover - rank outside its range would be a bug
+                        raise RuntimeError(f"rank {k} not found in range {rk}")
+                    state[key] = [bmin, bmax, below, bmin if bmin == bmax else None, cnt]
     out = {}
     for g, feat, p, gk, k0, k1, frac in needs:
         a = state[(gk, feat, k0)][3]

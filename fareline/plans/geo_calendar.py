@@ -1 +1,164 @@
-"""Queries (filled in below)."""
+"""Queries for the geo / calendar / interaction scalar functions and FT-0."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..config import DEFAULT_RULES
+from ..functions import calendar as cal
+from ..functions import geo
+from ..operators import features as ft
+from . import register
+from . import views as v
+from .common import rnd
+
+P = ("pickup_latitude", "pickup_longitude")
+D = ("dropoff_latitude", "dropoff_longitude")
+
+
+@register("geo_haversine", v.with_views(f"""
+SELECT event_id, round({v.hav('pickup_latitude', 'pickup_longitude', 'dropoff_latitude', 'dropoff_longitude')}, 6) AS trip_distance_km,
+       round({v.hav('pickup_latitude', 'pickup_longitude', 'dropoff_latitude', 'dropoff_longitude')} * 0.621371e0, 6) AS trip_distance_mi
+FROM clean_trips""", "clean_trips"))
+def _geo_hav(spark, sf):
+    """GEO-1/GEO-4: haversine km (R = 6371.0088) and miles per trip."""
+    c = v.clean_trips(spark, sf)
+    d = geo.haversine_km(*P, *D)
+    return c.select("event_id", rnd(d).alias("trip_distance_km"), rnd(d * 0.621371).alias("trip_distance_mi"))
+
+
+@register("geo_haversine_lonlat", v.with_views("""
+SELECT event_id, round(6371e0 * 2 * asin(least(1e0, sqrt(pow(sin((radians(dropoff_latitude) - radians(pickup_latitude)) / 2), 2)
+  + cos(radians(pickup_latitude)) * cos(radians(dropoff_latitude)) * pow(sin((radians(dropoff_longitude) - radians(pickup_longitude)) / 2), 2)))), 6) AS distance_km
+FROM clean_trips""", "clean_trips"))
+def _geo_hav_nb(spark, sf):
+    """GEO-2: notebook variant, (lon, lat) order and R = 6371.0."""
+    c = v.clean_trips(spark, sf)
+    d = geo.haversine_km_lonlat(lon1="pickup_longitude", lat1="pickup_latitude",
+                                lon2="dropoff_longitude", lat2="dropoff_latitude")
+    return c.select("event_id", rnd(d).alias("distance_km"))
+
+
+@register("geo_manhattan_bearing", v.with_views("""
+SELECT event_id, round(manhattan_distance_km, 6) AS manhattan_distance_km, round(bearing_deg, 6) AS bearing_deg,
+       round(pickup_dist_from_center_km, 6) AS pickup_dist_from_center_km
+FROM features""", "features"))
+def _geo_manhattan(spark, sf):
+    """GEO-5/GEO-6/GEO-8: Manhattan distance, bearing, distance from the city centre."""
+    f = v.features(spark, sf)
+    return f.select("event_id", rnd("manhattan_distance_km").alias("manhattan_distance_km"),
+                    rnd("bearing_deg").alias("bearing_deg"),
+                    rnd("pickup_dist_from_center_km").alias("pickup_dist_from_center_km"))
+
+
+@register("geo_airport_flags", v.with_views("""
+SELECT near_jfk, near_lga, near_ewr, airport_trip, count(*) AS n_trips FROM features GROUP BY 1, 2, 3, 4""",
+                                            "features"))
+def _geo_airports(spark, sf):
+    """GEO-7: airport proximity flags (2 km, either end)."""
+    f = v.features(spark, sf)
+    return f.groupBy("near_jfk", "near_lga", "near_ewr", "airport_trip").agg(F.count(F.lit(1)).alias("n_trips"))
+
+
+AIRPORTS_SQL = "(VALUES ('jfk', 40.6413e0, -73.7781e0), ('lga', 40.7769e0, -73.8740e0), ('ewr', 40.6895e0, -74.1745e0)) AS a(airport, lat, lon)"
+
+
+@register("geo_airport_range_join", v.with_views(f"""
+SELECT a.airport, count(*) AS n_trips
+FROM clean_trips t CROSS JOIN {AIRPORTS_SQL}
+WHERE {v.hav('t.pickup_latitude', 't.pickup_longitude', 'a.lat', 'a.lon')} <= 2e0
+   OR {v.hav('t.dropoff_latitude', 't.dropoff_longitude', 'a.lat', 'a.lon')} <= 2e0
+GROUP BY a.airport""", "clean_trips"))
+def _geo_range_join(spark, sf):
+    """JN-2: trips within 2 km of any point of a points table (non-equi join).
+
+    The points table is a fixed, tiny dimension (size known: 3 rows), so it
+    is broadcast; each trip is tested against every point inside the
+    broadcast nested-loop join, with a bounding-box pre-test first.
+    """
+    c = v.clean_trips(spark, sf)
+    pts = spark.createDataFrame([(n, float(p[0]), float(p[1])) for n, p in DEFAULT_RULES.airports],
+                                "airport string, lat double, lon double")
+    return airports_within(c, pts, DEFAULT_RULES.airport_radius_km).groupBy("airport").agg(
+        F.count(F.lit(1)).alias("n_trips"))
+
+
+def airports_within(trips, points, radius_km: float):
+    """Range join: (trip, point) pairs where either end is within ``radius_km``.
+
+    ``points`` must be a small dimension (it is broadcast; the size is
+    checked)."""
+    n_points = points.count()
+    if n_points > 100_000:
+        raise ValueError(f"points table too large to broadcast ({n_points} rows)")
+    dlat = radius_km / 111.0 * 1.05
+    p = F.broadcast(points.withColumnRenamed("lat", "_plat").withColumnRenamed("lon", "_plon"))
+
+    def close(lat, lon):
+        box = (F.abs(F.col(lat) - F.col("_plat")) <= dlat)
+        return box & (geo.haversine_km(lat, lon, F.col("_plat"), F.col("_plon")) <= radius_km)
+
+    cond = close("pickup_latitude", "pickup_longitude") | close("dropoff_latitude", "dropoff_longitude")
+    return trips.join(p, cond, "inner")
+
+
+@register("cal_features", v.with_views("""
+SELECT event_id, pickup_hour, pickup_dow, pickup_month, pickup_year, is_weekend, is_rush_hour, is_late_night,
+  round(hour_sin, 6) AS hour_sin, round(hour_cos, 6) AS hour_cos, round(dow_sin, 6) AS dow_sin, round(dow_cos, 6) AS dow_cos
+FROM features""", "features"))
+def _cal(spark, sf):
+    """CAL-1/3/4: New York wall-clock calendar columns, flags and cyclic encodings."""
+    f = v.features(spark, sf)
+    return f.select("event_id", "pickup_hour", "pickup_dow", "pickup_month", "pickup_year", "is_weekend",
+                    "is_rush_hour", "is_late_night",
+                    *[rnd(c).alias(c) for c in ("hour_sin", "hour_cos", "dow_sin", "dow_cos")])
+
+
+@register("cal_features_utc", v.with_views("""
+SELECT event_id, CAST(hour(pickup_datetime) AS INTEGER) AS pickup_hour, CAST(isodow(pickup_datetime) - 1 AS INTEGER) AS pickup_dow,
+  CAST(month(pickup_datetime) AS INTEGER) AS pickup_month, CAST(year(pickup_datetime) AS INTEGER) AS pickup_year
+FROM clean_trips""", "clean_trips"))
+def _cal_utc(spark, sf):
+    """CAL-2: the notebook variant on the UTC clock (no zone conversion)."""
+    c = v.clean_trips(spark, sf)
+    return c.select("event_id", *[e.alias(k) for k, e in cal.calendar_columns("pickup_datetime", "UTC").items()])
+
+
+@register("int_features", v.with_views("""
+SELECT event_id, round(distance_x_rush_hour, 6) AS distance_x_rush_hour, round(distance_per_passenger, 6) AS distance_per_passenger,
+  round(ln(1 + fare_amount), 6) AS log_fare_amount, round(ln(1 + trip_distance_km), 6) AS log_trip_distance_km,
+  round(exp(ln(1 + fare_amount)) - 1, 6) AS fare_roundtrip,
+  round(CASE WHEN trip_distance_km = 0 THEN NULL ELSE fare_amount / trip_distance_km END, 6) AS fare_per_km
+FROM features""", "features"))
+def _int(spark, sf):
+    """INT-1/2/3: interactions, log1p / expm1, fare per km (NULL at zero distance)."""
+    f = ft.add_log_target(v.features(spark, sf))
+    return f.select("event_id", rnd("distance_x_rush_hour").alias("distance_x_rush_hour"),
+                    rnd("distance_per_passenger").alias("distance_per_passenger"),
+                    rnd("log_fare_amount").alias("log_fare_amount"),
+                    rnd("log_trip_distance_km").alias("log_trip_distance_km"),
+                    rnd(F.expm1("log_fare_amount")).alias("fare_roundtrip"),
+                    rnd(ft.fare_per_km()).alias("fare_per_km"))
+
+
+FT_DOUBLES = ("trip_distance_km", "manhattan_distance_km", "bearing_deg", "hour_sin", "hour_cos", "dow_sin",
+              "dow_cos", "pickup_dist_from_center_km", "distance_x_rush_hour", "distance_per_passenger")
+FT_INTS = ("pickup_hour", "pickup_dow", "pickup_month", "pickup_year", "is_weekend", "is_rush_hour",
+           "is_late_night", "near_jfk", "near_lga", "near_ewr", "airport_trip")
+
+
+@register("ft_features", v.with_views(f"""
+SELECT event_id, round(fare_amount, 6) AS fare_amount, passenger_count, {', '.join(FT_INTS)},
+  {', '.join(f'round({c}, 6) AS {c}' for c in FT_DOUBLES)}
+FROM features""", "features"))
+def _ft(spark, sf):
+    """FT-0: the complete feature table (21 derived columns, > 100 km dropped)."""
+    f = v.features(spark, sf)
+    return f.select("event_id", rnd("fare_amount").alias("fare_amount"), "passenger_count", *FT_INTS,
+                    *[rnd(c).alias(c) for c in FT_DOUBLES])
+
+
+@register("typ_narrow")
+def _typ(spark, sf):
+    """TYP-1: storage narrowing of the feature table (float / smallest int)."""
+    return ft.narrow_types(v.features(spark, sf))

@@ -1 +1,221 @@
-"""Queries (filled in below)."""
+"""Queries for the promotion gate (GAT-*) and monitoring (MON-*).
+
+The promotion history is derived from the data: one challenger run per
+pickup day, scored on its hash-split test rows (SPL-1), with the gap
+between its train and test R2 - so the replay grows with the tables.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..functions.stats import hash_unit
+from ..operators import metrics as met
+from ..operators import monitor as mon
+from . import register
+from . import views as v
+from .common import rnd
+from .metrics import PSI_COLS, psi_cte
+from .pricing import SCORED_SQL, scored
+
+HASH_SQL = "('0x' || substr(md5(concat_ws('|', CAST(event_id AS VARCHAR), '42')), 1, 8))::BIGINT % 100"
+_R2 = "1 - sum(pow(predicted_fare - actual_fare, 2)) / (var_pop(actual_fare) * count(*))"
+
+RUNS_SQL = f"""
+, hp AS (SELECT p.*, CAST(day(c.pickup_datetime) AS BIGINT) AS seq, {HASH_SQL} < 80 AS is_train
+         FROM pairs p JOIN clean_trips c USING (event_id)),
+runs AS (
+  SELECT seq,
+    sqrt(avg(pow(predicted_fare - actual_fare, 2)) FILTER (WHERE NOT is_train)) AS rmse,
+    1 - sum(pow(predicted_fare - actual_fare, 2)) FILTER (WHERE NOT is_train)
+      / (var_pop(actual_fare) FILTER (WHERE NOT is_train) * count(*) FILTER (WHERE NOT is_train)) AS r2,
+    abs((1 - sum(pow(predicted_fare - actual_fare, 2)) FILTER (WHERE is_train)
+      / (var_pop(actual_fare) FILTER (WHERE is_train) * count(*) FILTER (WHERE is_train)))
+     - (1 - sum(pow(predicted_fare - actual_fare, 2)) FILTER (WHERE NOT is_train)
+      / (var_pop(actual_fare) FILTER (WHERE NOT is_train) * count(*) FILTER (WHERE NOT is_train)))) AS gap
+  FROM hp GROUP BY seq
+)"""
+
+
+def daily_runs(spark, sf):
+    """One challenger run per pickup day: test RMSE / R2 and |train R2 - test R2|."""
+    c = v.clean_trips(spark, sf)
+    p = c.select("event_id", F.dayofmonth("pickup_datetime").cast("bigint").alias("seq"),
+                 (hash_unit("event_id") % 100 < 80).alias("is_train"),
+                 F.col("fare_amount").alias("actual_fare"),
+                 (F.col("fare_amount") * (75 + (F.col("event_id") * 13) % 51) / F.lit(1e2)).alias("predicted_fare"))
+    m = met.regression_metrics(p, by=["seq", "is_train"])
+    w = m.groupBy("seq").pivot("is_train", [True, False]).agg(F.first("rmse").alias("rmse"), F.first("r2").alias("r2"))
+    return w.select("seq", F.col("false_rmse").alias("rmse"), F.col("false_r2").alias("r2"),
+                    F.abs(F.col("true_r2") - F.col("false_r2")).alias("gap"))
+
+
+REPLAY_SQL = """
+WITH RECURSIVE ordered AS (SELECT *, row_number() OVER (ORDER BY seq) AS rn FROM {runs}),
+chain AS (
+  SELECT rn, seq, rmse, r2, gap, CAST(NULL AS DOUBLE) AS champion_rmse, 'PROMOTED' AS decision, rmse AS next_champion
+  FROM ordered WHERE rn = 1
+  UNION ALL
+  SELECT r.rn, r.seq, r.rmse, r.r2, r.gap, c.next_champion AS champion_rmse,
+    CASE WHEN (c.next_champion - r.rmse) / greatest(c.next_champion, 1e-9) >= 0.02 AND r.r2 >= 0.80 AND r.gap <= 0.15
+         THEN 'PROMOTED' ELSE 'REJECTED' END AS decision,
+    CASE WHEN (c.next_champion - r.rmse) / greatest(c.next_champion, 1e-9) >= 0.02 AND r.r2 >= 0.80 AND r.gap <= 0.15
+         THEN r.rmse ELSE c.next_champion END AS next_champion
+  FROM chain c JOIN ordered r ON r.rn = c.rn + 1
+)"""
+
+
+def replay(spark, runs):
+    """GAT-3: sequential champion replay over the run history (recursive CTE).
+
+    Each step joins the previous state with the next run; the history has
+    one row per run, so the recursion depth is the number of runs."""
+    name = f"_runs_{uuid.uuid4().hex[:8]}"
+    # the history is one row per run: cut its lineage once (reliable checkpoint
+    # in spark.checkpoint.dir) so the recursion does not recompute the scan
+    runs.checkpoint(eager=True).createOrReplaceTempView(name)
+    return spark.sql(REPLAY_SQL.format(runs=name) + " SELECT seq, rmse, r2, gap, champion_rmse, decision FROM chain")
+
+
+_REPLAY_ORACLE = v.with_views(RUNS_SQL, "pairs", "clean_trips")
+_REPLAY_ORACLE = _REPLAY_ORACLE.replace("WITH ", "WITH RECURSIVE ", 1) + ",\n" + \
+    REPLAY_SQL.format(runs="runs").replace("WITH RECURSIVE ", "", 1).strip()
+
+
+@register("gat_replay", _REPLAY_ORACLE + """
+SELECT seq, round(rmse, 6) AS rmse, round(r2, 6) AS r2, round(gap, 6) AS gap, round(champion_rmse, 6) AS champion_rmse, decision FROM chain""")
+def _gat_replay(spark, sf):
+    """GAT-3: which daily challenger run would have been promoted, in order."""
+    r = replay(spark, daily_runs(spark, sf))
+    return r.select("seq", rnd("rmse").alias("rmse"), rnd("r2").alias("r2"), rnd("gap").alias("gap"),
+                    rnd("champion_rmse").alias("champion_rmse"), "decision")
+
+
+@register("gat_latest", _REPLAY_ORACLE + """
+SELECT seq, decision, round(champion_rmse, 6) AS champion_rmse FROM chain ORDER BY seq DESC LIMIT 1""")
+def _gat_latest(spark, sf):
+    """GAT-2: the latest decision of the history (top-1)."""
+    r = replay(spark, daily_runs(spark, sf))
+    return mon.latest_decision(r, "seq").select("seq", "decision", rnd("champion_rmse").alias("champion_rmse"))
+
+
+_GATE_SQL = v.with_views(RUNS_SQL + """
+, two AS (SELECT CASE WHEN seq < 16 THEN 'champion' ELSE 'challenger' END AS role, * FROM hp),
+m AS (SELECT role,
+    sqrt(avg(pow(predicted_fare - actual_fare, 2)) FILTER (WHERE NOT is_train)) AS rmse,
+    1 - sum(pow(predicted_fare - actual_fare, 2)) FILTER (WHERE NOT is_train)
+      / (var_pop(actual_fare) FILTER (WHERE NOT is_train) * count(*) FILTER (WHERE NOT is_train)) AS r2,
+    1 - sum(pow(predicted_fare - actual_fare, 2)) FILTER (WHERE is_train)
+      / (var_pop(actual_fare) FILTER (WHERE is_train) * count(*) FILTER (WHERE is_train)) AS r2_train
+  FROM two GROUP BY role),
+g AS (SELECT c.rmse AS challenger_rmse, c.r2 AS challenger_r2, abs(c.r2_train - c.r2) AS challenger_gap, h.rmse AS champion_rmse,
+        (h.rmse - c.rmse) / greatest(h.rmse, 1e-9) AS rel
+      FROM m c, m h WHERE c.role = 'challenger' AND h.role = 'champion')
+SELECT round(challenger_rmse, 6) AS challenger_rmse, round(challenger_r2, 6) AS challenger_r2,
+  round(challenger_gap, 6) AS challenger_gap, round(champion_rmse, 6) AS champion_rmse,
+  rel >= 0.02 AS rmse_improvement_passed, challenger_r2 >= 0.80 AS r2_floor_passed, challenger_gap <= 0.15 AS gap_passed,
+  CASE WHEN rel >= 0.02 AND challenger_r2 >= 0.80 AND challenger_gap <= 0.15 THEN 'PROMOTED' ELSE 'REJECTED' END AS decision
+FROM g""", "pairs", "clean_trips")
+
+
+@register("gat_decision", _GATE_SQL)
+def _gat_decision(spark, sf):
+    """GAT-1: the gate for the second half of the month (challenger) against the first (champion)."""
+    c = v.clean_trips(spark, sf)
+    p = c.select(F.when(F.dayofmonth("pickup_datetime") < 16, "champion").otherwise("challenger").alias("role"),
+                 (hash_unit("event_id") % 100 < 80).alias("is_train"), F.col("fare_amount").alias("actual_fare"),
+                 (F.col("fare_amount") * (75 + (F.col("event_id") * 13) % 51) / F.lit(1e2)).alias("predicted_fare"))
+    m = met.regression_metrics(p, by=["role", "is_train"])
+    w = m.groupBy(F.lit(1).alias("_k")).pivot("role", ["champion", "challenger"]).agg(
+        F.first(F.when(~F.col("is_train"), F.col("rmse")), ignorenulls=True).alias("rmse"),
+        F.first(F.when(~F.col("is_train"), F.col("r2")), ignorenulls=True).alias("r2"),
+        F.first(F.when(F.col("is_train"), F.col("r2")), ignorenulls=True).alias("r2_train"))
+    g = w.select(F.col("challenger_rmse"), F.col("challenger_r2"),
+                 F.abs(F.col("challenger_r2_train") - F.col("challenger_r2")).alias("challenger_gap"),
+                 F.col("champion_rmse"))
+    g = mon.apply_gate(g)
+    return g.select(*[rnd(c).alias(c) for c in ("challenger_rmse", "challenger_r2", "challenger_gap", "champion_rmse")],
+                    "rmse_improvement_passed", "r2_floor_passed", "gap_passed", "decision")
+
+
+@register("gat_reason")
+def _gat_reason(spark, sf):
+    """GAT-1 reason text for every daily run against its replayed champion."""
+    r = replay(spark, daily_runs(spark, sf)).withColumnRenamed("rmse", "challenger_rmse") \
+        .withColumnRenamed("r2", "challenger_r2").withColumnRenamed("gap", "challenger_gap")
+    return mon.apply_gate(r).select("seq", "decision", "reason")
+
+
+MON_SQL = SCORED_SQL + """
+, k AS (SELECT count(*) AS n, avg(actual_fare) AS avg_actual_fare, avg(predicted_fare) AS avg_predicted_fare,
+          avg(abs(predicted_fare - actual_fare)) AS avg_abs_error,
+          avg(abs(predicted_fare - actual_fare) / greatest(actual_fare, 1e-6)) AS mape,
+          avg(CAST(pricing_flag = 'SURGE_ELIGIBLE' AS DOUBLE)) AS surge_rate FROM scored)"""
+
+
+@register("mon_kpis", v.with_views(MON_SQL + """
+SELECT n, round(avg_actual_fare, 6) AS avg_actual_fare, round(avg_predicted_fare, 6) AS avg_predicted_fare,
+  round(avg_abs_error, 6) AS avg_abs_error, round(mape, 6) AS mape, round(surge_rate, 6) AS surge_rate FROM k""",
+                                   "features", "pairs"))
+def _mon_kpis(spark, sf):
+    """MON-4 (+ MON-1/MON-2 inputs): KPI tiles of the scored trips."""
+    k = mon.monitor_kpis(scored(spark, sf))
+    return k.select("n", *[rnd(c).alias(c) for c in ("avg_actual_fare", "avg_predicted_fare", "avg_abs_error",
+                                                     "mape", "surge_rate")])
+
+
+def _alerts_sql(mape_alert=0.25, surge_alert=0.30):
+    return v.with_views(MON_SQL + ",\n" + psi_cte() + f"""
+, d AS (SELECT max(drift_score) AS m, arg_max(feature, drift_score) AS top FROM res),
+fired AS (
+  SELECT 'error' AS level, 'HIGH_MAPE' AS alert, mape AS value, CAST(NULL AS VARCHAR) AS detail FROM k WHERE mape > {mape_alert}
+  UNION ALL SELECT 'warning', 'HIGH_SURGE_RATE', surge_rate, NULL FROM k WHERE surge_rate > {surge_alert}
+  UNION ALL SELECT CASE WHEN m >= 0.20 THEN 'error' ELSE 'warning' END, CASE WHEN m >= 0.20 THEN 'CRITICAL_DRIFT' ELSE 'MODERATE_DRIFT' END, m, top
+    FROM d WHERE m >= 0.10)
+SELECT level, alert, round(value, 6) AS value, detail FROM fired
+UNION ALL SELECT 'ok', 'ALL_NORMAL', NULL, NULL WHERE NOT EXISTS (SELECT 1 FROM fired)""", "features", "pairs")
+
+
+def _alerts(spark, sf, mape_alert=0.25, surge_alert=0.30):
+    f = v.features(spark, sf)
+    is_exp = F.col("pickup_datetime") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    drift = met.psi(f.withColumn("side", F.when(is_exp, "expected").otherwise("actual")), "side", PSI_COLS)
+    a = mon.alert_rows(mon.monitor_kpis(scored(spark, sf)), drift, mape_alert=mape_alert, surge_alert=surge_alert)
+    return a.withColumn("value", rnd("value"))
+
+
+@register("mon_alerts", _alerts_sql())
+def _mon_alerts(spark, sf):
+    """MON-1/2/3/5: MAPE > 0.25, surge rate > 0.30, PSI drift; 'ALL_NORMAL' when none fired."""
+    return _alerts(spark, sf)
+
+
+@register("mon_alerts_strict", _alerts_sql(0.10, 0.05))
+def _mon_alerts_strict(spark, sf):
+    """MON-1/2/5 with tight thresholds (10% MAPE, 5% surge), so the alert rows fire."""
+    return _alerts(spark, sf, 0.10, 0.05)
+
+
+@register("mon_recent", v.with_views(SCORED_SQL + """
+, r AS (SELECT s.event_id, c.pickup_datetime, s.predicted_fare, s.pricing_flag FROM scored s JOIN clean_trips c USING (event_id))
+SELECT event_id, epoch_us(pickup_datetime) AS pickup_us, round(predicted_fare, 6) AS predicted_fare, pricing_flag
+FROM r ORDER BY pickup_datetime DESC, event_id DESC LIMIT 20""", "features", "pairs", "clean_trips"))
+def _mon_recent(spark, sf):
+    """MON-6: the 20 most recent scored trips (top-k, no global sort)."""
+    s = scored(spark, sf)
+    top = s.orderBy(F.desc("pickup_datetime"), F.desc("event_id")).limit(20)
+    return top.select("event_id", F.unix_micros(F.col("pickup_datetime").cast("timestamp")).alias("pickup_us"),
+                      rnd("predicted_fare").alias("predicted_fare"), "pricing_flag")
+
+
+@register("mon_sample", v.with_views(SCORED_SQL + f"""
+SELECT event_id, round(actual_fare, 6) AS actual_fare, round(predicted_fare, 6) AS predicted_fare
+FROM scored ORDER BY ('0x' || substr(md5(concat_ws('|', CAST(event_id AS VARCHAR), '42')), 1, 8))::BIGINT, event_id LIMIT 500""",
+                                     "features", "pairs"))
+def _mon_sample(spark, sf):
+    """MON-7 / SRC-5: a reproducible 500-trip sample (hash order top-k) for the scatter."""
+    s = scored(spark, sf)
+    return s.orderBy(hash_unit("event_id"), "event_id").limit(500).select(
+        "event_id", rnd("actual_fare").alias("actual_fare"), rnd("predicted_fare").alias("predicted_fare"))

@@ -46,7 +46,7 @@ def _prf_columns(spark, sf):
 
 @register("prf_missing", v.with_views(f"""
 , p AS ({_PROFILE_SQL})
-SELECT column, n_null, pct_null FROM p WHERE n_null > 0
+SELECT "column", n_null, pct_null FROM p WHERE n_null > 0
 UNION ALL
 SELECT 'TOTAL' AS column, CAST(sum(n_null) AS BIGINT) AS n_null, CAST(NULL AS DOUBLE) AS pct_null FROM p""", "trips"))
 def _prf_missing(spark, sf):

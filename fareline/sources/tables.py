@@ -62,13 +62,15 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_from_events(read_table(spark, sf_dir, "events"))
 
 
+def pair_columns() -> dict:
+    """(actual, predicted) for a clean trip: a deterministic 75%..125% multiplier."""
+    return {"actual_fare": F.col("fare_amount"),
+            "predicted_fare": F.col("fare_amount") * (75 + (F.col("event_id") * 13) % 51) / F.lit(1e2)}
+
+
 def pairs_from_clean(clean: DataFrame) -> DataFrame:
-    """(actual, predicted) pairs: a deterministic 75%..125% multiplier per trip."""
-    return clean.select(
-        "event_id",
-        F.col("fare_amount").alias("actual_fare"),
-        (F.col("fare_amount") * (75 + (F.col("event_id") * 13) % 51) / F.lit(1e2)).alias("predicted_fare"),
-    )
+    """(event_id, actual_fare, predicted_fare) pairs of the clean trips."""
+    return clean.select("event_id", *[c.alias(k) for k, c in pair_columns().items()])
 
 
 SPLIT_TS = "2024-01-16 00:00:00"
