@@ -85,8 +85,20 @@ def quantile_values(df: DataFrame, value_cols, probs, group_cols=(), *, exact: b
             lf.unpersist()
 
 
-def _exact(lf: DataFrame, group_cols, value_cols, probs) -> dict:
+def _targets_for_probs(probs):
+    def fn(n):
+        out = []
+        for p in probs:
+            h = (n - 1) * p
+            k0 = int(math.floor(h))
+            out.append((p, k0, min(k0 + 1, n - 1), h - k0))
+        return out
+    return fn
+
+
+def _exact(lf: DataFrame, group_cols, value_cols, probs, targets_fn=None) -> dict:
     spark = lf.sparkSession
+    targets_fn = targets_fn or _targets_for_probs(probs)
     stats = lf.groupBy("_gk", *group_cols, "feature").agg(
         F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
     # target key: (gk, feature, k); state: [lo, hi, below, value, count in [lo, hi]]
@@ -95,11 +107,8 @@ def _exact(lf: DataFrame, group_cols, value_cols, probs) -> dict:
     for r in stats:
         gk, feat, n = r["_gk"], r["feature"], r["n"]
         g = tuple(r[c] for c in group_cols)
-        for p in probs:
-            h = (n - 1) * p
-            k0 = int(math.floor(h))
-            k1 = min(k0 + 1, n - 1)
-            needs.append((g, feat, p, gk, k0, k1, h - k0))
+        for p, k0, k1, frac in targets_fn(n):
+            needs.append((g, feat, p, gk, k0, k1, frac))
             for k in (k0, k1):
                 key = (gk, feat, k)
                 if key not in state:
@@ -193,3 +202,25 @@ def quantiles(df: DataFrame, value_cols, probs, group_cols=(), *, exact: bool =
                T.StructField("value", T.DoubleType())]
     rows = [(*g, f, p, v) for (g, f, p), v in vals.items()]
     return spark.createDataFrame(rows, T.StructType(fields))
+
+
+def order_statistic_values(df: DataFrame, column: str, fractions, group_cols=()) -> dict:
+    """{(group tuple, fraction): x_(k)} with k = floor(fraction * n) (0-based,
+    clipped to n-1): the element at that position of the sorted column, as in
+    ``sorted(x)[int(f * n)]``. Exact, distributed (same refinement)."""
+    group_cols = list(group_cols)
+    lf = long_form(df, [column], group_cols).withColumn("_gk", _gkey(group_cols))
+    lf = lf.select("_gk", *group_cols, "feature", "v").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fn(n):
+        out = []
+        for f in fractions:
+            k = min(int(math.floor(f * n)), n - 1)
+            out.append((f, k, k, 0.0))
+        return out
+
+    try:
+        res = _exact(lf, group_cols, [column], [], targets_fn=fn)
+    finally:
+        lf.unpersist()
+    return {(g, f): val for (g, _feat, f), val in res.items()}
