@@ -1 +1,87 @@
-"""Queries (filled in below)."""
+"""Queries for interval calibration (CAB-*) and end-to-end scoring (PRC-5)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import models as md
+from ..operators import pricing as prc
+from ..operators import prep as pp
+from ..operators import quantiles as qt
+from . import register
+from . import views as v
+from .common import rnd
+from .models import fitted
+from .monitoring import HASH_SQL
+
+_DECILES = [i / 10 for i in range(1, 10)]
+
+
+def bucket_width_calibration(df, pred: str, actual: str, coverage: float = 0.9):
+    """CAB-2 with a bucket-mean width: width(pred) = mean |res| in the prediction
+    decile (exact edges); k = exact quantile(|res| / max(width, 1e-6), coverage)."""
+    qv = qt.quantile_values(df, [pred], _DECILES)
+    edges = sorted({qv[((), pred, p)] for p in _DECILES})
+    arr = F.array(*[F.lit(float(e)) for e in edges])
+    d = df.select(F.size(F.filter(arr, lambda q: q <= F.col(pred))).alias("bucket"),
+                  F.abs(F.col(actual) - F.col(pred)).alias("r"))
+    widths = d.groupBy("bucket").agg(F.avg("r").alias("width"))
+    j = d.join(F.broadcast(widths), "bucket").withColumn("ratio", F.col("r") / F.greatest("width", F.lit(1e-6)))
+    k = qt.quantile_values(j, ["ratio"], [coverage])[((), "ratio", coverage)]
+    cov = j.agg(F.avg((F.col("r") <= F.lit(k) * F.col("width")).cast("double")).alias("c")).first()["c"]
+    return k, cov
+
+
+@register("cab_bucket_width", v.with_views(f"""
+, cal AS (SELECT * FROM pairs WHERE {HASH_SQL} >= 64 AND {HASH_SQL} < 80),
+e AS (SELECT list_sort(list_distinct(quantile_cont(predicted_fare, {_DECILES}))) AS edges FROM cal),
+d AS (SELECT len(list_filter(e.edges, lambda q: q <= predicted_fare)) AS bucket, abs(actual_fare - predicted_fare) AS r FROM cal, e),
+w AS (SELECT bucket, avg(r) AS width FROM d GROUP BY bucket),
+j AS (SELECT d.r, w.width, d.r / greatest(w.width, 1e-6) AS ratio FROM d JOIN w USING (bucket)),
+k AS (SELECT quantile_cont(ratio, 0.9) AS k FROM j)
+SELECT round(k.k, 6) AS k, round(avg(CAST(j.r <= k.k * j.width AS DOUBLE)), 6) AS empirical_coverage FROM j, k GROUP BY k.k""",
+                                           "pairs"))
+def _cab_bucket(spark, sf):
+    """CAB-2 (SQL form): 90% interval scale k and its coverage on the calibration split."""
+    p = v.pairs(spark, sf)
+    hb = pp.hash_bucket()
+    cal = p.where((hb >= 64) & (hb < 80))
+    k, cov = bucket_width_calibration(cal, "predicted_fare", "actual_fare")
+    return spark.createDataFrame([(float(k), float(cov))], "k double, empirical_coverage double").select(
+        rnd("k").alias("k"), rnd("empirical_coverage").alias("empirical_coverage"))
+
+
+def _calibrated(spark, sf):
+    model, prep, f = fitted(spark, sf, "linear")
+    cal = model.transform(prep.transform(f.where(F.col("split") == "calibration")))
+    iso, c = md.calibrate(cal)
+    return model, prep, f, iso, c
+
+
+@register("cab_isotonic")
+def _cab_iso(spark, sf):
+    """CAB-1/CAB-2: isotonic |residual| model on the calibration split; k and empirical coverage."""
+    _m, _p, _f, _iso, c = _calibrated(spark, sf)
+    return spark.createDataFrame([(c.k, c.coverage, c.empirical_coverage)],
+                                 "k double, coverage double, empirical_coverage double")
+
+
+@register("cab_interval")
+def _cab_interval(spark, sf):
+    """CAB-3: prediction intervals on the test split and their realised coverage."""
+    model, prep, f, iso, c = _calibrated(spark, sf)
+    te = model.transform(prep.transform(f.where(F.col("split") == "test")))
+    iv = md.predict_with_interval(te, iso, c)
+    inside = (F.col("fare_amount") >= F.col("lower")) & (F.col("fare_amount") <= F.col("upper"))
+    return iv.agg(F.count(F.lit(1)).alias("n"), F.avg(inside.cast("double")).alias("test_coverage"),
+                  F.avg(F.col("upper") - F.col("lower")).alias("mean_width"))
+
+
+@register("prc_end_to_end")
+def _e2e(spark, sf):
+    """PRC-5: features -> model -> interval -> single-trip pricing output for every test trip."""
+    model, prep, f, iso, c = _calibrated(spark, sf)
+    te = model.transform(prep.transform(f.where(F.col("split") == "test")))
+    iv = md.predict_with_interval(te, iso, c)
+    cols = prc.score_columns("prediction", "lower", "upper")
+    return iv.select("event_id", *[e.alias(k) for k, e in cols.items()])

@@ -1 +1,221 @@
-"""Queries (filled in below)."""
+"""Queries for model fitting, search, comparison, selection and explanation."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.sql import functions as F
+
+from ..operators import metrics as met
+from ..operators import models as md
+from ..operators import prep as pp
+from ..session import scratch_path
+from . import register
+from . import views as v
+from .common import rnd
+from .monitoring import HASH_SQL
+
+ORD = ("passenger_count", "pickup_dow")
+CONT = ("trip_distance_km", "manhattan_distance_km", "bearing_deg", "pickup_dist_from_center_km",
+        "distance_per_passenger", "pickup_hour", "pickup_latitude", "pickup_longitude", "dropoff_latitude",
+        "dropoff_longitude")
+BIN = ("is_rush_hour", "is_weekend", "is_late_night", "airport_trip")
+
+
+def split_features(spark, sf):
+    f = v.features(spark, sf).withColumn("split", pp.split_label())
+    return f
+
+
+def fitted(spark, sf, family, params=None, scaled=None):
+    """Fit preprocessing + one regressor on the train split; returns (model, prep, data)."""
+    f = split_features(spark, sf)
+    train = f.where(F.col("split") == "train")
+    scaled = (family == "linear") if scaled is None else scaled
+    prep = md.fit_preprocessor(train, ORD, CONT, BIN, scaled=scaled)
+    model = Pipeline(stages=[md.make_regressor(family, params)]).fit(prep.transform(train))
+    return model, prep, f
+
+
+def _long_predictions(model, prep, f, name):
+    scored = model.transform(prep.transform(f.where(F.col("split").isin("train", "test"))))
+    return scored.select(F.lit(name).alias("model"), "split", F.col("fare_amount").alias("actual"),
+                         F.col("prediction").alias("predicted"))
+
+
+FAMILY_PARAMS = {"linear": {}, "tree": {"maxDepth": 10}, "forest": {"numTrees": 50, "maxDepth": 10},
+                 "gbt": {"maxIter": 50, "maxDepth": 5}}
+
+
+def _family_query(family):
+    def q(spark, sf):
+        model, prep, f = fitted(spark, sf, family, FAMILY_PARAMS[family])
+        return md.comparison_table(_long_predictions(model, prep, f, family), n_features=len(prep.feature_order))
+    q.__doc__ = f"MOD-1..4: {family} regressor fitted on the train split; comparison row."
+    return q
+
+
+for _fam, _id in (("linear", "mod_linear"), ("tree", "mod_tree"), ("forest", "mod_forest"), ("gbt", "mod_gbt")):
+    register(_id)(_family_query(_fam))
+
+
+@register("mod_search")
+def _search(spark, sf):
+    """MOD-6: randomised search (seeded grid sample) with a hash fold column, ridge / lasso / elastic net."""
+    f = split_features(spark, sf)
+    train = f.where(F.col("split") == "train")
+    prep = md.fit_preprocessor(train, ORD, CONT, BIN, scaled=True)
+    data = prep.transform(train).select("event_id", "features", "fare_amount")
+    n = data.count()
+    n_iter, folds = md.search_budget(n, 8, 3)
+    _model, rows = md.tune("linear", data, n_iter=n_iter, folds=folds)
+    return spark.createDataFrame([(str(sorted(p.items())), a, s) for p, a, s in rows],
+                                 "params string, cv_mean_rmse double, cv_std_rmse double")
+
+
+@register("mod_compare")
+def _compare(spark, sf):
+    """MOD-7: comparison table of the linear, tree and forest families (sorted by rmse, r2)."""
+    parts = []
+    for fam in ("linear", "tree", "forest"):
+        model, prep, f = fitted(spark, sf, fam, FAMILY_PARAMS[fam])
+        parts.append(_long_predictions(model, prep, f, fam))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    return md.comparison_table(long, n_features=len(ORD) + len(CONT) + len(BIN)).orderBy("test_rmse", F.desc("test_r2"))
+
+
+# --- rule-based predictors: MOD-7 / MOD-8 with a SQL oracle ------------------------------
+
+RULES_SQL = f"""
+, rp AS (
+  SELECT 'multiplier' AS model, fare_amount AS actual, fare_amount * (75 + (event_id * 13) % 51) / 1e2 AS predicted,
+         {HASH_SQL} AS hb FROM features
+  UNION ALL
+  SELECT 'distance_rate', fare_amount, 2.5e0 + 2.0e0 * trip_distance_km, {HASH_SQL} FROM features
+),
+lp AS (SELECT model, CASE WHEN hb < 80 THEN 'train' ELSE 'test' END AS split, actual, predicted,
+              CAST(('0x' || substr(md5(concat_ws('|', CAST(hb AS VARCHAR), 'fold')), 1, 8))::BIGINT % 5 AS INTEGER) AS fold FROM rp),
+m AS (SELECT model, split, count(*) AS n,
+        sqrt(avg(pow(predicted - actual, 2))) AS rmse, avg(abs(predicted - actual)) AS mae,
+        avg(abs(predicted - actual) / greatest(abs(actual), 2.220446049250313e-16)) AS mape,
+        1 - sum(pow(predicted - actual, 2)) / (var_pop(actual) * count(*)) AS r2,
+        avg(CAST(abs(predicted - actual) / greatest(actual, 1e-6) <= 0.15 AS DOUBLE)) AS within_tol
+      FROM lp GROUP BY model, split),
+cvf AS (SELECT model, fold, sqrt(avg(pow(predicted - actual, 2))) AS r FROM lp WHERE split = 'train' GROUP BY model, fold),
+cv AS (SELECT model, avg(r) AS cv_mean_rmse, stddev_pop(r) AS cv_std_rmse FROM cvf GROUP BY model),
+summary AS (
+  SELECT te.model, round(tr.r2, 4) AS train_r2, round(te.r2, 4) AS test_r2, round(abs(tr.r2 - te.r2), 4) AS train_test_gap,
+    round(cv.cv_mean_rmse, 4) AS cv_mean_rmse, round(cv.cv_std_rmse, 4) AS cv_std_rmse, round(te.rmse, 4) AS test_rmse,
+    round(te.mae, 4) AS test_mae, round(te.mape, 4) AS test_mape,
+    round(CASE WHEN te.n - 10 - 1 <= 0 THEN te.r2 ELSE 1 - (1 - te.r2) * (te.n - 1) / (te.n - 10 - 1) END, 4) AS adjusted_r2,
+    round(te.within_tol, 4) AS within_15pct_acc
+  FROM m te JOIN m tr ON te.model = tr.model AND te.split = 'test' AND tr.split = 'train' JOIN cv ON cv.model = te.model
+)"""
+
+
+def rule_predictions(spark, sf):
+    f = v.features(spark, sf)
+    hb = pp.hash_bucket()
+    a = f.select(F.lit("multiplier").alias("model"), F.col("fare_amount").alias("actual"),
+                 (F.col("fare_amount") * (75 + (F.col("event_id") * 13) % 51) / F.lit(1e2)).alias("predicted"),
+                 hb.alias("hb"))
+    b = f.select(F.lit("distance_rate").alias("model"), F.col("fare_amount").alias("actual"),
+                 (F.lit(2.5) + 2.0 * F.col("trip_distance_km")).alias("predicted"), hb.alias("hb"))
+    lp = a.unionByName(b).withColumns({"split": F.when(F.col("hb") < 80, "train").otherwise("test"),
+                                       "fold": pp.kfold("hb", 5, seed="fold")})
+    return lp
+
+
+def rule_summary(spark, sf):
+    lp = rule_predictions(spark, sf)
+    cvf = met.regression_metrics(lp.where(F.col("split") == "train"), "actual", "predicted", by=["model", "fold"])
+    cv = cvf.groupBy("model").agg(F.avg("rmse").alias("cv_mean_rmse"), F.stddev_pop("rmse").alias("cv_std_rmse"))
+    return md.comparison_table(lp, n_features=10, cv=cv)
+
+
+@register("mod_compare_rules", v.with_views(RULES_SQL + "\nSELECT * FROM summary", "features"))
+def _rules(spark, sf):
+    """MOD-7 (given predictions): comparison table of two rule-based fare predictors with 5-fold CV stats."""
+    return rule_summary(spark, sf)
+
+
+@register("mod_select_best", v.with_views(RULES_SQL + """
+, tiered AS (SELECT *, CASE
+    WHEN train_test_gap IS NOT NULL AND cv_std_rmse IS NOT NULL AND train_test_gap <= 0.03 AND cv_std_rmse / nullif(cv_mean_rmse, 0) <= 0.10 AND test_r2 >= 0.90 THEN 0
+    WHEN train_test_gap IS NOT NULL AND cv_std_rmse IS NOT NULL AND train_test_gap <= 0.06 AND cv_std_rmse / nullif(cv_mean_rmse, 0) <= 0.15 AND test_r2 >= 0.85 THEN 1
+    WHEN train_test_gap IS NOT NULL AND cv_std_rmse IS NOT NULL AND train_test_gap <= 0.10 AND cv_std_rmse / nullif(cv_mean_rmse, 0) <= 0.20 AND test_r2 >= 0.80 THEN 2
+    WHEN train_test_gap IS NOT NULL AND cv_std_rmse IS NOT NULL AND train_test_gap <= 0.20 AND cv_std_rmse / nullif(cv_mean_rmse, 0) <= 1.00 AND test_r2 >= 0.00 THEN 3
+    ELSE 4 END AS tier FROM summary)
+SELECT * FROM tiered ORDER BY tier, test_rmse, test_r2 DESC, model LIMIT 1""", "features"))
+def _select(spark, sf):
+    """MOD-8: tiered selection (gap, cv_std/cv_mean, R2) over the comparison table."""
+    return md.select_best(rule_summary(spark, sf))
+
+
+@register("mod_ols_simple", v.with_views(f"""
+, tr AS (SELECT * FROM features WHERE {HASH_SQL} < 64)
+SELECT round(regr_slope(fare_amount, trip_distance_km), 6) AS coefficient,
+       round(regr_intercept(fare_amount, trip_distance_km), 6) AS intercept FROM tr""", "features"))
+def _ols(spark, sf):
+    """MOD-1: ordinary least squares fare ~ distance with Spark ML (normal equations)."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    tr = v.features(spark, sf).where(pp.hash_bucket() < 64)
+    d = VectorAssembler(inputCols=["trip_distance_km"], outputCol="x").transform(tr)
+    m = LinearRegression(featuresCol="x", labelCol="fare_amount", solver="normal", regParam=0.0).fit(d)
+    return spark.createDataFrame([(float(m.coefficients[0]), float(m.intercept))],
+                                 "coefficient double, intercept double").select(
+        rnd("coefficient").alias("coefficient"), rnd("intercept").alias("intercept"))
+
+
+@register("exp_linear_shap", v.with_views(f"""
+, tr AS (SELECT * FROM features WHERE {HASH_SQL} < 64),
+c AS (SELECT regr_slope(fare_amount, trip_distance_km) AS b, avg(trip_distance_km) AS m FROM tr)
+SELECT 'trip_distance_km' AS feature, round(avg(abs(c.b * (tr.trip_distance_km - c.m))), 6) AS mean_abs_shap FROM tr, c""",
+                                          "features"))
+def _shap(spark, sf):
+    """EXP-3: exact mean |SHAP| of a linear model (coef x centred input), all train rows."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    tr = v.features(spark, sf).where(pp.hash_bucket() < 64)
+    d = VectorAssembler(inputCols=["trip_distance_km"], outputCol="x").transform(tr)
+    m = LinearRegression(featuresCol="x", labelCol="fare_amount", solver="normal", regParam=0.0).fit(d)
+    s = md.linear_shap(tr, {"trip_distance_km": float(m.coefficients[0])})
+    return s.withColumn("mean_abs_shap", rnd("mean_abs_shap"))
+
+
+@register("exp_importance")
+def _importance(spark, sf):
+    """EXP-1: forest feature importances (top 20)."""
+    model, prep, _ = fitted(spark, sf, "forest", FAMILY_PARAMS["forest"])
+    pairs = md.feature_importance(model.stages[-1], prep.feature_order)
+    return spark.createDataFrame(pairs, "feature string, importance double")
+
+
+@register("exp_permutation")
+def _permutation(spark, sf):
+    """EXP-2: permutation importance (RMSE increase, 3 repeats) of the linear model on the test split."""
+    model, prep, f = fitted(spark, sf, "linear")
+    te = f.where(F.col("split") == "test")
+    out = md.permutation_importance(model, prep, te, ["trip_distance_km", "pickup_hour", "passenger_count",
+                                                      "airport_trip"], repeats=3)
+    return spark.createDataFrame(out, "feature string, rmse_increase double")
+
+
+@register("mod_refit_champion")
+def _refit(spark, sf):
+    """MOD-9 + SNK-7: refit the selected family on train + calibration rows, save a
+    versioned artefact under the checkpoint folder, load it back and score the test split."""
+    f = split_features(spark, sf)
+    big = f.where(F.col("split").isin("train", "calibration"))
+    prep = md.fit_preprocessor(big, ORD, CONT, BIN, scaled=True)
+    model = Pipeline(stages=[md.make_regressor("linear")]).fit(prep.transform(big))
+    path = md.save_artifacts(scratch_path(spark, "model-linear-v1"), model, prep, {"family": "linear"})
+    loaded, prep2, meta = md.load_artifacts(path)
+    te = f.where(F.col("split") == "test")
+    scored = loaded.transform(prep2.transform(te))
+    m = met.regression_metrics(scored, "fare_amount", "prediction")
+    return m.select(F.lit(meta["family"]).alias("model"), "n", "rmse", "mae", "r2")
