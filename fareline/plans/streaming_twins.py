@@ -1 +1,134 @@
-"""Queries (filled in below)."""
+"""Streaming queries (ST-*) and their batch-twin oracles.
+
+Each query stages the derived trip table as time-ordered parquet batches
+in the shared checkpoint folder, runs the streaming job with
+``trigger(availableNow=True)`` into a file sink, and returns the sink.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import metrics as met
+from ..operators import prep as pp
+from ..session import scratch_path
+from ..streaming import jobs
+from . import register
+from . import views as v
+from .common import rnd
+from .pricing import SCORED_SQL, scored
+
+CHUNKS = 4
+
+
+@register("st_dedup", v.with_views("SELECT DISTINCT * FROM trips", "trips"))
+def _st_dedup(spark, sf):
+    """ST-3: replayed trips removed by dropDuplicatesWithinWatermark on a file stream."""
+    base = scratch_path(spark, "st-dedup")
+    src, (sink, ckpt) = f"{base}/source", jobs.sink_dir(base, "out")
+    t = v.trips(spark, sf)
+    jobs.stage_files(t, src, "pickup_datetime", CHUNKS)
+    stream = jobs.with_event_time(jobs.read_stream(spark, src, t.schema))
+    jobs.run_available_now(jobs.dedup_stream(stream).drop("event_time"), sink, ckpt)
+    return spark.read.parquet(sink).select(*t.columns)
+
+
+_KPI_SQL = SCORED_SQL + """
+, s2 AS (SELECT s.*, c.pickup_datetime FROM scored s JOIN clean_trips c USING (event_id)),
+win AS (SELECT date_trunc('hour', pickup_datetime) AS ws, count(*) AS n,
+          avg(abs(predicted_fare - actual_fare) / greatest(actual_fare, 1e-6)) AS mape,
+          avg(CAST(pricing_flag = 'SURGE_ELIGIBLE' AS DOUBLE)) AS surge_rate
+        FROM s2 GROUP BY 1)
+SELECT epoch_us(ws) AS window_start_us, n, round(mape, 6) AS mape, round(surge_rate, 6) AS surge_rate FROM win
+WHERE ws + INTERVAL 1 HOUR <= (SELECT max(pickup_datetime) FROM s2) - INTERVAL 10 MINUTE"""
+
+
+def _kpi_stream(spark, sf, late: bool):
+    base = scratch_path(spark, "st-kpi")
+    src, (sink, ckpt) = f"{base}/source", jobs.sink_dir(base, "out")
+    s = scored(spark, sf).select("event_id", "pickup_datetime", "actual_fare", "predicted_fare", "pricing_flag")
+    jobs.stage_files(s, src, "pickup_datetime", CHUNKS)
+    if late:
+        # a replay of the first day arriving after the watermark has passed it
+        s.where(F.dayofmonth("pickup_datetime") == 1).write.mode("append").parquet(src)
+    stream = jobs.with_event_time(jobs.read_stream(spark, src, s.schema))
+    jobs.run_available_now(jobs.window_kpis(stream), sink, ckpt)
+    out = spark.read.parquet(sink)
+    return out.select(F.unix_micros("window_start").alias("window_start_us"), "n", rnd("mape").alias("mape"),
+                      rnd("surge_rate").alias("surge_rate"))
+
+
+@register("st_window_kpis", v.with_views(_KPI_SQL, "features", "pairs", "clean_trips"))
+def _st_kpis(spark, sf):
+    """ST-2: hourly tumbling-window MAPE / surge rate with a 10-minute watermark."""
+    return _kpi_stream(spark, sf, late=False)
+
+
+@register("st_late_rows", v.with_views(_KPI_SQL, "features", "pairs", "clean_trips"))
+def _st_late(spark, sf):
+    """ST-2 late data: a replayed old day arrives last and is dropped by the watermark
+    (the result equals the on-time windows)."""
+    return _kpi_stream(spark, sf, late=True)
+
+
+@register("st_scoring")
+def _st_scoring(spark, sf):
+    """ST-1: raw trip stream -> rules + replay dedup + FT-0 -> fitted model -> pricing output sink."""
+    from ..operators import pricing as prc
+    from .models import fitted
+
+    model, prep, _f = fitted(spark, sf, "linear")
+    base = scratch_path(spark, "st-score")
+    src, (sink, ckpt) = f"{base}/source", jobs.sink_dir(base, "out")
+    t = v.trips(spark, sf)
+    jobs.stage_files(t, src, "pickup_datetime", CHUNKS)
+    stream = jobs.clean_feature_stream(jobs.with_event_time(jobs.read_stream(spark, src, t.schema)))
+    scored_stream = model.transform(prep.transform(stream))
+    out = scored_stream.select("event_id", "pickup_datetime",
+                               *[c.alias(k) for k, c in prc.score_columns("prediction").items()])
+    jobs.run_available_now(out, sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+@register("st_drift")
+def _st_drift(spark, sf):
+    """ST-4: per-micro-batch PSI against edges / shares stored from the first half of the month."""
+    from .metrics import PSI_COLS
+
+    f = v.features(spark, sf)
+    is_exp = F.col("pickup_datetime") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    ref = f.where(is_exp)
+    entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in PSI_COLS])
+    long = ref.select(F.inline(entries)).where(F.col("v").isNotNull())
+    edges = met.psi_edges(long, PSI_COLS)
+    # reference shares per bin (one aggregate)
+    eds = spark.createDataFrame([(c, [float(x) for x in e]) for c, e in edges.items()], "feature string, edges array<double>")
+    m = F.size("edges")
+    b = F.greatest(F.lit(1), F.least(F.size(F.filter("edges", lambda e: e <= F.col("v"))), m - 1))
+    cnt = long.join(F.broadcast(eds), "feature").groupBy("feature", b.alias("bin")).count().collect()
+    tot = {}
+    for r in cnt:
+        tot[r["feature"]] = tot.get(r["feature"], 0) + r["count"]
+    shares = {c: [0.0] * max(len(edges[c]) - 1, 0) for c in PSI_COLS}
+    for r in cnt:
+        if 1 <= r["bin"] <= len(shares[r["feature"]]):
+            shares[r["feature"]][r["bin"] - 1] = r["count"] / (tot[r["feature"]] + 1e-9)
+    base = scratch_path(spark, "st-drift")
+    src, (sink, ckpt) = f"{base}/source", jobs.sink_dir(base, "out")
+    cur = f.where(~is_exp).select(*PSI_COLS, "pickup_datetime")
+    jobs.stage_files(cur, src, "pickup_datetime", CHUNKS)
+    stream = jobs.read_stream(spark, src, cur.schema)
+    jobs.drift_batches(stream, {c: (edges[c], shares[c]) for c in PSI_COLS}, PSI_COLS, sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+@register("spl_stream_hash_split")
+def _stream_split(spark, sf):
+    """SPL-1 on a stream: the hash split is a pure expression, so it is the same on every micro-batch."""
+    base = scratch_path(spark, "st-split")
+    src, (sink, ckpt) = f"{base}/source", jobs.sink_dir(base, "out")
+    c = v.clean_trips(spark, sf).select("event_id", "pickup_datetime")
+    jobs.stage_files(c, src, "pickup_datetime", 2)
+    stream = jobs.read_stream(spark, src, c.schema).withColumn("split", pp.split_label())
+    jobs.run_available_now(stream, sink, ckpt)
+    return spark.read.parquet(sink).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
