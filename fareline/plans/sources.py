@@ -1 +1,178 @@
-"""Queries (filled in below)."""
+"""Queries for sources, samples and sinks (SRC-*, SNK-*)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.stats import hash_unit
+from ..operators import metrics as met
+from ..operators import monitor as mon
+from ..operators import prep as pp
+from ..operators import quantiles as qt
+from ..operators import validate as val
+from ..session import scratch_path
+from ..sources import files
+from . import register
+from . import views as v
+from .common import rnd
+from .metrics import _psi_sql, PSI_COLS
+from .monitoring import HASH_SQL, daily_runs, replay
+from .pricing import scored
+
+TRIP_COLS = ("event_id, event_type, fare_amount, pickup_datetime, pickup_longitude, pickup_latitude, "
+             "dropoff_longitude, dropoff_latitude, passenger_count")
+HASH32 = "('0x' || substr(md5(concat_ws('|', CAST(event_id AS VARCHAR), '42')), 1, 8))::BIGINT"
+
+
+@register("src_first_n", v.with_views(f"SELECT {TRIP_COLS} FROM trips ORDER BY event_id, fare_amount LIMIT 1000", "trips"))
+def _first_n(spark, sf):
+    """SRC-2: the first 1,000 trips in event order (nrows)."""
+    t = v.trips(spark, sf)
+    return files.first_n(t, 1000, ["event_id", "fare_amount"])
+
+
+@register("src_sample_fraction", v.with_views(f"SELECT {TRIP_COLS} FROM trips WHERE {HASH32} < 429496729", "trips"))
+def _sample_frac(spark, sf):
+    """SRC-3: reproducible 10% Bernoulli sample over the whole table (hash threshold)."""
+    t = v.trips(spark, sf)
+    return t.where(hash_unit("event_id") < 429496729)
+
+
+@register("src_sample_n", v.with_views(f"SELECT {TRIP_COLS} FROM trips ORDER BY {HASH32}, event_id, fare_amount LIMIT 1000", "trips"))
+def _sample_n(spark, sf):
+    """SRC-5: fixed-size (1,000) sample without replacement: hash-order top-k."""
+    t = v.trips(spark, sf)
+    return t.orderBy(hash_unit("event_id"), "event_id", "fare_amount").limit(1000)
+
+
+@register("src_sample_replacement")
+def _sample_repl(spark, sf):
+    """SRC-6: with-replacement sample of ~2,000 rows (Poisson sampling, seeded)."""
+    c = v.clean_trips(spark, sf)
+    n = c.count()
+    return c.sample(withReplacement=True, fraction=min(2000 / max(n, 1), 10.0), seed=42)
+
+
+@register("src_stratified", v.with_views(f"""
+, q AS (SELECT quantile_cont(fare_amount, 0.25) AS q1, quantile_cont(fare_amount, 0.5) AS q2, quantile_cont(fare_amount, 0.75) AS q3 FROM clean_trips),
+b AS (SELECT c.*, CASE WHEN fare_amount <= q1 THEN 0 WHEN fare_amount <= q2 THEN 1 WHEN fare_amount <= q3 THEN 2 ELSE 3 END AS stratum FROM clean_trips c, q)
+SELECT stratum, count(*) AS n FROM b
+WHERE {HASH_SQL.replace('% 100', '% 1000')} < CASE stratum WHEN 0 THEN 100 WHEN 1 THEN 200 WHEN 2 THEN 300 ELSE 500 END
+GROUP BY stratum""", "clean_trips"))
+def _stratified(spark, sf):
+    """SRC-7: stratified sample on fare-quartile strata (10/20/30/50%), hash form of sampleBy."""
+    c = v.clean_trips(spark, sf)
+    q = qt.quantile_values(c, ["fare_amount"], [0.25, 0.5, 0.75])
+    q1, q2, q3 = (q[((), "fare_amount", p)] for p in (0.25, 0.5, 0.75))
+    f = F.col("fare_amount")
+    s = c.withColumn("stratum", F.when(f <= q1, 0).when(f <= q2, 1).when(f <= q3, 2).otherwise(3))
+    frac = F.when(F.col("stratum") == 0, 100).when(F.col("stratum") == 1, 200).when(F.col("stratum") == 2, 300).otherwise(500)
+    return s.where(pp.hash_bucket(buckets=1000) < frac).groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("src_csv_roundtrip", v.with_views("""
+SELECT count(*) AS n_rows, round(sum(fare_amount), 2) AS fare_sum, CAST(sum(passenger_count) AS BIGINT) AS passengers
+FROM clean_trips""", "clean_trips"))
+def _csv(spark, sf):
+    """SRC-1/VAL-1..10: trips written in the raw CSV layout (odd header names, text times
+    'yyyy-MM-dd HH:mm:ss UTC'), read back with a typed schema, then validated."""
+    path = scratch_path(spark, "raw-csv")
+    t = v.trips(spark, sf)
+    raw = t.select(F.concat_ws("_", "event_type", F.col("event_id").cast("string")).alias("key"),
+                   "fare_amount", F.col("pickup_datetime").cast("timestamp").alias("pickup_datetime"),
+                   "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude",
+                   F.col("passenger_count").cast("double").alias("passenger_count"),
+                   F.col("event_id").alias("event_id"))
+    files.write_trip_csv(raw.withColumnRenamed("fare_amount", " Fare Amount "), path)
+    from pyspark.sql import types as T
+
+    fields = [T.StructField(" Fare Amount " if f.name == "fare_amount" else f.name, f.dataType)
+              for f in files.RAW_TRIP_SCHEMA.fields]
+    schema = T.StructType(fields + [T.StructField("event_id", T.LongType())])
+    back = files.read_trip_csv(spark, path, schema=schema)
+    clean = val.validate_trips(back)
+    return clean.agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("fare_amount"), 2).alias("fare_sum"),
+                     F.sum("passenger_count").cast("bigint").alias("passengers"))
+
+
+@register("snk_drift_report", _psi_sql())
+def _drift_report(spark, sf):
+    """SNK-1/SRC-8: drift table written as one sorted CSV and read back with a checked schema."""
+    f = v.features(spark, sf)
+    is_exp = F.col("pickup_datetime") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    d = met.psi(f.withColumn("side", F.when(is_exp, "expected").otherwise("actual")), "side", PSI_COLS)
+    path = scratch_path(spark, "drift-report")
+    files.write_report_csv(d, path, [F.desc("drift_score"), "feature"])
+    back = files.read_csv_checked(spark, path, "feature string, drift_score double", ["feature", "drift_score"])
+    return back.select("feature", rnd("drift_score").alias("drift_score"))
+
+
+@register("snk_monitor_scores")
+def _monitor_scores(spark, sf):
+    """SNK-2: full monitor table to parquet + a capped (<= 100k) hash-sample CSV; read back sizes."""
+    s = scored(spark, sf).select("event_id", "predicted_fare", "actual_fare",
+                                 F.abs(F.col("predicted_fare") - F.col("actual_fare")).alias("abs_error"),
+                                 "pricing_flag")
+    base = scratch_path(spark, "monitor")
+    s.write.mode("overwrite").parquet(f"{base}/full")
+    s.orderBy(hash_unit("event_id"), "event_id").limit(100_000).coalesce(1).write.mode("overwrite") \
+        .option("header", True).csv(f"{base}/sample")
+    full = spark.read.parquet(f"{base}/full")
+    smp = spark.read.option("header", True).csv(f"{base}/sample")
+    return full.agg(F.count(F.lit(1)).alias("n_full")).crossJoin(smp.agg(F.count(F.lit(1)).alias("n_sample")))
+
+
+@register("snk_promotion_log")
+def _promotion_log(spark, sf):
+    """SNK-6 + SRC-9 + GAT-2: daily runs replayed, appended as JSON records with a nested
+    gates struct, read back; latest record with its gates."""
+    r = replay(spark, daily_runs(spark, sf)).withColumnRenamed("rmse", "challenger_rmse") \
+        .withColumnRenamed("r2", "challenger_r2").withColumnRenamed("gap", "challenger_gap")
+    g = mon.apply_gate(r)
+    rec = g.select("decision", "reason", F.format_string("2024-01-%02d 00:00:00", "seq").alias("evaluated_at"),
+                   F.lit("linear").alias("challenger_name"), F.round("challenger_rmse", 4).alias("challenger_rmse"),
+                   F.round("challenger_r2", 4).alias("challenger_r2"), F.round("challenger_gap", 4).alias("challenger_gap"),
+                   F.when(F.col("champion_rmse").isNotNull(), F.lit("linear")).alias("champion_name"),
+                   F.round("champion_rmse", 4).alias("champion_rmse"), F.lit(None).cast("double").alias("champion_r2"),
+                   F.when(F.col("champion_rmse").isNotNull(),
+                          F.struct("rmse_improvement_passed", "r2_floor_passed", "gap_passed")).alias("gates"))
+    path = scratch_path(spark, "promotion-log")
+    files.append_json(rec, path)
+    log = files.read_promotion_log(spark, path)
+    return mon.latest_decision(log).select("evaluated_at", "decision", "challenger_rmse", "champion_rmse",
+                                           "gates.rmse_improvement_passed", "gates.r2_floor_passed", "gates.gap_passed")
+
+
+@register("snk_model_card")
+def _card(spark, sf):
+    """SNK-5: nested model card (split sizes, metrics, calibration, flag counts map, cost,
+    features) built from aggregates, appended as JSON and read back."""
+    from .calibration import bucket_width_calibration
+
+    s = scored(spark, sf).withColumn("split", pp.split_label())
+    sizes = s.groupBy().pivot("split", ["train", "calibration", "test"]).count()
+    te = s.where(F.col("split") == "test")
+    metrics = met.regression_metrics(te, n_features=10).drop("n")
+    cal_rows = s.where(F.col("split") == "calibration")
+    k, cov = bucket_width_calibration(cal_rows, "predicted_fare", "actual_fare")
+    cal = spark.createDataFrame([(0.9, float(k), float(cov))], "coverage double, k double, empirical_coverage double")
+    flags = te.groupBy("pricing_flag").agg(F.count(F.lit(1)).alias("n"))
+    cost = met.cost_evaluation(te)
+    card = files.model_card(sizes, metrics, cal, flags, cost, ["trip_distance_km", "pickup_hour"], "rule_multiplier", "v1")
+    path = scratch_path(spark, "model-cards")
+    files.append_json(card, path)
+    back = spark.read.schema(card.schema).json(path)
+    return back.select("model_name", "version", "dataset.train", "dataset.test", "metrics.rmse",
+                       "calibration.k", "cost_evaluation.total_estimated_cost",
+                       F.size(F.map_keys("pricing_flags")).alias("n_flags"))
+
+
+@register("snk_comparison_csv")
+def _comparison(spark, sf):
+    """SNK-3: comparison table written sorted by (test_rmse, -test_r2) as CSV and read back."""
+    from .models import rule_summary
+
+    t = rule_summary(spark, sf)
+    path = scratch_path(spark, "comparison")
+    files.write_report_csv(t, path, ["test_rmse", F.desc("test_r2")])
+    return spark.read.option("header", True).option("inferSchema", False).csv(path)
