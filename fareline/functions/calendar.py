@@ -26,6 +26,11 @@ def local_time(col, tz: str = LOCAL_TZ) -> Column:
 
 def calendar_columns(col, tz: str = LOCAL_TZ) -> dict[str, Column]:
     """pickup_hour, pickup_dow (0 = Monday), pickup_month, pickup_year."""
+    if isinstance(col, str):
+        ts = f"CAST(`{col}` AS TIMESTAMP)"
+        lt = ts if tz.upper() == "UTC" else f"from_utc_timestamp({ts}, '{tz}')"
+        return {"pickup_hour": F.expr(f"hour({lt})"), "pickup_dow": F.expr(f"weekday({lt})"),
+                "pickup_month": F.expr(f"month({lt})"), "pickup_year": F.expr(f"year({lt})")}
     lt = local_time(col, tz)
     return {
         "pickup_hour": F.hour(lt),
@@ -36,18 +41,20 @@ def calendar_columns(col, tz: str = LOCAL_TZ) -> dict[str, Column]:
 
 
 def flag_columns(hour: str = "pickup_hour", dow: str = "pickup_dow") -> dict[str, Column]:
+    rush = ", ".join(str(h) for h in RUSH_HOURS)
+    late = ", ".join(str(h) for h in LATE_NIGHT_HOURS)
     return {
-        "is_weekend": (F.col(dow) >= 5).cast("int"),
-        "is_rush_hour": F.col(hour).isin(*RUSH_HOURS).cast("int"),
-        "is_late_night": F.col(hour).isin(*LATE_NIGHT_HOURS).cast("int"),
+        "is_weekend": F.expr(f"CAST(`{dow}` >= 5 AS INT)"),
+        "is_rush_hour": F.expr(f"CAST(`{hour}` IN ({rush}) AS INT)"),
+        "is_late_night": F.expr(f"CAST(`{hour}` IN ({late}) AS INT)"),
     }
 
 
 def cyclic_columns(hour: str = "pickup_hour", dow: str = "pickup_dow") -> dict[str, Column]:
-    two_pi = 2 * math.pi
+    two_pi = f"CAST({2 * math.pi!r} AS DOUBLE)"
     return {
-        "hour_sin": F.sin(F.lit(two_pi) * F.col(hour) / 24),
-        "hour_cos": F.cos(F.lit(two_pi) * F.col(hour) / 24),
-        "dow_sin": F.sin(F.lit(two_pi) * F.col(dow) / 7),
-        "dow_cos": F.cos(F.lit(two_pi) * F.col(dow) / 7),
+        "hour_sin": F.expr(f"sin({two_pi} * `{hour}` / 24)"),
+        "hour_cos": F.expr(f"cos({two_pi} * `{hour}` / 24)"),
+        "dow_sin": F.expr(f"sin({two_pi} * `{dow}` / 7)"),
+        "dow_cos": F.expr(f"cos({two_pi} * `{dow}` / 7)"),
     }

@@ -26,13 +26,17 @@ FEATURE_COLUMNS = (
 )
 
 
-def add_distances(df: DataFrame) -> DataFrame:
-    """GEO-1/4/5/6: trip, Manhattan and bearing columns."""
-    return df.withColumns({
+def distance_columns() -> dict:
+    return {
         "trip_distance_km": geo.haversine_km(PLAT, PLON, DLAT, DLON),
         "manhattan_distance_km": geo.manhattan_km(PLAT, PLON, DLAT, DLON),
         "bearing_deg": geo.bearing_deg(PLAT, PLON, DLAT, DLON),
-    })
+    }
+
+
+def add_distances(df: DataFrame) -> DataFrame:
+    """GEO-1/4/5/6: trip, Manhattan and bearing columns."""
+    return df.withColumns(distance_columns())
 
 
 def add_calendar(df: DataFrame, tz: str = DEFAULT_RULES.tz, ts: str = "pickup_datetime") -> DataFrame:
@@ -45,10 +49,12 @@ def add_calendar(df: DataFrame, tz: str = DEFAULT_RULES.tz, ts: str = "pickup_da
 def airport_flags(rules: TripRules = DEFAULT_RULES) -> dict:
     """GEO-7: near_<airport> = pickup or drop-off within the radius (inclusive)."""
     out = {}
-    for name, point in rules.airports:
-        near = ((geo.distance_to_point(PLAT, PLON, point) <= rules.airport_radius_km)
-                | (geo.distance_to_point(DLAT, DLON, point) <= rules.airport_radius_km))
-        out[f"near_{name}"] = F.coalesce(near, F.lit(False)).cast("int")
+    r = f"CAST({float(rules.airport_radius_km)!r} AS DOUBLE)"
+    for name, (lat, lon) in rules.airports:
+        pt = (f"CAST({float(lat)!r} AS DOUBLE)", f"CAST({float(lon)!r} AS DOUBLE)")
+        p = geo.haversine_sql(f"`{PLAT}`", f"`{PLON}`", *pt)
+        d = geo.haversine_sql(f"`{DLAT}`", f"`{DLON}`", *pt)
+        out[f"near_{name}"] = F.expr(f"CAST(coalesce({p} <= {r} OR {d} <= {r}, false) AS INT)")
     return out
 
 
@@ -60,17 +66,25 @@ def add_airports(df: DataFrame, rules: TripRules = DEFAULT_RULES) -> DataFrame:
 
 
 def add_engineered_features(df: DataFrame, rules: TripRules = DEFAULT_RULES) -> DataFrame:
-    """FT-0: the complete feature table (VAL-19 distance filter included)."""
-    df = add_distances(df)
-    df = df.where(F.col("trip_distance_km") <= rules.max_trip_km)
-    df = add_calendar(df, rules.tz)
-    df = add_airports(df, rules)
-    pc = F.col("passenger_count")
+    """FT-0: the complete feature table (VAL-19 distance filter included).
+
+    Two projections and one filter: raw-coordinate / clock features first,
+    then the columns derived from them (the distance filter sits between).
+    """
+    base_cols = list(df.columns)
+    first = {**distance_columns(), **cal.calendar_columns("pickup_datetime", rules.tz)}
+    flags = airport_flags(rules)
+    first.update(flags)
+    first["pickup_dist_from_center_km"] = geo.distance_to_point(PLAT, PLON, MANHATTAN_CENTER)
+    df = df.withColumns(first).where(F.col("trip_distance_km") <= rules.max_trip_km)
+    second = {**cal.flag_columns(), **cal.cyclic_columns()}
+    second["airport_trip"] = F.expr(f"CAST(greatest({', '.join(flags)}) AS INT)")
+    df = df.withColumns(second)
     return df.withColumns({
-        "pickup_dist_from_center_km": geo.distance_to_point(PLAT, PLON, MANHATTAN_CENTER),
-        "distance_x_rush_hour": F.col("trip_distance_km") * F.col("is_rush_hour"),
-        "distance_per_passenger": F.col("trip_distance_km") / F.when(pc == 0, F.lit(1)).otherwise(pc),
-    })
+        "distance_x_rush_hour": F.expr("trip_distance_km * is_rush_hour"),
+        "distance_per_passenger": F.expr(
+            "trip_distance_km / CASE WHEN passenger_count = 0 THEN 1 ELSE passenger_count END"),
+    }).select(*base_cols, *FEATURE_COLUMNS)
 
 
 def add_log_target(df: DataFrame, target: str = "fare_amount") -> DataFrame:

@@ -53,12 +53,11 @@ def require_columns(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
     return df
 
 
-def _present(df_types: dict, c: str) -> Column:
+def _present(df_types: dict, c: str) -> str:
     """Not NULL and, for floating columns, not NaN (pandas treats NaN as missing)."""
-    cond = F.col(c).isNotNull()
     if df_types.get(c) in ("double", "float"):
-        cond = cond & ~F.isnan(F.col(c))
-    return cond
+        return f"(`{c}` IS NOT NULL AND NOT isnan(`{c}`))"
+    return f"`{c}` IS NOT NULL"
 
 
 def rule_columns(rules: TripRules = DEFAULT_RULES, types: dict | None = None) -> list[tuple[str, Column]]:
@@ -69,21 +68,19 @@ def rule_columns(rules: TripRules = DEFAULT_RULES, types: dict | None = None) ->
     """
     r = rules
     types = types or {}
-    lat_ok = (F.col("pickup_latitude").between(r.min_lat, r.max_lat)
-              & F.col("dropoff_latitude").between(r.min_lat, r.max_lat))
-    lon_ok = (F.col("pickup_longitude").between(r.min_lon, r.max_lon)
-              & F.col("dropoff_longitude").between(r.min_lon, r.max_lon))
-    same_point = ((F.col("pickup_latitude") == F.col("dropoff_latitude"))
-                  & (F.col("pickup_longitude") == F.col("dropoff_longitude")))
-    not_null = F.lit(True)
-    for c in REQUIRED_COLUMNS:
-        not_null = not_null & _present(types, c)
+
+    def between(c, lo, hi):
+        return f"`{c}` BETWEEN {lo!r} AND {hi!r}"
+
+    box = " AND ".join([between("pickup_latitude", r.min_lat, r.max_lat), between("dropoff_latitude", r.min_lat, r.max_lat),
+                        between("pickup_longitude", r.min_lon, r.max_lon),
+                        between("dropoff_longitude", r.min_lon, r.max_lon)])
     return [
-        ("null_required", not_null),
-        ("fare_range", F.col(TARGET).between(r.min_fare, r.max_fare)),
-        ("passenger_range", F.col("passenger_count").between(r.min_passengers, r.max_passengers)),
-        ("outside_box", lat_ok & lon_ok),
-        ("same_point", ~same_point),
+        ("null_required", F.expr(" AND ".join(_present(types, c) for c in REQUIRED_COLUMNS))),
+        ("fare_range", F.expr(between(TARGET, r.min_fare, r.max_fare))),
+        ("passenger_range", F.expr(between("passenger_count", r.min_passengers, r.max_passengers))),
+        ("outside_box", F.expr(box)),
+        ("same_point", F.expr("NOT (pickup_latitude = dropoff_latitude AND pickup_longitude = dropoff_longitude)")),
     ]
 
 

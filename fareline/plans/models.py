@@ -28,11 +28,15 @@ def split_features(spark, sf):
 
 def fitted(spark, sf, family, params=None, scaled=None):
     """Fit preprocessing + one regressor on the train split; returns (model, prep, data)."""
+    from pyspark import StorageLevel
+
     f = split_features(spark, sf)
-    train = f.where(F.col("split") == "train")
+    # the train split feeds ~10 fit aggregates and the solver: keep it (memory + disk)
+    train = f.where(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
     scaled = (family == "linear") if scaled is None else scaled
     prep = md.fit_preprocessor(train, ORD, CONT, BIN, scaled=scaled)
     model = Pipeline(stages=[md.make_regressor(family, params)]).fit(prep.transform(train))
+    train.unpersist()
     return model, prep, f
 
 

@@ -27,9 +27,12 @@ def _st_dedup(spark, sf):
     base = scratch_path(spark, "st-dedup")
     src, (sink, ckpt) = f"{base}/source", jobs.sink_dir(base, "out")
     t = v.trips(spark, sf)
-    jobs.stage_files(t, src, "pickup_datetime", CHUNKS)
-    stream = jobs.with_event_time(jobs.read_stream(spark, src, t.schema))
-    jobs.run_available_now(jobs.dedup_stream(stream).drop("event_time"), sink, ckpt)
+
+    def run():
+        stream = jobs.with_event_time(jobs.read_stream(spark, src, t.schema))
+        jobs.run_available_now(jobs.dedup_stream(stream).drop("event_time"), sink, ckpt)
+
+    jobs.feed_in_slices(t, "pickup_datetime", CHUNKS, src, run)
     return spark.read.parquet(sink).select(*t.columns)
 
 
@@ -47,12 +50,14 @@ def _kpi_stream(spark, sf, late: bool):
     base = scratch_path(spark, "st-kpi")
     src, (sink, ckpt) = f"{base}/source", jobs.sink_dir(base, "out")
     s = scored(spark, sf).select("event_id", "pickup_datetime", "actual_fare", "predicted_fare", "pricing_flag")
-    jobs.stage_files(s, src, "pickup_datetime", CHUNKS)
-    if late:
-        # a replay of the first day arriving after the watermark has passed it
-        s.where(F.dayofmonth("pickup_datetime") == 1).write.mode("append").parquet(src)
-    stream = jobs.with_event_time(jobs.read_stream(spark, src, s.schema))
-    jobs.run_available_now(jobs.window_kpis(stream), sink, ckpt)
+
+    def run():
+        stream = jobs.with_event_time(jobs.read_stream(spark, src, s.schema))
+        jobs.run_available_now(jobs.window_kpis(stream), sink, ckpt)
+
+    # late: a replay of the first day arriving after the watermark has passed it
+    extra = s.where(F.dayofmonth("pickup_datetime") == 1) if late else None
+    jobs.feed_in_slices(s, "pickup_datetime", CHUNKS, src, run, extra)
     out = spark.read.parquet(sink)
     return out.select(F.unix_micros("window_start").alias("window_start_us"), "n", rnd("mape").alias("mape"),
                       rnd("surge_rate").alias("surge_rate"))
@@ -81,12 +86,15 @@ def _st_scoring(spark, sf):
     base = scratch_path(spark, "st-score")
     src, (sink, ckpt) = f"{base}/source", jobs.sink_dir(base, "out")
     t = v.trips(spark, sf)
-    jobs.stage_files(t, src, "pickup_datetime", CHUNKS)
-    stream = jobs.clean_feature_stream(jobs.with_event_time(jobs.read_stream(spark, src, t.schema)))
-    scored_stream = model.transform(prep.transform(stream))
-    out = scored_stream.select("event_id", "pickup_datetime",
-                               *[c.alias(k) for k, c in prc.score_columns("prediction").items()])
-    jobs.run_available_now(out, sink, ckpt)
+
+    def run():
+        stream = jobs.clean_feature_stream(jobs.with_event_time(jobs.read_stream(spark, src, t.schema)))
+        scored_stream = model.transform(prep.transform(stream))
+        out = scored_stream.select("event_id", "pickup_datetime",
+                                   *[c.alias(k) for k, c in prc.score_columns("prediction").items()])
+        jobs.run_available_now(out, sink, ckpt)
+
+    jobs.feed_in_slices(t, "pickup_datetime", CHUNKS, src, run)
     return spark.read.parquet(sink)
 
 
@@ -116,9 +124,12 @@ def _st_drift(spark, sf):
     base = scratch_path(spark, "st-drift")
     src, (sink, ckpt) = f"{base}/source", jobs.sink_dir(base, "out")
     cur = f.where(~is_exp).select(*PSI_COLS, "pickup_datetime")
-    jobs.stage_files(cur, src, "pickup_datetime", CHUNKS)
-    stream = jobs.read_stream(spark, src, cur.schema)
-    jobs.drift_batches(stream, {c: (edges[c], shares[c]) for c in PSI_COLS}, PSI_COLS, sink, ckpt)
+
+    def run():
+        stream = jobs.read_stream(spark, src, cur.schema)
+        jobs.drift_batches(stream, {c: (edges[c], shares[c]) for c in PSI_COLS}, PSI_COLS, sink, ckpt)
+
+    jobs.feed_in_slices(cur, "pickup_datetime", CHUNKS, src, run)
     return spark.read.parquet(sink)
 
 

@@ -19,6 +19,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -45,7 +46,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 def apply_session_conf(spark: SparkSession) -> None:
     for k, v in SESSION_CONF.items():
-        if k == "spark.ui.enabled":
+        if k in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
             continue  # static, cannot change on a running session
         try:
             spark.conf.set(k, v)

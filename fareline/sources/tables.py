@@ -24,38 +24,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _cycle(expr: Column, mod: int, scale: float, base: float) -> Column:
-    return F.lit(base) + (expr % mod) / F.lit(scale)
+# The derivation as SQL text: one projection sent to the JVM in one call.
+_TRIP_EXPRS = (
+    "event_id",
+    "event_type",
+    "CASE WHEN event_id % 211 = 0 THEN -value ELSE value END AS fare_amount",
+    "ts AS pickup_datetime",
+    "CASE WHEN event_id % 97 = 0 THEN 0.0D ELSE -74.05D + ((event_id * 7919) % 3000) / 1e4D END AS pickup_longitude",
+    "CASE WHEN event_id % 97 = 0 THEN 0.0D ELSE 40.60D + ((event_id * 6101) % 3000) / 1e4D END AS pickup_latitude",
+    "CASE WHEN event_id % 101 = 0 THEN CAST(NULL AS DOUBLE) "
+    "WHEN event_id % 23 = 0 THEN -73.7781D + ((event_id * 31) % 100) / 1e4D "
+    "WHEN event_id % 89 = 0 THEN -74.05D + ((event_id * 7919) % 3000) / 1e4D "
+    "ELSE -74.05D + ((event_id * 4243) % 3000) / 1e4D END AS dropoff_longitude",
+    "CASE WHEN event_id % 101 = 0 THEN CAST(NULL AS DOUBLE) "
+    "WHEN event_id % 23 = 0 THEN 40.6413D + ((event_id * 37) % 100) / 1e4D "
+    "WHEN event_id % 89 = 0 THEN 40.60D + ((event_id * 6101) % 3000) / 1e4D "
+    "ELSE 40.60D + ((event_id * 3571) % 3000) / 1e4D END AS dropoff_latitude",
+    "(event_id * 17) % 9 AS passenger_count",
+)
 
 
 def trips_from_events(events: DataFrame) -> DataFrame:
     """Raw trips (with planted defects) derived from the events table."""
     base = events.select("event_id", "event_type", "ts", "value")
-    dup = base.where(F.col("event_id") % 113 == 0)
-    b = base.unionByName(dup)
-    eid = F.col("event_id")
-    null_island = eid % 97 == 0
-    pickup_lon = F.when(null_island, F.lit(0.0)).otherwise(_cycle(eid * 7919, 3000, 1e4, -74.05))
-    pickup_lat = F.when(null_island, F.lit(0.0)).otherwise(_cycle(eid * 6101, 3000, 1e4, 40.60))
-    drop_lon = (F.when(eid % 101 == 0, F.lit(None).cast("double"))
-                .when(eid % 23 == 0, _cycle(eid * 31, 100, 1e4, -73.7781))
-                .when(eid % 89 == 0, _cycle(eid * 7919, 3000, 1e4, -74.05))
-                .otherwise(_cycle(eid * 4243, 3000, 1e4, -74.05)))
-    drop_lat = (F.when(eid % 101 == 0, F.lit(None).cast("double"))
-                .when(eid % 23 == 0, _cycle(eid * 37, 100, 1e4, 40.6413))
-                .when(eid % 89 == 0, _cycle(eid * 6101, 3000, 1e4, 40.60))
-                .otherwise(_cycle(eid * 3571, 3000, 1e4, 40.60)))
-    return b.select(
-        eid.alias("event_id"),
-        F.col("event_type"),
-        F.when(eid % 211 == 0, -F.col("value")).otherwise(F.col("value")).alias("fare_amount"),
-        F.col("ts").alias("pickup_datetime"),
-        pickup_lon.alias("pickup_longitude"),
-        pickup_lat.alias("pickup_latitude"),
-        drop_lon.alias("dropoff_longitude"),
-        drop_lat.alias("dropoff_latitude"),
-        ((eid * 17) % 9).alias("passenger_count"),
-    )
+    dup = base.where("event_id % 113 = 0")
+    return base.unionByName(dup).selectExpr(*_TRIP_EXPRS)
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,10 +22,9 @@ TRIP_KEY = ("fare_amount", "pickup_datetime", "pickup_longitude", "pickup_latitu
             "dropoff_latitude", "passenger_count")
 
 
-def stage_files(df: DataFrame, path: str, ts: str, chunks: int) -> str:
-    """Write ``df`` as ``chunks`` time-ordered parquet batches (one write per
-    time slice, so file modification order = event-time order) to feed a
-    file stream. Slice bounds are exact order statistics of ``ts``."""
+def time_slices(df: DataFrame, ts: str, chunks: int):
+    """Split ``df`` into ``chunks`` consecutive event-time slices (bounds are
+    exact order statistics of ``ts``); yields one filtered DataFrame per slice."""
     from ..operators import prep as pp
 
     fr = [i / chunks for i in range(1, chunks)]
@@ -38,12 +37,35 @@ def stage_files(df: DataFrame, path: str, ts: str, chunks: int) -> str:
             cond = cond & (us > bounds[i])
         if bounds[i + 1] is not None:
             cond = cond & (us <= bounds[i + 1])
-        df.where(cond).write.mode("append").parquet(path)
+        yield df.where(cond)
+
+
+def feed_in_slices(df: DataFrame, ts: str, chunks: int, src: str, run, extra: DataFrame | None = None) -> None:
+    """Incremental ingestion: append one event-time slice to the source
+    folder, then let the stream process everything new (``run()``, an
+    availableNow trigger on the same checkpoint); repeat. ``extra`` (e.g. a
+    replay of old rows) arrives after all slices."""
+    for part in time_slices(df, ts, chunks):
+        part.write.mode("append").parquet(src)
+        run()
+    if extra is not None:
+        extra.write.mode("append").parquet(src)
+        run()
+
+
+def stage_files(df: DataFrame, path: str, ts: str, chunks: int) -> str:
+    """Write ``df`` as ``chunks`` time-ordered appends to ``path`` (one
+    stream source folder, processed in one go)."""
+    for part in time_slices(df, ts, chunks):
+        part.write.mode("append").parquet(path)
     return path
 
 
-def read_stream(spark: SparkSession, path: str, schema, max_files: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+def read_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
+    r = spark.readStream.schema(schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.parquet(path)
 
 
 def run_available_now(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append",
@@ -125,10 +147,12 @@ def drift_batches(stream: DataFrame, edges: dict, columns, sink: str, checkpoint
                 ex = shares[bn - 1] or 1e-6
                 ac = cnt.get((c, bn), 0) / (tot[c] + 1e-9) or 1e-6
                 s += (ex - ac) * math.log(ex / ac)
-            rows.append((int(batch_id), c, float(s), int(tot[c])))
+            rows.append((c, float(s), int(tot[c])))
         if rows:
-            spark.createDataFrame(rows, "batch_id bigint, feature string, drift_score double, n bigint") \
-                .write.mode("append").parquet(sink)
+            # one folder per batch id, overwritten on replay: idempotent, so the
+            # at-least-once foreachBatch becomes exactly-once in the table
+            spark.createDataFrame(rows, "feature string, drift_score double, n bigint") \
+                .write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={int(batch_id)}"))
 
     q = (stream.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
