@@ -200,13 +200,20 @@ def _betacf(a, b, x, iters=300, eps=3e-16):
 
 
 def correlation_long(df: DataFrame, columns) -> DataFrame:
-    """PRF-16: Pearson r of every column pair, all pairs in one aggregate
-    (ANSI-safe: NULL for a constant column). Output (a, b, r) with a < b."""
+    """PRF-16: Pearson r of every column pair from ONE aggregate of k variances
+    and k(k-1)/2 covariances (population forms, numerically stable updates);
+    NULL for a constant column (ANSI-safe). Output (a, b, r) with a < b."""
     columns = list(columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    wide = df.agg(*[safe_corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
+    wide = df.agg(*[F.var_pop(c).alias(f"{c}__v") for c in columns],
+                  *[F.covar_pop(a, b).alias(f"{a}__{b}") for a, b in pairs])
+
+    def r(a, b):
+        den = F.sqrt(F.col(f"{a}__v")) * F.sqrt(F.col(f"{b}__v"))
+        return F.try_divide(F.col(f"{a}__{b}"), F.when(den != 0, den))
+
     return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{a}__{b}").alias("r")) for a, b in pairs])))
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r(a, b).alias("r")) for a, b in pairs])))
 
 
 def vif(df: DataFrame, columns) -> DataFrame:

@@ -65,7 +65,9 @@ def _val_reasons(spark, sf):
     return val.reject_reasons(v.trips(spark, sf))
 
 
-@register("val_clean_summary")
+@register("val_clean_summary", v.with_views("""
+SELECT count(*) AS n_rows, round(avg(fare_amount), 6) AS fare_mean, round(quantile_cont(fare_amount, 0.5), 6) AS fare_median
+FROM clean_trips""", "clean_trips"))
 def _val_summary(spark, sf):
     """VAL-11 log line: rows, mean and exact median fare after validation."""
     c = v.clean_trips(spark, sf)
@@ -170,6 +172,7 @@ SELECT round(q1 - 1.5 * (q3 - q1), 6) AS lower_bound, round(q3 + 1.5 * (q3 - q1)
   CAST((SELECT count(*) FROM r) AS BIGINT) AS rows_in
 FROM b""", "features"))
 def _val_iqr(spark, sf):
+    """VAL-18: fare-per-km IQR outlier filter (bounds from non-airport rows)."""
     d = v.features(spark, sf)
     kept, lo, hi = fare_per_km_filter(d)
     n_in = d.count()
