@@ -94,7 +94,7 @@ def fit_preprocessor(train: DataFrame, ordinal, continuous, binary, *, scaled: b
     prep = Preprocessor(ordinal=list(ordinal), skewed=skewed, other=other, binary=list(binary), scaled=scaled,
                         clip={k: list(v) for k, v in clip.items()})
     if ordinal:
-        d = pp.fit_ordinal(train, ordinal).collect()   # one row per distinct ordinal value (<= threshold each)
+        d = pp.checked_dictionary(pp.fit_ordinal(train, ordinal)).collect()   # size-checked, small
         for r in d:
             key = r["num_value"] if r["num_value"] is not None else r["str_value"]
             prep.codes.setdefault(r["feature"], {})[key] = r["code"]

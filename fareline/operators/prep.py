@@ -232,8 +232,20 @@ def fit_ordinal(df: DataFrame, columns) -> DataFrame:
     return d.withColumn("code", (F.dense_rank().over(w) - 1).cast("int"))
 
 
+MAX_ORDINAL_VALUES = 100_000
+
+
+def checked_dictionary(dictionary: DataFrame, limit: int = MAX_ORDINAL_VALUES) -> DataFrame:
+    """Refuse to broadcast / collect a dictionary whose size is not bounded."""
+    n = dictionary.count()
+    if n > limit:
+        raise ValueError(f"ordinal dictionary has {n} values (> {limit}); treat the column as continuous")
+    return dictionary
+
+
 def apply_ordinal(df: DataFrame, dictionary: DataFrame, columns, suffix: str = "_code") -> DataFrame:
-    """Left join to the (broadcast) dictionary; unknown values -> -1."""
+    """Left join to the (broadcast, size-checked) dictionary; unknown values -> -1."""
+    dictionary = checked_dictionary(dictionary)
     types = dict(df.dtypes)
     out = df
     for c in columns:

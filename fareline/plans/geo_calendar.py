@@ -72,9 +72,8 @@ GROUP BY a.airport""", "clean_trips"))
 def _geo_range_join(spark, sf):
     """JN-2: trips within 2 km of any point of a points table (non-equi join).
 
-    The points table is a fixed, tiny dimension (size known: 3 rows), so it
-    is broadcast; each trip is tested against every point inside the
-    broadcast nested-loop join, with a bounding-box pre-test first.
+    Grid-bucketed equi-join on cell keys + exact distance test (see
+    ``airports_within``); works the same for a points table of any size.
     """
     c = v.clean_trips(spark, sf)
     pts = spark.createDataFrame([(n, float(p[0]), float(p[1])) for n, p in DEFAULT_RULES.airports],
@@ -84,22 +83,37 @@ def _geo_range_join(spark, sf):
 
 
 def airports_within(trips, points, radius_km: float):
-    """Range join: (trip, point) pairs where either end is within ``radius_km``.
-
-    ``points`` must be a small dimension (it is broadcast; the size is
-    checked)."""
-    n_points = points.count()
-    if n_points > 100_000:
-        raise ValueError(f"points table too large to broadcast ({n_points} rows)")
-    dlat = radius_km / 111.0 * 1.05
-    p = F.broadcast(points.withColumnRenamed("lat", "_plat").withColumnRenamed("lon", "_plon"))
-
-    def close(lat, lon):
-        box = (F.abs(F.col(lat) - F.col("_plat")) <= dlat)
-        return box & (geo.haversine_km(lat, lon, F.col("_plat"), F.col("_plon")) <= radius_km)
-
-    cond = close("pickup_latitude", "pickup_longitude") | close("dropoff_latitude", "dropoff_longitude")
-    return trips.join(p, cond, "inner")
+    """Range join: (trip, point) pairs where either trip end is within ``radius_km``.
+
+    Grid-bucketed equi-join, exact: the plane is cut into cells at least
+    ``radius_km`` wide; each point is copied into every cell its radius box
+    touches, each trip end looks up only its own cell, and the exact
+    haversine test runs on those candidates. The join is a hash join on the
+    cell key (broadcast when the points side is small, shuffled otherwise),
+    so neither side is compared with all rows of the other.
+    """
+    import math
+
+    from ..config import EARTH_RADIUS_KM
+
+    dlat = math.degrees(radius_km / EARTH_RADIUS_KM) * 1.001
+    bounds = points.agg(F.max(F.abs("lat")).alias("m")).first()
+    max_lat = min(89.0, (bounds["m"] or 0.0) + dlat)
+    dlon = dlat / math.cos(math.radians(max_lat))
+    cells = points.select(
+        "airport", F.col("lat").alias("_plat"), F.col("lon").alias("_plon"),
+        F.explode(F.sequence(F.floor((F.col("lat") - dlat) / dlat), F.floor((F.col("lat") + dlat) / dlat))).alias("_cy"),
+    ).select("*", F.explode(F.sequence(F.floor((F.col("_plon") - dlon) / dlon),
+                                       F.floor((F.col("_plon") + dlon) / dlon))).alias("_cx"))
+
+    def side(lat, lon):
+        t = trips.select("*", F.floor(F.col(lat) / dlat).alias("_cy"), F.floor(F.col(lon) / dlon).alias("_cx"))
+        j = t.join(cells, ["_cy", "_cx"])
+        return j.where(geo.haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon")) <= radius_km)
+
+    both = side("pickup_latitude", "pickup_longitude").unionByName(side("dropoff_latitude", "dropoff_longitude"))
+    keep = [c for c in trips.columns] + ["airport"]
+    return both.select(*keep).dropDuplicates(keep)
 
 
 @register("cal_features", v.with_views("""

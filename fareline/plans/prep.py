@@ -275,8 +275,12 @@ def _rolling(spark, sf):
     c = v.clean_trips(spark, sf)
     fr = [0.55, 0.70, 0.85, 1.0]
     cuts = pp.time_cutoffs(c, "pickup_datetime", fr)
-    bounds = spark.createDataFrame([(i, cuts[fr[i]], cuts[fr[i + 1]]) for i in range(3)], "fold int, lo bigint, hi bigint")
     us = F.unix_micros(F.col("pickup_datetime").cast("timestamp"))
-    j = c.select(us.alias("_us")).crossJoin(F.broadcast(bounds))
-    return j.groupBy("fold").agg(F.count_if(F.col("_us") <= F.col("lo")).alias("n_train"),
-                                 F.count_if((F.col("_us") > F.col("lo")) & (F.col("_us") <= F.col("hi"))).alias("n_test"))
+    # fold bounds are driver-side numbers: one pass of conditional counts, no join
+    aggs = []
+    for i in range(3):
+        lo, hi = cuts[fr[i]], cuts[fr[i + 1]]
+        aggs += [F.count_if(us <= lo).alias(f"tr{i}"), F.count_if((us > lo) & (us <= hi)).alias(f"te{i}")]
+    a = c.agg(*aggs)
+    return a.select(F.inline(F.array(*[F.struct(F.lit(i).alias("fold"), F.col(f"tr{i}").alias("n_train"),
+                                                F.col(f"te{i}").alias("n_test")) for i in range(3)])))
