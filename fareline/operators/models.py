@@ -268,15 +268,32 @@ class Calibration:
     model_path: str | None = None
 
 
+ISOTONIC_MAX_POINTS = 1_000_000
+
+
 def calibrate(scored_cal: DataFrame, *, label: str = "fare_amount", prediction: str = "prediction",
-              coverage: float = 0.90):
+              coverage: float = 0.90, max_points: int = ISOTONIC_MAX_POINTS):
     """CAB-1/CAB-2: isotonic fit of |residual| on prediction (increasing, clipped
     outside the range), k = exact quantile(|res| / max(iso(pred), 1e-6), coverage),
-    empirical coverage = mean(|res| <= k iso(pred))."""
+    empirical coverage = mean(|res| <= k iso(pred)).
+
+    Spark's isotonic fit pools per partition and finishes on the driver; to
+    keep that bounded, inputs above ``max_points`` rows are first reduced to
+    ``max_points`` prediction bins of equal count (exact quantile edges),
+    each fitted as (mean prediction, mean |residual|, weight = count)."""
     d = scored_cal.select(F.col(prediction).alias("p"), F.abs(F.col(label) - F.col(prediction)).alias("r"))
-    iso = IsotonicRegression(featuresCol="p_vec", labelCol="r", predictionCol="w", isotonic=True)
+    fit_on = d.withColumn("wt", F.lit(1.0))
+    n = d.count()
+    if n > max_points:
+        probs = [i / max_points for i in range(1, max_points)]
+        edges = sorted({x for x in qt.quantile_values(d, ["p"], probs).values() if x is not None})
+        ed = d.sparkSession.createDataFrame([(edges,)], "e array<double>")
+        b = F.size(F.filter("e", lambda q: q <= F.col("p")))
+        fit_on = (d.crossJoin(F.broadcast(ed)).groupBy(b.alias("_b"))
+                  .agg(F.avg("p").alias("p"), F.avg("r").alias("r"), F.count(F.lit(1)).cast("double").alias("wt")))
+    iso = IsotonicRegression(featuresCol="p_vec", labelCol="r", predictionCol="w", weightCol="wt", isotonic=True)
     va = VectorAssembler(inputCols=["p"], outputCol="p_vec")
-    iso_model = Pipeline(stages=[va, iso]).fit(d)
+    iso_model = Pipeline(stages=[va, iso]).fit(fit_on)
     w = iso_model.transform(d).withColumn("ratio", F.col("r") / F.greatest(F.col("w"), F.lit(1e-6)))
     k = qt.quantile_values(w, ["ratio"], [coverage])[((), "ratio", coverage)]
     emp = w.agg(F.avg((F.col("r") <= k * F.col("w")).cast("double"))).first()[0]

@@ -290,3 +290,28 @@ def binned_mutual_information(df: DataFrame, columns, target: str, bins: int = 2
     py = F.sum("c").over(wy) / n
     terms = counts.select("feature", (pxy * F.log(pxy / (px * py))).alias("t"))
     return terms.groupBy("feature").agg(F.sum("t").alias("mi"))
+
+
+TOPK_MAX = 10_000
+
+
+def sample_n(df: DataFrame, n: int, key: str = "event_id", seed: str = "42") -> DataFrame:
+    """SRC-5: reproducible sample of exactly min(n, rows) rows without replacement:
+    the n smallest md5-of-key hashes (ties broken by the key).
+
+    n <= 10k: top-k (each task keeps n rows, one merge of n x tasks rows).
+    Larger n: the n-th smallest hash is found as an exact distributed order
+    statistic, then a plain filter keeps the rows below it - no task ever
+    holds n x tasks rows."""
+    h = hash_unit(key, seed=seed)
+    if n <= TOPK_MAX:
+        return df.orderBy(h, key).limit(n)
+    total = df.count()
+    if total <= n:
+        return df
+    hv = df.select(h.cast("double").alias("_h"))
+    t = qt.order_statistic_values(hv, "_h", [(n - 1 + 0.5) / total])[((), (n - 1 + 0.5) / total)]
+    below = df.where(h < F.lit(int(t)))
+    need = n - below.count()
+    tied = df.where(h == F.lit(int(t))).orderBy(key).limit(max(need, 0))
+    return below.unionByName(tied)

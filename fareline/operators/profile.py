@@ -16,19 +16,26 @@ from ..functions.stats import safe_corr, sample_kurtosis, sample_skewness
 from . import quantiles as qt
 
 
-def column_profile(df: DataFrame, columns=None) -> DataFrame:
+def column_profile(df: DataFrame, columns=None, *, exact: bool = True) -> DataFrame:
     """PRF-1/PRF-2: (column, dtype, n_distinct, n_null, pct_null) per column.
 
-    Distinct counts are exact: one long-form (column, value) grouping with
-    map-side combine, so each partition ships only its distinct pairs.
+    ``exact=True``: one long-form (column, value) grouping with map-side
+    combine, so each partition ships only its distinct pairs (the same work
+    as ``count(DISTINCT)``; it grows with the number of distinct values).
+    ``exact=False``: HyperLogLog sketches, one pass, fixed-size state.
     """
     columns = list(columns or df.columns)
     types = dict(df.dtypes)
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-                        for c in columns])
-    long = df.select(F.inline(entries)).where(F.col("value").isNotNull())
-    distinct = long.groupBy("column", "value").count().groupBy("column").agg(
-        F.count(F.lit(1)).alias("n_distinct"))
+    if exact:
+        entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                            for c in columns])
+        long = df.select(F.inline(entries)).where(F.col("value").isNotNull())
+        distinct = long.groupBy("column", "value").count().groupBy("column").agg(
+            F.count(F.lit(1)).alias("n_distinct"))
+    else:
+        a = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
+        distinct = a.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_distinct"))
+                                               for c in columns])))
     n = F.count(F.lit(1))
     nulls = df.agg(n.alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
     stacked = nulls.select("_rows", F.inline(F.array(*[

@@ -32,8 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HIST_BUDGET = 200_000       # histogram rows shipped to the driver per round
-MAX_BUCKETS = 4096
+HIST_BUDGET = 50_000        # histogram rows shipped to the driver per round
+MAX_BUCKETS = 1024
 COLLECT_LIMIT = 20_000      # values shipped for one finished range
 COLLECT_BUDGET = 400_000    # values shipped per round in total
 MAX_ROUNDS = 16
@@ -180,15 +180,18 @@ def _range_scan(spark, lf, rlist, nb):
     b = F.least(F.floor(F.coalesce(pos, F.lit(0.0)) * nb), F.lit(nb - 1)).cast("int")
     h = j.groupBy("_rid", b.alias("_b")).agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"),
                                              F.max("v").alias("mx"))
-    return [(r["_rid"], r["_b"], r["c"], r["mn"], r["mx"]) for r in h.collect()]
+    pdf = h.toPandas()  # Arrow batches: O(#ranges x B) small rows
+    return list(zip(pdf["_rid"].tolist(), pdf["_b"].tolist(), pdf["c"].tolist(), pdf["mn"].tolist(),
+                    pdf["mx"].tolist()))
 
 
 def _range_values(spark, lf, ulist):
     rdf = F.broadcast(_ranges_df(spark, ulist))
     j = lf.join(rdf, ["_gk", "feature"]).where(F.col("v").between(F.col("_lo"), F.col("_hi")))
     out = defaultdict(list)
-    for r in j.select("_rid", "v").collect():
-        out[r["_rid"]].append(r["v"])
+    pdf = j.select("_rid", "v").toPandas()  # bounded by COLLECT_BUDGET values
+    for rid, val in zip(pdf["_rid"].tolist(), pdf["v"].tolist()):
+        out[rid].append(val)
     return out
 
 

@@ -42,6 +42,7 @@ def _sample_frac(spark, sf):
 def _sample_n(spark, sf):
     """SRC-5: fixed-size (1,000) sample without replacement: hash-order top-k."""
     t = v.trips(spark, sf)
+    # duplicated trips share the key hash: break ties on the fare as well
     return t.orderBy(hash_unit("event_id"), "event_id", "fare_amount").limit(1000)
 
 
@@ -115,8 +116,7 @@ def _monitor_scores(spark, sf):
                                  "pricing_flag")
     base = scratch_path(spark, "monitor")
     s.write.mode("overwrite").parquet(f"{base}/full")
-    s.orderBy(hash_unit("event_id"), "event_id").limit(100_000).coalesce(1).write.mode("overwrite") \
-        .option("header", True).csv(f"{base}/sample")
+    pp.sample_n(s, 100_000).write.mode("overwrite").option("header", True).csv(f"{base}/sample")
     full = spark.read.parquet(f"{base}/full")
     smp = spark.read.option("header", True).csv(f"{base}/sample")
     return full.agg(F.count(F.lit(1)).alias("n_full")).crossJoin(smp.agg(F.count(F.lit(1)).alias("n_sample")))

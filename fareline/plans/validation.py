@@ -178,3 +178,22 @@ def _val_iqr(spark, sf):
     n_in = d.count()
     return kept.agg(rnd(F.lit(lo)).alias("lower_bound"), rnd(F.lit(hi)).alias("upper_bound"),
                     F.count(F.lit(1)).alias("rows_kept"), F.lit(n_in).cast("bigint").alias("rows_in"))
+
+
+@register("val_quarantine_anti_join", v.with_views("""
+, q AS (SELECT DISTINCT event_id FROM trips
+        WHERE NOT coalesce(fare_amount BETWEEN 2.5e0 AND 300e0 AND passenger_count BETWEEN 1 AND 6
+          AND pickup_latitude BETWEEN 40.40e0 AND 41.20e0 AND dropoff_latitude BETWEEN 40.40e0 AND 41.20e0
+          AND pickup_longitude BETWEEN -74.60e0 AND -72.80e0 AND dropoff_longitude BETWEEN -74.60e0 AND -72.80e0
+          AND NOT (pickup_latitude = dropoff_latitude AND pickup_longitude = dropoff_longitude), false))
+SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_trips
+FROM trips t WHERE NOT EXISTS (SELECT 1 FROM q WHERE q.event_id = t.event_id)""", "trips"))
+def _val_quarantine(spark, sf):
+    """JN-4: quarantine the ids of rows failing any rule, then drop them with a left-anti join."""
+    t = v.trips(spark, sf)
+    ok = F.lit(True)
+    for _, keep in val.rule_columns(types=dict(t.dtypes)):
+        ok = ok & keep
+    quarantine = t.where(~F.coalesce(ok, F.lit(False))).select("event_id").distinct()
+    kept = t.join(quarantine, "event_id", "left_anti")
+    return kept.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_trips"))

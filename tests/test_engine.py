@@ -93,3 +93,28 @@ def test_every_oracle_has_a_query():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_sample_n_threshold_path_equals_topk(spark, monkeypatch):
+    from fareline.functions.stats import hash_unit
+
+    df = spark.range(20000).withColumnRenamed("id", "event_id")
+    monkeypatch.setattr(pp, "TOPK_MAX", 10)
+    got = sorted(r.event_id for r in pp.sample_n(df, 1500).collect())
+    want = sorted(r.event_id for r in df.orderBy(hash_unit("event_id"), "event_id").limit(1500).collect())
+    assert got == want
+
+
+def test_bounded_isotonic_runs_and_covers(spark):
+    from fareline.operators import models as md
+
+    rng = random.Random(5)
+    rows = []
+    for _ in range(4000):
+        p = rng.uniform(5, 60)
+        rows.append((p + rng.gauss(0, 0.1 * p), p))
+    df = spark.createDataFrame(rows, "fare_amount double, prediction double")
+    _iso, exact = md.calibrate(df)
+    _iso2, binned = md.calibrate(df, max_points=200)
+    assert 0.88 <= exact.empirical_coverage <= 0.92
+    assert abs(binned.k - exact.k) / exact.k < 0.1
