@@ -73,3 +73,13 @@ def round_half_even_exact(x, digits: int) -> Column:
          .otherwise(F.when(is_even, f).otherwise(f + 1)))
     finite = c.isNotNull() & ~F.isnan(c) & (F.abs(c) < 1e15)
     return F.when(finite, r / scale).otherwise(c)
+
+
+def stack_sql(columns, key: str = "feature", value: str = "v", cast: str | None = "DOUBLE") -> str:
+    """SQL text unpivoting ``columns`` into (key, value) rows with ``stack``:
+    one generator expression sent to the JVM in one call."""
+    parts = []
+    for c in columns:
+        val = f"CAST(`{c}` AS {cast})" if cast else f"`{c}`"
+        parts.append(f"'{c}', {val}")
+    return f"stack({len(columns)}, {', '.join(parts)}) AS (`{key}`, `{value}`)"

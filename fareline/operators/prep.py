@@ -133,23 +133,30 @@ def yeo_johnson(x, lam: float) -> Column:
     return F.when(c >= 0, pos).otherwise(neg)
 
 
+def yeo_johnson_sql(x: str, lam: float) -> str:
+    """SQL text of the Yeo-Johnson transform of expression ``x``."""
+    lam = float(lam)
+    pos = f"log1p({x})" if abs(lam) < 1e-12 else f"(pow({x} + 1, {lam!r}D) - 1) / {lam!r}D"
+    neg = f"-log1p(-{x})" if abs(lam - 2) < 1e-12 else f"-(pow(-{x} + 1, {2 - lam!r}D) - 1) / {2 - lam!r}D"
+    return f"CASE WHEN {x} >= 0 THEN {pos} ELSE {neg} END"
+
+
+def _yj_aggs(grids: dict) -> list[str]:
+    exprs = []
+    for c, lams in grids.items():
+        exprs.append(f"count(`{c}`) AS `{c}__n`")
+        exprs.append(f"sum(signum(`{c}`) * log1p(abs(`{c}`))) AS `{c}__s`")
+        exprs += [f"var_pop({yeo_johnson_sql(f'`{c}`', lam)}) AS `{c}__v{i}`" for i, lam in enumerate(lams)]
+    return exprs
+
+
 def yj_loglik_grid(df: DataFrame, columns, lambdas) -> DataFrame:
     """ll(lambda) = -n/2 ln(var_pop(yj(x))) + (lambda - 1) sum(sign(x) log1p(|x|)),
     for every (column, lambda) in ONE aggregate. Output (feature, lambda, ll)."""
-    aggs = []
-    keys = []
-    for c in columns:
-        aggs.append(F.count(c).alias(f"{c}__n"))
-        aggs.append(F.sum(F.signum(c) * F.log1p(F.abs(c))).alias(f"{c}__s"))
-        for i, lam in enumerate(lambdas):
-            aggs.append(F.var_pop(yeo_johnson(c, lam)).alias(f"{c}__v{i}"))
-            keys.append((c, i, float(lam)))
-    wide = df.agg(*aggs)
-    entries = []
-    for c, i, lam in keys:
-        ll = (-F.col(f"{c}__n") / 2 * F.log(F.col(f"{c}__v{i}")) + (lam - 1) * F.col(f"{c}__s"))
-        entries.append(F.struct(F.lit(c).alias("feature"), F.lit(lam).alias("lambda"), ll.alias("ll")))
-    return wide.select(F.inline(F.array(*entries)))
+    wide = df.selectExpr(*_yj_aggs({c: list(lambdas) for c in columns}))
+    rows = ", ".join(f"'{c}', {float(lam)!r}D, -`{c}__n` / 2 * ln(`{c}__v{i}`) + ({float(lam)!r}D - 1) * `{c}__s`"
+                     for c in columns for i, lam in enumerate(lambdas))
+    return wide.selectExpr(f"stack({len(columns) * len(lambdas)}, {rows}) AS (feature, lambda, ll)")
 
 
 def fit_yeo_johnson(df: DataFrame, columns, lo: float = -2.0, hi: float = 2.0, points: int = 21,
@@ -169,14 +176,8 @@ def fit_yeo_johnson(df: DataFrame, columns, lo: float = -2.0, hi: float = 2.0, p
         for c in todo:
             a, b = ranges[c]
             best[c] = [a + (b - a) * i / (points - 1) for i in range(points)]
-        aggs, keys = [], []
-        for c in todo:
-            aggs.append(F.count(c).alias(f"{c}__n"))
-            aggs.append(F.sum(F.signum(c) * F.log1p(F.abs(c))).alias(f"{c}__s"))
-            for i, lam in enumerate(best[c]):
-                aggs.append(F.var_pop(yeo_johnson(c, lam)).alias(f"{c}__v{i}"))
-                keys.append((c, i, lam))
-        r = df.agg(*aggs).first()
+        keys = [(c, i, lam) for c in todo for i, lam in enumerate(best[c])]
+        r = df.selectExpr(*_yj_aggs(best)).first()
         scores = {}
         for c, i, lam in keys:
             v = r[f"{c}__v{i}"]

@@ -74,18 +74,26 @@ def minmax_normalise(long: DataFrame, stat_cols, key: str = "feature") -> DataFr
     return long.select(*cols)
 
 
+def _skew_sql(x: str) -> str:
+    n = f"CAST(count({x}) AS DOUBLE)"
+    return f"CASE WHEN {n} >= 3 THEN skewness({x}) * sqrt({n} * ({n} - 1)) / ({n} - 2) END"
+
+
+def _kurt_sql(x: str) -> str:
+    n = f"CAST(count({x}) AS DOUBLE)"
+    return f"CASE WHEN {n} >= 4 THEN ({n} - 1) / (({n} - 2) * ({n} - 3)) * (({n} + 1) * kurtosis({x}) + 6) END"
+
+
 def shape_stats(df: DataFrame, columns) -> DataFrame:
-    """PRF-5: bias-corrected skewness and excess kurtosis, raw and log1p."""
-    aggs = []
+    """PRF-5: bias-corrected skewness and excess kurtosis, raw and log1p (one aggregate)."""
+    exprs = []
     for c in columns:
-        aggs += [sample_skewness(c).alias(f"{c}__skew"), sample_kurtosis(c).alias(f"{c}__kurt"),
-                 sample_skewness(F.log1p(F.col(c))).alias(f"{c}__logskew"),
-                 sample_kurtosis(F.log1p(F.col(c))).alias(f"{c}__logkurt")]
-    wide = df.agg(*aggs)
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"{c}__skew").alias("skew"), F.col(f"{c}__kurt").alias("kurt"),
-                 F.col(f"{c}__logskew").alias("log_skew"), F.col(f"{c}__logkurt").alias("log_kurt"))
-        for c in columns])))
+        x, lx = f"`{c}`", f"log1p(`{c}`)"
+        exprs += [f"{_skew_sql(x)} AS `{c}__skew`", f"{_kurt_sql(x)} AS `{c}__kurt`",
+                  f"{_skew_sql(lx)} AS `{c}__logskew`", f"{_kurt_sql(lx)} AS `{c}__logkurt`"]
+    wide = df.selectExpr(*exprs)
+    rows = ", ".join(f"'{c}', `{c}__skew`, `{c}__kurt`, `{c}__logskew`, `{c}__logkurt`" for c in columns)
+    return wide.selectExpr(f"stack({len(columns)}, {rows}) AS (feature, skew, kurt, log_skew, log_kurt)")
 
 
 def histogram(df: DataFrame, column: str, bins: int, lo: float, hi: float, by=(), clip: bool = True) -> DataFrame:
@@ -209,18 +217,15 @@ def _betacf(a, b, x, iters=300, eps=3e-16):
 def correlation_long(df: DataFrame, columns) -> DataFrame:
     """PRF-16: Pearson r of every column pair from ONE aggregate of k variances
     and k(k-1)/2 covariances (population forms, numerically stable updates);
-    NULL for a constant column (ANSI-safe). Output (a, b, r) with a < b."""
+    NULL for a constant column (ANSI-safe). Output (a, b, r) with a < b.
+    The aggregate and the unpivot are sent as SQL text (one call each)."""
     columns = list(columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    wide = df.agg(*[F.var_pop(c).alias(f"{c}__v") for c in columns],
-                  *[F.covar_pop(a, b).alias(f"{a}__{b}") for a, b in pairs])
-
-    def r(a, b):
-        den = F.sqrt(F.col(f"{a}__v")) * F.sqrt(F.col(f"{b}__v"))
-        return F.try_divide(F.col(f"{a}__{b}"), F.when(den != 0, den))
-
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r(a, b).alias("r")) for a, b in pairs])))
+    wide = df.selectExpr(*[f"var_pop(`{c}`) AS `{c}__v`" for c in columns],
+                         *[f"covar_pop(`{a}`, `{b}`) AS `{a}__{b}`" for a, b in pairs])
+    rows = ", ".join(
+        f"'{a}', '{b}', try_divide(`{a}__{b}`, nullif(sqrt(`{a}__v`) * sqrt(`{b}__v`), 0D))" for a, b in pairs)
+    return wide.selectExpr(f"stack({len(pairs)}, {rows}) AS (a, b, r)")
 
 
 def vif(df: DataFrame, columns) -> DataFrame:

@@ -41,10 +41,10 @@ MAX_ROUNDS = 16
 
 def long_form(df: DataFrame, value_cols, group_cols=()) -> DataFrame:
     """(group cols..., feature, v) with one row per non-null, non-NaN value."""
-    entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v"))
-                        for c in value_cols])
-    out = df.select(*group_cols, F.inline(entries))
-    return out.where(F.col("v").isNotNull() & ~F.isnan("v"))
+    from ..functions.stats import stack_sql
+
+    out = df.selectExpr(*[f"`{g}`" for g in group_cols], stack_sql(value_cols))
+    return out.where("v IS NOT NULL AND NOT isnan(v)")
 
 
 def _gkey(group_cols) -> F.Column:
