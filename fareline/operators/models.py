@@ -107,6 +107,57 @@ def fit_preprocessor(train: DataFrame, ordinal, continuous, binary, *, scaled: b
     return prep
 
 
+# --- PP-6 as a Spark ML stage (refitted per CV fold inside a Pipeline) ----------
+
+from pyspark import keyword_only  # noqa: E402
+from pyspark.ml import Estimator, Model  # noqa: E402
+from pyspark.ml.param import Param, Params, TypeConverters  # noqa: E402
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable  # noqa: E402
+
+
+class _PrepParams(Params):
+    ordinalCols = Param(Params._dummy(), "ordinalCols", "ordinal columns", TypeConverters.toListString)
+    continuousCols = Param(Params._dummy(), "continuousCols", "continuous columns", TypeConverters.toListString)
+    binaryCols = Param(Params._dummy(), "binaryCols", "binary columns", TypeConverters.toListString)
+    scaled = Param(Params._dummy(), "scaled", "clip + Yeo-Johnson + scale (else clip only)", TypeConverters.toBoolean)
+    outputCol = Param(Params._dummy(), "outputCol", "vector column", TypeConverters.toString)
+
+
+class TripPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
+    """PP-6 as an ML Estimator: ``fit`` runs the PP-1..PP-5 aggregates on the
+    data it is given (so a CrossValidator refits it on each training fold),
+    the model applies them as Column expressions + VectorAssembler."""
+
+    @keyword_only
+    def __init__(self, *, ordinalCols=(), continuousCols=(), binaryCols=(), scaled=True, outputCol="features"):
+        super().__init__()
+        self._setDefault(ordinalCols=[], continuousCols=[], binaryCols=[], scaled=True, outputCol="features")
+        self._set(**{k: (list(v) if isinstance(v, tuple) else v) for k, v in self._input_kwargs.items()})
+
+    def _fit(self, dataset):
+        prep = fit_preprocessor(dataset, self.getOrDefault("ordinalCols"), self.getOrDefault("continuousCols"),
+                                self.getOrDefault("binaryCols"), scaled=self.getOrDefault("scaled"))
+        m = TripPreprocessorModel(state=prep.to_json(), outputCol=self.getOrDefault("outputCol"))
+        return m
+
+
+class TripPreprocessorModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    state = Param(Params._dummy(), "state", "fitted preprocessing parameters (JSON)", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "vector column", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, state="{}", outputCol="features"):
+        super().__init__()
+        self._setDefault(state="{}", outputCol="features")
+        self._set(**self._input_kwargs)
+
+    def preprocessor(self) -> Preprocessor:
+        return Preprocessor.from_json(self.getOrDefault("state"))
+
+    def _transform(self, dataset):
+        return self.preprocessor().transform(dataset, self.getOrDefault("outputCol"))
+
+
 # --- MOD-1..4 model families -------------------------------------------------
 
 def make_regressor(family: str, params: dict | None = None, label: str = "fare_amount", seed: int = 42):
@@ -145,14 +196,18 @@ def search_budget(n_rows: int, n_iter: int = 20, folds: int = 5) -> tuple[int, i
 
 
 def tune(family: str, data: DataFrame, *, n_iter: int, folds: int, seed: int = 42, parallelism: int = 4,
-         label: str = "fare_amount"):
+         label: str = "fare_amount", preprocessor: TripPreprocessor | None = None):
     """MOD-6: randomised search = a seeded sample of the grid, cross-validated
-    with a hash fold column (``CrossValidator(foldCol=...)``)."""
+    with a hash fold column (``CrossValidator(foldCol=...)``). With a
+    ``preprocessor`` the estimator is Pipeline([preprocessor, regressor]), so
+    the preprocessing is refitted on every training fold (no leakage from
+    the validation fold), as in the reference's pipelines."""
     grid_spec = GRIDS[family]
-    est = make_regressor(family, label=label, seed=seed)
+    reg = make_regressor(family, label=label, seed=seed)
+    est = Pipeline(stages=[preprocessor, reg]) if preprocessor is not None else reg
     b = ParamGridBuilder()
     for name, values in grid_spec.items():
-        b = b.addGrid(est.getParam(name), values)
+        b = b.addGrid(reg.getParam(name), values)
     full = b.build()
     rng = random.Random(seed)
     maps = rng.sample(full, min(n_iter, len(full)))
@@ -160,7 +215,7 @@ def tune(family: str, data: DataFrame, *, n_iter: int, folds: int, seed: int = 4
     d = data.withColumn("_fold", fold)
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol="_fold",
-                        parallelism=parallelism, seed=seed)
+                        parallelism=1 if preprocessor is not None else parallelism, seed=seed)
     model = cv.fit(d)
     rows = []
     for pm, avg, std in zip(maps, model.avgMetrics, model.stdMetrics):

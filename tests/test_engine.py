@@ -118,3 +118,24 @@ def test_bounded_isotonic_runs_and_covers(spark):
     _iso2, binned = md.calibrate(df, max_points=200)
     assert 0.88 <= exact.empirical_coverage <= 0.92
     assert abs(binned.k - exact.k) / exact.k < 0.1
+
+
+def test_preprocessor_stage_fit_save_load(spark):
+    import os
+    import uuid
+
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from fareline.operators import models as md
+
+    rng = random.Random(9)
+    rows = [(rng.expovariate(0.3), rng.randint(1, 6), rng.randint(0, 1), rng.uniform(5, 60)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "dist double, pax int, rush int, fare_amount double")
+    stage = md.TripPreprocessor(ordinalCols=["pax"], continuousCols=["dist"], binaryCols=["rush"], scaled=True)
+    model = Pipeline(stages=[stage, md.make_regressor("linear")]).fit(df)
+    path = os.path.join(spark.conf.get("spark.checkpoint.dir"), f"test-model-{uuid.uuid4().hex[:8]}")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    a = sorted(r.prediction for r in model.transform(df).collect())
+    b = sorted(r.prediction for r in loaded.transform(df).collect())
+    assert a == pytest.approx(b)
