@@ -78,7 +78,9 @@ def _st_late(spark, sf):
 
 @register("st_scoring")
 def _st_scoring(spark, sf):
-    """ST-1: raw trip stream -> rules + replay dedup + FT-0 -> fitted model -> pricing output sink."""
+    """ST-1 + SNK-4: raw trip stream -> rules + replay dedup + FT-0 -> fitted model -> pricing
+    output, appended exactly once to a prediction log with the reference's log layout
+    (epoch-seconds timestamp, ISO pickup time, passengers, fare, band, flag)."""
     from ..operators import pricing as prc
     from .models import fitted
 
@@ -90,8 +92,13 @@ def _st_scoring(spark, sf):
     def run():
         stream = jobs.clean_feature_stream(jobs.with_event_time(jobs.read_stream(spark, src, t.schema)))
         scored_stream = model.transform(prep.transform(stream))
-        out = scored_stream.select("event_id", "pickup_datetime",
-                                   *[c.alias(k) for k, c in prc.score_columns("prediction").items()])
+        cols = prc.score_columns("prediction")
+        out = scored_stream.select(
+            F.unix_micros(F.current_timestamp()).cast("double").__truediv__(1e6).alias("timestamp"),
+            F.date_format(F.col("pickup_datetime").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss").alias("pickup_datetime"),
+            F.col("passenger_count").cast("int").alias("passenger_count"),
+            cols["predicted_fare_usd"].alias("predicted_fare_usd"), cols["fare_band"].alias("fare_band"),
+            cols["pricing_flag"].alias("pricing_flag"), "event_id")
         jobs.run_available_now(out, sink, ckpt)
 
     jobs.feed_in_slices(t, "pickup_datetime", CHUNKS, src, run)
