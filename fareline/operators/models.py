@@ -274,18 +274,31 @@ def feature_importance(model, names, top_k: int = 20):
 def permute_column(df: DataFrame, column: str, seed: int, key: str = "event_id", rows_per_block: int = 10_000,
                    n_rows: int | None = None) -> DataFrame:
     """Shuffle one column across rows without a global sort or a single task:
-    rows go to hash blocks of ~``rows_per_block``; inside each block the
-    column is re-paired by two independent hash orders (row_number over a
-    window partitioned by block)."""
+    each row draws a random block (~``rows_per_block`` rows per block) and a
+    random rank inside it; the column is re-paired between two independent
+    orders of the same block (row_number over a window partitioned by block).
+    Blocks are drawn per row, so even a key shared by a third of all rows is
+    spread over all blocks. The input is kept once so both sides see the
+    same draws."""
+    from pyspark import StorageLevel
+
     n_rows = n_rows if n_rows is not None else df.count()
     blocks = max(1, n_rows // rows_per_block)
-    blk = (F.xxhash64(F.col(key), F.lit(seed)) % blocks)
-    base = df.withColumn("_blk", F.pmod(blk, F.lit(blocks)))
-    w1 = Window.partitionBy("_blk").orderBy(F.xxhash64(F.col(key), F.lit(seed + 1)), key)
-    w2 = Window.partitionBy("_blk").orderBy(F.xxhash64(F.col(key), F.lit(seed + 2)), key)
+    base = df.withColumns({"_blk": F.floor(F.rand(seed) * blocks).cast("int"), "_o1": F.rand(seed + 1),
+                           "_o2": F.rand(seed + 2)}).persist(StorageLevel.MEMORY_AND_DISK)
+    w1 = Window.partitionBy("_blk").orderBy("_o1", key)
+    w2 = Window.partitionBy("_blk").orderBy("_o2", key)
     left = base.drop(column).withColumn("_rn", F.row_number().over(w1))
     right = base.select("_blk", F.col(column), F.row_number().over(w2).alias("_rn"))
-    return left.join(right, ["_blk", "_rn"]).drop("_blk", "_rn")
+    out = left.join(right, ["_blk", "_rn"]).drop("_blk", "_rn", "_o1", "_o2")
+    out._held = base  # released by the caller after use (``release``)
+    return out
+
+
+def release(df: DataFrame) -> None:
+    held = getattr(df, "_held", None)
+    if held is not None:
+        held.unpersist()
 
 
 def permutation_importance(fitted: PipelineModel, prep: Preprocessor, df: DataFrame, columns, *, repeats: int = 5,
@@ -300,6 +313,7 @@ def permutation_importance(fitted: PipelineModel, prep: Preprocessor, df: DataFr
         for r in range(repeats):
             shuffled = permute_column(df, c, seed + 10 * r, n_rows=n)
             deltas.append(ev.evaluate(fitted.transform(prep.transform(shuffled))) - base)
+            release(shuffled)
         out.append((c, float(sum(deltas) / len(deltas))))
     return sorted(out, key=lambda t: -t[1])
 

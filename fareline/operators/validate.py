@@ -147,10 +147,14 @@ def business_key_duplicates(df: DataFrame, keys=REQUIRED_COLUMNS) -> DataFrame:
 
 
 def drop_business_duplicates(df: DataFrame, keys=REQUIRED_COLUMNS, order_by: str | None = None) -> DataFrame:
-    """Keep one row per business key; ``order_by`` picks a deterministic survivor."""
+    """Keep one row per business key; ``order_by`` picks a deterministic survivor
+    (the row with the smallest ``order_by``).
+
+    Written as an aggregate (``min_by`` of the whole row), not a window: the
+    survivor is chosen partially on the map side, so a key repeated by a
+    third of all rows never lands in one task."""
     if order_by is None:
         return df.dropDuplicates(list(keys))
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*keys).orderBy(F.col(order_by))
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    others = [c for c in df.columns if c not in keys]
+    g = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.col(order_by)).alias("_row"))
+    return g.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)

@@ -139,3 +139,21 @@ def test_preprocessor_stage_fit_save_load(spark):
     a = sorted(r.prediction for r in model.transform(df).collect())
     b = sorted(r.prediction for r in loaded.transform(df).collect())
     assert a == pytest.approx(b)
+
+
+def test_business_dedup_survivor_is_min(spark):
+    from fareline.operators import validate as val
+
+    rows = [(1, "a", 3), (1, "a", 1), (1, "a", 2), (2, "b", 5)]
+    df = spark.createDataFrame(rows, "k int, s string, o int")
+    out = sorted(tuple(r) for r in val.drop_business_duplicates(df, ["k", "s"], "o").collect())
+    assert out == [(1, "a", 1), (2, "b", 5)]
+
+
+def test_permutation_keeps_multiset(spark):
+    from fareline.operators import models as md
+
+    df = spark.createDataFrame([(i, float(i % 7), i * 2.0) for i in range(3000)], "event_id long, x double, y double")
+    p = md.permute_column(df, "x", seed=1, rows_per_block=500)
+    assert p.count() == 3000
+    assert sorted(r.x for r in p.collect()) == sorted(r.x for r in df.collect())
