@@ -46,9 +46,19 @@ def pricing_flag(normal_label: str | None = FLAG_NORMAL, *, airport: str = "airp
     return F.when(a == 1, FLAG_AIRPORT).when((r == 1) & (d > SURGE_MIN_DISTANCE_KM), FLAG_SURGE).otherwise(other)
 
 
+FLAG_INPUTS = ("airport_trip", "is_rush_hour", "trip_distance_km")
+
+
+def with_flag_inputs(df: DataFrame) -> DataFrame:
+    """A trip without an airport / rush / distance column counts as 0 there."""
+    missing = {c: F.lit(0) for c in FLAG_INPUTS if c not in df.columns}
+    return df.withColumns(missing) if missing else df
+
+
 def price_trips(df: DataFrame, prediction: str = "predicted_fare", rules: TripRules = DEFAULT_RULES,
                 normal_label: str | None = FLAG_NORMAL) -> DataFrame:
     """Batch pricing: clamped fare, band of the clamped (unrounded) fare, flag."""
+    df = with_flag_inputs(df)
     clamped = clamp_fare(prediction, rules)
     return df.withColumns({"clamped_fare": clamped, "fare_band": fare_band(clamped),
                            "pricing_flag": pricing_flag(normal_label)})

@@ -217,3 +217,9 @@ def test_select_prefers_tier_over_rmse(spark):
         ("Stable", 0.91, 0.905, 0.005, 3.5, 0.1, 3.5, 1.5, 0.1, 0.9, 0.5),
     ], SUMMARY)
     assert md.select_best(s).first().model == "Stable"
+
+
+def test_missing_flag_inputs_count_as_zero(spark):
+    df = spark.createDataFrame([(12.0,)], "predicted_fare double")
+    r = prc.price_trips(df).first()
+    assert r.pricing_flag == FLAG_NORMAL and r.fare_band == "MEDIUM"
