@@ -5,7 +5,8 @@ final merge of a global percentile holds every distinct value of the column
 in ONE task: fine for a million rows, fatal for 100 TB. This operator finds
 the exact order statistics by distributed histogram refinement instead:
 
-  round 0   one aggregate per (group, feature): n, min, max
+  round 0   one aggregate per (group, feature): n, min, max, and a sketch
+            (percentile_approx) guess of a narrow bracket around each target
   round i   for each open rank target, a range [lo, hi] known to contain it
             and the count of values below lo; every scan buckets the values
             inside the open ranges into <= B buckets (count, min, max) with a
@@ -96,24 +97,51 @@ def _targets_for_probs(probs):
     return fn
 
 
-def _exact(lf: DataFrame, group_cols, value_cols, probs, targets_fn=None) -> dict:
+APPROX_ACCURACY = 10_000   # sketch accuracy used to seed the first brackets
+BRACKET = 4.0 / APPROX_ACCURACY
+
+
+def _exact(lf: DataFrame, group_cols, value_cols, probs, targets_fn=None, fractions=None) -> dict:
+    """Order statistics by bracket refinement (see the module docstring).
+
+    Round 0 also asks a ``percentile_approx`` sketch for values just below and
+    above every target fraction; those brackets are only a guess: the next
+    scan counts the rows below the bracket, and a target whose rank is not
+    inside falls back to the group's [min, max]. Results never depend on the
+    sketch, only the number of rounds does.
+    """
     spark = lf.sparkSession
     targets_fn = targets_fn or _targets_for_probs(probs)
-    stats = lf.groupBy("_gk", *group_cols, "feature").agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
-    # target key: (gk, feature, k); state: [lo, hi, below, value, count in [lo, hi]]
+    fracs = sorted(set(float(f) for f in (fractions if fractions is not None else probs)))
+    probes = sorted({min(1.0, max(0.0, f + d)) for f in fracs for d in (-BRACKET, BRACKET)})
+    aggs = [F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
+    if probes:
+        aggs.append(F.percentile_approx("v", F.array(*[F.lit(p) for p in probes]), APPROX_ACCURACY).alias("qa"))
+    stats = lf.groupBy("_gk", *group_cols, "feature").agg(*aggs).collect()
+    # target key: (gk, feature, k); state: [lo, hi, below (None = unknown), value, count bound]
     state: dict = {}
+    full: dict = {}
     needs = []   # (group tuple, feature, p, gk, k0, k1, frac)
     for r in stats:
         gk, feat, n = r["_gk"], r["feature"], r["n"]
         g = tuple(r[c] for c in group_cols)
+        full[(gk, feat)] = [r["lo"], r["hi"], 0, r["lo"] if r["lo"] == r["hi"] else None, n]
+        approx = dict(zip(probes, r["qa"])) if probes else {}
         for p, k0, k1, frac in targets_fn(n):
             needs.append((g, feat, p, gk, k0, k1, frac))
             for k in (k0, k1):
                 key = (gk, feat, k)
-                if key not in state:
-                    solved = r["lo"] if r["lo"] == r["hi"] else None
-                    state[key] = [r["lo"], r["hi"], 0, solved, n]
+                if key in state:
+                    continue
+                start = list(full[(gk, feat)])
+                if start[3] is None and n > COLLECT_LIMIT and approx:
+                    f = min(fracs, key=lambda x: abs(x - (k + 0.5) / n))
+                    lo = approx[min(1.0, max(0.0, f - BRACKET))]
+                    hi = approx[min(1.0, max(0.0, f + BRACKET))]
+                    if lo is not None and hi is not None and lo <= hi:
+                        est = int(min(n, (2 * BRACKET + 2.0 / APPROX_ACCURACY) * n + 2))
+                        start = [lo, hi, 0 if lo <= r["lo"] else None, None, est]
+                state[key] = start
     for _ in range(MAX_ROUNDS):
         open_keys = [k for k, s in state.items() if s[3] is None]
         if not open_keys:
@@ -122,7 +150,6 @@ def _exact(lf: DataFrame, group_cols, value_cols, probs, targets_fn=None) -> dic
         for key in open_keys:
             lo, hi, below, _, cnt = state[key]
             ranges[(key[0], key[1], lo, hi, below, cnt)].append(key)
-        # small ranges ship their values (bounded); the others are bucketed
         budget = COLLECT_BUDGET
         small, big = [], []
         for rk in ranges:
@@ -132,32 +159,52 @@ def _exact(lf: DataFrame, group_cols, value_cols, probs, targets_fn=None) -> dic
             else:
                 big.append(rk)
         if small:
-            vals = _range_values(spark, lf, small)
+            below_of, vals = _range_values(spark, lf, small)
             for rid, rk in enumerate(small):
+                below = rk[4] if rk[4] is not None else below_of.get(rid, 0)
                 v = sorted(vals.get(rid, []))
+                total = sum(c for _, c in v)
                 for key in ranges[rk]:
-                    state[key][3] = v[key[2] - rk[4]]
+                    k = key[2]
+                    if not below <= k < below + total:
+                        state[key] = list(full[(key[0], key[1])])   # bracket missed: widen
+                        continue
+                    pos = below
+                    for val, c in v:
+                        if pos + c > k:
+                            state[key][3] = val
+                            break
+                        pos += c
         if big:
             nb = max(16, min(MAX_BUCKETS, HIST_BUDGET // len(big)))
             by_range = defaultdict(list)
+            below_of = {}
             for rid, b, cnt, bmin, bmax in _range_scan(spark, lf, big, nb):
-                by_range[rid].append((b, cnt, bmin, bmax))
+                if b < 0:
+                    below_of[rid] = cnt
+                else:
+                    by_range[rid].append((b, cnt, bmin, bmax))
             for rid, rk in enumerate(big):
                 buckets = sorted(by_range.get(rid, []))
+                start = rk[4] if rk[4] is not None else below_of.get(rid, 0)
+                total = sum(c for _, c, _, _ in buckets)
                 for key in ranges[rk]:
                     k = key[2]
-                    below = rk[4]
+                    if not start <= k < start + total:
+                        state[key] = list(full[(key[0], key[1])])   # bracket missed: widen
+                        continue
+                    below = start
                     for b, cnt, bmin, bmax in buckets:
                         if below + cnt > k:
                             break
                         below += cnt
-                    else:  # pragma: no cover - rank outside its range would be a bug
-                        raise RuntimeError(f"rank {k} not found in range {rk}")
                     state[key] = [bmin, bmax, below, bmin if bmin == bmax else None, cnt]
     out = {}
     for g, feat, p, gk, k0, k1, frac in needs:
         a = state[(gk, feat, k0)][3]
         b = state[(gk, feat, k1)][3]
+        if a is None or b is None:  # pragma: no cover - refinement did not converge
+            raise RuntimeError(f"quantile refinement did not converge for {feat} {g} p={p}")
         out[(g, feat, p)] = a if frac == 0 or a == b else a + frac * (b - a)
     return out
 
@@ -166,18 +213,26 @@ def _ranges_df(spark: SparkSession, rlist) -> DataFrame:
     schema = T.StructType([
         T.StructField("_rid", T.IntegerType()), T.StructField("_gk", T.StringType()),
         T.StructField("feature", T.StringType()), T.StructField("_lo", T.DoubleType()),
-        T.StructField("_hi", T.DoubleType()),
+        T.StructField("_hi", T.DoubleType()), T.StructField("_bu", T.BooleanType()),
     ])
-    return spark.createDataFrame([(i, r[0], r[1], float(r[2]), float(r[3])) for i, r in enumerate(rlist)], schema)
+    return spark.createDataFrame([(i, r[0], r[1], float(r[2]), float(r[3]), r[4] is None)
+                                  for i, r in enumerate(rlist)], schema)
+
+
+def _in_scope(lf, rdf):
+    """Rows inside each range, plus the rows below it when that count is unknown."""
+    j = lf.join(rdf, ["_gk", "feature"])
+    return j.where((F.col("v") <= F.col("_hi")) & ((F.col("v") >= F.col("_lo")) | F.col("_bu")))
 
 
 def _range_scan(spark, lf, rlist, nb):
-    """Histogram of the values inside each open range: (rid, bucket, count, min, max)."""
-    rdf = F.broadcast(_ranges_df(spark, rlist))
-    j = lf.join(rdf, ["_gk", "feature"]).where(F.col("v").between(F.col("_lo"), F.col("_hi")))
+    """Histogram of the values inside each open range: (rid, bucket, count, min, max);
+    bucket -1 counts the values below the range (only where that count is unknown)."""
+    j = _in_scope(lf, F.broadcast(_ranges_df(spark, rlist)))
     half_w = F.col("_hi") / 2 - F.col("_lo") / 2
     pos = F.try_divide(F.col("v") / 2 - F.col("_lo") / 2, half_w)
-    b = F.least(F.floor(F.coalesce(pos, F.lit(0.0)) * nb), F.lit(nb - 1)).cast("int")
+    inside = F.least(F.floor(F.coalesce(pos, F.lit(0.0)) * nb), F.lit(nb - 1)).cast("int")
+    b = F.when(F.col("v") < F.col("_lo"), F.lit(-1)).otherwise(inside)
     h = j.groupBy("_rid", b.alias("_b")).agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"),
                                              F.max("v").alias("mx"))
     pdf = h.toPandas()  # Arrow batches: O(#ranges x B) small rows
@@ -186,13 +241,17 @@ def _range_scan(spark, lf, rlist, nb):
 
 
 def _range_values(spark, lf, ulist):
-    rdf = F.broadcast(_ranges_df(spark, ulist))
-    j = lf.join(rdf, ["_gk", "feature"]).where(F.col("v").between(F.col("_lo"), F.col("_hi")))
-    out = defaultdict(list)
-    pdf = j.select("_rid", "v").toPandas()  # bounded by COLLECT_BUDGET values
-    for rid, val in zip(pdf["_rid"].tolist(), pdf["v"].tolist()):
-        out[rid].append(val)
-    return out
+    """Distinct values (with counts) inside each small range, and the count below it."""
+    j = _in_scope(lf, F.broadcast(_ranges_df(spark, ulist)))
+    key = F.when(F.col("v") >= F.col("_lo"), F.col("v"))
+    pdf = j.groupBy("_rid", key.alias("_v")).agg(F.count(F.lit(1)).alias("c")).toPandas()
+    below, vals = {}, defaultdict(list)
+    for rid, val, c in zip(pdf["_rid"].tolist(), pdf["_v"].tolist(), pdf["c"].tolist()):
+        if val is None or (isinstance(val, float) and math.isnan(val)):
+            below[rid] = c
+        else:
+            vals[rid].append((val, c))
+    return below, vals
 
 
 def quantiles(df: DataFrame, value_cols, probs, group_cols=(), *, exact: bool = True) -> DataFrame:
@@ -223,7 +282,7 @@ def order_statistic_values(df: DataFrame, column: str, fractions, group_cols=())
         return out
 
     try:
-        res = _exact(lf, group_cols, [column], [], targets_fn=fn)
+        res = _exact(lf, group_cols, [column], [], targets_fn=fn, fractions=fractions)
     finally:
         lf.unpersist()
     return {(g, f): val for (g, _feat, f), val in res.items()}

@@ -157,3 +157,16 @@ def test_permutation_keeps_multiset(spark):
     p = md.permute_column(df, "x", seed=1, rows_per_block=500)
     assert p.count() == 3000
     assert sorted(r.x for r in p.collect()) == sorted(r.x for r in df.collect())
+
+
+@pytest.mark.parametrize("bracket", [0.0, 1e-6, 0.2])
+def test_quantiles_exact_whatever_the_sketch_bracket(spark, monkeypatch, bracket):
+    monkeypatch.setattr(qt, "BRACKET", bracket)
+    monkeypatch.setattr(qt, "COLLECT_LIMIT", 500)
+    rng = random.Random(11)
+    xs = [rng.lognormvariate(0, 1) for _ in range(6000)] + [2.0] * 3000
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    probs = [0.0, 0.05, 0.33, 0.5, 0.9, 0.999, 1.0]
+    got = qt.quantile_values(df, ["x"], probs)
+    for p in probs:
+        assert got[((), "x", p)] == pytest.approx(float(np.quantile(np.array(xs), p)), abs=1e-12)
