@@ -277,15 +277,19 @@ def permute_column(df: DataFrame, column: str, seed: int, key: str = "event_id",
     each row draws a random block (~``rows_per_block`` rows per block) and a
     random rank inside it; the column is re-paired between two independent
     orders of the same block (row_number over a window partitioned by block).
-    Blocks are drawn per row, so even a key shared by a third of all rows is
-    spread over all blocks. The input is kept once so both sides see the
-    same draws."""
+    The draws are seeded hashes of the whole row (rows are distinct after
+    validation), not ``rand``: a partition recomputed after an executor loss
+    or a different shuffle order gets the same draws, and even a key shared
+    by a third of all rows is spread over all blocks. The input is kept once
+    so both sides scan it once."""
     from pyspark import StorageLevel
 
     n_rows = n_rows if n_rows is not None else df.count()
     blocks = max(1, n_rows // rows_per_block)
-    base = df.withColumns({"_blk": F.floor(F.rand(seed) * blocks).cast("int"), "_o1": F.rand(seed + 1),
-                           "_o2": F.rand(seed + 2)}).persist(StorageLevel.MEMORY_AND_DISK)
+    row = [F.col(c) for c in df.columns]
+    base = df.withColumns({"_blk": F.pmod(F.xxhash64(F.lit(seed), *row), F.lit(blocks)).cast("int"),
+                           "_o1": F.xxhash64(F.lit(seed + 1), *row),
+                           "_o2": F.xxhash64(F.lit(seed + 2), *row)}).persist(StorageLevel.MEMORY_AND_DISK)
     w1 = Window.partitionBy("_blk").orderBy("_o1", key)
     w2 = Window.partitionBy("_blk").orderBy("_o2", key)
     left = base.drop(column).withColumn("_rn", F.row_number().over(w1))

@@ -157,6 +157,11 @@ def test_permutation_keeps_multiset(spark):
     p = md.permute_column(df, "x", seed=1, rows_per_block=500)
     assert p.count() == 3000
     assert sorted(r.x for r in p.collect()) == sorted(r.x for r in df.collect())
+    moved = sum(1 for r in p.collect() if r.x != float(r.event_id % 7))
+    assert moved > 1000
+    # same draws whatever the partitioning (a recomputed partition sees the same permutation)
+    again = md.permute_column(df.repartition(5, "y"), "x", seed=1, rows_per_block=500)
+    assert sorted(tuple(r) for r in again.collect()) == sorted(tuple(r) for r in p.collect())
 
 
 @pytest.mark.parametrize("bracket", [0.0, 1e-6, 0.2])
