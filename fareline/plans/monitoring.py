@@ -7,10 +7,9 @@ between its train and test R2 - so the replay grows with the tables.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
+from ..config import MAX_GAP, MIN_R2, MIN_RMSE_IMPROVEMENT
 from ..functions.stats import hash_unit
 from ..operators import metrics as met
 from ..operators import monitor as mon
@@ -67,16 +66,44 @@ chain AS (
 )"""
 
 
-def replay(spark, runs):
-    """GAT-3: sequential champion replay over the run history (recursive CTE).
+MAX_BROADCAST_PROMOTIONS = 100_000
 
-    Each step joins the previous state with the next run; the history has
-    one row per run, so the recursion depth is the number of runs."""
-    name = f"_runs_{uuid.uuid4().hex[:8]}"
+
+def replay(spark, runs):
+    """GAT-3: sequential champion replay over the run history.
+
+    The champion only changes on a promotion, and the run promoted after
+    champion ``j`` is the first later run that passes the gates against
+    ``j``'s RMSE. So the chain of promotions is found with one ``min_by``
+    aggregate over the (distributed) run table per promotion - the number of
+    steps is the number of promotions, not of runs (a run-by-run recursive
+    CTE stops at Spark's recursion limit of 100 levels). Every run then takes
+    its champion from the chain interval it falls in: a range join in which
+    each run matches exactly one interval (seq in (promoted_m, promoted_m+1])."""
     # the history is one row per run: cut its lineage once (reliable checkpoint
-    # in spark.checkpoint.dir) so the recursion does not recompute the scan
-    runs.checkpoint(eager=True).createOrReplaceTempView(name)
-    return spark.sql(REPLAY_SQL.format(runs=name) + " SELECT seq, rmse, r2, gap, champion_rmse, decision FROM chain")
+    # in spark.checkpoint.dir) so the steps do not recompute the trip scan
+    runs = runs.select("seq", "rmse", "r2", "gap").checkpoint(eager=True)
+    first = runs.orderBy("seq").limit(1).collect()
+    chain = [(first[0]["seq"], first[0]["rmse"])] if first else []
+    gates = (F.col("r2") >= MIN_R2) & (F.col("gap") <= MAX_GAP)
+    while chain:
+        seq, champ = chain[-1]
+        rel = (F.lit(champ) - F.col("rmse")) / F.greatest(F.lit(champ), F.lit(1e-9))
+        nxt = (runs.where((F.col("seq") > seq) & (rel >= MIN_RMSE_IMPROVEMENT) & gates)
+               .agg(F.min_by(F.struct("seq", "rmse"), "seq").alias("n")).first()["n"])
+        if nxt is None:
+            break
+        chain.append((nxt["seq"], nxt["rmse"]))
+    bounds = [(s, chain[i + 1][0] if i + 1 < len(chain) else None, r) for i, (s, r) in enumerate(chain)]
+    iv = spark.createDataFrame(bounds, "_lo bigint, _hi bigint, champion_rmse double")
+    if len(bounds) <= MAX_BROADCAST_PROMOTIONS:
+        iv = F.broadcast(iv)
+    inside = (F.col("seq") > F.col("_lo")) & (F.col("_hi").isNull() | (F.col("seq") <= F.col("_hi")))
+    first_seq = chain[0][0] if chain else None
+    promoted = (F.col("seq") == F.lit(first_seq)) | (F.col("seq") == F.col("_hi"))
+    return (runs.join(iv, inside, "left")
+            .select("seq", "rmse", "r2", "gap", "champion_rmse",
+                    F.when(promoted, F.lit("PROMOTED")).otherwise(F.lit("REJECTED")).alias("decision")))
 
 
 _REPLAY_ORACLE = v.with_views(RUNS_SQL, "pairs", "clean_trips")

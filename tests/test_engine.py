@@ -68,6 +68,29 @@ def test_gate_reproduces_reference_log(spark):
     assert r6.reason.startswith("Gates failed: RMSE improvement")
 
 
+def test_replay_matches_sequential_loop_beyond_recursion_limit(spark):
+    from fareline.plans.monitoring import replay
+
+    rng = random.Random(5)
+    runs, rmse = [], 10.0
+    for s in range(1, 301):
+        rmse = max(0.5, rmse + rng.uniform(-0.4, 0.3))
+        runs.append((s, rmse, rng.choice([0.75, 0.85, 0.95, None]), rng.choice([0.05, 0.2])))
+    champ, want = None, {}
+    for s, rm, r2, gap in runs:   # brute force: the gate applied run by run
+        if champ is None:
+            want[s] = (None, "PROMOTED")
+            champ = rm
+            continue
+        ok = (champ - rm) / max(champ, 1e-9) >= 0.02 and r2 is not None and r2 >= 0.80 and gap <= 0.15
+        want[s] = (champ, "PROMOTED" if ok else "REJECTED")
+        champ = rm if ok else champ
+    df = spark.createDataFrame(runs, "seq bigint, rmse double, r2 double, gap double")
+    got = {r.seq: (r.champion_rmse, r.decision) for r in replay(spark, df).collect()}
+    assert got == want
+    assert sum(d == "PROMOTED" for _, d in want.values()) > 3
+
+
 def test_hash_split_disjoint_and_complete(spark):
     df = spark.range(5000).withColumnRenamed("id", "event_id")
     s = df.withColumn("split", pp.split_label())
