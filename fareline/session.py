@@ -64,8 +64,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     (tests on a laptop). Lineage is cut with ``checkpoint()`` or written
     tables under this folder, never with ``localCheckpoint``.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder (all executors and the "
+                               "driver must see it) before running on a cluster")
         path = tempfile.mkdtemp(prefix="fareline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
