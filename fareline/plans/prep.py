@@ -222,9 +222,12 @@ def _topk(spark, sf):
     return m.orderBy(F.desc("mi"), "feature").limit(k)
 
 
-@register("spl_hash_split", v.with_views(f"""
+SPLIT_SQL = v.with_views(f"""
 SELECT CASE WHEN {HASH_SQL} < 64 THEN 'train' WHEN {HASH_SQL} < 80 THEN 'calibration' ELSE 'test' END AS split, count(*) AS n
-FROM clean_trips GROUP BY 1""", "clean_trips"))
+FROM clean_trips GROUP BY 1""", "clean_trips")
+
+
+@register("spl_hash_split", SPLIT_SQL)
 def _spl(spark, sf):
     """SPL-1: 64 / 16 / 20 train / calibration / test by a stable key hash."""
     return v.clean_trips(spark, sf).groupBy(pp.split_label().alias("split")).agg(F.count(F.lit(1)).alias("n"))

@@ -16,6 +16,7 @@ from ..streaming import jobs
 from . import register
 from . import views as v
 from .common import rnd
+from .prep import SPLIT_SQL
 from .pricing import SCORED_SQL, scored
 
 CHUNKS = 4
@@ -140,7 +141,7 @@ def _st_drift(spark, sf):
     return spark.read.parquet(sink)
 
 
-@register("spl_stream_hash_split")
+@register("spl_stream_hash_split", SPLIT_SQL)
 def _stream_split(spark, sf):
     """SPL-1 on a stream: the hash split is a pure expression, so it is the same on every micro-batch."""
     base = scratch_path(spark, "st-split")
