@@ -198,7 +198,7 @@ MI_COLS = ("trip_distance_km", "manhattan_distance_km", "passenger_count", "pick
 _MI_PROBS = "[" + ", ".join(repr(i / 20) for i in range(1, 20)) + "]"
 
 
-@register("sel_mutual_information", v.with_views(TRAIN_SQL + ", e AS (SELECT " + ", ".join(
+MI_SQL = v.with_views(TRAIN_SQL + ", e AS (SELECT " + ", ".join(
     f"list_sort(list_distinct(quantile_cont(CAST({c} AS DOUBLE), {_MI_PROBS}))) AS e_{c}" for c in MI_COLS + ("fare_amount",))
     + " FROM tr),\nl AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, len(list_filter(e_{c}, lambda q: q <= CAST({c} AS DOUBLE))) AS bin_x, "
@@ -207,19 +207,22 @@ c AS (SELECT feature, bin_x, bin_y, count(*) AS c FROM l GROUP BY 1, 2, 3),
 p AS (SELECT feature, c / sum(c) OVER (PARTITION BY feature) AS pxy,
         sum(c) OVER (PARTITION BY feature, bin_x) / sum(c) OVER (PARTITION BY feature) AS px,
         sum(c) OVER (PARTITION BY feature, bin_y) / sum(c) OVER (PARTITION BY feature) AS py FROM c)
-SELECT feature, round(sum(pxy * ln(pxy / (px * py))), 6) AS mi FROM p GROUP BY feature""", "features"))
+SELECT feature, round(sum(pxy * ln(pxy / (px * py))), 6) AS mi FROM p GROUP BY feature""", "features")
+TOP_K = min(12, len(MI_COLS))
+
+
+@register("sel_mutual_information", MI_SQL)
 def _mi(spark, sf):
     """SEL-1: binned (20 quantile bins) mutual information of each feature with the fare, train split."""
     m = pp.binned_mutual_information(_train(spark, sf), MI_COLS, "fare_amount")
     return m.withColumn("mi", rnd("mi"))
 
 
-@register("sel_top_k")
+@register("sel_top_k", MI_SQL + f" ORDER BY mi DESC, feature LIMIT {TOP_K}")
 def _topk(spark, sf):
     """SEL-1/SEL-2: the k = min(12, #features) features with the highest MI (the selection mask)."""
     m = pp.binned_mutual_information(_train(spark, sf), MI_COLS, "fare_amount")
-    k = min(12, len(MI_COLS))
-    return m.orderBy(F.desc("mi"), "feature").limit(k)
+    return m.orderBy(F.desc("mi"), "feature").limit(TOP_K).withColumn("mi", rnd("mi"))
 
 
 SPLIT_SQL = v.with_views(f"""
