@@ -46,6 +46,7 @@ class Preprocessor:
     lambdas: dict = field(default_factory=dict)
     standard: dict = field(default_factory=dict)
     codes: dict = field(default_factory=dict)   # column -> {value: code}
+    text_ordinal: list = field(default_factory=list)   # ordinal columns whose values are strings
 
     @property
     def feature_order(self) -> list:
@@ -55,9 +56,11 @@ class Preprocessor:
         out = {}
         for c in self.ordinal:
             m = self.codes.get(c, {})
+            text = c in self.text_ordinal
             expr = F.lit(-1.0)
             for val, code in sorted(m.items(), key=lambda kv: kv[1], reverse=True):
-                expr = F.when(F.col(c).cast("double") == float(val), F.lit(float(code))).otherwise(expr)
+                hit = F.col(c).cast("string") == str(val) if text else F.col(c).cast("double") == float(val)
+                expr = F.when(hit, F.lit(float(code))).otherwise(expr)
             out[f"_pp_{c}"] = expr
         for c in self.skewed + self.other:
             x = pp.clip_expr(c, tuple(self.clip.get(c, (None, None))))
@@ -96,6 +99,8 @@ def fit_preprocessor(train: DataFrame, ordinal, continuous, binary, *, scaled: b
     if ordinal:
         d = pp.checked_dictionary(pp.fit_ordinal(train, ordinal)).collect()   # size-checked, small
         for r in d:
+            if r["num_value"] is None and r["feature"] not in prep.text_ordinal:
+                prep.text_ordinal.append(r["feature"])
             key = r["num_value"] if r["num_value"] is not None else r["str_value"]
             prep.codes.setdefault(r["feature"], {})[key] = r["code"]
     if scaled and continuous:

@@ -223,3 +223,35 @@ def test_missing_flag_inputs_count_as_zero(spark):
     df = spark.createDataFrame([(12.0,)], "predicted_fare double")
     r = prc.price_trips(df).first()
     assert r.pricing_flag == FLAG_NORMAL and r.fare_band == "MEDIUM"
+
+
+# --- preprocessing (PP-6) and config ------------------------------------------
+
+def test_preprocessor_keeps_rows_and_encodes_text_ordinals(spark):
+    rows = [("b", float(i), i % 2) for i in range(40)] + [("a", 100.0 + i, 1) for i in range(30)] + \
+           [("c", -5.0, 0) for _ in range(30)]
+    df = spark.createDataFrame(rows, "cat string, x double, flag int")
+    model = md.TripPreprocessor(ordinalCols=["cat"], continuousCols=["x"], binaryCols=["flag"]).fit(df)
+    out = model.transform(df)
+    assert out.count() == df.count()
+    vecs = {r.cat: r.features.toArray() for r in out.select("cat", "features").collect()}
+    assert all(len(v) == 3 for v in vecs.values())
+    assert {k: v[0] for k, v in vecs.items()} == {"a": 0.0, "b": 1.0, "c": 2.0}
+    unseen = spark.createDataFrame([("z", 1.0, 0)], "cat string, x double, flag int")
+    assert model.transform(unseen).first().features[0] == -1.0
+    assert min(12, len(["cat", "x", "flag"])) <= 3   # k = min(12, #features)
+
+
+def test_config_thresholds_ordered():
+    from fareline import config as cf
+
+    assert cf.PSI_MODERATE < cf.PSI_HIGH
+    r = cf.DEFAULT_RULES
+    assert r.min_fare < r.max_fare and r.min_passengers <= r.max_passengers
+    assert r.min_lat < r.max_lat and r.min_lon < r.max_lon
+    bands = cf.FARE_BANDS
+    assert all(lo < hi for _, lo, hi in bands)
+    assert all(bands[i][2] == bands[i + 1][1] for i in range(len(bands) - 1))
+    tiers = cf.SELECTION_TIERS
+    assert all(a[0] <= b[0] and a[1] <= b[1] and a[2] >= b[2] for a, b in zip(tiers, tiers[1:]))
+    assert 0 < cf.MIN_RMSE_IMPROVEMENT < 1 and 0 < cf.MIN_R2 < 1 and 0 < cf.MAX_GAP < 1
