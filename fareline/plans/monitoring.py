@@ -22,18 +22,21 @@ from .pricing import SCORED_SQL, scored
 HASH_SQL = "('0x' || substr(md5(concat_ws('|', CAST(event_id AS VARCHAR), '42')), 1, 8))::BIGINT % 100"
 _R2 = "1 - sum(pow(predicted_fare - actual_fare, 2)) / (var_pop(actual_fare) * count(*))"
 
+def _r2_sql(cond: str) -> str:
+    """MET-3 R2 over the rows where ``cond`` holds: SST = 0 gives 1 when SSE = 0, else 0."""
+    sse = f"sum(pow(predicted_fare - actual_fare, 2)) FILTER (WHERE {cond})"
+    sst = f"(var_pop(actual_fare) FILTER (WHERE {cond}) * count(*) FILTER (WHERE {cond}))"
+    return f"(CASE WHEN {sst} = 0 THEN (CASE WHEN {sse} = 0 THEN 1.0 ELSE 0.0 END) ELSE 1 - {sse} / {sst} END)"
+
+
 RUNS_SQL = f"""
 , hp AS (SELECT p.*, CAST(day(c.pickup_datetime) AS BIGINT) AS seq, {HASH_SQL} < 80 AS is_train
          FROM pairs p JOIN clean_trips c USING (event_id)),
 runs AS (
   SELECT seq,
     sqrt(avg(pow(predicted_fare - actual_fare, 2)) FILTER (WHERE NOT is_train)) AS rmse,
-    1 - sum(pow(predicted_fare - actual_fare, 2)) FILTER (WHERE NOT is_train)
-      / (var_pop(actual_fare) FILTER (WHERE NOT is_train) * count(*) FILTER (WHERE NOT is_train)) AS r2,
-    abs((1 - sum(pow(predicted_fare - actual_fare, 2)) FILTER (WHERE is_train)
-      / (var_pop(actual_fare) FILTER (WHERE is_train) * count(*) FILTER (WHERE is_train)))
-     - (1 - sum(pow(predicted_fare - actual_fare, 2)) FILTER (WHERE NOT is_train)
-      / (var_pop(actual_fare) FILTER (WHERE NOT is_train) * count(*) FILTER (WHERE NOT is_train)))) AS gap
+    {_r2_sql("NOT is_train")} AS r2,
+    abs({_r2_sql("is_train")} - {_r2_sql("NOT is_train")}) AS gap
   FROM hp GROUP BY seq
 )"""
 
@@ -167,7 +170,22 @@ def _gat_decision(spark, sf):
                     "rmse_improvement_passed", "r2_floor_passed", "gap_passed", "decision")
 
 
-@register("gat_reason")
+_REASON_SQL = _REPLAY_ORACLE + """
+, g AS (SELECT seq, rmse, r2, gap, champion_rmse, (champion_rmse - rmse) / greatest(champion_rmse, 1e-9) AS rel,
+          (champion_rmse - rmse) / greatest(champion_rmse, 1e-9) >= 0.02 AS g1, r2 >= 0.80 AS g2, gap <= 0.15 AS g3
+        FROM chain)
+SELECT seq,
+  CASE WHEN champion_rmse IS NULL OR (g1 AND g2 AND g3) THEN 'PROMOTED' ELSE 'REJECTED' END AS decision,
+  CASE WHEN champion_rmse IS NULL THEN 'No existing champion — first model auto-promoted'
+       WHEN g1 AND g2 AND g3 THEN printf('Challenger beats champion: RMSE %.4f → %.4f (%+.2f%%)', champion_rmse, rmse, rel * 100)
+       ELSE 'Gates failed: ' || concat_ws(' | ',
+         CASE WHEN NOT g1 THEN printf('RMSE improvement %+.2f%% < %.1f%%', rel * 100, 2.0) END,
+         CASE WHEN NOT g2 THEN printf('R2 %.4f < %s', r2, '0.8') END,
+         CASE WHEN NOT g3 THEN printf('train-test R2 gap %.4f > %s', gap, '0.15') END) END AS reason
+FROM g"""
+
+
+@register("gat_reason", _REASON_SQL)
 def _gat_reason(spark, sf):
     """GAT-1 reason text for every daily run against its replayed champion."""
     r = replay(spark, daily_runs(spark, sf)).withColumnRenamed("rmse", "challenger_rmse") \
