@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from . import chat, quality
+from . import chat, mixing, quality, urls, warc
 from .common import read
 
 
+def op4_warc_revisits(spark, sf_dir):
+    return warc.warc_report(read(spark, sf_dir, "pages"))
+
+
+def op5_mixing(spark, sf_dir):
+    return mixing.mix_report(read(spark, sf_dir, "documents"))
+
+
 def op8_quality_cascade(spark, sf_dir):
     return quality.quality_report(read(spark, sf_dir, "documents"))
 
@@ -14,7 +22,14 @@ def op9_chat_format(spark, sf_dir):
     return chat.chat_report(chat.with_probe(read(spark, sf_dir, "conversations"), spark))
 
 
+def op10_url_rules(spark, sf_dir):
+    return urls.judge_urls(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op4_warc_revisits": (op4_warc_revisits, warc.SQL),
+    "op5_mixing": (op5_mixing, None),
     "op8_quality_cascade": (op8_quality_cascade, quality.SQL),
     "op9_chat_format": (op9_chat_format, chat.SQL),
+    "op10_url_rules": (op10_url_rules, urls.SQL),
 }
