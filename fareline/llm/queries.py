@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, quality, urls, warc
+from . import bpe, chat, mixing, quality, simhash, urls, warc
 from .common import read
 
 
+def op1_simhash(spark, sf_dir):
+    return simhash.simhash_report(read(spark, sf_dir, "documents"))
+
+
+def op3_bpe(spark, sf_dir):
+    return bpe.bpe_report(read(spark, sf_dir, "documents"))
+
+
 def op4_warc_revisits(spark, sf_dir):
     return warc.warc_report(read(spark, sf_dir, "pages"))
 
@@ -27,6 +35,8 @@ def op10_url_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_simhash": (op1_simhash, None),
+    "op3_bpe": (op3_bpe, None),
     "op4_warc_revisits": (op4_warc_revisits, warc.SQL),
     "op5_mixing": (op5_mixing, None),
     "op8_quality_cascade": (op8_quality_cascade, quality.SQL),
