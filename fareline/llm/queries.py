@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, mixing, quality, simhash, urls, warc
+from . import bpe, chat, langid, mixing, quality, simhash, syncmers, toxicity, urls, warc
 from .common import read
 
 
@@ -10,6 +10,10 @@ def op1_simhash(spark, sf_dir):
     return simhash.simhash_report(read(spark, sf_dir, "documents"))
 
 
+def op2_langid(spark, sf_dir):
+    return langid.lang_report(read(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark, sf_dir):
     return bpe.bpe_report(read(spark, sf_dir, "documents"))
 
@@ -22,6 +26,14 @@ def op5_mixing(spark, sf_dir):
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
 
+def op6_syncmers(spark, sf_dir):
+    return syncmers.fingerprint_report(read(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark, sf_dir):
+    return toxicity.toxicity_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_quality_cascade(spark, sf_dir):
     return quality.quality_report(read(spark, sf_dir, "documents"))
 
@@ -36,9 +48,12 @@ def op10_url_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
+    "op2_langid": (op2_langid, None),
     "op3_bpe": (op3_bpe, None),
     "op4_warc_revisits": (op4_warc_revisits, warc.SQL),
     "op5_mixing": (op5_mixing, None),
+    "op6_syncmers": (op6_syncmers, None),
+    "op7_toxicity": (op7_toxicity, None),
     "op8_quality_cascade": (op8_quality_cascade, quality.SQL),
     "op9_chat_format": (op9_chat_format, chat.SQL),
     "op10_url_rules": (op10_url_rules, urls.SQL),
