@@ -35,15 +35,18 @@ MAX_SOURCES = 1_000_000             # entries of a mixture's configuration
 SEED = 17
 
 
-@F.arrow_udf("struct<size long, junk long>")
-def _measure(text: pa.Array) -> pa.Array:
-    """Words (runs without ASCII white space) and symbol characters of whole texts."""
-    size, junk = [], []
-    for t in text.cast(pa.binary()).to_pylist():
-        t = t or b""
-        size.append(len(t.split()))
-        junk.append(len(t) - len(t.translate(None, b"#*$%&|<>")))
-    return pa.StructArray.from_arrays([pa.array(size, pa.int64()), pa.array(junk, pa.int64())], ["size", "junk"])
+def measure(text: Column) -> Column:
+    """struct(size, junk): words (runs without ASCII white space) and symbol characters of the whole text."""
+    @F.arrow_udf("struct<size long, junk long>")
+    def run(texts: pa.Array) -> pa.Array:
+        size, junk = [], []
+        for t in texts.cast(pa.binary()).to_pylist():
+            t = t or b""
+            size.append(len(t.split()))
+            junk.append(len(t) - len(t.translate(None, b"#*$%&|<>")))
+        return pa.StructArray.from_arrays([pa.array(size, pa.int64()), pa.array(junk, pa.int64())], ["size", "junk"])
+
+    return run(text)
 
 
 def quality_weight(size: Column, junk: Column) -> Column:
@@ -63,7 +66,7 @@ def measured(docs: DataFrame, seed: int = SEED) -> tuple[DataFrame, str, str]:
     arrow_batches(docs.sparkSession)
     cm, cs, ck = fresh(docs, "measure", "size", "key")
     m = F.col(cm)
-    df = docs.withColumn(cm, _measure(F.col("text")))
+    df = docs.withColumn(cm, measure(F.col("text")))
     key = sample_key(F.col("doc_id"), F.col("text"), quality_weight(m["size"], m["junk"]), seed)
     return df.withColumn(cs, m["size"]).withColumn(ck, key).drop(cm), cs, ck
 
