@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -81,17 +79,3 @@ def bearing_deg(lat1, lon1, lat2, lon2) -> Column:
     x = F.sin(dlam) * F.cos(p2)
     y = F.cos(p1) * F.sin(p2) - F.sin(p1) * F.cos(p2) * F.cos(dlam)
     return F.pmod(F.degrees(F.atan2(x, y)) + 360.0, F.lit(360.0))
-
-
-def bbox_prefilter(lat: str, lon: str, point: tuple[float, float], radius_km: float) -> Column:
-    """Cheap rectangle that contains the radius circle around ``point``.
-
-    Used before a haversine test so most rows are rejected by plain
-    comparisons; it is strictly wider than the circle, so it never drops a
-    row the exact test would keep.
-    """
-    dlat = math.degrees(radius_km / EARTH_RADIUS_KM) * 1.01
-    coslat = max(math.cos(math.radians(abs(point[0]) + dlat)), 1e-6)
-    dlon = dlat / coslat
-    return (F.col(lat).between(point[0] - dlat, point[0] + dlat)
-            & F.col(lon).between(point[1] - dlon, point[1] + dlon))

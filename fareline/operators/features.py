@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_RULES, KM_TO_MILES, MANHATTAN_CENTER, TripRules
+from ..config import DEFAULT_RULES, MANHATTAN_CENTER, TripRules
 from ..functions import calendar as cal
 from ..functions import geo
 
@@ -34,18 +34,6 @@ def distance_columns() -> dict:
     }
 
 
-def add_distances(df: DataFrame) -> DataFrame:
-    """GEO-1/4/5/6: trip, Manhattan and bearing columns."""
-    return df.withColumns(distance_columns())
-
-
-def add_calendar(df: DataFrame, tz: str = DEFAULT_RULES.tz, ts: str = "pickup_datetime") -> DataFrame:
-    """CAL-1/3/4 (CAL-2 with ``tz='UTC'``)."""
-    df = df.withColumns(cal.calendar_columns(ts, tz))
-    df = df.withColumns(cal.flag_columns())
-    return df.withColumns(cal.cyclic_columns())
-
-
 def airport_flags(rules: TripRules = DEFAULT_RULES) -> dict:
     """GEO-7: near_<airport> = pickup or drop-off within the radius (inclusive)."""
     out = {}
@@ -58,13 +46,6 @@ def airport_flags(rules: TripRules = DEFAULT_RULES) -> dict:
     return out
 
 
-def add_airports(df: DataFrame, rules: TripRules = DEFAULT_RULES) -> DataFrame:
-    flags = airport_flags(rules)
-    df = df.withColumns(flags)
-    any_near = F.greatest(*[F.col(c) for c in flags]) if len(flags) > 1 else F.col(next(iter(flags)))
-    return df.withColumn("airport_trip", any_near.cast("int"))
-
-
 def add_engineered_features(df: DataFrame, rules: TripRules = DEFAULT_RULES) -> DataFrame:
     """FT-0: the complete feature table (VAL-19 distance filter included).
 
@@ -100,10 +81,6 @@ def fare_per_km(fare: str = "fare_amount", dist: str = "trip_distance_km"):
     return F.try_divide(F.col(fare), F.col(dist))
 
 
-def distance_miles(dist: str = "trip_distance_km"):
-    return F.col(dist) * KM_TO_MILES
-
-
 def narrow_types(df: DataFrame, skip=("fare_amount", "pickup_datetime")) -> DataFrame:
     """TYP-1: double -> float and integral -> smallest int for storage.
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ..config import OVER_PRICE_COST, PSI_HIGH, PSI_MODERATE, UNDER_PRICE_COST
 from ..functions.stats import round_half_even_exact, safe_corr
 from . import quantiles as qt
+from .prep import NUMERIC, number
 
 EPS_MAPE = 2.220446049250313e-16  # float64 machine epsilon, the floor of |y| in MAPE
 
@@ -58,33 +59,39 @@ def cost_evaluation(df: DataFrame, y: str = "actual_fare", p: str = "predicted_f
                     round_half_even_exact(total / F.greatest(F.col("_n"), F.lit(1)), 4).alias("avg_cost_per_trip"))
 
 
+_CASTABLE = ("double", "float", "int", "bigint", "smallint", "tinyint", "string", "boolean")
+
+
 def leakage_report(df: DataFrame, target: str, columns, threshold: float = 0.98) -> DataFrame:
     """LKG-1/LKG-2: per column exact match (target cast to the column type,
     null-safe) and |Pearson r| after median-filling nulls; constant columns
-    are skipped (r NULL). One aggregate for all columns (+ medians only for
-    columns that actually hold nulls)."""
+    are skipped (r NULL), and so are columns of a type that the target has no
+    cast to (timestamps, arrays: no match, no r). NaN counts as null; a target that
+    does not fit the column's type is no match. One aggregate for all columns (+ medians only
+    for columns that actually hold nulls)."""
     types = dict(df.dtypes)
     columns = [c for c in columns if c != target]
-    numeric = [c for c in columns if types[c] in ("double", "float", "int", "bigint", "smallint", "tinyint")]
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in numeric + [target]]).first().asDict()
-    need = [c for c in numeric + [target] if nulls[c] > 0]
-    med = {}
-    if need:
-        qv = qt.quantile_values(df, need, [0.5])
-        med = {c: qv[((), c, 0.5)] for c in need}
+    numeric = [c for c in columns if types[c] in NUMERIC]
+    used = [*numeric, target]
+    nulls = df.agg(*[F.count_if(number(df, c).isNull()).alias(c) for c in used]).first().asDict()
+    need = [c for c in used if nulls[c] > 0]
+    qv = qt.quantile_values(df, need, [0.5]) if need else {}
+    med = {c: qv.get(((), c, 0.5)) for c in need}
 
     def filled(c):
-        return F.coalesce(F.col(c).cast("double"), F.lit(med[c])) if c in med else F.col(c).cast("double")
+        x = number(df, c).cast("double")
+        return F.coalesce(x, F.lit(med[c])) if med.get(c) is not None else x
 
     aggs = []
     for c in columns:
-        cast_t = F.col(target).cast(types[c])
-        aggs.append(F.bool_and(F.col(c).eqNullSafe(cast_t)).alias(f"{c}__eq"))
-        if c in numeric:
-            aggs.append(safe_corr(filled(c), filled(target)).alias(f"{c}__r"))
+        if types[c] in _CASTABLE:
+            x = number(df, c) if c in numeric else F.col(c)
+            aggs.append(F.bool_and(x.eqNullSafe(number(df, target).try_cast(types[c]))).alias(f"{c}__eq"))
         else:
-            aggs.append(F.lit(None).cast("double").alias(f"{c}__r"))
-    wide = df.agg(*aggs)
+            aggs.append(F.lit(False).alias(f"{c}__eq"))
+        r = safe_corr(filled(c), filled(target)) if c in numeric else F.lit(None).cast("double")
+        aggs.append(r.alias(f"{c}__r"))
+    wide = df.agg(F.count(F.lit(1)), *aggs)
     long = wide.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"{c}__eq").alias("exact_match"), F.abs(F.col(f"{c}__r")).alias("abs_corr"))
         for c in columns])))
@@ -103,12 +110,20 @@ def _long_sides(df: DataFrame, side_col: str, columns) -> DataFrame:
     return out.where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
+def _bin(x: Column, edges) -> Column:
+    """1-based bin of ``x`` between sorted edges, clipped to the ends; null for a null or NaN value."""
+    if len(edges) < 2:
+        return F.lit(None).cast("int")
+    n = F.size(F.filter(F.array(*[F.lit(float(v)) for v in edges]), lambda q: q <= x))
+    return F.when(x.isNotNull() & ~F.isnan(x), F.greatest(F.lit(1), F.least(n, F.lit(len(edges) - 1))))
+
+
 def psi_edges(long: DataFrame, columns, buckets: int = 10) -> dict:
     """Quantile edges of the expected side (linear interpolation), unique and sorted.
 
     ``long`` is (feature, v) of the expected side."""
     probs = [i / buckets for i in range(buckets + 1)]
-    qv = qt.quantile_values(long, columns, probs, is_long=True, persist=False)
+    qv = qt.quantile_values(long, columns, probs, is_long=True)
     out = {}
     for c in columns:
         vals = [qv.get(((), c, p)) for p in probs]
@@ -120,32 +135,26 @@ def psi(df: DataFrame, side_col: str, columns, *, expected: str = "expected", bu
         edges: dict | None = None) -> DataFrame:
     """DRF-1/DRF-2: PSI per column between the ``expected`` side and the rest.
 
-    The input is unpivoted once to (side, feature, v) and kept (memory and
-    disk) for the edge rounds and the final binning. Edges come from the
+    Only the columns in question are written (wide) to the shared checkpoint folder, once,
+    and read for the edge rounds and the final binning. Edges come from the
     expected side; bin = number of edges <= x, clipped to the first / last
     bin (the same as widening the end edges to cover both sides, with the
     last bin closed). Shares are count / (n + 1e-9), a zero share becomes
     1e-6. Fewer than 2 distinct edges -> PSI 0. Output (feature, drift_score).
     """
-    from pyspark import StorageLevel
-
     spark = df.sparkSession
     columns = list(columns)
-    long = _long_sides(df.withColumn("_side", F.when(F.col(side_col) == expected, "expected").otherwise("actual")),
-                       "_side", columns).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        edges = edges or psi_edges(long.where(F.col("side") == "expected").select("feature", "v"), columns, buckets)
-        edf = spark.createDataFrame([(c, [float(x) for x in e]) for c, e in edges.items()],
-                                    T.StructType([T.StructField("feature", T.StringType()),
-                                                  T.StructField("edges", T.ArrayType(T.DoubleType()))]))
-        j = long.join(F.broadcast(edf), "feature")
-        m = F.size("edges")
-        b = F.greatest(F.lit(1), F.least(F.size(F.filter("edges", lambda e: e <= F.col("v"))), m - 1))
-        # one aggregate: per (feature, side, bin) counts; totals by window over the tiny result
-        binned = j.where(m >= 2).groupBy("feature", "side", b.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
+    side = F.when(F.col(side_col) == expected, "expected").otherwise("actual")
+    with qt.kept(df.select(side.alias("_side"), *columns)) as wide:
+        if not edges:
+            edges = psi_edges(_long_sides(wide.where(F.col("_side") == "expected"), "_side", columns).select("feature", "v"),
+                              columns, buckets)
+        entries = F.array(*[F.struct(F.lit(c).alias("feature"), _bin(F.col(c).cast("double"), edges.get(c, [])).alias("bin"))
+                            for c in columns])
+        # one aggregate: per (feature, side, bin) counts
+        binned = (wide.select(F.col("_side").alias("side"), F.inline(entries)).where(F.col("bin").isNotNull())
+                  .groupBy("feature", "side", "bin").agg(F.count(F.lit(1)).alias("c")))
         rows = binned.collect()  # O(#features x #bins x 2) rows
-    finally:
-        long.unpersist()
     import math
     from collections import defaultdict
 

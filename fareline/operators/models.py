@@ -17,14 +17,14 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, IsotonicRegression, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import SELECTION_TIERS
+from ..config import CV_FOLDS, RANDOM_STATE, SEARCH_ITERS, SELECTION_TIERS
 from . import metrics as met
 from . import prep as pp
 from . import quantiles as qt
@@ -45,7 +45,7 @@ class Preprocessor:
     clip: dict = field(default_factory=dict)
     lambdas: dict = field(default_factory=dict)
     standard: dict = field(default_factory=dict)
-    codes: dict = field(default_factory=dict)   # column -> {value: code}
+    codes: dict = field(default_factory=dict)   # column -> {value as text: code}
     text_ordinal: list = field(default_factory=list)   # ordinal columns whose values are strings
 
     @property
@@ -54,14 +54,6 @@ class Preprocessor:
 
     def columns(self) -> dict:
         out = {}
-        for c in self.ordinal:
-            m = self.codes.get(c, {})
-            text = c in self.text_ordinal
-            expr = F.lit(-1.0)
-            for val, code in sorted(m.items(), key=lambda kv: kv[1], reverse=True):
-                hit = F.col(c).cast("string") == str(val) if text else F.col(c).cast("double") == float(val)
-                expr = F.when(hit, F.lit(float(code))).otherwise(expr)
-            out[f"_pp_{c}"] = expr
         for c in self.skewed + self.other:
             x = pp.clip_expr(c, tuple(self.clip.get(c, (None, None))))
             if self.scaled:
@@ -75,11 +67,23 @@ class Preprocessor:
         return out
 
     def transform(self, df: DataFrame, output: str = "features") -> DataFrame:
-        cols = self.columns()
-        tmp = df.withColumns(cols)
+        """Ordinal codes come from Spark ML's label lookup (a hash table per
+        column, whatever the dictionary's size; unknown and null -> -1)."""
+        tmp, drop = df.withColumns(self.columns()), []
+        for c in self.ordinal:
+            labels = [v for v, _ in sorted(self.codes.get(c, {}).items(), key=lambda kv: kv[1])]
+            key = F.col(c).cast("string") if c in self.text_ordinal else F.col(c).cast("double").cast("string")
+            k, i = f"_ppk_{c}", f"_ppi_{c}"
+            tmp = tmp.withColumn(k, key)
+            if labels:
+                tmp = StringIndexerModel.from_labels(labels, inputCol=k, outputCol=i, handleInvalid="keep").transform(tmp)
+            else:
+                tmp = tmp.withColumn(i, F.lit(0.0))
+            tmp = tmp.withColumn(f"_pp_{c}", F.when(F.col(i) >= len(labels), F.lit(-1.0)).otherwise(F.col(i)))
+            drop += [k, i]
         va = VectorAssembler(inputCols=[f"_pp_{c}" for c in self.feature_order], outputCol=output,
                              handleInvalid="keep")
-        return va.transform(tmp).drop(*cols.keys())
+        return va.transform(tmp).drop(*drop, *[f"_pp_{c}" for c in self.feature_order])
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -97,12 +101,12 @@ def fit_preprocessor(train: DataFrame, ordinal, continuous, binary, *, scaled: b
     prep = Preprocessor(ordinal=list(ordinal), skewed=skewed, other=other, binary=list(binary), scaled=scaled,
                         clip={k: list(v) for k, v in clip.items()})
     if ordinal:
-        d = pp.checked_dictionary(pp.fit_ordinal(train, ordinal)).collect()   # size-checked, small
+        d = (pp.fit_ordinal(train, ordinal)      # the distinct values of the ordinal columns, as Spark's text
+             .withColumn("value", F.coalesce("str_value", F.col("num_value").cast("string"))).collect())
         for r in d:
             if r["num_value"] is None and r["feature"] not in prep.text_ordinal:
                 prep.text_ordinal.append(r["feature"])
-            key = r["num_value"] if r["num_value"] is not None else r["str_value"]
-            prep.codes.setdefault(r["feature"], {})[key] = r["code"]
+            prep.codes.setdefault(r["feature"], {})[r["value"]] = r["code"]
     if scaled and continuous:
         clipped = pp.apply_clip(train, clip)
         prep.lambdas = pp.fit_yeo_johnson(clipped, skewed) if skewed else {}
@@ -189,18 +193,8 @@ GRIDS = {
 }
 
 
-def search_budget(n_rows: int, n_iter: int = 20, folds: int = 5) -> tuple[int, int]:
-    """MOD-6 budget: fewer iterations / folds as the row count grows."""
-    if n_rows > 2_000_000:
-        return 3, 2
-    if n_rows > 500_000:
-        return 5, 3
-    if n_rows > 150_000:
-        return 8, 3
-    return n_iter, folds
-
-
-def tune(family: str, data: DataFrame, *, n_iter: int, folds: int, seed: int = 42, parallelism: int = 4,
+def tune(family: str, data: DataFrame, *, n_iter: int = SEARCH_ITERS, folds: int = CV_FOLDS, seed: int = RANDOM_STATE,
+         parallelism: int = 4,
          label: str = "fare_amount", preprocessor: TripPreprocessor | None = None):
     """MOD-6: randomised search = a seeded sample of the grid, cross-validated
     with a hash fold column (``CrossValidator(foldCol=...)``). With a
@@ -346,29 +340,29 @@ class Calibration:
     model_path: str | None = None
 
 
-ISOTONIC_MAX_POINTS = 1_000_000
+CALIBRATION_BINS = 1000
 
 
 def calibrate(scored_cal: DataFrame, *, label: str = "fare_amount", prediction: str = "prediction",
-              coverage: float = 0.90, max_points: int = ISOTONIC_MAX_POINTS):
+              coverage: float = 0.90, bins: int = CALIBRATION_BINS):
     """CAB-1/CAB-2: isotonic fit of |residual| on prediction (increasing, clipped
     outside the range), k = exact quantile(|res| / max(iso(pred), 1e-6), coverage),
     empirical coverage = mean(|res| <= k iso(pred)).
 
-    Spark's isotonic fit pools per partition and finishes on the driver; to
-    keep that bounded, inputs above ``max_points`` rows are first reduced to
-    ``max_points`` prediction bins of equal count (exact quantile edges),
-    each fitted as (mean prediction, mean |residual|, weight = count)."""
+    Spark's isotonic fit ends on the driver, so at every row count it is given
+    ``bins`` prediction bins (edges from a quantile sketch, rows put into them by
+    binary search), each as (mean prediction, mean |residual|, count): one
+    code path, and a fit whose size does not depend on the rows."""
     d = scored_cal.select(F.col(prediction).alias("p"), F.abs(F.col(label) - F.col(prediction)).alias("r"))
-    fit_on = d.withColumn("wt", F.lit(1.0))
-    n = d.count()
-    if n > max_points:
-        probs = [i / max_points for i in range(1, max_points)]
-        edges = sorted({x for x in qt.quantile_values(d, ["p"], probs).values() if x is not None})
-        ed = d.sparkSession.createDataFrame([(edges,)], "e array<double>")
-        b = F.size(F.filter("e", lambda q: q <= F.col("p")))
-        fit_on = (d.crossJoin(F.broadcast(ed)).groupBy(b.alias("_b"))
-                  .agg(F.avg("p").alias("p"), F.avg("r").alias("r"), F.count(F.lit(1)).cast("double").alias("wt")))
+    d = d.where("p IS NOT NULL AND r IS NOT NULL")
+    probs = [i / bins for i in range(1, bins)]
+    edges = d.agg(F.percentile_approx("p", F.array(*map(F.lit, probs)), 100 * bins)).first()[0]
+    if edges is None:
+        raise ValueError("no scored rows to calibrate on")
+    splits = [float("-inf"), *sorted(set(edges)), float("inf")]
+    binned = Bucketizer(splits=splits, inputCol="p", outputCol="_b", handleInvalid="keep").transform(d)
+    fit_on = binned.groupBy("_b").agg(F.avg("p").alias("p"), F.avg("r").alias("r"),
+                                      F.count(F.lit(1)).cast("double").alias("wt"))
     iso = IsotonicRegression(featuresCol="p_vec", labelCol="r", predictionCol="w", weightCol="wt", isotonic=True)
     va = VectorAssembler(inputCols=["p"], outputCol="p_vec")
     iso_model = Pipeline(stages=[va, iso]).fit(fit_on)

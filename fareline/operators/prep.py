@@ -24,16 +24,19 @@ NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
 # --- FT-1 ------------------------------------------------------------------
 
 def detect_roles(df: DataFrame, threshold: int = ORDINAL_THRESHOLD, exclude=ROLE_EXCLUDE,
-                 exact_below: int = 64) -> DataFrame:
+                 exact_below: int | None = None) -> DataFrame:
     """Role of every column: (column, n_unique, role).
 
     Non-numeric / boolean -> ordinal; numeric with 2 distinct values ->
     binary, 3..threshold -> ordinal, anything else (also 1) -> continuous.
     NULL counts as one more value. Scale: one HyperLogLog pass bounds every
     column; only columns whose estimate is small get an exact distinct count
-    (a long-form grouping that map-side combines to <= ~64 rows per task),
-    so a billion-valued double column is never shuffled value by value.
+    (a long-form grouping that map-side combines to a few rows per task),
+    so a billion-valued double column is never shuffled value by value. What
+    is small follows the threshold (twice it and 64 more, far outside the
+    sketch's error), so every column that could be ordinal is counted exactly.
     """
+    exact_below = 2 * threshold + 64 if exact_below is None else exact_below
     types = dict(df.dtypes)
     cols = [c for c in df.columns if c not in exclude]
     est = df.agg(*[F.approx_count_distinct(c).alias(f"{c}__a") for c in cols],
@@ -95,7 +98,7 @@ def fit_clip(df: DataFrame, columns, fold: float = CLIP_FOLD, *, exact: bool = T
     q = qt.quantile_values(df, columns, [0.25, 0.75], exact=exact)
     out = {}
     for c in columns:
-        q1, q3 = q[((), c, 0.25)], q[((), c, 0.75)]
+        q1, q3 = q.get(((), c, 0.25)), q.get(((), c, 0.75))
         if q1 is None or q3 is None or q3 - q1 == 0:
             out[c] = (None, None)
         else:
@@ -115,11 +118,16 @@ def apply_clip(df: DataFrame, bounds: dict) -> DataFrame:
     return df.withColumns({c: clip_expr(c, b) for c, b in bounds.items()})
 
 
+def number(df: DataFrame, c: str) -> Column:
+    """The column, NaN as null."""
+    return F.when(~F.isnan(c), F.col(c)) if dict(df.dtypes)[c] in ("double", "float") else F.col(c)
+
+
 # --- PP-2 skew -------------------------------------------------------------
 
 def skew_split(df: DataFrame, columns, threshold: float = SKEW_THRESHOLD, never=NEVER_POWER_TRANSFORM):
     """(skewed, other) column lists by bias-corrected |skew| > threshold; one aggregate."""
-    row = df.agg(*[sample_skewness(c).alias(c) for c in columns]).first()
+    row = df.agg(*[sample_skewness(number(df, c)).alias(c) for c in columns]).first()
     skewed = [c for c in columns if c not in never and row[c] is not None and abs(row[c]) > threshold]
     return skewed, [c for c in columns if c not in skewed], {c: row[c] for c in columns}
 
@@ -161,39 +169,37 @@ def yj_loglik_grid(df: DataFrame, columns, lambdas) -> DataFrame:
 
 def fit_yeo_johnson(df: DataFrame, columns, lo: float = -2.0, hi: float = 2.0, points: int = 21,
                     rounds: int = 4) -> dict:
-    """{column: lambda} by maximum likelihood: grid search zoomed ``rounds``
-    times (one aggregate per round for all columns). std < 1e-8 or a
-    non-finite optimum -> 1.0 (identity)."""
-    sd = df.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first()
+    """{column: lambda} by maximum likelihood: a grid search (one aggregate
+    for all columns) that first widens a column's range until its maximum lies inside and
+    then zooms ``rounds`` times. std < 1e-8 or a non-finite optimum -> 1.0 (identity)."""
+    sd = df.agg(*[F.stddev_pop(number(df, c)).alias(c) for c in columns]).first()
     todo = [c for c in columns if sd[c] is not None and sd[c] >= 1e-8]
+    df = df.select([number(df, c).alias(c) for c in columns])
     out = {c: 1.0 for c in columns}
-    ranges = {c: (lo, hi) for c in todo}
-    for _ in range(rounds):
-        if not todo:
-            break
-        # one aggregate per round; each column has its own grid
-        best = {}
-        for c in todo:
-            a, b = ranges[c]
-            best[c] = [a + (b - a) * i / (points - 1) for i in range(points)]
-        keys = [(c, i, lam) for c in todo for i, lam in enumerate(best[c])]
-        r = df.selectExpr(*_yj_aggs(best)).first()
-        scores = {}
-        for c, i, lam in keys:
-            v = r[f"{c}__v{i}"]
-            if v is None or v <= 0:
-                continue
-            ll = -r[f"{c}__n"] / 2 * math.log(v) + (lam - 1) * r[f"{c}__s"]
-            if math.isfinite(ll) and (c not in scores or ll > scores[c][0]):
-                scores[c] = (ll, lam)
-        for c in todo:
-            if c not in scores:
-                out[c] = 1.0
+    ranges, left = {c: (lo, hi) for c in todo}, {c: rounds for c in todo}
+    while todo:
+        grids = {c: [ranges[c][0] + (ranges[c][1] - ranges[c][0]) * i / (points - 1) for i in range(points)] for c in todo}
+        row = df.selectExpr(*_yj_aggs(grids)).first()
+        for c in list(todo):
+            best = None
+            for i, lam in enumerate(grids[c]):
+                v = row[f"{c}__v{i}"]
+                if v is not None and 0 < v < math.inf:
+                    ll = -row[f"{c}__n"] / 2 * math.log(v) + (lam - 1) * row[f"{c}__s"]
+                    if math.isfinite(ll) and (best is None or ll > best[0]):
+                        best = (ll, lam, i)
+            if best is None:
+                todo.remove(c)
                 continue
-            lam = scores[c][1]
-            step = (ranges[c][1] - ranges[c][0]) / (points - 1)
+            (a, b), lam = ranges[c], best[1]
             out[c] = lam
-            ranges[c] = (lam - step, lam + step)
+            if best[2] in (0, points - 1) and left[c] == rounds:
+                ranges[c] = (lam - (b - a), lam + (b - a))      # the maximum may lie outside
+                continue
+            left[c] -= 1
+            ranges[c] = (lam - (b - a) / (points - 1), lam + (b - a) / (points - 1))
+            if left[c] == 0:
+                todo.remove(c)
     return out
 
 
@@ -201,7 +207,8 @@ def fit_yeo_johnson(df: DataFrame, columns, lo: float = -2.0, hi: float = 2.0, p
 
 def fit_standard(df: DataFrame, columns) -> dict:
     """{column: (mean, std_pop or 1 when 0)} - population std, as the reference scaler."""
-    r = df.agg(*[F.avg(c).alias(f"{c}__m") for c in columns], *[F.stddev_pop(c).alias(f"{c}__s") for c in columns]).first()
+    x = {c: number(df, c) for c in columns}
+    r = df.agg(*[F.avg(x[c]).alias(f"{c}__m") for c in columns], *[F.stddev_pop(x[c]).alias(f"{c}__s") for c in columns]).first()
     return {c: (r[f"{c}__m"], r[f"{c}__s"] if r[f"{c}__s"] else 1.0) for c in columns}
 
 
@@ -233,27 +240,15 @@ def fit_ordinal(df: DataFrame, columns) -> DataFrame:
     return d.withColumn("code", (F.dense_rank().over(w) - 1).cast("int"))
 
 
-MAX_ORDINAL_VALUES = 100_000
-
-
-def checked_dictionary(dictionary: DataFrame, limit: int = MAX_ORDINAL_VALUES) -> DataFrame:
-    """Refuse to broadcast / collect a dictionary whose size is not bounded."""
-    n = dictionary.count()
-    if n > limit:
-        raise ValueError(f"ordinal dictionary has {n} values (> {limit}); treat the column as continuous")
-    return dictionary
-
-
 def apply_ordinal(df: DataFrame, dictionary: DataFrame, columns, suffix: str = "_code") -> DataFrame:
-    """Left join to the (broadcast, size-checked) dictionary; unknown values -> -1."""
-    dictionary = checked_dictionary(dictionary)
+    """Left join to the dictionary (a broadcast where Spark finds it small enough); unknown values -> -1."""
     types = dict(df.dtypes)
     out = df
     for c in columns:
         num = types[c] in NUMERIC
         d = dictionary.where(F.col("feature") == c)
         key = "num_value" if num else "str_value"
-        d = F.broadcast(d.select(F.col(key).alias(f"_{c}_k"), F.col("code").alias(f"{c}{suffix}")))
+        d = d.select(F.col(key).alias(f"_{c}_k"), F.col("code").alias(f"{c}{suffix}"))
         kcol = F.col(c).cast("double") if num else F.col(c).cast("string")
         out = out.join(d, kcol == F.col(f"_{c}_k"), "left").drop(f"_{c}_k")
         out = out.withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(-1)))
@@ -293,20 +288,14 @@ def binned_mutual_information(df: DataFrame, columns, target: str, bins: int = 2
     return terms.groupBy("feature").agg(F.sum("t").alias("mi"))
 
 
-TOPK_MAX = 10_000
-
-
 def sample_n(df: DataFrame, n: int, key: str = "event_id", seed: str = "42") -> DataFrame:
     """SRC-5: reproducible sample of exactly min(n, rows) rows without replacement:
-    the n smallest md5-of-key hashes (ties broken by the key).
+    the n smallest md5-of-key hashes (ties broken by the key, then the row).
 
-    n <= 10k: top-k (each task keeps n rows, one merge of n x tasks rows).
-    Larger n: the n-th smallest hash is found as an exact distributed order
-    statistic, then a plain filter keeps the rows below it - no task ever
-    holds n x tasks rows."""
+    The n-th smallest hash is an exact distributed order statistic; a filter
+    keeps the rows below it and only rows that tie with it are ordered, so no
+    task ever holds n rows."""
     h = hash_unit(key, seed=seed)
-    if n <= TOPK_MAX:
-        return df.orderBy(h, key).limit(n)
     total = df.count()
     if total <= n:
         return df
@@ -314,5 +303,22 @@ def sample_n(df: DataFrame, n: int, key: str = "event_id", seed: str = "42") ->
     t = qt.order_statistic_values(hv, "_h", [(n - 1 + 0.5) / total])[((), (n - 1 + 0.5) / total)]
     below = df.where(h < F.lit(int(t)))
     need = n - below.count()
-    tied = df.where(h == F.lit(int(t))).orderBy(key).limit(max(need, 0))
+    tied = df.where(h == F.lit(int(t))).orderBy(key, *[c for c in df.columns if c != key]).limit(max(need, 0))
     return below.unionByName(tied)
+
+
+def sample_with_replacement(df: DataFrame, n: int, key: str = "event_id", seed: str = "7") -> DataFrame:
+    """SRC-6: about ``n`` rows with replacement. Each row is taken k times, k from the
+    Poisson distribution with mean n / rows at the row's hash (column ``copy``
+    numbers them), however small the table."""
+    lam = n / max(df.count(), 1)
+    cdf, term, total, k = [], math.exp(-lam), 0.0, 0
+    while total < 1 - 2.0 ** -34 and (k < lam or term > 0):
+        total += term
+        cdf.append(total)
+        k += 1
+        term *= lam / k
+    u = hash_unit(key, seed=seed) / F.lit(4294967296.0)
+    times = F.size(F.filter(F.array(*map(F.lit, cdf)), lambda c: c <= u))
+    return df.withColumn("_times", times).where("_times > 0").withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")

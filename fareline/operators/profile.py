@@ -51,7 +51,7 @@ def describe(df: DataFrame, columns, by=(), *, exact: bool = True) -> DataFrame:
     """PRF-3: count, mean, sample std, min, quartiles, max and range per column (and group)."""
     columns, by = list(columns), list(by)
     entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns])
-    long = df.select(*by, F.inline(entries)).where(F.col("v").isNotNull())
+    long = df.select(*by, F.inline(entries)).where("v IS NOT NULL AND NOT isnan(v)")
     moments = long.groupBy(*by, "feature").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"), F.max("v").alias("max"))
@@ -137,11 +137,10 @@ def box_stats(df: DataFrame, column: str, by=(), fold: float = 1.5, *, exact: bo
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """PRF-9."""
+    """PRF-9: count and share of each value; the total is the sum of the grouped counts."""
     g = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))  # one row, broadcast
-    return g.crossJoin(F.broadcast(total)).select(
-        column, "count", (F.col("count") / F.col("_total")).alias("share"))
+    with_total = g.withColumn("_total", F.sum("count").over(Window.partitionBy(F.lit(0))))
+    return with_total.select(column, "count", (F.col("count") / F.col("_total")).alias("share"))
 
 
 def group_mean_ci(df: DataFrame, column: str, by, z: float = 1.96) -> DataFrame:
@@ -188,30 +187,28 @@ def _betainc(a: float, b: float, x: float) -> float:
     return 1.0 - math.exp(ln_front) * _betacf(b, a, 1 - x) / b
 
 
-def _betacf(a, b, x, iters=300, eps=3e-16):
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1, a - 1
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, iters + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
-            break
-    return h
+def _betacf(a: float, b: float, x: float) -> float:
+    """The continued fraction 1 / (1 + d1 / (1 + d2 / (1 + ...))) of the incomplete
+    beta function, with d(2m) = m (b - m) x / ((a + 2m - 1)(a + 2m)) and
+    d(2m+1) = -(a + m)(a + b + m) x / ((a + 2m)(a + 2m + 1)), as the limit of its
+    convergents P / Q, which follow the fundamental recurrence."""
+    p_old, q_old, p, q = 1.0, 0.0, 1.0, 1.0     # the convergents before and after the leading 1
+    value = 1.0
+    n = 0
+    while True:
+        n += 1
+        m = n // 2
+        if n % 2:
+            d = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        else:
+            d = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        p_old, p = p, p + d * p_old
+        q_old, q = q, q + d * q_old
+        if q:
+            p_old, p, q_old, q = p_old / q, p / q, q_old / q, 1.0     # the ratio is what counts
+            if abs(p - value) <= 1e-15 * abs(p) or n > 10_000:
+                return 1.0 / p
+            value = p
 
 
 def correlation_long(df: DataFrame, columns) -> DataFrame:
@@ -229,20 +226,25 @@ def correlation_long(df: DataFrame, columns) -> DataFrame:
 
 
 def vif(df: DataFrame, columns) -> DataFrame:
-    """PRF-17: VIF_j = j-th diagonal of the inverse correlation matrix.
+    """PRF-17: VIF_j = 1 / (1 - R2_j), R2_j of column j on the others.
 
-    The matrix is one aggregate (k x k numbers); its inverse is taken on
-    the driver (k is the number of features, not rows)."""
+    The correlation matrix is one aggregate (k x k numbers); the k small
+    systems are solved on the driver (k is the number of features, not rows).
+    A column that the others determine has VIF inf, a constant one NULL."""
     import numpy as np
 
     columns = list(columns)
-    corr = {(r["a"], r["b"]): r["r"] for r in correlation_long(df, columns).collect()}
-    k = len(columns)
-    m = np.eye(k)
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
-            if i < j:
-                m[i, j] = m[j, i] = corr[(a, b)] if corr[(a, b)] is not None else 0.0
-    inv = np.linalg.pinv(m)
     spark = df.sparkSession
-    return spark.createDataFrame([(c, float(inv[i, i])) for i, c in enumerate(columns)], "feature string, vif double")
+    if len(columns) < 2:
+        return spark.createDataFrame([(c, 1.0) for c in columns], "feature string, vif double")
+    corr = {(r["a"], r["b"]): r["r"] for r in correlation_long(df, columns).collect()}
+    pair = lambda a, b: corr.get((a, b), corr.get((b, a)))
+    varied = [c for c in columns if any(pair(c, o) is not None for o in columns if o != c)]
+    out = {}
+    m = np.array([[1.0 if a == b else pair(a, b) for b in varied] for a in varied])
+    for j, c in enumerate(varied):
+        rest = [i for i in range(len(varied)) if i != j]
+        r2 = float(m[j, rest] @ np.linalg.pinv(m[np.ix_(rest, rest)], rcond=1e-10, hermitian=True) @ m[rest, j]) if rest else 0.0
+        out[c] = float("inf") if 1 - r2 < 1e-10 else 1 / (1 - r2)
+    rows = [(c, out.get(c)) for c in columns]
+    return spark.createDataFrame(rows, "feature string, vif double")

@@ -27,17 +27,32 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import remove_path, scratch_path
+
 HIST_BUDGET = 50_000        # histogram rows shipped to the driver per round
 MAX_BUCKETS = 1024
 COLLECT_LIMIT = 20_000      # values shipped for one finished range
 COLLECT_BUDGET = 400_000    # values shipped per round in total
-MAX_ROUNDS = 16
+MAX_GROUPS = 200_000        # (group, feature) pairs whose state the driver holds
+
+
+@contextmanager
+def kept(df: DataFrame):
+    """``df`` written once to the shared checkpoint folder and read back, for
+    operators that scan it several times; the folder goes afterwards."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "kept")
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_path(spark, path)
 
 
 def long_form(df: DataFrame, value_cols, group_cols=()) -> DataFrame:
@@ -55,18 +70,23 @@ def _gkey(group_cols) -> F.Column:
 
 
 def quantile_values(df: DataFrame, value_cols, probs, group_cols=(), *, exact: bool = True,
-                    accuracy: int = 100_000, persist: bool = True, is_long: bool = False) -> dict:
+                    accuracy: int = 100_000, is_long: bool = False) -> dict:
     """{(group tuple, feature, p): value} for every group / feature / prob.
 
-    Nulls and NaN are ignored; an empty group yields None. With
-    ``is_long=True`` ``df`` is already (group cols..., feature, v).
+    Nulls and NaN are ignored; without group columns a feature without values yields
+    None (a group without values has no entry). The needed columns are written once, wide,
+    and unpivoted in each scan. With ``is_long=True`` ``df`` is already
+    (group cols..., feature, v) and is read again in every round: it should
+    be a projection of written columns.
     """
     value_cols = list(value_cols)
     group_cols = list(group_cols)
     probs = [float(p) for p in probs]
-    lf = df if is_long else long_form(df, value_cols, group_cols)
-    lf = lf.withColumn("_gk", _gkey(group_cols))
+    def keyed(lf):
+        return lf.withColumn("_gk", _gkey(group_cols)).select("_gk", *group_cols, "feature", "v")
+
     if not exact:
+        lf = keyed(df if is_long else long_form(df, value_cols, group_cols))
         aggs = [F.percentile_approx("v", F.array(*[F.lit(p) for p in probs]), accuracy).alias("q")]
         rows = lf.groupBy("_gk", *group_cols, "feature").agg(*aggs).collect()
         out = {}
@@ -74,16 +94,16 @@ def quantile_values(df: DataFrame, value_cols, probs, group_cols=(), *, exact: b
             g = tuple(r[c] for c in group_cols)
             for p, q in zip(probs, r["q"]):
                 out[(g, r["feature"], p)] = q
-        return out
-
-    lf = lf.select("_gk", *group_cols, "feature", "v")
-    if persist:
-        lf = lf.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _exact(lf, group_cols, value_cols, probs)
-    finally:
-        if persist:
-            lf.unpersist()
+    elif is_long:
+        out = _exact(keyed(df), group_cols, value_cols, probs)
+    else:
+        with kept(df.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in value_cols if c not in group_cols])) as wide:
+            out = _exact(keyed(long_form(wide, value_cols, group_cols)), group_cols, value_cols, probs)
+    if not group_cols:
+        for c in value_cols:
+            for p in probs:
+                out.setdefault(((), c, p), None)
+    return out
 
 
 def _targets_for_probs(probs):
@@ -117,7 +137,10 @@ def _exact(lf: DataFrame, group_cols, value_cols, probs, targets_fn=None, fracti
     aggs = [F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
     if probes:
         aggs.append(F.percentile_approx("v", F.array(*[F.lit(p) for p in probes]), APPROX_ACCURACY).alias("qa"))
-    stats = lf.groupBy("_gk", *group_cols, "feature").agg(*aggs).collect()
+    stats = lf.groupBy("_gk", *group_cols, "feature").agg(*aggs).limit(MAX_GROUPS + 1).collect()
+    if len(stats) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} (group, feature) pairs: use exact=False, which stays distributed, "
+                         "or fewer groups at a time")
     # target key: (gk, feature, k); state: [lo, hi, below (None = unknown), value, count bound]
     state: dict = {}
     full: dict = {}
@@ -142,10 +165,7 @@ def _exact(lf: DataFrame, group_cols, value_cols, probs, targets_fn=None, fracti
                         est = int(min(n, (2 * BRACKET + 2.0 / APPROX_ACCURACY) * n + 2))
                         start = [lo, hi, 0 if lo <= r["lo"] else None, None, est]
                 state[key] = start
-    for _ in range(MAX_ROUNDS):
-        open_keys = [k for k, s in state.items() if s[3] is None]
-        if not open_keys:
-            break
+    while open_keys := [k for k, s in state.items() if s[3] is None]:     # every round narrows every open range
         ranges = defaultdict(list)   # (gk, feat, lo, hi, below, count) -> target keys
         for key in open_keys:
             lo, hi, below, _, cnt = state[key]
@@ -203,8 +223,6 @@ def _exact(lf: DataFrame, group_cols, value_cols, probs, targets_fn=None, fracti
     for g, feat, p, gk, k0, k1, frac in needs:
         a = state[(gk, feat, k0)][3]
         b = state[(gk, feat, k1)][3]
-        if a is None or b is None:  # pragma: no cover - refinement did not converge
-            raise RuntimeError(f"quantile refinement did not converge for {feat} {g} p={p}")
         out[(g, feat, p)] = a if frac == 0 or a == b else a + frac * (b - a)
     return out
 
@@ -271,9 +289,6 @@ def order_statistic_values(df: DataFrame, column: str, fractions, group_cols=())
     clipped to n-1): the element at that position of the sorted column, as in
     ``sorted(x)[int(f * n)]``. Exact, distributed (same refinement)."""
     group_cols = list(group_cols)
-    lf = long_form(df, [column], group_cols).withColumn("_gk", _gkey(group_cols))
-    lf = lf.select("_gk", *group_cols, "feature", "v").persist(StorageLevel.MEMORY_AND_DISK)
-
     def fn(n):
         out = []
         for f in fractions:
@@ -281,8 +296,7 @@ def order_statistic_values(df: DataFrame, column: str, fractions, group_cols=())
             out.append((f, k, k, 0.0))
         return out
 
-    try:
+    with kept(df.select(*group_cols, F.col(column).cast("double").alias(column))) as wide:
+        lf = long_form(wide, [column], group_cols).withColumn("_gk", _gkey(group_cols)).select("_gk", *group_cols, "feature", "v")
         res = _exact(lf, group_cols, [column], [], targets_fn=fn, fractions=fractions)
-    finally:
-        lf.unpersist()
     return {(g, f): val for (g, _feat, f), val in res.items()}

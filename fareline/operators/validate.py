@@ -115,25 +115,24 @@ def validate_trips(df: DataFrame, rules: TripRules = DEFAULT_RULES, *,
 def reject_reasons(df: DataFrame, rules: TripRules = DEFAULT_RULES) -> DataFrame:
     """VAL-11: per-rule dropped-row counts in one pass.
 
-    Each row is tagged with its first failing rule ('kept' when none);
-    among kept rows every copy beyond the first of an identical row is
-    reported as 'duplicate'. One grouping over all columns (partial
-    aggregation collapses repeats map-side), then a tiny re-aggregate.
-    Returns (reject_reason, n_rows).
+    Each row is tagged with its first failing rule ('kept' when none); rejected
+    rows are only counted. Among kept rows every copy beyond the first of an
+    identical row is reported as 'duplicate': kept rows are compared by two
+    64-bit hashes of the whole row (128 bits), so what is shuffled is a pair of
+    longs per distinct kept row, not the row. Returns (reject_reason, n_rows).
     """
     reason = F.lit("kept")
     for name, keep in reversed(rule_columns(rules, dict(df.dtypes))):
         reason = F.when(~F.coalesce(keep, F.lit(False)), F.lit(name)).otherwise(reason)
-    tagged = df.withColumn("reject_reason", reason)
-    grp = tagged.groupBy(*tagged.columns).agg(F.count(F.lit(1)).alias("_n"))
-    per = grp.groupBy("reject_reason").agg(F.sum("_n").alias("_total"),
-                                            F.count(F.lit(1)).alias("_distinct"))
-    is_kept = F.col("reject_reason") == "kept"
+    row = [F.struct(F.col(c).isNull(), F.col(c)) for c in df.columns]
+    kept = F.col("reject_reason") == "kept"
+    tagged = df.select(reason.alias("reject_reason"), *[
+        F.when(reason == "kept", F.xxhash64(F.lit(i), *row)).alias(f"_h{i}") for i in (0, 1)])
+    per = tagged.groupBy("reject_reason", "_h0", "_h1").agg(F.count(F.lit(1)).alias("_n")).groupBy("reject_reason").agg(
+        F.sum("_n").alias("_total"), F.count(F.lit(1)).alias("_distinct"))
     entries = F.array(
-        F.struct(F.col("reject_reason").alias("r"),
-                 F.when(is_kept, F.col("_distinct")).otherwise(F.col("_total")).alias("n")),
-        F.struct(F.lit("duplicate").alias("r"),
-                 F.when(is_kept, F.col("_total") - F.col("_distinct")).alias("n")),
+        F.struct(F.col("reject_reason").alias("r"), F.when(kept, F.col("_distinct")).otherwise(F.col("_total")).alias("n")),
+        F.struct(F.lit("duplicate").alias("r"), F.when(kept, F.col("_total") - F.col("_distinct")).alias("n")),
     )
     out = per.select(F.inline(entries)).where(F.col("n").isNotNull())
     return out.select(F.col("r").alias("reject_reason"), F.col("n").cast("bigint").alias("n_rows"))

@@ -13,10 +13,6 @@ def rnd(c, d: int = DP) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, d)
 
 
-def sql_rnd(expr: str, d: int = DP) -> str:
-    return f"round({expr}, {d})"
-
-
 def sql_round_half_even_exact(expr: str, digits: int) -> str:
     """DuckDB text of ``functions.stats.round_half_even_exact`` (same double
     arithmetic: Dekker two-product, then half-even on the exact fraction)."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import metrics as met
+from ..sources import tables
 from . import register
 from . import views as v
 from .common import rnd
@@ -37,9 +38,8 @@ SELECT side, count(*) AS n,
 FROM p GROUP BY side""", "pairs", "two_sides"))
 def _met_side(spark, sf):
     """MET-1..3 grouped (per period), e.g. train vs test R2 and their gap."""
-    p = v.pairs(spark, sf)
-    s = v.two_sides(spark, sf).select("event_id", "side").dropDuplicates()
-    m = met.regression_metrics(p.join(s, "event_id"), by=["side"])
+    s = v.two_sides(spark, sf)
+    m = met.regression_metrics(s.select("side", *[c.alias(k) for k, c in tables.pair_columns().items()]), by=["side"])
     return m.select("side", "n", rnd("rmse").alias("rmse"), rnd("mae").alias("mae"), rnd("r2").alias("r2"))
 
 

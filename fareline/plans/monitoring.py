@@ -30,7 +30,7 @@ def _r2_sql(cond: str) -> str:
 
 
 RUNS_SQL = f"""
-, hp AS (SELECT p.*, CAST(day(c.pickup_datetime) AS BIGINT) AS seq, {HASH_SQL} < 80 AS is_train
+, hp AS (SELECT p.*, CAST(date_diff('day', DATE '1970-01-01', CAST(c.pickup_datetime AS DATE)) AS BIGINT) AS seq, {HASH_SQL} < 80 AS is_train
          FROM pairs p JOIN clean_trips c USING (event_id)),
 runs AS (
   SELECT seq,
@@ -42,9 +42,9 @@ runs AS (
 
 
 def daily_runs(spark, sf):
-    """One challenger run per pickup day: test RMSE / R2 and |train R2 - test R2|."""
+    """One challenger run per pickup date (seq: days since 1970-01-01): test RMSE / R2 and |train R2 - test R2|."""
     c = v.clean_trips(spark, sf)
-    p = c.select("event_id", F.dayofmonth("pickup_datetime").cast("bigint").alias("seq"),
+    p = c.select("event_id", F.unix_date(F.to_date("pickup_datetime")).cast("bigint").alias("seq"),
                  (hash_unit("event_id") % 100 < 80).alias("is_train"),
                  F.col("fare_amount").alias("actual_fare"),
                  (F.col("fare_amount") * (75 + (F.col("event_id") * 13) % 51) / F.lit(1e2)).alias("predicted_fare"))
@@ -57,21 +57,21 @@ def daily_runs(spark, sf):
 REPLAY_SQL = """
 WITH RECURSIVE ordered AS (SELECT *, row_number() OVER (ORDER BY seq) AS rn FROM {runs}),
 chain AS (
-  SELECT rn, seq, rmse, r2, gap, CAST(NULL AS DOUBLE) AS champion_rmse, 'PROMOTED' AS decision, rmse AS next_champion
+  SELECT rn, seq, rmse, r2, gap, CAST(NULL AS DOUBLE) AS champion_rmse, CAST(NULL AS DOUBLE) AS champion_r2,
+    CAST(NULL AS BIGINT) AS champion_seq, 'PROMOTED' AS decision, rmse AS next_champion, r2 AS next_r2, seq AS next_seq
   FROM ordered WHERE rn = 1
   UNION ALL
-  SELECT r.rn, r.seq, r.rmse, r.r2, r.gap, c.next_champion AS champion_rmse,
+  SELECT r.rn, r.seq, r.rmse, r.r2, r.gap, c.next_champion AS champion_rmse, c.next_r2 AS champion_r2, c.next_seq AS champion_seq,
     CASE WHEN (c.next_champion - r.rmse) / greatest(c.next_champion, 1e-9) >= 0.02 AND r.r2 >= 0.80 AND r.gap <= 0.15
          THEN 'PROMOTED' ELSE 'REJECTED' END AS decision,
     CASE WHEN (c.next_champion - r.rmse) / greatest(c.next_champion, 1e-9) >= 0.02 AND r.r2 >= 0.80 AND r.gap <= 0.15
-         THEN r.rmse ELSE c.next_champion END AS next_champion
+         THEN r.rmse ELSE c.next_champion END AS next_champion,
+    CASE WHEN (c.next_champion - r.rmse) / greatest(c.next_champion, 1e-9) >= 0.02 AND r.r2 >= 0.80 AND r.gap <= 0.15 THEN r.r2 ELSE c.next_r2 END AS next_r2,
+    CASE WHEN (c.next_champion - r.rmse) / greatest(c.next_champion, 1e-9) >= 0.02 AND r.r2 >= 0.80 AND r.gap <= 0.15 THEN r.seq ELSE c.next_seq END AS next_seq
   FROM chain c JOIN ordered r ON r.rn = c.rn + 1
 )"""
 
 
-MAX_BROADCAST_PROMOTIONS = 100_000
-
-
 def replay(spark, runs):
     """GAT-3: sequential champion replay over the run history.
 
@@ -82,30 +82,31 @@ def replay(spark, runs):
     steps is the number of promotions, not of runs (a run-by-run recursive
     CTE stops at Spark's recursion limit of 100 levels). Every run then takes
     its champion from the chain interval it falls in: a range join in which
-    each run matches exactly one interval (seq in (promoted_m, promoted_m+1])."""
+    each run matches exactly one interval (seq in (promoted_m, promoted_m+1]).
+    A promotion lowers the RMSE by 2 % at least, so there are at most
+    log(first / last) / -log(0.98) of them: the interval table is always small."""
     # the history is one row per run: cut its lineage once (reliable checkpoint
     # in spark.checkpoint.dir) so the steps do not recompute the trip scan
     runs = runs.select("seq", "rmse", "r2", "gap").checkpoint(eager=True)
     first = runs.orderBy("seq").limit(1).collect()
-    chain = [(first[0]["seq"], first[0]["rmse"])] if first else []
+    chain = [(first[0]["seq"], first[0]["rmse"], first[0]["r2"])] if first else []
     gates = (F.col("r2") >= MIN_R2) & (F.col("gap") <= MAX_GAP)
     while chain:
-        seq, champ = chain[-1]
+        seq, champ, _ = chain[-1]
         rel = (F.lit(champ) - F.col("rmse")) / F.greatest(F.lit(champ), F.lit(1e-9))
         nxt = (runs.where((F.col("seq") > seq) & (rel >= MIN_RMSE_IMPROVEMENT) & gates)
-               .agg(F.min_by(F.struct("seq", "rmse"), "seq").alias("n")).first()["n"])
+               .agg(F.min_by(F.struct("seq", "rmse", "r2"), "seq").alias("n")).first()["n"])
         if nxt is None:
             break
-        chain.append((nxt["seq"], nxt["rmse"]))
-    bounds = [(s, chain[i + 1][0] if i + 1 < len(chain) else None, r) for i, (s, r) in enumerate(chain)]
-    iv = spark.createDataFrame(bounds, "_lo bigint, _hi bigint, champion_rmse double")
-    if len(bounds) <= MAX_BROADCAST_PROMOTIONS:
-        iv = F.broadcast(iv)
+        chain.append((nxt["seq"], nxt["rmse"], nxt["r2"]))
+    bounds = [(s, chain[i + 1][0] if i + 1 < len(chain) else None, rmse, r2, s) for i, (s, rmse, r2) in enumerate(chain)]
+    iv = F.broadcast(spark.createDataFrame(
+        bounds, "_lo bigint, _hi bigint, champion_rmse double, champion_r2 double, champion_seq bigint"))
     inside = (F.col("seq") > F.col("_lo")) & (F.col("_hi").isNull() | (F.col("seq") <= F.col("_hi")))
     first_seq = chain[0][0] if chain else None
     promoted = (F.col("seq") == F.lit(first_seq)) | (F.col("seq") == F.col("_hi"))
     return (runs.join(iv, inside, "left")
-            .select("seq", "rmse", "r2", "gap", "champion_rmse",
+            .select("seq", "rmse", "r2", "gap", "champion_rmse", "champion_r2", "champion_seq",
                     F.when(promoted, F.lit("PROMOTED")).otherwise(F.lit("REJECTED")).alias("decision")))
 
 
@@ -132,7 +133,7 @@ def _gat_latest(spark, sf):
 
 
 _GATE_SQL = v.with_views(RUNS_SQL + """
-, two AS (SELECT CASE WHEN seq < 16 THEN 'champion' ELSE 'challenger' END AS role, * FROM hp),
+, two AS (SELECT CASE WHEN 2 * seq <= (SELECT min(seq) + max(seq) FROM hp) THEN 'champion' ELSE 'challenger' END AS role, * FROM hp),
 m AS (SELECT role,
     sqrt(avg(pow(predicted_fare - actual_fare, 2)) FILTER (WHERE NOT is_train)) AS rmse,
     1 - sum(pow(predicted_fare - actual_fare, 2)) FILTER (WHERE NOT is_train)
@@ -152,9 +153,11 @@ FROM g""", "pairs", "clean_trips")
 
 @register("gat_decision", _GATE_SQL)
 def _gat_decision(spark, sf):
-    """GAT-1: the gate for the second half of the month (challenger) against the first (champion)."""
+    """GAT-1: the gate for the second half of the dates (challenger) against the first (champion)."""
     c = v.clean_trips(spark, sf)
-    p = c.select(F.when(F.dayofmonth("pickup_datetime") < 16, "champion").otherwise("challenger").alias("role"),
+    seq = F.unix_date(F.to_date("pickup_datetime"))
+    ends = c.agg(F.min(seq), F.max(seq)).first()
+    p = c.select(F.when(2 * seq <= sum(x or 0 for x in ends), "champion").otherwise("challenger").alias("role"),
                  (hash_unit("event_id") % 100 < 80).alias("is_train"), F.col("fare_amount").alias("actual_fare"),
                  (F.col("fare_amount") * (75 + (F.col("event_id") * 13) % 51) / F.lit(1e2)).alias("predicted_fare"))
     m = met.regression_metrics(p, by=["role", "is_train"])

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import SELECT_K
 from ..operators import prep as pp
+from ..operators.features import FEATURE_COLUMNS
 from . import register
 from . import views as v
 from .common import rnd
@@ -193,8 +195,7 @@ def _ord_apply(spark, sf):
     return enc.groupBy("passenger_count_code").agg(F.count(F.lit(1)).alias("n"))
 
 
-MI_COLS = ("trip_distance_km", "manhattan_distance_km", "passenger_count", "pickup_hour", "bearing_deg",
-           "pickup_dist_from_center_km", "airport_trip", "distance_per_passenger")
+MI_COLS = ("passenger_count", *FEATURE_COLUMNS)
 _MI_PROBS = "[" + ", ".join(repr(i / 20) for i in range(1, 20)) + "]"
 
 
@@ -208,7 +209,7 @@ p AS (SELECT feature, c / sum(c) OVER (PARTITION BY feature) AS pxy,
         sum(c) OVER (PARTITION BY feature, bin_x) / sum(c) OVER (PARTITION BY feature) AS px,
         sum(c) OVER (PARTITION BY feature, bin_y) / sum(c) OVER (PARTITION BY feature) AS py FROM c)
 SELECT feature, round(sum(pxy * ln(pxy / (px * py))), 6) AS mi FROM p GROUP BY feature""", "features")
-TOP_K = min(12, len(MI_COLS))
+TOP_K = SELECT_K
 
 
 @register("sel_mutual_information", MI_SQL)
@@ -220,9 +221,9 @@ def _mi(spark, sf):
 
 @register("sel_top_k", MI_SQL + f" ORDER BY mi DESC, feature LIMIT {TOP_K}")
 def _topk(spark, sf):
-    """SEL-1/SEL-2: the k = min(12, #features) features with the highest MI (the selection mask)."""
+    """SEL-1/SEL-2: the 12 of all features with the highest MI (the selection mask)."""
     m = pp.binned_mutual_information(_train(spark, sf), MI_COLS, "fare_amount")
-    return m.orderBy(F.desc("mi"), "feature").limit(TOP_K).withColumn("mi", rnd("mi"))
+    return m.withColumn("mi", rnd("mi")).orderBy(F.desc("mi"), "feature").limit(TOP_K)
 
 
 SPLIT_SQL = v.with_views(f"""

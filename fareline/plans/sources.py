@@ -16,8 +16,9 @@ from . import register
 from . import views as v
 from .common import rnd
 from .metrics import _psi_sql, PSI_COLS
-from .monitoring import HASH_SQL, daily_runs, replay
-from .pricing import scored
+from .models import RULES_SQL, rule_summary
+from .monitoring import _REPLAY_ORACLE, HASH_SQL, daily_runs, replay
+from .pricing import SCORED_SQL, scored
 
 TRIP_COLS = ("event_id, event_type, fare_amount, pickup_datetime, pickup_longitude, pickup_latitude, "
              "dropoff_longitude, dropoff_latitude, passenger_count")
@@ -46,12 +47,21 @@ def _sample_n(spark, sf):
     return t.orderBy(hash_unit("event_id"), "event_id", "fare_amount").limit(1000)
 
 
-@register("src_sample_replacement")
+REPLACEMENT_N = 2000
+_U32 = "('0x' || substr(md5(concat_ws('|', CAST(event_id AS VARCHAR), '7')), 1, 8))::BIGINT / 4294967296e0"
+
+
+@register("src_sample_replacement", v.with_views(f"""
+, l AS (SELECT {REPLACEMENT_N}e0 / count(*) AS lam FROM clean_trips),
+t AS (SELECT k, exp(-lam) * list_sum(list_transform(range(0, k + 1), lambda j: pow(lam, j) / gamma(j + 1))) AS c
+      FROM l, (SELECT unnest(range(0, 120)) AS k)),
+n AS (SELECT event_id, fare_amount, count(*) FILTER (WHERE t.c <= u) AS times
+      FROM (SELECT event_id, fare_amount, {_U32} AS u FROM clean_trips) x, t GROUP BY 1, 2)
+SELECT event_id, fare_amount, CAST(unnest(range(1, times + 1)) AS INTEGER) AS copy FROM n""", "clean_trips"))
 def _sample_repl(spark, sf):
-    """SRC-6: with-replacement sample of ~2,000 rows (Poisson sampling, seeded)."""
-    c = v.clean_trips(spark, sf)
-    n = c.count()
-    return c.sample(withReplacement=True, fraction=min(2000 / max(n, 1), 10.0), seed=42)
+    """SRC-6: with-replacement sample of about 2,000 rows: each row is taken a Poisson number of
+    times, by a hash of its key (so it depends neither on partitions nor on retries)."""
+    return pp.sample_with_replacement(v.clean_trips(spark, sf), REPLACEMENT_N).select("event_id", "fare_amount", "copy")
 
 
 @register("src_stratified", v.with_views(f"""
@@ -108,39 +118,59 @@ def _drift_report(spark, sf):
     return back.select("feature", rnd("drift_score").alias("drift_score"))
 
 
-@register("snk_monitor_scores")
+MONITOR_SAMPLE = 1000
+
+
+@register("snk_monitor_scores", v.with_views(SCORED_SQL + f"""
+SELECT count(*) AS n_full, least(count(*), {MONITOR_SAMPLE}) AS n_sample,
+  round(sum(abs(predicted_fare - actual_fare)), 4) AS abs_error, count(*) FILTER (WHERE pricing_flag = 'NORMAL') AS n_normal
+FROM scored""", "features", "pairs"))
 def _monitor_scores(spark, sf):
-    """SNK-2: full monitor table to parquet + a capped (<= 100k) hash-sample CSV; read back sizes."""
+    """SNK-2: the whole monitor table to parquet, and a sample of a given size as CSV; both read back."""
     s = scored(spark, sf).select("event_id", "predicted_fare", "actual_fare",
                                  F.abs(F.col("predicted_fare") - F.col("actual_fare")).alias("abs_error"),
                                  "pricing_flag")
     base = scratch_path(spark, "monitor")
     s.write.mode("overwrite").parquet(f"{base}/full")
-    pp.sample_n(s, 100_000).write.mode("overwrite").option("header", True).csv(f"{base}/sample")
     full = spark.read.parquet(f"{base}/full")
-    smp = spark.read.option("header", True).csv(f"{base}/sample")
-    return full.agg(F.count(F.lit(1)).alias("n_full")).crossJoin(smp.agg(F.count(F.lit(1)).alias("n_sample")))
+    pp.sample_n(full, MONITOR_SAMPLE).write.mode("overwrite").option("header", True).csv(f"{base}/sample")
+    n_sample = spark.read.option("header", True).csv(f"{base}/sample").count()
+    return full.agg(F.count(F.lit(1)).alias("n_full"), F.lit(n_sample).cast("bigint").alias("n_sample"),
+                    F.round(F.sum("abs_error"), 4).alias("abs_error"),
+                    F.count_if(F.col("pricing_flag") == "NORMAL").alias("n_normal"))
+
 
+_RUN = "'run-' || strftime(DATE '1970-01-01' + CAST({s} AS INTEGER), '%Y-%m-%d')"
 
-@register("snk_promotion_log")
+
+@register("snk_promotion_log", _REPLAY_ORACLE + f"""
+, g AS (SELECT *, champion_rmse IS NOT NULL AS has, (champion_rmse - rmse) / greatest(champion_rmse, 1e-9) AS rel FROM chain)
+SELECT strftime(DATE '1970-01-01' + CAST(seq AS INTEGER), '%Y-%m-%d 00:00:00') AS evaluated_at, decision,
+  {_RUN.format(s='seq')} AS challenger_name, round(rmse, 4) AS challenger_rmse,
+  CASE WHEN has THEN {_RUN.format(s='champion_seq')} END AS champion_name, round(champion_rmse, 4) AS champion_rmse, round(champion_r2, 4) AS champion_r2,
+  CASE WHEN has THEN rel >= 0.02 END AS rmse_improvement_passed, CASE WHEN has THEN r2 >= 0.80 END AS r2_floor_passed,
+  CASE WHEN has THEN gap <= 0.15 END AS gap_passed
+FROM g ORDER BY seq DESC LIMIT 1""")
 def _promotion_log(spark, sf):
     """SNK-6 + SRC-9 + GAT-2: daily runs replayed, appended as JSON records with a nested
     gates struct, read back; latest record with its gates."""
     r = replay(spark, daily_runs(spark, sf)).withColumnRenamed("rmse", "challenger_rmse") \
         .withColumnRenamed("r2", "challenger_r2").withColumnRenamed("gap", "challenger_gap")
+    day = lambda c: F.date_format(F.date_from_unix_date(F.col(c).cast("int")), "yyyy-MM-dd")
     g = mon.apply_gate(r)
-    rec = g.select("decision", "reason", F.format_string("2024-01-%02d 00:00:00", "seq").alias("evaluated_at"),
-                   F.lit("linear").alias("challenger_name"), F.round("challenger_rmse", 4).alias("challenger_rmse"),
+    rec = g.select("decision", "reason", F.concat(day("seq"), F.lit(" 00:00:00")).alias("evaluated_at"),
+                   F.concat(F.lit("run-"), day("seq")).alias("challenger_name"), F.round("challenger_rmse", 4).alias("challenger_rmse"),
                    F.round("challenger_r2", 4).alias("challenger_r2"), F.round("challenger_gap", 4).alias("challenger_gap"),
-                   F.when(F.col("champion_rmse").isNotNull(), F.lit("linear")).alias("champion_name"),
-                   F.round("champion_rmse", 4).alias("champion_rmse"), F.lit(None).cast("double").alias("champion_r2"),
+                   F.concat(F.lit("run-"), day("champion_seq")).alias("champion_name"),
+                   F.round("champion_rmse", 4).alias("champion_rmse"), F.round("champion_r2", 4).alias("champion_r2"),
                    F.when(F.col("champion_rmse").isNotNull(),
                           F.struct("rmse_improvement_passed", "r2_floor_passed", "gap_passed")).alias("gates"))
     path = scratch_path(spark, "promotion-log")
     files.append_json(rec, path)
     log = files.read_promotion_log(spark, path)
-    return mon.latest_decision(log).select("evaluated_at", "decision", "challenger_rmse", "champion_rmse",
-                                           "gates.rmse_improvement_passed", "gates.r2_floor_passed", "gates.gap_passed")
+    return mon.latest_decision(log).select("evaluated_at", "decision", "challenger_name", "challenger_rmse", "champion_name",
+                                           "champion_rmse", "champion_r2", "gates.rmse_improvement_passed",
+                                           "gates.r2_floor_passed", "gates.gap_passed")
 
 
 @register("snk_model_card")
@@ -167,12 +197,10 @@ def _card(spark, sf):
                        F.size(F.map_keys("pricing_flags")).alias("n_flags"))
 
 
-@register("snk_comparison_csv")
+@register("snk_comparison_csv", v.with_views(RULES_SQL + "\nSELECT * FROM summary", "features"))
 def _comparison(spark, sf):
     """SNK-3: comparison table written sorted by (test_rmse, -test_r2) as CSV and read back."""
-    from .models import rule_summary
-
     t = rule_summary(spark, sf)
     path = scratch_path(spark, "comparison")
     files.write_report_csv(t, path, ["test_rmse", F.desc("test_r2")])
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return spark.read.schema(t.schema).option("header", True).csv(path)

@@ -134,15 +134,16 @@ def _val_pass(spark, sf):
 
 
 @register("val_distance_rule", v.with_views("""
-, d AS (SELECT trip_distance_km AS km FROM features)
+, d AS (SELECT trip_distance_km AS km FROM f0)
 SELECT CAST(count(*) FILTER (WHERE km < 0.05e0) AS BIGINT) AS too_short,
        CAST(count(*) FILTER (WHERE km > 100e0) AS BIGINT) AS too_long,
        CAST(count(*) FILTER (WHERE km < 0.01e0) AS BIGINT) AS near_zero,
        CAST(count(*) FILTER (WHERE km BETWEEN 0.05e0 AND 100e0) AS BIGINT) AS kept
 FROM d""", "features"))
 def _val_dist(spark, sf):
-    """VAL-17: distance rule [0.05, 100] km with short / long / near-zero counts."""
-    d = v.features(spark, sf)
+    """VAL-17: distance rule [0.05, 100] km with short / long / near-zero counts,
+    on the distances of all clean trips (before FT-0 drops the long ones)."""
+    d = v.clean_trips(spark, sf).withColumns(ft.distance_columns())
     km = F.col("trip_distance_km")
     return d.agg(F.count_if(km < 0.05).alias("too_short"), F.count_if(km > 100.0).alias("too_long"),
                  F.count_if(km < 0.01).alias("near_zero"), F.count_if(km.between(0.05, 100.0)).alias("kept"))

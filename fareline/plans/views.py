@@ -6,8 +6,7 @@ Oracle side: CTE text valid in DuckDB, prepended to each oracle query.
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import features as ft
@@ -28,10 +27,12 @@ trips AS (
     CASE WHEN event_id % 97 = 0 THEN 0e0 ELSE -74.05e0 + ((event_id * 7919) % 3000) / 1e4 END AS pickup_longitude,
     CASE WHEN event_id % 97 = 0 THEN 0e0 ELSE 40.60e0 + ((event_id * 6101) % 3000) / 1e4 END AS pickup_latitude,
     CASE WHEN event_id % 101 = 0 THEN CAST(NULL AS DOUBLE)
+         WHEN event_id % 307 = 0 THEN -72.85e0
          WHEN event_id % 23 = 0 THEN -73.7781e0 + ((event_id * 31) % 100) / 1e4
          WHEN event_id % 89 = 0 THEN -74.05e0 + ((event_id * 7919) % 3000) / 1e4
          ELSE -74.05e0 + ((event_id * 4243) % 3000) / 1e4 END AS dropoff_longitude,
     CASE WHEN event_id % 101 = 0 THEN CAST(NULL AS DOUBLE)
+         WHEN event_id % 307 = 0 THEN 41.15e0
          WHEN event_id % 23 = 0 THEN 40.6413e0 + ((event_id * 37) % 100) / 1e4
          WHEN event_id % 89 = 0 THEN 40.60e0 + ((event_id * 6101) % 3000) / 1e4
          ELSE 40.60e0 + ((event_id * 3571) % 3000) / 1e4 END AS dropoff_latitude,
@@ -154,21 +155,25 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
     The reference starts from a raw trip file; here that file is derived from
     ``events`` (whole table) and written as parquet once, so every query
     scans plain columns (filters and projections pushed into the scan) and
-    the written table survives executor loss. Keyed by the source file's
-    path, size and modification time.
+    the written table survives executor loss. Keyed by the source files as
+    Spark lists them (any file system), and read again from the events if
+    the written table is gone.
     """
-    src = os.path.join(sf, "events.parquet")
-    st = os.stat(src)
-    key = (os.path.abspath(src), st.st_size, st.st_mtime_ns, id(spark.sparkContext))
+    events = tables.read_table(spark, sf, "events")
+    key = (tuple(sorted(events.inputFiles())), events.count(), id(spark.sparkContext))
     path = _INGESTED.get(key)
-    if path is None or not os.path.exists(os.path.join(path, "_SUCCESS")):
-        path = scratch_path(spark, "trips-ingest")
-        t = tables.trips(spark, sf)
-        par = spark.sparkContext.defaultParallelism
-        if t.rdd.getNumPartitions() < par:
-            t = t.repartition(par)
-        t.write.mode("overwrite").parquet(path)
-        _INGESTED[key] = path
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:       # the scratch folder was removed meanwhile
+            pass
+    path = scratch_path(spark, "trips-ingest")
+    t = tables.trips_from_events(events)
+    par = spark.sparkContext.defaultParallelism
+    if t.rdd.getNumPartitions() < par:
+        t = t.repartition(par)
+    t.write.mode("overwrite").parquet(path)
+    _INGESTED[key] = path
     return spark.read.parquet(path)
 
 

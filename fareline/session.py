@@ -82,3 +82,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return os.path.join(base, f"fareline-{name}-{uuid.uuid4().hex[:12]}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder of this library, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

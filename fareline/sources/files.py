@@ -66,7 +66,7 @@ def read_promotion_log(spark: SparkSession, path: str, multiline: bool = False)
 
 def append_json(df: DataFrame, path: str) -> None:
     """SNK-5/SNK-6: append records (new files, no read-modify-write race)."""
-    df.coalesce(1).write.mode("append").json(path)
+    df.write.mode("append").json(path)
 
 
 def write_report_csv(df: DataFrame, path: str, order_by) -> None:

@@ -3,8 +3,8 @@
 The test tables carry no coordinates, so a trip table is derived from
 ``events`` with integer arithmetic (the derivation plants every defect the
 validation rules look for: duplicates, negative fares, null island,
-missing drop-offs, drop-offs at JFK, zero-length trips, bad passenger
-counts). It is a plain projection + union of the whole table: no sampling,
+missing drop-offs, drop-offs at JFK, zero-length trips, trips of about 100 km,
+bad passenger counts). It is a plain projection + union of the whole table: no sampling,
 and Catalyst prunes the unused ``events`` columns at the scan.
 """
 
@@ -15,10 +15,6 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-          "events", "documents", "embeddings", "pages", "benchmark", "labels",
-          "conversations")
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -33,10 +29,12 @@ _TRIP_EXPRS = (
     "CASE WHEN event_id % 97 = 0 THEN 0.0D ELSE -74.05D + ((event_id * 7919) % 3000) / 1e4D END AS pickup_longitude",
     "CASE WHEN event_id % 97 = 0 THEN 0.0D ELSE 40.60D + ((event_id * 6101) % 3000) / 1e4D END AS pickup_latitude",
     "CASE WHEN event_id % 101 = 0 THEN CAST(NULL AS DOUBLE) "
+    "WHEN event_id % 307 = 0 THEN -72.85D "
     "WHEN event_id % 23 = 0 THEN -73.7781D + ((event_id * 31) % 100) / 1e4D "
     "WHEN event_id % 89 = 0 THEN -74.05D + ((event_id * 7919) % 3000) / 1e4D "
     "ELSE -74.05D + ((event_id * 4243) % 3000) / 1e4D END AS dropoff_longitude",
     "CASE WHEN event_id % 101 = 0 THEN CAST(NULL AS DOUBLE) "
+    "WHEN event_id % 307 = 0 THEN 41.15D "
     "WHEN event_id % 23 = 0 THEN 40.6413D + ((event_id * 37) % 100) / 1e4D "
     "WHEN event_id % 89 = 0 THEN 40.60D + ((event_id * 6101) % 3000) / 1e4D "
     "ELSE 40.60D + ((event_id * 3571) % 3000) / 1e4D END AS dropoff_latitude",
