@@ -46,8 +46,8 @@ def airport_flags(rules: TripRules = DEFAULT_RULES) -> dict:
     return out
 
 
-def add_engineered_features(df: DataFrame, rules: TripRules = DEFAULT_RULES) -> DataFrame:
-    """FT-0: the complete feature table (VAL-19 distance filter included).
+def add_engineered_features(df: DataFrame, rules: TripRules = DEFAULT_RULES, drop_long: bool = True) -> DataFrame:
+    """FT-0: the complete feature table (VAL-19 distance filter included unless ``drop_long`` is off).
 
     Two projections and one filter: raw-coordinate / clock features first,
     then the columns derived from them (the distance filter sits between).
@@ -57,7 +57,9 @@ def add_engineered_features(df: DataFrame, rules: TripRules = DEFAULT_RULES) ->
     flags = airport_flags(rules)
     first.update(flags)
     first["pickup_dist_from_center_km"] = geo.distance_to_point(PLAT, PLON, MANHATTAN_CENTER)
-    df = df.withColumns(first).where(F.col("trip_distance_km") <= rules.max_trip_km)
+    df = df.withColumns(first)
+    if drop_long:
+        df = df.where(F.col("trip_distance_km") <= rules.max_trip_km)
     second = {**cal.flag_columns(), **cal.cyclic_columns()}
     second["airport_trip"] = F.expr(f"CAST(greatest({', '.join(flags)}) AS INT)")
     df = df.withColumns(second)

@@ -13,8 +13,10 @@ from __future__ import annotations
 import json
 import os
 import random
+from multiprocessing.pool import ThreadPool
 from dataclasses import asdict, dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Bucketizer, StringIndexerModel, VectorAssembler
@@ -222,6 +224,23 @@ def tune(family: str, data: DataFrame, *, n_iter: int = SEARCH_ITERS, folds: int
     return model, rows
 
 
+def cv_scores(family: str, data: DataFrame, *, folds: int = CV_FOLDS, seed: int = RANDOM_STATE, params: dict | None = None,
+              label: str = "fare_amount", parallelism: int = 5) -> tuple[float, float]:
+    """MOD-7: (mean, population std) of the RMSE over hash folds; the folds are
+    independent Spark jobs, run side by side."""
+    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
+    d = data.withColumn("_fold", pp.kfold(k=folds, seed=str(seed)))
+
+    def one(i: int) -> float:
+        model = make_regressor(family, params, label, seed).fit(d.where(F.col("_fold") != i))
+        return ev.evaluate(model.transform(d.where(F.col("_fold") == i)))
+
+    with ThreadPool(min(parallelism, folds)) as pool:
+        scores = pool.map(inheritable_thread_target(data.sparkSession)(one), range(folds))
+    mean = sum(scores) / folds
+    return mean, (sum((s - mean) ** 2 for s in scores) / folds) ** 0.5
+
+
 # --- MOD-7 / MOD-8 ---------------------------------------------------------------
 
 def comparison_table(pred_long: DataFrame, *, n_features: int = 10, cv: DataFrame | None = None) -> DataFrame:
@@ -270,55 +289,58 @@ def feature_importance(model, names, top_k: int = 20):
     return pairs[:top_k]
 
 
-def permute_column(df: DataFrame, column: str, seed: int, key: str = "event_id", rows_per_block: int = 10_000,
-                   n_rows: int | None = None) -> DataFrame:
-    """Shuffle one column across rows without a global sort or a single task:
-    each row draws a random block (~``rows_per_block`` rows per block) and a
-    random rank inside it; the column is re-paired between two independent
-    orders of the same block (row_number over a window partitioned by block).
-    The draws are seeded hashes of the whole row (rows are distinct after
-    validation), not ``rand``: a partition recomputed after an executor loss
-    or a different shuffle order gets the same draws, and even a key shared
-    by a third of all rows is spread over all blocks. The input is kept once
-    so both sides scan it once."""
-    from pyspark import StorageLevel
+def shuffled_columns(df: DataFrame, columns, seed: int, rows_per_block: int = 10_000, n_rows: int | None = None) -> DataFrame:
+    """``df`` with, for each of ``columns``, a column ``_s_<name>`` that holds its values shuffled over the rows.
 
+    Rows fall into hash blocks of about ``rows_per_block`` rows and are ordered in a
+    block by another hash of the whole row; each takes the values of the next one (the
+    last of the first), a random cycle. One window for all columns, no global sort, no
+    single task. The draws are seeded hashes of the row, not ``rand``: a
+    partition recomputed after an executor loss gets the same ones, and even a
+    key shared by a third of all rows is spread over all blocks."""
     n_rows = n_rows if n_rows is not None else df.count()
-    blocks = max(1, n_rows // rows_per_block)
     row = [F.col(c) for c in df.columns]
-    base = df.withColumns({"_blk": F.pmod(F.xxhash64(F.lit(seed), *row), F.lit(blocks)).cast("int"),
-                           "_o1": F.xxhash64(F.lit(seed + 1), *row),
-                           "_o2": F.xxhash64(F.lit(seed + 2), *row)}).persist(StorageLevel.MEMORY_AND_DISK)
-    w1 = Window.partitionBy("_blk").orderBy("_o1", key)
-    w2 = Window.partitionBy("_blk").orderBy("_o2", key)
-    left = base.drop(column).withColumn("_rn", F.row_number().over(w1))
-    right = base.select("_blk", F.col(column), F.row_number().over(w2).alias("_rn"))
-    out = left.join(right, ["_blk", "_rn"]).drop("_blk", "_rn", "_o1", "_o2")
-    out._held = base  # released by the caller after use (``release``)
-    return out
-
-
-def release(df: DataFrame) -> None:
-    held = getattr(df, "_held", None)
-    if held is not None:
-        held.unpersist()
+    base = df.withColumns({"_blk": F.pmod(F.xxhash64(F.lit(seed), *row), F.lit(max(1, n_rows // rows_per_block))),
+                           "_ord": F.xxhash64(F.lit(seed + 1), *row)})
+    values = F.struct(*columns)
+    w = Window.partitionBy("_blk").orderBy("_ord", *columns)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    nxt = F.coalesce(F.lead(values).over(w), F.first(values).over(whole))
+    out = base.withColumn("_next", nxt)
+    return out.withColumns({f"_s_{c}": F.col(f"_next.{c}") for c in columns}).drop("_blk", "_ord", "_next")
 
 
 def permutation_importance(fitted: PipelineModel, prep: Preprocessor, df: DataFrame, columns, *, repeats: int = 5,
                            label: str = "fare_amount", seed: int = 42):
-    """EXP-2: mean increase of RMSE when one input column is shuffled (repeats)."""
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
-    base = ev.evaluate(fitted.transform(prep.transform(df)))
-    n = df.count()
-    out = []
-    for c in columns:
-        deltas = []
-        for r in range(repeats):
-            shuffled = permute_column(df, c, seed + 10 * r, n_rows=n)
-            deltas.append(ev.evaluate(fitted.transform(prep.transform(shuffled))) - base)
-            release(shuffled)
-        out.append((c, float(sum(deltas) / len(deltas))))
-    return sorted(out, key=lambda t: -t[1])
+    """EXP-2: mean increase of RMSE when one input column is shuffled (repeats).
+
+    One job per repeat: every row is scored once as it is and once per column
+    with that column's shuffled value."""
+    columns, used = list(columns), list(prep.feature_order)
+    n, sums = df.count(), dict.fromkeys(columns, 0.0)
+    base = df.select(label, *used)
+    for r in range(repeats):
+        s = shuffled_columns(base, columns, seed + 10 * r, n_rows=n)
+        entries = F.array(*[F.struct(F.lit(name).alias("shuffled"), *[
+            F.col(f"_s_{c}" if c == name else c).alias(c) for c in used]) for name in ("", *columns)])
+        scored = fitted.transform(prep.transform(s.select(F.col(label), F.inline(entries))))
+        e = F.col("prediction") - F.col(label)
+        rmse = {x["shuffled"]: x["rmse"] for x in scored.groupBy("shuffled").agg(F.sqrt(F.avg(e * e)).alias("rmse")).collect()}
+        for c in columns:
+            sums[c] += rmse[c] - rmse[""]
+    return sorted(((c, v / repeats) for c, v in sums.items()), key=lambda t: (-t[1], t[0]))
+
+
+def vector_shap(scored: DataFrame, coefficients, names, features: str = "features") -> DataFrame:
+    """EXP-3 on a feature vector: mean |coef_j (x_j - mean_j)| per feature, all rows, two aggregates."""
+    from pyspark.ml.functions import vector_to_array
+
+    x = scored.select(F.posexplode(vector_to_array(features)).alias("j", "x"))
+    means = x.groupBy("j").agg(F.avg("x").alias("m"))       # one row per feature
+    t = scored.sparkSession.createDataFrame([(i, n, float(c)) for i, (n, c) in enumerate(zip(names, coefficients))],
+                                            "j int, feature string, coef double")
+    per = F.broadcast(means.join(t, "j"))
+    return x.join(per, "j").groupBy("feature").agg(F.avg(F.abs(F.col("coef") * (F.col("x") - F.col("m")))).alias("mean_abs_shap"))
 
 
 def linear_shap(df: DataFrame, coefs: dict) -> DataFrame:
@@ -385,17 +407,31 @@ def predict_with_interval(scored: DataFrame, iso_model: PipelineModel | None, ca
 
 # --- SNK-7 --------------------------------------------------------------------------
 
-def save_artifacts(path: str, model: PipelineModel, prep: Preprocessor, meta: dict) -> str:
-    """Versioned model directory: Spark ML model + preprocessing params + metadata."""
+def save_artifacts(path: str, model: PipelineModel, prep: Preprocessor, meta: dict, iso: PipelineModel | None = None,
+                   cal: Calibration | None = None) -> str:
+    """Versioned model directory: Spark ML model, preprocessing parameters, metadata, and the
+    calibration (isotonic model and its scale) when there is one."""
     from pyspark.sql import SparkSession
 
     model.write().overwrite().save(os.path.join(path, "model"))
+    if iso is not None:
+        iso.write().overwrite().save(os.path.join(path, "calibration"))
     s = SparkSession.getActiveSession()
-    s.createDataFrame([(prep.to_json(), json.dumps(meta))], "preprocessor string, meta string") \
+    s.createDataFrame([(prep.to_json(), json.dumps(meta), json.dumps(asdict(cal)) if cal else None)],
+                      "preprocessor string, meta string, calibration string") \
         .coalesce(1).write.mode("overwrite").json(os.path.join(path, "params"))
     return path
 
 
+def load_calibration(path: str) -> tuple[PipelineModel | None, Calibration | None]:
+    from pyspark.sql import SparkSession
+
+    row = SparkSession.getActiveSession().read.schema("calibration string").json(os.path.join(path, "params")).first()
+    if row["calibration"] is None:
+        return None, None
+    return PipelineModel.load(os.path.join(path, "calibration")), Calibration(**json.loads(row["calibration"]))
+
+
 def load_artifacts(path: str):
     from pyspark.sql import SparkSession
 

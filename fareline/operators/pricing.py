@@ -82,6 +82,20 @@ def score_columns(prediction: str = "predicted_fare", lower: str | None = None,
     return out
 
 
+TOO_LONG = "DISTANCE_ABOVE_LIMIT"
+NO_DISTANCE = "NO_DISTANCE"
+
+
+def score_every_trip(df: DataFrame, prediction: str = "prediction", lower: str | None = None, upper: str | None = None,
+                     rules: TripRules = DEFAULT_RULES, distance: str = "trip_distance_km") -> dict:
+    """PRC-5 for every row: the score columns, NULL for a trip that no price is
+    made for, and ``unpriced_reason`` (NULL for priced trips)."""
+    d = F.col(distance)
+    reason = F.when(d.isNull(), NO_DISTANCE).when(d > rules.max_trip_km, TOO_LONG)
+    out = {k: F.when(reason.isNull(), c) for k, c in score_columns(prediction, lower, upper, rules).items()}
+    return {**out, "unpriced_reason": reason}
+
+
 def band_table(spark, bands=FARE_BANDS) -> DataFrame:
     return spark.createDataFrame([(n, float(lo), float(hi)) for n, lo, hi in bands],
                                  "band string, lo double, hi double")

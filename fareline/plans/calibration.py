@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import features as ft
 from ..operators import models as md
 from ..operators import pricing as prc
 from ..operators import prep as pp
@@ -54,7 +55,7 @@ def _cab_bucket(spark, sf):
 def _calibrated(spark, sf):
     model, prep, f = fitted(spark, sf, "linear")
     cal = model.transform(prep.transform(f.where(F.col("split") == "calibration")))
-    iso, c = md.calibrate(cal)
+    iso, c = md.calibrate(cal.select("fare_amount", "prediction"))
     return model, prep, f, iso, c
 
 
@@ -79,9 +80,23 @@ def _cab_interval(spark, sf):
 
 @register("prc_end_to_end")
 def _e2e(spark, sf):
-    """PRC-5: features -> model -> interval -> single-trip pricing output for every test trip."""
-    model, prep, f, iso, c = _calibrated(spark, sf)
-    te = model.transform(prep.transform(f.where(F.col("split") == "test")))
-    iv = md.predict_with_interval(te, iso, c)
-    cols = prc.score_columns("prediction", "lower", "upper")
+    """PRC-5: features -> model -> interval -> pricing output of every clean trip; a trip
+    above the distance limit has no price but a reason."""
+    model, prep, _f, iso, c = _calibrated(spark, sf)
+    every = ft.add_engineered_features(v.clean_trips(spark, sf), drop_long=False)
+    iv = md.predict_with_interval(model.transform(prep.transform(every)), iso, c)
+    cols = prc.score_every_trip(iv, "prediction", "lower", "upper")
     return iv.select("event_id", *[e.alias(k) for k, e in cols.items()])
+
+
+@register("prc_unpriced", v.with_views("""
+SELECT event_id, CASE WHEN trip_distance_km > 100e0 THEN 'DISTANCE_ABOVE_LIMIT' END AS unpriced_reason,
+  CASE WHEN trip_distance_km <= 100e0 THEN round(greatest(least(fare_amount * 0.8e0, 300e0), 2.5e0), 2) END AS predicted_fare_usd
+FROM f0""", "features"))
+def _unpriced(spark, sf):
+    """PRC-5 on a given prediction (0.8 times the fare): one row per clean trip, priced or with a reason."""
+    every = ft.add_engineered_features(v.clean_trips(spark, sf), drop_long=False)
+    every = every.withColumn("prediction", F.col("fare_amount") * F.lit(0.8))
+    cols = prc.score_every_trip(every)
+    return every.select("event_id", cols["unpriced_reason"].alias("unpriced_reason"), F.round(
+        F.when(cols["unpriced_reason"].isNull(), prc.clamp_fare("prediction")), 2).alias("predicted_fare_usd"))

@@ -172,7 +172,13 @@ def _ft(spark, sf):
                     *[rnd(c).alias(c) for c in FT_DOUBLES])
 
 
-@register("typ_narrow")
+@register("typ_narrow", v.with_views("SELECT event_id, fare_amount, pickup_datetime, " + ", ".join(
+    f"CAST({c} AS {t}) AS {c}" for t, cs in (
+        ("FLOAT", ("pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")),
+        ("TINYINT", ("passenger_count", "pickup_hour", "pickup_dow", "pickup_month", "is_weekend", "is_rush_hour", "near_jfk")),
+        ("SMALLINT", ("pickup_year",))) for c in cs) + " FROM features", "features"))
 def _typ(spark, sf):
     """TYP-1: storage narrowing of the feature table (float / smallest int)."""
-    return ft.narrow_types(v.features(spark, sf))
+    return ft.narrow_types(v.features(spark, sf), skip=("event_id", "fare_amount", "pickup_datetime")).select(
+        "event_id", "fare_amount", "pickup_datetime", "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude",
+        "passenger_count", "pickup_hour", "pickup_dow", "pickup_month", "is_weekend", "is_rush_hour", "near_jfk", "pickup_year")

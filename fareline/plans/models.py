@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
+from ..config import SELECT_K
 from ..operators import metrics as met
 from ..operators import models as md
+from ..operators import monitor as mon
 from ..operators import prep as pp
 from ..session import scratch_path
 from . import register
@@ -21,38 +23,59 @@ CONT = ("trip_distance_km", "manhattan_distance_km", "bearing_deg", "pickup_dist
 BIN = ("is_rush_hour", "is_weekend", "is_late_night", "airport_trip")
 
 
-def split_features(spark, sf):
-    f = v.features(spark, sf).withColumn("split", pp.split_label())
-    return f
+def written_table(df, name):
+    """``df`` written under the shared checkpoint folder and read back (scanned many times)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
 
+_SPLITS: dict = {}
 
-def fitted(spark, sf, family, params=None, scaled=None):
-    """Fit preprocessing + one regressor on the train split; returns (model, prep, data)."""
-    from pyspark import StorageLevel
 
+def split_features(spark, sf):
+    """The feature table with its split label, written once per session and input:
+    the model queries scan it many times and must not repeat dedup and features."""
+    trips = v.trips(spark, sf)
+    key = (tuple(trips.inputFiles()), id(spark.sparkContext))
+    if key not in _SPLITS:
+        path = scratch_path(spark, "features")
+        v.features(spark, sf).withColumn("split", pp.split_label()).write.parquet(path)
+        _SPLITS[key] = path
+    return spark.read.parquet(_SPLITS[key])
+
+
+def fitted(spark, sf, family, params=None, scaled=None, columns=None, splits=("train",)):
+    """Fit preprocessing + one regressor on the train split; returns (model, prep, data).
+    ``columns`` limits the features (SEL-2)."""
     f = split_features(spark, sf)
-    # the train split feeds ~10 fit aggregates and the solver: keep it (memory + disk)
-    train = f.where(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
+    train = f.where(F.col("split").isin(*splits))
     scaled = (family == "linear") if scaled is None else scaled
-    prep = md.fit_preprocessor(train, ORD, CONT, BIN, scaled=scaled)
+    use = lambda cols: [c for c in cols if columns is None or c in columns]
+    prep = md.fit_preprocessor(train, use(ORD), use(CONT), use(BIN), scaled=scaled)
     model = Pipeline(stages=[md.make_regressor(family, params)]).fit(prep.transform(train))
-    train.unpersist()
     return model, prep, f
 
 
+def selected_columns(spark, sf, k=SELECT_K):
+    """SEL-2: the k model inputs with the highest mutual information with the fare (train split)."""
+    train = split_features(spark, sf).where(F.col("split") == "train")
+    mi = pp.binned_mutual_information(train, ORD + CONT + BIN, "fare_amount")
+    return [r["feature"] for r in mi.orderBy(F.desc("mi"), "feature").limit(k).collect()]
+
+
 def _long_predictions(model, prep, f, name):
     scored = model.transform(prep.transform(f.where(F.col("split").isin("train", "test"))))
     return scored.select(F.lit(name).alias("model"), "split", F.col("fare_amount").alias("actual"),
                          F.col("prediction").alias("predicted"))
 
 
-FAMILY_PARAMS = {"linear": {}, "tree": {"maxDepth": 10}, "forest": {"numTrees": 50, "maxDepth": 10},
-                 "gbt": {"maxIter": 50, "maxDepth": 5}}
+FAMILIES = ("linear", "tree", "forest", "gbt")
 
 
 def _family_query(family):
     def q(spark, sf):
-        model, prep, f = fitted(spark, sf, family, FAMILY_PARAMS[family])
+        model, prep, f = fitted(spark, sf, family)
         return md.comparison_table(_long_predictions(model, prep, f, family), n_features=len(prep.feature_order))
     q.__doc__ = f"MOD-1..4: {family} regressor fitted on the train split; comparison row."
     return q
@@ -64,15 +87,12 @@ for _fam, _id in (("linear", "mod_linear"), ("tree", "mod_tree"), ("forest", "mo
 
 @register("mod_search")
 def _search(spark, sf):
-    """MOD-6: randomised search (seeded grid sample) with a hash fold column, ridge / lasso /
+    """MOD-6: randomised search (20 seeded draws of the grid, 5 hash folds), ridge / lasso /
     elastic net, on features preprocessed once (fitted on the train split)."""
-    f = split_features(spark, sf)
-    train = f.where(F.col("split") == "train")
+    train = split_features(spark, sf).where(F.col("split") == "train")
     prep = md.fit_preprocessor(train, ORD, CONT, BIN, scaled=True)
-    data = prep.transform(train).select("event_id", "features", "fare_amount")
-    n = data.count()
-    n_iter, folds = md.search_budget(n, 8, 3)
-    _model, rows = md.tune("linear", data, n_iter=n_iter, folds=folds)
+    data = written_table(prep.transform(train).select("event_id", "features", "fare_amount"), "search")
+    _model, rows = md.tune("linear", data)
     return spark.createDataFrame([(str(sorted(p.items())), a, s) for p, a, s in rows],
                                  "params string, cv_mean_rmse double, cv_std_rmse double")
 
@@ -81,28 +101,47 @@ def _search(spark, sf):
 def _search_refit(spark, sf):
     """MOD-6 with the preprocessing stage inside the CV pipeline: PP-1..5 refitted on
     every training fold (2 sampled settings x 3 folds)."""
-    from pyspark import StorageLevel
-
-    f = split_features(spark, sf)
-    train = f.where(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
+    train = split_features(spark, sf).where(F.col("split") == "train")
     prep = md.TripPreprocessor(ordinalCols=list(ORD), continuousCols=list(CONT), binaryCols=list(BIN), scaled=True)
     _model, rows = md.tune("linear", train, n_iter=2, folds=3, preprocessor=prep)
-    train.unpersist()
     return spark.createDataFrame([(str(sorted(p.items())), a, s) for p, a, s in rows],
                                  "params string, cv_mean_rmse double, cv_std_rmse double")
 
 
+_TRAINED: dict = {}
+
+
+def trained_summary(spark, sf):
+    """MOD-7 over the four families, each on the selected features (SEL-2) and with 5-fold
+    CV columns; written once per session and input, so that the stages after it read it."""
+    key = (tuple(v.trips(spark, sf).inputFiles()), id(spark.sparkContext))
+    if key not in _TRAINED:
+        use, parts, cv = selected_columns(spark, sf), [], []
+        for fam in FAMILIES:
+            model, prep, f = fitted(spark, sf, fam, columns=use)
+            parts.append(_long_predictions(model, prep, f, fam))
+            train = prep.transform(f.where(F.col("split") == "train")).select("event_id", "features", "fare_amount")
+            cv.append((fam, *md.cv_scores(fam, written_table(train, "cv"))))
+        long = parts[0]
+        for p in parts[1:]:
+            long = long.unionByName(p)
+        cv = spark.createDataFrame(cv, "model string, cv_mean_rmse double, cv_std_rmse double")
+        path = scratch_path(spark, "trained-summary")
+        md.comparison_table(long, n_features=len(use), cv=cv).write.parquet(path)
+        _TRAINED[key] = path
+    return spark.read.parquet(_TRAINED[key])
+
+
 @register("mod_compare")
 def _compare(spark, sf):
-    """MOD-7: comparison table of the linear, tree and forest families (sorted by rmse, r2)."""
-    parts = []
-    for fam in ("linear", "tree", "forest"):
-        model, prep, f = fitted(spark, sf, fam, FAMILY_PARAMS[fam])
-        parts.append(_long_predictions(model, prep, f, fam))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
-    return md.comparison_table(long, n_features=len(ORD) + len(CONT) + len(BIN)).orderBy("test_rmse", F.desc("test_r2"))
+    """MOD-7: comparison table of the four trained families with CV columns (sorted by rmse, r2)."""
+    return trained_summary(spark, sf).orderBy("test_rmse", F.desc("test_r2"))
+
+
+@register("mod_select_trained")
+def _select_trained(spark, sf):
+    """MOD-8 on the trained families."""
+    return md.select_best(trained_summary(spark, sf))
 
 
 # --- rule-based predictors: MOD-7 / MOD-8 with a SQL oracle ------------------------------
@@ -207,35 +246,47 @@ def _shap(spark, sf):
     return s.withColumn("mean_abs_shap", rnd("mean_abs_shap"))
 
 
+@register("exp_linear_shap_model")
+def _shap_model(spark, sf):
+    """EXP-3: mean |SHAP| of every feature of the linear model, all train rows."""
+    model, prep, f = fitted(spark, sf, "linear")
+    x = prep.transform(f.where(F.col("split") == "train")).select("features")
+    return md.vector_shap(x, model.stages[-1].coefficients.toArray(), prep.feature_order)
+
+
 @register("exp_importance")
 def _importance(spark, sf):
     """EXP-1: forest feature importances (top 20)."""
-    model, prep, _ = fitted(spark, sf, "forest", FAMILY_PARAMS["forest"])
+    model, prep, _ = fitted(spark, sf, "forest")
     pairs = md.feature_importance(model.stages[-1], prep.feature_order)
     return spark.createDataFrame(pairs, "feature string, importance double")
 
 
 @register("exp_permutation")
 def _permutation(spark, sf):
-    """EXP-2: permutation importance (RMSE increase, 3 repeats) of the linear model on the test split."""
+    """EXP-2: permutation importance (RMSE increase, 5 repeats) of every input of the linear model, test split."""
     model, prep, f = fitted(spark, sf, "linear")
-    te = f.where(F.col("split") == "test")
-    out = md.permutation_importance(model, prep, te, ["trip_distance_km", "pickup_hour", "passenger_count",
-                                                      "airport_trip"], repeats=3)
+    out = md.permutation_importance(model, prep, f.where(F.col("split") == "test"), prep.feature_order)
     return spark.createDataFrame(out, "feature string, rmse_increase double")
 
 
 @register("mod_refit_champion")
 def _refit(spark, sf):
-    """MOD-9 + SNK-7: refit the selected family on train + calibration rows, save a
-    versioned artefact under the checkpoint folder, load it back and score the test split."""
-    f = split_features(spark, sf)
-    big = f.where(F.col("split").isin("train", "calibration"))
-    prep = md.fit_preprocessor(big, ORD, CONT, BIN, scaled=True)
-    model = Pipeline(stages=[md.make_regressor("linear")]).fit(prep.transform(big))
-    path = md.save_artifacts(scratch_path(spark, "model-linear-v1"), model, prep, {"family": "linear"})
+    """MOD-9 + SNK-7 + GAT-1: the selected family is refitted on its selected features,
+    calibrated, saved with its calibration, loaded back, scored on the test split
+    with intervals, and put through the gate against the runner-up."""
+    summary = trained_summary(spark, sf)
+    best = md.select_best(summary).first()
+    rival = summary.where(F.col("model") != best["model"]).orderBy("test_rmse", "model").first()
+    model, prep, f = fitted(spark, sf, best["model"], columns=selected_columns(spark, sf))
+    iso, cal = md.calibrate(model.transform(prep.transform(f.where(F.col("split") == "calibration"))))
+    path = md.save_artifacts(scratch_path(spark, f"model-{best['model']}"), model, prep, {"family": best["model"]}, iso, cal)
     loaded, prep2, meta = md.load_artifacts(path)
-    te = f.where(F.col("split") == "test")
-    scored = loaded.transform(prep2.transform(te))
-    m = met.regression_metrics(scored, "fare_amount", "prediction")
-    return m.select(F.lit(meta["family"]).alias("model"), "n", "rmse", "mae", "r2")
+    iv = md.predict_with_interval(loaded.transform(prep2.transform(f.where(F.col("split") == "test"))), *md.load_calibration(path))
+    iv = written_table(iv.select("fare_amount", "prediction", "lower", "upper"), "champion-scores")
+    m = met.regression_metrics(iv, "fare_amount", "prediction").select(
+        F.lit(meta["family"]).alias("model"), "n", "mae", F.col("rmse").alias("challenger_rmse"), F.col("r2").alias("challenger_r2"),
+        F.lit(best["train_test_gap"]).alias("challenger_gap"), F.lit(rival["model"]).alias("champion"),
+        F.lit(rival["test_rmse"]).alias("champion_rmse"), F.lit(cal.k).alias("k"))
+    covered = iv.agg(F.avg(F.col("fare_amount").between(F.col("lower"), F.col("upper")).cast("double"))).first()[0]
+    return mon.apply_gate(m).withColumn("coverage", F.lit(covered)).drop("reason")

@@ -47,17 +47,28 @@ SELECT epoch_us(ws) AS window_start_us, n, round(mape, 6) AS mape, round(surge_r
 WHERE ws + INTERVAL 1 HOUR <= (SELECT max(pickup_datetime) FROM s2) - INTERVAL 10 MINUTE"""
 
 
-def _kpi_stream(spark, sf, late: bool):
+_SLIDE_SQL = SCORED_SQL + """
+, s2 AS (SELECT s.*, c.pickup_datetime FROM scored s JOIN clean_trips c USING (event_id)),
+win AS (SELECT time_bucket(INTERVAL 30 MINUTE, pickup_datetime) - k * INTERVAL 30 MINUTE AS ws, count(*) AS n,
+          avg(abs(predicted_fare - actual_fare) / greatest(actual_fare, 1e-6)) AS mape,
+          avg(CAST(pricing_flag = 'SURGE_ELIGIBLE' AS DOUBLE)) AS surge_rate
+        FROM s2, (SELECT unnest([0, 1]) AS k) GROUP BY 1)
+SELECT epoch_us(ws) AS window_start_us, n, round(mape, 6) AS mape, round(surge_rate, 6) AS surge_rate FROM win
+WHERE ws + INTERVAL 1 HOUR <= (SELECT max(pickup_datetime) FROM s2) - INTERVAL 10 MINUTE"""
+
+
+def _kpi_stream(spark, sf, late: bool, slide: str | None = None):
     base = scratch_path(spark, "st-kpi")
     src, (sink, ckpt) = f"{base}/source", jobs.sink_dir(base, "out")
     s = scored(spark, sf).select("event_id", "pickup_datetime", "actual_fare", "predicted_fare", "pricing_flag")
 
     def run():
         stream = jobs.with_event_time(jobs.read_stream(spark, src, s.schema))
-        jobs.run_available_now(jobs.window_kpis(stream), sink, ckpt)
+        jobs.run_available_now(jobs.window_kpis(stream, slide=slide), sink, ckpt)
 
     # late: a replay of the first day arriving after the watermark has passed it
-    extra = s.where(F.dayofmonth("pickup_datetime") == 1) if late else None
+    first = s.agg(F.to_date(F.min("pickup_datetime"))).first()[0] if late else None
+    extra = s.where(F.to_date("pickup_datetime") == F.lit(first)) if late else None
     jobs.feed_in_slices(s, "pickup_datetime", CHUNKS, src, run, extra)
     out = spark.read.parquet(sink)
     return out.select(F.unix_micros("window_start").alias("window_start_us"), "n", rnd("mape").alias("mape"),
@@ -70,6 +81,12 @@ def _st_kpis(spark, sf):
     return _kpi_stream(spark, sf, late=False)
 
 
+@register("st_sliding_kpis", v.with_views(_SLIDE_SQL, "features", "pairs", "clean_trips"))
+def _st_sliding(spark, sf):
+    """ST-2: one-hour windows that start every 30 minutes, 10-minute watermark."""
+    return _kpi_stream(spark, sf, late=False, slide="30 minutes")
+
+
 @register("st_late_rows", v.with_views(_KPI_SQL, "features", "pairs", "clean_trips"))
 def _st_late(spark, sf):
     """ST-2 late data: a replayed old day arrives last and is dropped by the watermark

@@ -118,17 +118,16 @@ def test_every_oracle_has_a_query():
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
-def test_sample_n_threshold_path_equals_topk(spark, monkeypatch):
+def test_sample_n_equals_topk(spark):
     from fareline.functions.stats import hash_unit
 
     df = spark.range(20000).withColumnRenamed("id", "event_id")
-    monkeypatch.setattr(pp, "TOPK_MAX", 10)
     got = sorted(r.event_id for r in pp.sample_n(df, 1500).collect())
     want = sorted(r.event_id for r in df.orderBy(hash_unit("event_id"), "event_id").limit(1500).collect())
     assert got == want
 
 
-def test_bounded_isotonic_runs_and_covers(spark):
+def test_calibration_is_one_path_at_any_row_count(spark):
     from fareline.operators import models as md
 
     rng = random.Random(5)
@@ -137,10 +136,13 @@ def test_bounded_isotonic_runs_and_covers(spark):
         p = rng.uniform(5, 60)
         rows.append((p + rng.gauss(0, 0.1 * p), p))
     df = spark.createDataFrame(rows, "fare_amount double, prediction double")
-    _iso, exact = md.calibrate(df)
-    _iso2, binned = md.calibrate(df, max_points=200)
-    assert 0.88 <= exact.empirical_coverage <= 0.92
-    assert abs(binned.k - exact.k) / exact.k < 0.1
+    _iso, cal = md.calibrate(df)
+    assert 0.88 <= cal.empirical_coverage <= 0.92
+    more = df
+    for _ in range(3):
+        more = more.unionAll(more)
+    _iso2, again = md.calibrate(more)      # eight times the rows: the same bins, the same k up to interpolation
+    assert again.k == pytest.approx(cal.k, rel=2e-3)
 
 
 def test_preprocessor_stage_fit_save_load(spark):
@@ -173,18 +175,19 @@ def test_business_dedup_survivor_is_min(spark):
     assert out == [(1, "a", 1), (2, "b", 5)]
 
 
-def test_permutation_keeps_multiset(spark):
+def test_shuffled_columns_keep_the_multiset(spark):
     from fareline.operators import models as md
 
     df = spark.createDataFrame([(i, float(i % 7), i * 2.0) for i in range(3000)], "event_id long, x double, y double")
-    p = md.permute_column(df, "x", seed=1, rows_per_block=500)
-    assert p.count() == 3000
-    assert sorted(r.x for r in p.collect()) == sorted(r.x for r in df.collect())
-    moved = sum(1 for r in p.collect() if r.x != float(r.event_id % 7))
-    assert moved > 1000
+    p = md.shuffled_columns(df, ["x", "y"], seed=1, rows_per_block=500)
+    rows, src = p.collect(), df.collect()
+    assert len(rows) == 3000
+    for c in ("x", "y"):
+        assert sorted(r[f"_s_{c}"] for r in rows) == sorted(r[c] for r in src)
+        assert sum(r[f"_s_{c}"] != r[c] for r in rows) > 1000
     # same draws whatever the partitioning (a recomputed partition sees the same permutation)
-    again = md.permute_column(df.repartition(5, "y"), "x", seed=1, rows_per_block=500)
-    assert sorted(tuple(r) for r in again.collect()) == sorted(tuple(r) for r in p.collect())
+    again = md.shuffled_columns(df.repartition(5, "y"), ["x", "y"], seed=1, rows_per_block=500)
+    assert sorted(tuple(r) for r in again.collect()) == sorted(tuple(r) for r in rows)
 
 
 @pytest.mark.parametrize("bracket", [0.0, 1e-6, 0.2])
@@ -198,3 +201,114 @@ def test_quantiles_exact_whatever_the_sketch_bracket(spark, monkeypatch, bracket
     got = qt.quantile_values(df, ["x"], probs)
     for p in probs:
         assert got[((), "x", p)] == pytest.approx(float(np.quantile(np.array(xs), p)), abs=1e-12)
+
+
+# --- cases with NaN, odd types, collinear columns, empty columns ----------------------------------
+
+def test_leakage_ignores_nan_and_odd_types(spark):
+    from fareline.operators import metrics as met
+
+    rng = random.Random(2)
+    rows = [(rng.uniform(3, 300), rng.random() if i else float("nan"), i % 5, rng.random() < 0.5, "a") for i in range(200)]
+    df = spark.createDataFrame(rows, "y double, x double, t int, b boolean, s string").selectExpr(
+        "y", "x", "CAST(t AS TINYINT) AS t", "b", "s", "timestamp'2024-01-01' AS ts", "y AS leak")
+    flags = {r["column"]: r["leak_flag"] for r in met.leakage_report(df, "y", ["x", "t", "b", "s", "ts", "leak"]).collect()}
+    assert flags == {"x": False, "t": False, "b": False, "s": False, "ts": False, "leak": True}
+
+
+def test_vif_of_collinear_and_constant_columns(spark):
+    rng = random.Random(4)
+    rows = [(a := rng.gauss(0, 1), a, rng.gauss(0, 1), 5.0, a + rng.gauss(0, 1)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "a double, same double, free double, const double, near double")
+    got = {r["feature"]: r["vif"] for r in prf.vif(df, ["a", "same", "free", "const", "near"]).collect()}
+    assert got["a"] == got["same"] == float("inf") and got["const"] is None and 1 <= got["free"] < 1.1
+    got = {r["feature"]: r["vif"] for r in prf.vif(df, ["a", "free", "near"]).collect()}
+    x = np.array(rows)[:, [0, 2, 4]]
+    want = np.diag(np.linalg.inv(np.corrcoef(x.T)))
+    assert [got[c] for c in ("a", "free", "near")] == pytest.approx(list(want), rel=1e-9)
+
+
+def test_nan_is_skipped_everywhere(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 11)] + [(float("nan"),), (None,)], "x double")
+    r = prf.describe(df, ["x"]).first()
+    assert (r["count"], r["mean"], r["max"], r["q50"]) == (10, 5.5, 10.0, 5.5)
+    assert pp.fit_standard(df, ["x"])["x"] == pytest.approx((5.5, np.std(np.arange(1, 11))))
+    assert math.isfinite(pp.skew_split(df, ["x"])[2]["x"])
+
+
+def test_empty_columns(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "x double, y double")
+    assert qt.quantile_values(df, ["x", "y"], [0.5]) == {((), "x", 0.5): None, ((), "y", 0.5): 1.5}
+    assert pp.fit_clip(df, ["x"]) == {"x": (None, None)}
+    assert qt.quantile_values(df.limit(0), ["y"], [0.5]) == {((), "y", 0.5): None}
+
+
+def test_yeo_johnson_optimum_outside_the_first_grid(spark):
+    rng = random.Random(8)
+    xs = [-math.exp(rng.gauss(0, 1)) for _ in range(2000)] + [0.0]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    lam = pp.fit_yeo_johnson(df, ["x"])["x"]
+
+    def ll(v):
+        t = np.array([((-x + 1) ** (2 - v) - 1) / -(2 - v) if x < 0 else 0.0 for x in xs])
+        return -len(xs) / 2 * math.log(np.var(t)) + (v - 1) * sum(math.copysign(math.log1p(abs(x)), x) for x in xs)
+
+    assert lam > 2.3 and ll(lam) >= max(ll(lam - 0.01), ll(lam + 0.01))
+
+
+def test_roles_are_exact_up_to_the_threshold(spark):
+    df = spark.range(800).selectExpr("CAST(id % 80 AS INT) AS c")
+    r = pp.detect_roles(df, threshold=100).first()
+    assert (r["n_unique"], r["role"]) == (80, "ordinal")
+
+
+def test_large_ordinal_dictionary_and_unknown_values(spark):
+    from fareline.operators import models as md
+
+    train = spark.range(3000).selectExpr("CAST(id * 1e6 AS DOUBLE) AS o", "CAST(id AS DOUBLE) AS c", "concat('k', id % 40) AS s")
+    prep = md.fit_preprocessor(train, ["o", "s"], ["c"], [], scaled=False)
+    rows = spark.createDataFrame([(2e6, 1.0, "k3"), (5.5, 1.0, "zz"), (None, 1.0, None)], "o double, c double, s string")
+    got = [[float(x) for x in r["features"]][:2] for r in prep.transform(rows).collect()]
+    labels = sorted(f"k{i}" for i in range(40))
+    assert got == [[2.0, float(labels.index("k3"))], [-1.0, -1.0], [-1.0, -1.0]]
+
+
+def test_runs_of_two_months_stay_apart(spark):
+    from fareline.plans.monitoring import replay
+
+    runs = [(19723, 5.0, 0.9, 0.05), (19754, 4.0, 0.9, 0.05), (19755, 3.99, 0.9, 0.05)]
+    got = replay(spark, spark.createDataFrame(runs, "seq bigint, rmse double, r2 double, gap double")).orderBy("seq").collect()
+    assert [r["decision"] for r in got] == ["PROMOTED", "PROMOTED", "REJECTED"]
+    assert got[2]["champion_seq"] == 19754 and got[2]["champion_r2"] == 0.9
+
+
+def test_every_trip_is_scored_or_has_a_reason(spark):
+    from fareline.operators import pricing as prc
+
+    rows = [(1, 20.0, 5.0), (2, 20.0, 140.0), (3, None, 5.0), (4, 20.0, None)]
+    df = spark.createDataFrame([(*r, 0, 0) for r in rows], "id int, prediction double, trip_distance_km double, airport_trip int, is_rush_hour int")
+    out = {r["id"]: r for r in df.select("id", *[c.alias(k) for k, c in prc.score_every_trip(df).items()]).collect()}
+    assert (out[1]["predicted_fare_usd"], out[1]["unpriced_reason"]) == (20.0, None)
+    assert (out[2]["predicted_fare_usd"], out[2]["unpriced_reason"]) == (None, "DISTANCE_ABOVE_LIMIT")
+    assert out[3]["predicted_fare_usd"] == 15.0 and out[4]["unpriced_reason"] == "NO_DISTANCE"
+
+
+def test_plans_without_self_join_and_scratch_left_behind(spark):
+    import os
+
+    from fareline.plans import load_all
+
+    df = load_all()["met_errors_by_side"][0](spark, "/root/testdata/sf0.001")
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = {d for d in os.listdir(base) if "kept" in d}
+    qt.quantile_values(spark.range(100).selectExpr("CAST(id AS DOUBLE) AS x"), ["x"], [0.5])
+    assert {d for d in os.listdir(base) if "kept" in d} == before
+
+
+def test_selected_family_is_the_one_refitted(spark):
+    from fareline.operators import models as md
+
+    rows = [("a", 0.01, 1.0, 0.05, 0.95, 2.0), ("b", 0.01, 1.0, 0.05, 0.95, 1.5), ("c", 0.5, 1.0, 0.05, 0.95, 1.0)]
+    t = spark.createDataFrame(rows, "model string, train_test_gap double, cv_mean_rmse double, cv_std_rmse double, test_r2 double, test_rmse double")
+    assert md.select_best(t).first()["model"] == "b"
