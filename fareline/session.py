@@ -18,6 +18,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # aggregates over many column pairs (correlations, likelihood grids) stay in generated code
+    "spark.sql.codegen.maxFields": "1000",
     # streaming state off the JVM heap (windowed KPIs, replay dedup)
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -45,19 +45,16 @@ def feed_in_slices(df: DataFrame, ts: str, chunks: int, src: str, run, extra: Da
     folder, then let the stream process everything new (``run()``, an
     availableNow trigger on the same checkpoint); repeat. ``extra`` (e.g. a
     replay of old rows) arrives after all slices."""
-    from pyspark import StorageLevel
+    from ..operators.quantiles import kept
 
-    # the source is scanned once per slice bound and once per slice: keep it
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for part in time_slices(df, ts, chunks):
+    # the source is scanned once per slice bound and once per slice: write it once
+    with kept(df) as whole:
+        for part in time_slices(whole, ts, chunks):
             part.write.mode("append").parquet(src)
             run()
-        if extra is not None:
-            extra.write.mode("append").parquet(src)
-            run()
-    finally:
-        df.unpersist()
+    if extra is not None:
+        extra.write.mode("append").parquet(src)
+        run()
 
 
 def stage_files(df: DataFrame, path: str, ts: str, chunks: int) -> str:
