@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import ensure_checkpoint_dir, remove_path, scratch_path
 
 # ASCII white space: space and the control characters tab .. carriage return.
 SPACE = "\\x20\\x09-\\x0D"
@@ -57,7 +57,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def forget(*dfs: DataFrame) -> None:
+    """Remove the folders of ``written`` tables that nothing reads any more."""
+    for df in dfs:
+        remove_path(df.sparkSession, df._written_path)
 
 
 def arrow_batches(spark: SparkSession, rows: int = 512) -> None:

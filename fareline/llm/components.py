@@ -13,11 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import forget, written
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step on edges (a, b), a > b."""
+def _star(edges: DataFrame, large: bool, name: str) -> DataFrame:
+    """One star step on edges (a, b), a > b; written."""
     near = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     if large:
         near = near.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
@@ -27,7 +27,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:       # a's smaller neighbours and a itself point at the least of them
         out = (near.join(least, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
                .unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))))
-    return out.where("a <> b").distinct()
+    done = written(out.where("a <> b").distinct(), name)
+    forget(least)
+    return done
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -41,8 +43,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     now = written(edges.where(x != y).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct(), "edges")
     state = _state(now)
     while state[0]:
-        now = written(_star(written(_star(now, True), "large"), False), "small")
-        before, state = state, _state(now)
+        large = _star(now, True, "large")
+        small = _star(large, False, "small")
+        forget(now, large)
+        now, before, state = small, state, _state(small)
         if state == before:
             break
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
