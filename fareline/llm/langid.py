@@ -20,8 +20,8 @@ looked at.
 
 from __future__ import annotations
 
-import math
 import uuid
+from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -40,8 +40,7 @@ SAMPLE_DOCS = 800           # training documents per language
 MAX_LANGS = 64
 ROUNDS = 3                  # of expectation maximisation
 SMOOTH = 0.05               # added to every expected count
-MAX_WORDS = 300_000         # words whose likelihoods a worker keeps
-RESCALE = 16                # positions between two rescalings
+MAX_WORDS = 800_000         # words whose likelihoods a worker keeps
 UNKNOWN = ""                # stands for a character that no piece covers
 UND = "und"
 
@@ -61,13 +60,16 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Pieces:
-    """The vocabulary for lookups: piece -> number, prefix of a piece -> -1."""
+    """The vocabulary for lookups from the left (``number``: piece -> number, other prefix of a
+    piece -> -1) and from the right (``ending``, the same with suffixes)."""
 
     def __init__(self, pieces: list[str]):
         self.number = {p: i for i, p in enumerate(pieces)}
+        self.ending = dict(self.number)
         for p in pieces:
             for i in range(1, len(p)):
                 self.number.setdefault(p[:i], -1)
+                self.ending.setdefault(p[i:], -1)
         self.unknown = self.number[UNKNOWN]
 
     def arcs(self, word: str) -> list[list[tuple[int, int]]]:
@@ -85,31 +87,48 @@ class Pieces:
         return out
 
 
-def forward(arcs, probs: list) -> list[float]:
-    """Log likelihood per language: the sum over all segmentations. ``probs``: per
-    piece the probabilities by language. Rescaled on the way, for long words."""
-    n, langs = len(arcs), len(probs[0])
-    alpha, logs = [None] * (n + 1), [0.0] * langs
-    alpha[0] = [1.0] * langs
-    for i, here in enumerate(arcs):
-        a = alpha[i]
-        if i and i % RESCALE == 0:
-            logs = [x + math.log(y) for x, y in zip(logs, a)]
-            scale = [1.0 / y for y in a]
-            for j in range(i, n + 1):
-                if alpha[j] is None:
-                    continue
-                alpha[j] = [x * y for x, y in zip(alpha[j], scale)]
-                if j - i > 64:
-                    break
-            a = alpha[i]
-        for j, piece in here:
-            b = alpha[j]
-            alpha[j] = ([x * p for x, p in zip(a, probs[piece])] if b is None
-                        else [y + x * p for x, p, y in zip(a, probs[piece], b)])
-        if i:
-            alpha[i - 1] = None
-    return [x + math.log(y) for x, y in zip(logs, alpha[n])]
+def forward(words: list[str], lookup: Pieces, logp: np.ndarray) -> np.ndarray:
+    """Log likelihood [word, language]: for each word the sum over all segmentations.
+
+    The forward variable of a place depends on the letters before it only, so words
+    that begin alike share it: the sorted words are walked as a tree of prefixes.
+    Python finds the pieces that end at each node; the sums go level by level over
+    all nodes of the words, in logarithms (no underflow however long a word is).
+    """
+    get, unknown = lookup.ending.get, lookup.unknown
+    depth, first, source, piece = [0], [0], [], []      # per node; arcs of a node lie together
+    leaf, path, before = np.zeros(len(words), np.int64), [0], ""
+    for w in sorted(range(len(words)), key=words.__getitem__):
+        s = "▁" + words[w]
+        same = len(commonprefix((s, before)))
+        del path[same + 1:]
+        for d in range(same + 1, len(s) + 1):
+            first.append(len(source))
+            depth.append(d)
+            k, single = d - 1, False
+            while k >= 0 and (n := get(s[k:d])) is not None:
+                if n >= 0:
+                    source.append(path[k])
+                    piece.append(n)
+                    single = single or k == d - 1
+                k -= 1
+            if not single:          # this character alone is no piece
+                source.append(path[d - 1])
+                piece.append(unknown)
+            path.append(len(depth) - 1)
+        leaf[w], before = path[len(s)], s
+    depth, source, piece = np.array(depth), np.array(source, np.int64), np.array(piece, np.int64)
+    start = np.array([*first, len(source)], np.int64)
+    alpha = np.zeros((len(depth), logp.shape[1]))
+    nodes = np.argsort(depth, kind="stable")
+    for level in np.split(nodes, np.searchsorted(depth[nodes], np.arange(1, depth.max() + 1)))[1:]:
+        size = start[level + 1] - start[level]
+        cut = np.cumsum(size) - size
+        arcs = np.repeat(start[level] - cut, size) + np.arange(size.sum())
+        term = alpha[source[arcs]] + logp[piece[arcs]]
+        top = np.maximum.reduceat(term, cut)
+        alpha[level] = top + np.log(np.add.reduceat(np.exp(term - np.repeat(top, size, axis=0)), cut))
+    return alpha[leaf]
 
 
 def expected(arcs, prob: np.ndarray, weight: float, into: dict[int, float]) -> None:
@@ -178,36 +197,27 @@ class Scorer:
     """Word likelihoods in one worker, kept for words met again."""
 
     def __init__(self, pieces: list[str], probs: np.ndarray):
-        self.lookup, self.probs = Pieces(pieces), [tuple(map(float, p)) for p in probs]
-        self.rows, self.known = [], {}
-
-    def likelihoods(self, text: str | None) -> np.ndarray | None:
-        """Per language the text's log likelihood; None without a letter."""
-        words = words_of(text)
-        if not words:
-            return None
-        if len(self.rows) > MAX_WORDS:
-            self.rows, self.known = [], {}
-        known, rows, long = self.known, self.rows, []
-        at = []
-        for w in words:
-            i = known.get(w)
-            if i is None:
-                ll = forward(self.lookup.arcs(w), self.probs)
-                if len(w) > 64:
-                    long.append(ll)
-                    continue
-                i = known[w] = len(rows)
-                rows.append(ll)
-            at.append(i)
-        total = np.zeros(len(self.probs[0]))
-        # distinct words once, times their count: few rows of the table are touched
-        if at:
-            which, times = np.unique(np.array(at), return_counts=True)
-            total += times @ np.array([rows[i] for i in which])
-        for ll in long:
-            total += ll
-        return total
+        self.lookup, self.logp = Pieces(pieces), np.log(probs)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known, self.table = {}, np.empty((1 << 12, self.logp.shape[1]))
+
+    def likelihoods(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """Per text the log likelihood by language; None without a letter."""
+        words = [words_of(t) for t in texts]
+        if len(self.known) > MAX_WORDS:
+            self._clear()
+        known = self.known
+        new = list(set().union(*words).difference(known))
+        if new:
+            n = len(known)
+            while n + len(new) > len(self.table):
+                self.table = np.concatenate([self.table, np.empty_like(self.table)])
+            self.table[n:n + len(new)] = forward(new, self.lookup, self.logp)
+            known.update(zip(new, range(n, n + len(new))))
+        return [self.table[np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))].sum(axis=0) if ws else None
+                for ws in words]
 
 
 _SCORERS: dict = {}
@@ -223,8 +233,7 @@ def predict(text: Column, langs: list[str], pieces: Broadcast, probs: Broadcast)
             _SCORERS.clear()
             _SCORERS[key] = Scorer(pieces.value, probs.value)
         names, scores = [], []
-        for t in texts.to_pylist():
-            ll = _SCORERS[key].likelihoods(t) if langs else None
+        for ll in _SCORERS[key].likelihoods(texts.to_pylist()) if langs else [None] * len(texts):
             best = int(np.argmax(ll)) if ll is not None else -1
             names.append(langs[best] if best >= 0 else UND)
             scores.append(float(1.0 / np.exp(ll - ll[best]).sum()) if best >= 0 else 0.0)
