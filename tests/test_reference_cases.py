@@ -1,4 +1,4 @@
-"""Unit cases modelled on the reference's test classes (small in-line frames)."""
+"""Unit cases of the operators on small in-line frames."""
 
 import math
 from datetime import datetime
@@ -20,25 +20,22 @@ RAW = "fare_amount double, pickup_datetime timestamp, pickup_longitude double, p
 
 # --- clipper (PP-1) -----------------------------------------------------------
 
-def test_clip_outlier_clipped(spark):
-    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (9999.0,)], "x double")
+def test_clip_moves_only_values_outside_the_fences(spark):
+    xs = [4.0, 5.5, 6.0, 6.5, 7.25, 8.0, -40.0, 90.0]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
     b = pp.fit_clip(df, ["x"])
+    q1, q3 = 5.125, 7.4375      # linear quartiles of the eight values
+    assert b["x"] == pytest.approx((q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)))
     out = [r.x for r in pp.apply_clip(df, b).collect()]
-    assert max(out) < 9999
-    assert len(out) == 4
-
-
-def test_clip_no_change_on_normal_data(spark):
-    df = spark.createDataFrame([(float(i),) for i in range(1, 11)], "x double")
-    out = sorted(r.x for r in pp.apply_clip(df, pp.fit_clip(df, ["x"])).collect())
-    assert out == [float(i) for i in range(1, 11)]
+    assert out == pytest.approx([max(min(x, b["x"][1]), b["x"][0]) for x in xs])
+    assert sum(a != x for a, x in zip(out, xs)) == 2
 
 
 def test_clip_zero_iqr_means_no_clipping(spark):
-    df = spark.createDataFrame([(0.0,)] * 10 + [(50.0,)], "x double")
+    df = spark.createDataFrame([(7.5,)] * 9 + [(-3.0,), (61.0,)], "x double")
     b = pp.fit_clip(df, ["x"])
     assert b["x"] == (None, None)
-    assert max(r.x for r in pp.apply_clip(df, b).collect()) == 50.0
+    assert sorted(r.x for r in pp.apply_clip(df, b).collect())[::10] == [-3.0, 61.0]
 
 
 def test_clip_idempotent(spark):
@@ -61,12 +58,13 @@ def test_zero_distance(spark):
     assert f.trip_distance_km == 0.0
 
 
-def test_manhattan_to_jfk_between_15_and_30_km(spark):
-    t = _trips(spark, [(52.0, datetime(2024, 1, 2, 12), -73.9855, 40.7580, -73.7781, 40.6413, 1)])
+def test_drop_off_at_an_airport_against_the_haversine_formula(spark):
+    lat1, lon1, lat2, lon2 = (math.radians(x) for x in (40.8075, -73.9626, 40.7769, -73.8740))
+    h = math.sin((lat2 - lat1) / 2) ** 2 + math.cos(lat1) * math.cos(lat2) * math.sin((lon2 - lon1) / 2) ** 2
+    t = _trips(spark, [(31.5, datetime(2024, 3, 5, 9), -73.9626, 40.8075, -73.8740, 40.7769, 1)])
     f = ft.add_engineered_features(t).first()
-    assert 15 < f.trip_distance_km < 30
-    assert f.near_jfk == 1 and f.airport_trip == 1
-    assert f.trip_distance_km > 0
+    assert f.trip_distance_km == pytest.approx(2 * 6371.0088 * math.asin(math.sqrt(h)))
+    assert f.near_lga == 1 and f.near_jfk == 0 and f.airport_trip == 1
 
 
 def test_time_columns_exist_and_new_york_clock(spark):
@@ -101,12 +99,13 @@ def test_missing_column_raises(spark):
 
 
 def test_fare_range_and_size_check_before_dedup(spark):
-    row = (10.0, datetime(2024, 1, 1, 12), -73.98, 40.75, -73.95, 40.77, 1)
-    rows = [row] * 600 + [(-10.0,) + row[1:], (5000.0,) + row[1:]]
-    out = val.validate_trips(_trips(spark, rows))
-    assert out.count() == 1  # 600 identical rows pass the 500-row check, then dedup to 1
+    """The size check counts rows before repeated ones go; fares out of range do not count."""
+    row = (17.25, datetime(2024, 2, 9, 18), -73.96, 40.71, -73.99, 40.73, 2)
+    other = (23.0,) + row[1:]
+    rows = [row] * 350 + [other] * 150 + [(2.49,) + row[1:], (300.01,) + row[1:], (-17.25,) + row[1:]]
+    assert val.validate_trips(_trips(spark, rows)).count() == 2
     with pytest.raises(val.ValidationError):
-        val.validate_trips(_trips(spark, [row] * 10))
+        val.validate_trips(_trips(spark, rows[1:]))     # 499 valid rows
 
 
 def test_name_normalisation_and_id_drop(spark):
@@ -152,16 +151,17 @@ def test_r2_constant_target(spark):
     assert met.regression_metrics(_pairs(spark, [5, 5], [4, 6])).first().r2 == 0.0
 
 
-def test_psi_identical_is_zero_and_shift_is_large(spark):
-    import random
-
-    random.seed(1)
-    a = [random.gauss(0, 1) for _ in range(1000)]
-    b = [random.gauss(5, 1) for _ in range(1000)]
-    same = spark.createDataFrame([("expected", x) for x in a] + [("actual", x) for x in a], "side string, x double")
-    shifted = spark.createDataFrame([("expected", x) for x in a] + [("actual", x) for x in b], "side string, x double")
+def test_psi_against_its_formula(spark):
+    """Ten equal bins of 0..99; the other side has only values of the lower half."""
+    rows = [("expected", float(i)) for i in range(100)] + [("actual", float(i % 50)) for i in range(100)]
+    df = spark.createDataFrame(rows, "side string, x double")
+    edges = [99 * i / 10 for i in range(11)]
+    place = lambda x: max(1, min(sum(e <= x for e in edges), 10))
+    share = lambda side: [max(sum(s == side and place(x) == b for s, x in rows) / (100 + 1e-9), 0) or 1e-6 for b in range(1, 11)]
+    want = sum((p - q) * math.log(p / q) for p, q in zip(share("expected"), share("actual")))
+    assert met.psi(df, "side", ["x"]).first().drift_score == pytest.approx(want)
+    same = df.where("side = 'expected'").unionAll(df.where("side = 'expected'").withColumn("side", F.lit("actual")))
     assert met.psi(same, "side", ["x"]).first().drift_score == pytest.approx(0.0, abs=1e-9)
-    assert met.psi(shifted, "side", ["x"]).first().drift_score > 0.2
 
 
 def test_cost_counts(spark):
