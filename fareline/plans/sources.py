@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import hash_unit
 from ..operators import metrics as met
+from ..operators import models as md
 from ..operators import monitor as mon
 from ..operators import prep as pp
+from ..operators import pricing as prc
 from ..operators import quantiles as qt
 from ..operators import validate as val
 from ..session import scratch_path
@@ -16,7 +18,7 @@ from . import register
 from . import views as v
 from .common import rnd
 from .metrics import _psi_sql, PSI_COLS
-from .models import RULES_SQL, rule_summary
+from .models import RULES_SQL, fitted, rule_summary, written_table
 from .monitoring import _REPLAY_ORACLE, HASH_SQL, daily_runs, replay
 from .pricing import SCORED_SQL, scored
 
@@ -175,26 +177,34 @@ def _promotion_log(spark, sf):
 
 @register("snk_model_card")
 def _card(spark, sf):
-    """SNK-5: nested model card (split sizes, metrics, calibration, flag counts map, cost,
-    features) built from aggregates, appended as JSON and read back."""
-    from .calibration import bucket_width_calibration
-
-    s = scored(spark, sf).withColumn("split", pp.split_label())
+    """SNK-5: nested model card of the trained linear model (split sizes, metrics, calibration, flag counts,
+    cost, importances, top SHAP features, pipeline settings), appended as JSON and read back."""
+    model, prep, f = fitted(spark, sf, "linear")
+    vectors = prep.transform(f)
+    s = written_table(prc.price_trips(model.transform(vectors).withColumnsRenamed(
+        {"prediction": "predicted_fare", "fare_amount": "actual_fare"})).select(
+        "split", "actual_fare", "predicted_fare", "pricing_flag"), "card-scores")
     sizes = s.groupBy().pivot("split", ["train", "calibration", "test"]).count()
     te = s.where(F.col("split") == "test")
-    metrics = met.regression_metrics(te, n_features=10).drop("n")
-    cal_rows = s.where(F.col("split") == "calibration")
-    k, cov = bucket_width_calibration(cal_rows, "predicted_fare", "actual_fare")
-    cal = spark.createDataFrame([(0.9, float(k), float(cov))], "coverage double, k double, empirical_coverage double")
+    metrics = met.regression_metrics(te, n_features=len(prep.feature_order)).drop("n")
+    _iso, c = md.calibrate(s.where(F.col("split") == "calibration"), label="actual_fare", prediction="predicted_fare")
+    cal = spark.createDataFrame([(c.coverage, c.k, c.empirical_coverage)], "coverage double, k double, empirical_coverage double")
     flags = te.groupBy("pricing_flag").agg(F.count(F.lit(1)).alias("n"))
-    cost = met.cost_evaluation(te)
-    card = files.model_card(sizes, metrics, cal, flags, cost, ["trip_distance_km", "pickup_hour"], "rule_multiplier", "v1")
+    importances = spark.createDataFrame(md.feature_importance(model.stages[-1], prep.feature_order), "feature string, importance double")
+    shap = md.vector_shap(vectors.where(F.col("split") == "train").select("features"),
+                          model.stages[-1].coefficients.toArray(), prep.feature_order)
+    config = {"family": "linear", "ordinal": prep.ordinal, "skewed": prep.skewed, "other": prep.other, "binary": prep.binary,
+              "scaled": prep.scaled}
+    card = files.model_card(sizes, metrics, cal, flags, met.cost_evaluation(te), importances,
+                            shap.orderBy(F.desc("mean_abs_shap"), "feature").limit(10), config, "linear", "v1")
     path = scratch_path(spark, "model-cards")
     files.append_json(card, path)
     back = spark.read.schema(card.schema).json(path)
     return back.select("model_name", "version", "dataset.train", "dataset.test", "metrics.rmse",
                        "calibration.k", "cost_evaluation.total_estimated_cost",
-                       F.size(F.map_keys("pricing_flags")).alias("n_flags"))
+                       F.size(F.map_keys("pricing_flags")).alias("n_flags"),
+                       F.size(F.map_keys("feature_importances")).alias("n_importances"),
+                       F.size(F.map_keys("shap_top_features")).alias("n_shap"), "pipeline_config.family")
 
 
 @register("snk_comparison_csv", v.with_views(RULES_SQL + "\nSELECT * FROM summary", "features"))

@@ -75,14 +75,26 @@ def write_report_csv(df: DataFrame, path: str, order_by) -> None:
 
 
 def model_card(split_sizes: DataFrame, metrics: DataFrame, calibration: DataFrame, flags: DataFrame,
-               cost: DataFrame, features: list[str], name: str, version: str) -> DataFrame:
-    """SNK-5: one nested run record assembled from aggregates (struct, map, array)."""
-    flag_map = flags.agg(F.map_from_entries(F.collect_list(F.struct("pricing_flag", "n"))).alias("pricing_flags"))
-    card = (split_sizes.select(F.struct(*split_sizes.columns).alias("dataset"))
-            .crossJoin(metrics.select(F.struct(*metrics.columns).alias("metrics")))
-            .crossJoin(calibration.select(F.struct(*calibration.columns).alias("calibration")))
-            .crossJoin(flag_map)
-            .crossJoin(cost.select(F.struct(*cost.columns).alias("cost_evaluation"))))
-    return card.select(F.lit(name).alias("model_name"), F.lit(version).alias("version"), "dataset", "metrics",
-                       "calibration", "pricing_flags", "cost_evaluation",
-                       F.array(*[F.lit(c) for c in features]).alias("features"))
+               cost: DataFrame, importances: DataFrame, shap: DataFrame, config: dict, name: str, version: str) -> DataFrame:
+    """SNK-5: one nested run record assembled from one-row aggregates and small maps; metrics rounded to 4.
+
+    ``importances`` and ``shap`` are (feature, value) tables with a row per feature; ``config`` are the
+    fitted pipeline's settings (strings and lists of strings)."""
+    def as_map(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
+        return df.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(key, value)))).alias(out))
+
+    def as_struct(df: DataFrame, out: str, digits: int | None = None) -> DataFrame:
+        cols = [F.round(c, digits).alias(c) if digits is not None and t == "double" else F.col(c) for c, t in df.dtypes]
+        return df.select(F.struct(*cols).alias(out))
+
+    parts = [as_struct(split_sizes, "dataset"), as_struct(metrics, "metrics", 4), as_struct(calibration, "calibration", 4),
+             as_map(flags, "pricing_flag", "n", "pricing_flags"), as_struct(cost, "cost_evaluation"),
+             as_map(importances, "feature", "importance", "feature_importances"),
+             as_map(shap, "feature", "mean_abs_shap", "shap_top_features")]
+    card = parts[0]
+    for p in parts[1:]:
+        card = card.crossJoin(F.broadcast(p))       # one row each
+    entries = [F.array(*map(F.lit, v)).cast("array<string>").alias(k) if isinstance(v, list) else F.lit(str(v)).alias(k)
+               for k, v in config.items()]
+    return card.select(F.lit(name).alias("model_name"), F.lit(version).alias("version"), *card.columns,
+                       F.struct(*entries).alias("pipeline_config"))
