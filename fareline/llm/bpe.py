@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from .common import arrow_batches, whole_text
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-MAX_STATES = 200_000        # determinised states held at once
-MAX_PIECES = 150_000        # encoded matches held at once
+MAX_STATES = 300_000        # determinised states held at once
+MAX_PIECES = 400_000        # encoded matches held at once
 MAX_PAIRS = 1_000_000       # decided token pairs held at once
 
 
@@ -66,6 +66,7 @@ class Encoder:
             # only tokens that merging itself arrives at can stand inside an encoding
             if self._merge(token) == [token]:
                 self.token_at[node] = rank
+        self.spines: dict[tuple[int, bool], list | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self._reset()
 
@@ -73,10 +74,10 @@ class Encoder:
         start = (((), -1, 0),)
         self.states, self.number, self.moves = [start], {start: 0}, {}
 
-    def _merge(self, data: bytes) -> list[bytes]:
-        """Merging by rank, the definition; for the few bytes of one or two tokens."""
+    def _merge(self, data: bytes, stop: int = 1) -> list[bytes]:
+        """Merging by rank, the definition, down to ``stop`` parts; for the few bytes of a token or two."""
         parts, rank = [data[i:i + 1] for i in range(len(data))], self.ranks.get
-        while len(parts) > 1:
+        while len(parts) > stop:
             best = min(((r, i) for i in range(len(parts) - 1) if (r := rank(parts[i] + parts[i + 1])) is not None), default=None)
             if best is None:
                 break
@@ -84,36 +85,76 @@ class Encoder:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
+    def _spine(self, token: int, right: bool) -> list[tuple[bytes, int, int]] | None:
+        """The parts at the token's right (left) edge while it is merged together, as
+        (bytes, rank when made, rank when merged further), whole token first. None
+        when a part has a rank above that of what it is merged into: then
+        ranks do not tell the order of merges."""
+        key = (token, right)
+        if key not in self.spines:
+            part, until, out = self.bytes_of[token], 1 << 40, []
+            while out is not None:
+                made = self.ranks[part] if len(part) > 1 else -1
+                out = out + [(part, made, until)] if made < until else None
+                if len(part) == 1 or out is None:
+                    break
+                halves = self._merge(part, 2)
+                if any(len(h) > 1 and self.ranks[h] >= made for h in halves):
+                    out = None
+                part, until = halves[1 if right else 0], made
+            self.spines[key] = out
+        return self.spines[key]
+
     def follows(self, a: int, b: int) -> bool:
-        """Whether token b may stand after a: their bytes encode to just the two."""
+        """Whether token b may stand after a: their bytes encode to just the two.
+
+        Not so when some part at a's right edge and some at b's left edge, there at
+        one time, make a token that is merged before either of them is merged into
+        its own side (on equal ranks the left merge goes first)."""
         known = self.pairs.get((a, b))
         if known is None:
             if len(self.pairs) >= MAX_PAIRS:
                 self.pairs.clear()
-            x, y = self.bytes_of[a], self.bytes_of[b]
-            known = self.pairs[a, b] = self._merge(x + y) == [x, y]
+            left, right = self._spine(a, True), self._spine(b, False)
+            if left is None or right is None:
+                x, y = self.bytes_of[a], self.bytes_of[b]
+                known = self._merge(x + y) == [x, y]
+            else:
+                rank, known = self.ranks.get, True
+                for p, made_p, until_p in left:
+                    for q, made_q, until_q in right:
+                        if made_p <= until_q and made_q < until_p:
+                            r = rank(p + q)
+                            if r is not None and r < until_p and r <= until_q:
+                                known = False
+                                break
+                    if not known:
+                        break
+            self.pairs[a, b] = known
         return known
 
     def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The determinised transition: (next state, tokens emitted)."""
-        after = []
+        after, step, token_at, inner = [], self.step.get, self.token_at, self.inner
         for pending, last, node in self.states[state]:
-            child = self.step.get(node << 8 | byte)
+            child = step(node << 8 | byte)
             if child is None:
                 continue
-            token = self.token_at[child]
+            token = token_at[child]
             if token >= 0 and (last < 0 or self.follows(last, token)):
                 after.append((pending + (token,), token, 0))
-            if self.inner[child]:
+            if inner[child]:
                 after.append((pending, last, child))
         if not after:
             raise ValueError(f"byte {byte} has no token here")
-        agreed = 0
-        shortest = min(len(p) for p, _, _ in after)
-        while agreed < shortest and len({p[agreed] for p, _, _ in after}) == 1:
-            agreed += 1
-        emitted = after[0][0][:agreed]
-        key = tuple((p[agreed:], last, node) for p, last, node in after)
+        emitted = after[0][0]
+        if len(after) > 1:
+            agreed, shortest = 0, min([len(p) for p, _, _ in after])
+            while agreed < shortest and all([p[agreed] == emitted[agreed] for p, _, _ in after]):
+                agreed += 1
+            emitted = emitted[:agreed]
+        n = len(emitted)
+        key = tuple([(p[n:], last, node) for p, last, node in after]) if n else tuple(after)
         number = self.number.get(key)
         if number is None:
             number = self.number[key] = len(self.states)
