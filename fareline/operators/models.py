@@ -215,7 +215,7 @@ def tune(family: str, data: DataFrame, *, n_iter: int = SEARCH_ITERS, folds: int
     fold = pp.kfold(k=folds, seed=str(seed))
     d = data.withColumn("_fold", fold)
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol="_fold",
+    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol="_fold", numFolds=folds,
                         parallelism=1 if preprocessor is not None else parallelism, seed=seed)
     model = cv.fit(d)
     rows = []
