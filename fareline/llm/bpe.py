@@ -34,12 +34,12 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, whole_text
+from .common import arrow_batches, held, whole_text
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-MAX_STATES = 300_000        # determinised states held at once
+MAX_STATES = 250_000        # determinised states held at once
 MAX_PIECES = 400_000        # encoded matches held at once
-MAX_PAIRS = 1_000_000       # decided token pairs held at once
+MAX_PAIRS = 500_000       # decided token pairs held at once
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -253,9 +253,6 @@ class Utf8Stream:
             return "".join(out) + ("�" if state else "")
 
 
-_CODECS: dict = {}      # of this worker process, by vocabulary
-
-
 class Codec:
     """Splitting, encoding and decoding in one worker."""
 
@@ -266,11 +263,7 @@ class Codec:
 
     @staticmethod
     def of(raw: bytes, pattern: str) -> Codec:
-        key = hash((raw, pattern))
-        if key not in _CODECS:
-            _CODECS.clear()
-            _CODECS[key] = Codec(raw, pattern)
-        return _CODECS[key]
+        return held(("bpe", hash((raw, pattern))), lambda: Codec(raw, pattern))
 
     def encode(self, text: str) -> array:
         out, pieces = array("i"), self.pieces

@@ -73,3 +73,16 @@ def arrow_batches(spark: SparkSession, rows: int = 512) -> None:
     ensure_checkpoint_dir(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
+_HELD: list = [None, None]
+
+
+def held(key, make):
+    """``make()``, kept in this Python worker until another key is asked for. One
+    model or codec at a time: a worker serves every operator of a session, and
+    their tables must not add up."""
+    if _HELD[0] != key:
+        _HELD[:] = [None, None]
+        _HELD[:] = [key, make()]
+    return _HELD[1]

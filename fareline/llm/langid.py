@@ -33,14 +33,14 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, fresh, written
+from .common import arrow_batches, fresh, held, written
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLE_DOCS = 800           # training documents per language
 MAX_LANGS = 64
 ROUNDS = 3                  # of expectation maximisation
 SMOOTH = 0.05               # added to every expected count
-MAX_WORDS = 800_000         # words whose likelihoods a worker keeps
+MAX_WORDS = 500_000         # words whose likelihoods a worker keeps
 UNKNOWN = ""                # stands for a character that no piece covers
 UND = "und"
 
@@ -220,20 +220,15 @@ class Scorer:
                 for ws in words]
 
 
-_SCORERS: dict = {}
-
-
 def predict(text: Column, langs: list[str], pieces: Broadcast, probs: Broadcast) -> Column:
     """struct(lang_pred, score) of the whole text."""
     key = uuid.uuid4().hex      # a fit's name, so that a worker tells fits apart
 
     @F.arrow_udf("struct<lang_pred string, score double>")
     def run(texts: pa.Array) -> pa.Array:
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(pieces.value, probs.value)
+        scorer = held(key, lambda: Scorer(pieces.value, probs.value)) if langs else None
         names, scores = [], []
-        for ll in _SCORERS[key].likelihoods(texts.to_pylist()) if langs else [None] * len(texts):
+        for ll in scorer.likelihoods(texts.to_pylist()) if langs else [None] * len(texts):
             best = int(np.argmax(ll)) if ll is not None else -1
             names.append(langs[best] if best >= 0 else UND)
             scores.append(float(1.0 / np.exp(ll - ll[best]).sum()) if best >= 0 else 0.0)

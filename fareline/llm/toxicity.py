@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, whole_text, written
+from .common import arrow_batches, held, whole_text, written
 
 SAMPLE = 3000           # training documents per class
 FEATURES = 4096
@@ -169,19 +169,14 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column) -> tuple[float,
     return bias, {f: float(x) for f, x in zip(features, w)}
 
 
-_SCORERS: dict = {}
-
-
 def score(text: Column, model: Broadcast) -> Column:
     """struct(score, offending array<struct(start, end, score)>) of the whole text."""
     key = uuid.uuid4().hex
 
     @F.arrow_udf("struct<score double, offending array<struct<start int, end int, score double>>>")
     def run(texts: pa.Array) -> pa.Array:
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(*model.value)
-        each = [_SCORERS[key].score(t or "") for t in texts.to_pylist()]
+        scorer = held(key, lambda: Scorer(*model.value))
+        each = [scorer.score(t or "") for t in texts.to_pylist()]
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
         return pa.StructArray.from_arrays([pa.array([s for s, _ in each], pa.float64()), pa.array([f for _, f in each], span)],
                                           ["score", "offending"])
