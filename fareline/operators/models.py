@@ -16,6 +16,7 @@ import random
 from multiprocessing.pool import ThreadPool
 from dataclasses import asdict, dataclass, field
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CV_FOLDS, RANDOM_STATE, SEARCH_ITERS, SELECTION_TIERS
+from ..session import remove_path, scratch_path
 from . import metrics as met
 from . import prep as pp
 from . import quantiles as qt
@@ -200,12 +202,12 @@ def tune(family: str, data: DataFrame, *, n_iter: int = SEARCH_ITERS, folds: int
          label: str = "fare_amount", preprocessor: TripPreprocessor | None = None):
     """MOD-6: randomised search = a seeded sample of the grid, cross-validated
     with a hash fold column (``CrossValidator(foldCol=...)``). With a
-    ``preprocessor`` the estimator is Pipeline([preprocessor, regressor]), so
-    the preprocessing is refitted on every training fold (no leakage from
-    the validation fold), as in the reference's pipelines."""
+    ``preprocessor`` the preprocessing is refitted on every training fold (no
+    leakage from the validation fold), as in the reference's pipelines; it does not
+    depend on the setting, so a fold fits it once and all settings share it.
+    Returns (model of the best setting on all rows, (setting, mean, std) of every setting)."""
     grid_spec = GRIDS[family]
     reg = make_regressor(family, label=label, seed=seed)
-    est = Pipeline(stages=[preprocessor, reg]) if preprocessor is not None else reg
     b = ParamGridBuilder()
     for name, values in grid_spec.items():
         b = b.addGrid(reg.getParam(name), values)
@@ -215,15 +217,42 @@ def tune(family: str, data: DataFrame, *, n_iter: int = SEARCH_ITERS, folds: int
     fold = pp.kfold(k=folds, seed=str(seed))
     d = data.withColumn("_fold", fold)
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol="_fold", numFolds=folds,
-                        parallelism=1 if preprocessor is not None else parallelism, seed=seed)
-    model = cv.fit(d)
+    if preprocessor is not None:
+        scores = _fold_scores(reg, maps, ev, d, folds, preprocessor, label, parallelism)
+        averages, deviations = scores.mean(axis=0), scores.std(axis=0)
+        best = reg.copy(maps[int(averages.argmin())])
+        model = Pipeline(stages=[preprocessor, best]).fit(data)
+    else:
+        cv = CrossValidator(estimator=reg, estimatorParamMaps=maps, evaluator=ev, foldCol="_fold", numFolds=folds,
+                            parallelism=parallelism, seed=seed)
+        model = cv.fit(d)
+        averages, deviations = model.avgMetrics, model.stdMetrics
     rows = []
-    for pm, avg, std in zip(maps, model.avgMetrics, model.stdMetrics):
+    for pm, avg, std in zip(maps, averages, deviations):
         rows.append(({p.name: v for p, v in pm.items()}, float(avg), float(std)))
     return model, rows
 
 
+def _fold_scores(reg, maps, ev, d: DataFrame, folds: int, preprocessor, label: str, parallelism: int) -> np.ndarray:
+    """RMSE [fold, setting]; the preprocessing of a fold is fitted on its training rows only."""
+    spark = d.sparkSession
+    scores = np.zeros((folds, len(maps)))
+    for i in range(folds):
+        prep = preprocessor.fit(d.where(F.col("_fold") != i))
+        path = scratch_path(spark, "fold")
+        prep.transform(d).select("_fold", "features", label).write.parquet(path)
+        rows = spark.read.parquet(path)
+        train, valid = rows.where(F.col("_fold") != i), rows.where(F.col("_fold") == i)
+
+        def one(pm, train=train, valid=valid) -> float:
+            return ev.evaluate(reg.copy(pm).fit(train).transform(valid))
+
+        with ThreadPool(min(parallelism, len(maps))) as pool:
+            scores[i] = pool.map(inheritable_thread_target(spark)(one), maps)
+        remove_path(spark, path)
+    return scores
+
+
 def cv_scores(family: str, data: DataFrame, *, folds: int = CV_FOLDS, seed: int = RANDOM_STATE, params: dict | None = None,
               label: str = "fare_amount", parallelism: int = 5) -> tuple[float, float]:
     """MOD-7: (mean, population std) of the RMSE over hash folds; the folds are

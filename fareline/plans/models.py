@@ -85,43 +85,71 @@ for _fam, _id in (("linear", "mod_linear"), ("tree", "mod_tree"), ("forest", "mo
     register(_id)(_family_query(_fam))
 
 
+def searched(spark, sf, family, refit):
+    """MOD-6 of one family: (setting, cv_mean_rmse, cv_std_rmse) of every setting of the search (``SEARCH_ITERS``
+    seeded draws of its grid, ``CV_FOLDS`` hash folds) on the selected features (SEL-2) of the train split. With
+    ``refit`` the preprocessing is refitted on every training fold; otherwise it is fitted once, on the whole split."""
+    train = split_features(spark, sf).where(F.col("split") == "train")
+    use = selected_columns(spark, sf)
+    ordinal, continuous, binary = ([c for c in cols if c in use] for cols in (ORD, CONT, BIN))
+    if refit:
+        prep = md.TripPreprocessor(ordinalCols=ordinal, continuousCols=continuous, binaryCols=binary,
+                                   scaled=family == "linear")
+        return md.tune(family, train, preprocessor=prep)[1]
+    prep = md.fit_preprocessor(train, ordinal, continuous, binary, scaled=family == "linear")
+    data = prep.transform(train).select("event_id", "features", "fare_amount")
+    return md.tune(family, written_table(data, "search"))[1]
+
+
+_TUNED: dict = {}
+
+
+def tuned(spark, sf, family):
+    """``searched`` with the preprocessing in the folds, run once per session and input."""
+    key = (tuple(v.trips(spark, sf).inputFiles()), id(spark.sparkContext), family)
+    if key not in _TUNED:
+        _TUNED[key] = searched(spark, sf, family, refit=True)
+    return _TUNED[key]
+
+
+def best_setting(spark, sf, family):
+    """(setting, cv_mean_rmse, cv_std_rmse) with the least mean RMSE, the first of equal ones."""
+    return min(tuned(spark, sf, family), key=lambda row: row[1])
+
+
+def _search_rows(spark, found):
+    return spark.createDataFrame([(fam, str(sorted(p.items())), a, s) for fam, rows in found for p, a, s in rows],
+                                 "model string, params string, cv_mean_rmse double, cv_std_rmse double")
+
+
 @register("mod_search")
 def _search(spark, sf):
-    """MOD-6: randomised search (20 seeded draws of the grid, 5 hash folds), ridge / lasso /
-    elastic net, on features preprocessed once (fitted on the train split)."""
-    train = split_features(spark, sf).where(F.col("split") == "train")
-    prep = md.fit_preprocessor(train, ORD, CONT, BIN, scaled=True)
-    data = written_table(prep.transform(train).select("event_id", "features", "fare_amount"), "search")
-    _model, rows = md.tune("linear", data)
-    return spark.createDataFrame([(str(sorted(p.items())), a, s) for p, a, s in rows],
-                                 "params string, cv_mean_rmse double, cv_std_rmse double")
+    """MOD-6: randomised search (20 seeded draws of the grid or all of a smaller one, 5 hash folds) of the
+    four families, on the selected features preprocessed once (fitted on the train split)."""
+    return _search_rows(spark, [(fam, searched(spark, sf, fam, refit=False)) for fam in FAMILIES])
 
 
 @register("mod_search_fold_refit")
 def _search_refit(spark, sf):
-    """MOD-6 with the preprocessing stage inside the CV pipeline: PP-1..5 refitted on
-    every training fold (2 sampled settings x 3 folds)."""
-    train = split_features(spark, sf).where(F.col("split") == "train")
-    prep = md.TripPreprocessor(ordinalCols=list(ORD), continuousCols=list(CONT), binaryCols=list(BIN), scaled=True)
-    _model, rows = md.tune("linear", train, n_iter=2, folds=3, preprocessor=prep)
-    return spark.createDataFrame([(str(sorted(p.items())), a, s) for p, a, s in rows],
-                                 "params string, cv_mean_rmse double, cv_std_rmse double")
+    """MOD-6 with the preprocessing inside the CV, as in the reference: PP-1..5 refitted on every
+    training fold; the same families, settings and folds as ``mod_search``."""
+    return _search_rows(spark, [(fam, tuned(spark, sf, fam)) for fam in FAMILIES])
 
 
 _TRAINED: dict = {}
 
 
 def trained_summary(spark, sf):
-    """MOD-7 over the four families, each on the selected features (SEL-2) and with 5-fold
-    CV columns; written once per session and input, so that the stages after it read it."""
+    """MOD-7 over the four families, each on the selected features (SEL-2) with the best setting of its search
+    and that setting's CV columns; written once per session and input, so that the stages after it read it."""
     key = (tuple(v.trips(spark, sf).inputFiles()), id(spark.sparkContext))
     if key not in _TRAINED:
         use, parts, cv = selected_columns(spark, sf), [], []
         for fam in FAMILIES:
-            model, prep, f = fitted(spark, sf, fam, columns=use)
+            params, mean, std = best_setting(spark, sf, fam)
+            model, prep, f = fitted(spark, sf, fam, params, columns=use)
             parts.append(_long_predictions(model, prep, f, fam))
-            train = prep.transform(f.where(F.col("split") == "train")).select("event_id", "features", "fare_amount")
-            cv.append((fam, *md.cv_scores(fam, written_table(train, "cv"))))
+            cv.append((fam, mean, std))
         long = parts[0]
         for p in parts[1:]:
             long = long.unionByName(p)
@@ -272,15 +300,17 @@ def _permutation(spark, sf):
 
 @register("mod_refit_champion")
 def _refit(spark, sf):
-    """MOD-9 + SNK-7 + GAT-1: the selected family is refitted on its selected features,
+    """MOD-9 + SNK-7 + GAT-1: the selected family is refitted with its tuned setting on its selected features,
     calibrated, saved with its calibration, loaded back, scored on the test split
     with intervals, and put through the gate against the runner-up."""
     summary = trained_summary(spark, sf)
     best = md.select_best(summary).first()
     rival = summary.where(F.col("model") != best["model"]).orderBy("test_rmse", "model").first()
-    model, prep, f = fitted(spark, sf, best["model"], columns=selected_columns(spark, sf))
+    params = best_setting(spark, sf, best["model"])[0]
+    model, prep, f = fitted(spark, sf, best["model"], params, columns=selected_columns(spark, sf))
     iso, cal = md.calibrate(model.transform(prep.transform(f.where(F.col("split") == "calibration"))))
-    path = md.save_artifacts(scratch_path(spark, f"model-{best['model']}"), model, prep, {"family": best["model"]}, iso, cal)
+    path = md.save_artifacts(scratch_path(spark, f"model-{best['model']}"), model, prep,
+                             {"family": best["model"], "params": params}, iso, cal)
     loaded, prep2, meta = md.load_artifacts(path)
     iv = md.predict_with_interval(loaded.transform(prep2.transform(f.where(F.col("split") == "test"))), *md.load_calibration(path))
     iv = written_table(iv.select("fare_amount", "prediction", "lower", "upper"), "champion-scores")
