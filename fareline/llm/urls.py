@@ -11,7 +11,10 @@ is allowed. A page's own rule always stands.
 Defined results: a null URL, or one without ``://``, has an empty host and path,
 no rule and no alias, and is allowed; null or empty html has no links; repeated
 rows give repeated results; an empty table gives an empty table; other columns
-are not looked at. Links are taken from the whole html.
+are not looked at. Links are taken from the whole html and resolved as RFC 3986,
+section 5 says; a rule looks at a page's path as it is written, at an alias's path
+without dot segments. ``SQL`` resolves relative links by prefixing only: it agrees where
+no link has a dot segment, a query or a fragment alone, or a ``://`` after a relative start.
 """
 
 from __future__ import annotations
@@ -48,20 +51,36 @@ def rule_of(h: Column, p: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
+def _no_dots(p: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments (RFC 3986, 5.2.4)."""
+    parts = F.split(p, "/")
+    kept = F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), F.array().cast("array<string>"), lambda acc, x: (
+        F.when(x == ".", acc).when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+        .otherwise(F.concat(acc, F.array(x)))))
+    folder = F.element_at(parts, -1).isin(".", "..")    # a last dot segment leaves its folder
+    kept = F.when(folder, F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(p.contains("/."), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(p)
+
+
 def node(url: Column) -> Column:
-    """A URL as a graph node: scheme and host in lower case, no fragment; null without ``://``."""
+    """A URL as a graph node: scheme and host in lower case, no dot segments, no fragment; null without ``://``."""
     scheme = ascii_lower(F.regexp_extract(url, "^(.*?)://", 1))
-    rest = F.regexp_extract(url, "://[^/?#]*([^#]*)", 1)
-    return F.when(url.contains("://"), F.concat(scheme, F.lit("://"), host(url), F.when(rest == "", F.lit("/")).otherwise(rest)))
+    p, query = _no_dots(path(url)), F.regexp_extract(url, "://[^?#]*(\\?[^#]*)", 1)
+    return F.when(url.contains("://"), F.concat(scheme, F.lit("://"), host(url), F.when(p == "", F.lit("/")).otherwise(p), query))
 
 
 def _resolved(base: Column, href: Column) -> Column:
-    """Absolute form of ``href`` found on the page ``base``."""
+    """Absolute form of ``href`` found on the page ``base`` (RFC 3986, 5.2; ``node`` takes out dot segments and fragment).
+    An absolute one of a scheme without ``//`` (``mailto:``) is no page: null."""
     scheme, origin = F.regexp_extract(base, "^(.*?)://", 1), F.regexp_extract(base, "^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_replace(path(base), "[^/]*$", "")
-    return (F.when(href.contains("://"), href)
+    page, query = path(base), F.regexp_extract(base, "://[^?#]*(\\?[^#]*)", 1)
+    folder = F.regexp_replace(page, "[^/]*$", "")
+    return (F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), href)
+            .when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
             .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
             .when(href.startswith("/"), F.concat(origin, href))
+            .when(href.startswith("?"), F.concat(origin, page, href))
+            .when(href.startswith("#"), F.concat(origin, page, query, href))
             .when(href != "", F.concat(origin, F.when(folder == "", F.lit("/")).otherwise(folder), href)))
 
 

@@ -36,6 +36,40 @@ def test_aliases_take_the_block_unless_allowed(spark):
                                                    8: "allow", 9: "block", 10: "block"}
 
 
+def test_references_resolve_as_rfc_3986(spark):
+    from urllib.parse import urldefrag, urljoin
+
+    bases = ["http://a.net/b/c/d;p?q", "http://a.net", "http://a.net/", "http://a.net/x/y/?k=/../z#top", "https://a.net/f?u=http://b.net/"]
+    hrefs = ["g", "./g", "g/", "/g", "//h.net/g", "//h.net/a/../g", "?y", "g?y", "#s", "g#s", "g?y#s", ";x", ".", "./", "..", "../", "../g", "../..",
+             "../../", "../../g", "../../../g", "/./g", "/../g", "g.", ".g", "..g", "./../g", "./g/.", "g/./h", "g/../h", "g;x=1/../y", "g?y/../x",
+             "http://z.net/a/./b/../c", "/in?next=http://z.net/", "in?next=http://z.net/"]
+    df = spark.createDataFrame([(b, h) for b in bases for h in hrefs], "base string, href string")
+    # urljoin leaves the path of a reference with its own host as it is: joined a second time it is resolved
+    def want(b, h):
+        full = urldefrag(urljoin(b, h)).url
+        rest = full.split("://", 1)[1]
+        at = min(i for i in (rest.find("/"), rest.find("?"), len(rest)) if i >= 0)
+        origin, rest = full.split("://", 1)[0] + "://" + rest[:at], rest[at:]
+        p, mark, q = rest.partition("?")
+        return urldefrag(urljoin(origin + "/", p or "/")).url + mark + q
+    for r in df.select("*", urls.node(urls._resolved(F.col("base"), F.col("href"))).alias("got")).collect():
+        assert r["got"] == want(r["base"], r["href"]), r
+    other = spark.createDataFrame([("http://a.net/", h) for h in ("mailto:x@y.net", "javascript:go('http://z.net')", "data:text/html,http://z.net")], "base string, href string")
+    assert [r[0] for r in other.select(urls.node(urls._resolved(F.col("base"), F.col("href")))).collect()] == [None] * 3
+
+
+def test_dot_and_query_links_carry_the_verdict(spark):
+    canon = '<link rel="canonical" href="{}">'.format
+    refresh = '<meta http-equiv="refresh" content="0; url={}">'.format
+    got = verdicts(spark, [
+        (1, "http://a.net/d/e/1", canon("../x")), (2, "http://a.net/d/x", canon("http://b.com/de/1")),        # blocked through ../ only
+        (3, "http://a.net/d/3", refresh("?p=2")), (4, "http://a.net/d/3?p=2", canon("http://b.com/de/2")),    # blocked through ? only
+        (5, "http://c.net/5", canon("http://www.example.org/es/../ok")),                                      # the target's own rule is org/
+        (6, "http://c.net/s/6?a", canon("#top")), (7, "http://c.net/s/", canon("http://b.com/de/3")),         # a fragment is the page itself
+        (8, "http://e.net/q/../8", canon("http://b.com/de/8")), (9, "http://e.net/9", canon("./8"))])
+    assert {k: v for k, (_, v) in got.items()} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "allow", 7: "block", 8: "block", 9: "block"}
+
+
 def test_spark_and_sql_agree_on_links(spark, tmp_path):
     import duckdb
 
