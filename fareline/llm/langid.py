@@ -10,7 +10,7 @@ per language in Spark, tasks run forward-backward on the distinct words and
 return expected counts per (language, piece), which is bounded by the vocabulary.
 
 Learned from a bounded sample: ``SAMPLE_DOCS`` documents per language, by
-a hash of the doc_id; ``MAX_LANGS`` most frequent languages. Prediction reads whole texts of all documents.
+a hash of the doc_id, of every language that has a label. Prediction reads whole texts of all documents.
 
 Words are lower-cased runs of letters. Defined results: a null text, or one without a
 letter, is ``und`` with score 0, and so is every text when nothing was learned; equal texts get equal results;
@@ -37,10 +37,10 @@ from .common import arrow_batches, fresh, held, written
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLE_DOCS = 800           # training documents per language
-MAX_LANGS = 64
 ROUNDS = 3                  # of expectation maximisation
 SMOOTH = 0.05               # added to every expected count
-MAX_WORDS = 500_000         # words whose likelihoods a worker keeps
+MAX_WORDS = 500_000         # words whose likelihoods a worker keeps, while there are at most TABLE_LANGS languages
+TABLE_LANGS = 16            # with more, a worker keeps as many fewer words, and scores fewer new ones at a time
 UNKNOWN = ""                # stands for a character that no piece covers
 UND = "und"
 
@@ -151,12 +151,9 @@ def expected(arcs, prob: np.ndarray, weight: float, into: dict[int, float]) -> N
 def training_rows(docs: DataFrame, held_out: Column) -> DataFrame:
     """(lang, text) of a bounded sample of the labelled documents that are not held out."""
     labelled = docs.where(~held_out & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    rates = labelled.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(SAMPLE_DOCS)) / F.count(F.lit(1))).alias("rate"))
     u = F.pmod(F.xxhash64(F.lit("lang"), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    chosen = F.lit(False)
-    for r in counts:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (u < min(1.0, SAMPLE_DOCS / r["count"])))
-    return labelled.where(chosen).select("lang", "text")
+    return labelled.join(F.broadcast(rates), "lang").where(u < F.col("rate")).select("lang", "text")
 
 
 def learn(docs: DataFrame, held_out: Column, pieces: list[str], rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
@@ -178,17 +175,19 @@ def learn(docs: DataFrame, held_out: Column, pieces: list[str], rounds: int = RO
 
         def count(batches, now=now):
             lookup, sums = Pieces(listed.value), {}
-            columns = [np.ascontiguousarray(now.value[:, i]) for i in range(now.value.shape[1])]
+            columns = {}        # of the languages met in the task
             for pdf in batches:
                 for lang, word, n in zip(pdf["lang"], pdf["word"], pdf["n"]):
-                    expected(lookup.arcs(word), columns[place[lang]], float(n), sums.setdefault(lang, {}))
+                    if lang not in columns:
+                        columns[lang] = np.ascontiguousarray(now.value[:, place[lang]])
+                    expected(lookup.arcs(word), columns[lang], float(n), sums.setdefault(lang, {}))
             yield pd.DataFrame([(x, p, v) for x, s in sums.items() for p, v in s.items()], columns=["lang", "piece", "v"])
 
         uses = (counts.mapInPandas(count, "lang string, piece int, v double")
-                .groupBy("lang", "piece").agg(F.sum("v").alias("v")).collect())    # at most pieces x languages
+                .groupBy("lang", "piece").agg(F.sum("v").alias("v"))).toArrow()     # only pairs that occur
         sums = np.full(probs.shape, SMOOTH)
-        for r in uses:
-            sums[r["piece"], place[r["lang"]]] += r["v"]
+        column = np.fromiter((place[x] for x in uses["lang"].to_pylist()), np.int64, len(uses))
+        np.add.at(sums, (uses["piece"].to_numpy(), column), uses["v"].to_numpy())
         probs = sums / sums.sum(axis=0)
     return langs, probs
 
@@ -198,6 +197,8 @@ class Scorer:
 
     def __init__(self, pieces: list[str], probs: np.ndarray):
         self.lookup, self.logp = Pieces(pieces), np.log(probs)
+        self.most = max(1, MAX_WORDS * TABLE_LANGS // max(TABLE_LANGS, len(self.logp[0])))
+        self.step = max(1, self.most // 10)
         self._clear()
 
     def _clear(self) -> None:
@@ -206,7 +207,7 @@ class Scorer:
     def likelihoods(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Per text the log likelihood by language; None without a letter."""
         words = [words_of(t) for t in texts]
-        if len(self.known) > MAX_WORDS:
+        if len(self.known) > self.most:
             self._clear()
         known = self.known
         new = list(set().union(*words).difference(known))
@@ -214,7 +215,9 @@ class Scorer:
             n = len(known)
             while n + len(new) > len(self.table):
                 self.table = np.concatenate([self.table, np.empty_like(self.table)])
-            self.table[n:n + len(new)] = forward(new, self.lookup, self.logp)
+            for i in range(0, len(new), self.step):
+                part = new[i:i + self.step]
+                self.table[n + i:n + i + len(part)] = forward(part, self.lookup, self.logp)
             known.update(zip(new, range(n, n + len(new))))
         return [self.table[np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))].sum(axis=0) if ws else None
                 for ws in words]

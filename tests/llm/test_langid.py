@@ -90,3 +90,24 @@ def test_edge_rows(spark, table):
     nothing = langid.lang_report(df.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {r["lang_pred"] for r in nothing} == {"und"}
     assert langid.lang_report(df.limit(0)).count() == 0 and langid.keep_known(df.limit(0)).count() == 0
+
+
+def test_more_than_64_languages(spark, table):
+    """Every label is learned: one language a letter pair, the last ones rarer than the others."""
+    pairs = [a + b for a in "bcdfghjkm" for b in "aeiouyvwx"][:80]
+    rows = [(i * 1000 + j, f"{p * 3} {p * 2} {p * 4} " * 3, "s", f"l{i:02d}") for i, p in enumerate(pairs) for j in range(12 if i < 64 else 6)]
+    out = langid.lang_report(table(rows)).collect()
+    want = {r[0]: r[3] for r in rows}
+    assert len(out) == len(rows) and {r["lang_pred"] for r in out} == {r[3] for r in rows}
+    assert all(r["lang_pred"] == want[r["doc_id"]] for r in out)
+
+
+def test_scoring_in_parts_changes_nothing(monkeypatch):
+    probs = np.random.default_rng(1).random((len(PIECES), 3)) * 0.3
+    texts = ["abab ab b", "xaby ba aba", None, "b ab ñ abab"]
+    whole = langid.Scorer(PIECES, probs).likelihoods(texts)
+    monkeypatch.setattr(langid, "MAX_WORDS", 20)
+    parts = langid.Scorer(PIECES, probs)
+    assert parts.step == 2
+    for a, b in zip(whole, parts.likelihoods(texts)):
+        assert (a is None and b is None) or np.allclose(a, b, rtol=1e-12)
