@@ -20,6 +20,7 @@ looked at.
 
 from __future__ import annotations
 
+import math
 import uuid
 from os.path import commonprefix
 
@@ -41,6 +42,7 @@ ROUNDS = 3                  # of expectation maximisation
 SMOOTH = 0.05               # added to every expected count
 MAX_WORDS = 500_000         # words whose likelihoods a worker keeps, while there are at most TABLE_LANGS languages
 TABLE_LANGS = 16            # with more, a worker keeps as many fewer words, and scores fewer new ones at a time
+TINY = 1e-200               # likelihoods below it are computed in logarithms
 UNKNOWN = ""                # stands for a character that no piece covers
 UND = "und"
 
@@ -139,15 +141,40 @@ def expected(arcs, prob: np.ndarray, weight: float, into: dict[int, float]) -> N
     for i, here in enumerate(arcs):
         for j, piece in here:
             alpha[j] += alpha[i] * prob[piece]
+    if alpha[n] < TINY:     # a word too long for plain numbers
+        _expected_scaled(arcs, prob, weight, into)
+        return
     for i in range(n - 1, -1, -1):
         beta[i] = sum(prob[piece] * beta[j] for j, piece in arcs[i])
-    if alpha[n] <= 0:       # a word too long for plain numbers: it teaches nothing
-        return
     for i, here in enumerate(arcs):
         for j, piece in here:
             into[piece] = into.get(piece, 0.0) + weight * alpha[i] * prob[piece] * beta[j] / alpha[n]
 
 
+def _expected_scaled(arcs, prob: np.ndarray, weight: float, into: dict[int, float]) -> None:
+    """``expected`` in logarithms, for words of any length."""
+    n = len(arcs)
+    logp = {piece: math.log(prob[piece]) for here in arcs for _, piece in here}
+    ending: list[list[float]] = [[] for _ in range(n + 1)]
+    alpha, beta = [0.0] * (n + 1), [0.0] * (n + 1)
+    for i, here in enumerate(arcs):
+        if i:
+            alpha[i] = _log_sum(ending[i])
+        for j, piece in here:
+            ending[j].append(alpha[i] + logp[piece])
+    alpha[n] = _log_sum(ending[n])
+    for i in range(n - 1, -1, -1):
+        beta[i] = _log_sum([logp[piece] + beta[j] for j, piece in arcs[i]])
+    for i, here in enumerate(arcs):
+        for j, piece in here:
+            into[piece] = into.get(piece, 0.0) + weight * math.exp(alpha[i] + logp[piece] + beta[j] - alpha[n])
+
+
+def _log_sum(terms: list[float]) -> float:
+    top = max(terms)
+    return top + math.log(sum(math.exp(t - top) for t in terms))
+
+
 def training_rows(docs: DataFrame, held_out: Column) -> DataFrame:
     """(lang, text) of a bounded sample of the labelled documents that are not held out."""
     labelled = docs.where(~held_out & F.col("lang").isNotNull()).select("doc_id", "lang", "text")

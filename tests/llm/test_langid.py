@@ -56,6 +56,18 @@ def test_expected_counts_against_enumeration():
         assert all(math.isclose(into[k], want[k] / total, rel_tol=1e-9) for k in want)
 
 
+def test_expected_counts_of_long_words():
+    """A word whose likelihood is no plain number teaches like a short one, and both ways of counting agree."""
+    lookup = langid.Pieces(PIECES)
+    short, long, both = {}, {}, {}
+    probs = np.linspace(0.05, 0.4, len(PIECES))
+    langid.expected(lookup.arcs("ababxab"), probs, 2.0, short)
+    langid._expected_scaled(lookup.arcs("ababxab"), probs, 2.0, both)
+    assert short.keys() == both.keys() and all(math.isclose(short[k], both[k], rel_tol=1e-9) for k in short)
+    langid.expected(lookup.arcs("b" * 3000), np.full(len(PIECES), 3e-5), 2.0, long)
+    assert math.isclose(long[PIECES.index("b")], 6000, rel_tol=1e-6) and math.isclose(long[PIECES.index("▁")], 2, rel_tol=1e-6)
+
+
 def test_held_out_accuracy(spark, sf, docs):
     from fareline.llm.queries import op2_langid
 
