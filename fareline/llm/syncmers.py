@@ -1,6 +1,9 @@
 """Document fingerprints from closed syncmers, with DataFrame expressions only.
 
-The alphabet is words. A k-mer is ``K`` consecutive words, its inner substrings
+The alphabet is words; a run of characters that is no single word counts as its overlapping pieces of
+``GRAM`` characters instead, so that a k-mer in it is ``K + GRAM - 1`` characters: a run longer than
+``LONG_RUN`` characters, one with eight characters in a row of a script written without spaces, and in a text of
+fewer than K words one of ``SHORT_RUN`` characters. A k-mer is ``K`` consecutive words, its inner substrings
 are its ``S``-word pieces, ordered by a 64-bit hash; the k-mer is an anchor when its
 least inner piece lies at its start or at its end. Whether it is one depends on its own
 words alone, so the anchors of a shared passage are the same in every text that has
@@ -13,7 +16,7 @@ of a range goes along as a sentinel at the end of the range before. So each text
 shuffled once (one more copy per range), a window within a range finds the next
 text, and the order never meets in one task.
 
-Defined results: a null text counts as empty; a text with fewer words than K, or without an anchor, has
+Defined results: a null text counts as empty; a text with fewer words (or pieces) than K, or without an anchor, has
 its whole word sequence as the one anchor; a text without words has no anchor and an empty fingerprint, alike (1) only
 to another such; a null doc_id sorts first; rows with equal doc_id sort by text; the next document of the last is the first, of a single one
 itself; an empty table gives an empty table; other columns are not looked at. Texts are read whole.
@@ -28,6 +31,10 @@ from .common import let, whole_text, words
 
 K = 4
 S = 1
+GRAM = 5                # characters of a piece of a long run
+LONG_RUN = 48
+SHORT_RUN = 16
+UNSPACED = "[\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}\\p{IsTibetan}\\x{3000}-\\x{303F}\\x{FF00}-\\x{FFEF}]{8}"
 RANGE_ROWS = 500        # documents per range of doc_id, while there are at most MAX_RANGES
 MAX_RANGES = 10_000
 NULL_ID = -(1 << 63)
@@ -38,6 +45,30 @@ def _int32(h: Column) -> Column:
     return F.shiftright(h, 32).cast("int")
 
 
+def _pieces_of(run: Column) -> Column:
+    """Hashes of the overlapping pieces of ``GRAM`` characters."""
+    def grams(c: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(c) - GRAM), lambda i: F.xxhash64(*(F.get(c, i + d) for d in range(GRAM))))
+
+    return let(F.transform(F.split(run, ""), lambda x: F.xxhash64(x)), grams)
+
+
+def tokens(text: Column, k: int = K) -> Column:
+    """array<long>: hashes of the words and of the pieces of long runs, in order."""
+    def of(ws: Column) -> Column:
+        few = F.size(ws) < k
+
+        def long(w: Column) -> Column:      # the byte length rules out nearly all words at no cost
+            return (F.octet_length(w) >= SHORT_RUN) & (
+                (few & (F.length(w) >= SHORT_RUN))
+                | ((F.octet_length(w) >= 24) & ((F.length(w) > LONG_RUN) | w.rlike(UNSPACED))))
+
+        split = F.flatten(F.transform(ws, lambda w: F.when(long(w), _pieces_of(w)).otherwise(F.array(F.xxhash64(w)))))
+        return F.when(F.exists(ws, long), split).otherwise(F.transform(ws, lambda w: F.xxhash64(w)))
+
+    return let(words(text), of)
+
+
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
     """array<int>: distinct closed syncmers of the text, in order."""
     def least(p: Column, i: Column) -> Column:
@@ -58,7 +89,7 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
                 .when(F.size(h) < k, whole)
                 .otherwise(let(found, lambda a: F.when(F.size(a) == 0, whole).otherwise(a))))
 
-    return let(F.transform(words(text), lambda w: F.xxhash64(w)), pick)
+    return let(tokens(text, k), pick)
 
 
 def as_string(a: Column) -> Column:

@@ -102,6 +102,56 @@ def test_wider_inner_substrings(spark):
     assert 1 <= len(r[0]["a"]) <= 13 and len(r[1]["a"]) == 1
 
 
+def shares(spark, pairs):
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    x, y = syncmers.anchors(F.col("a")), syncmers.anchors(F.col("b"))
+    return [(r["n"], r["like"]) for r in df.orderBy("i").select(F.size(x).alias("n"), syncmers.likeness(x, y).alias("like")).collect()]
+
+
+def test_unspaced_texts(spark):
+    """One changed character leaves most anchors of a long text without spaces; other texts share none."""
+    import random
+
+    rng = random.Random(5)
+    make = lambda first, size, n: "".join(chr(first + rng.randrange(size)) for _ in range(n))
+    texts = [make(0x4E00, 3000, 400), make(0x3041, 80, 400), make(0x0E01, 46, 400), make(0x21, 90, 400),
+             "\n".join(make(0x4E00, 3000, 30) for _ in range(3)), "\n".join(make(0x4E00, 3000, 30) for _ in range(20)),
+             " ".join("，".join(make(0x4E00, 3000, 5) for _ in range(4)) for _ in range(20)),
+             "intro words before it " + make(0x61, 26, 300) + " and some after"]
+    changed = [t[:len(t) // 2] + "_" + t[len(t) // 2 + 1:] for t in texts]
+    for t, (n, like) in zip(texts, shares(spark, zip(texts, changed))):
+        assert n > len(t) // 6 and like > 0.6, (t[:20], n, like)
+    for n, like in shares(spark, zip(texts[:4], [make(0x4E00, 3000, 400), make(0x3041, 80, 400), make(0x0E01, 46, 400), make(0x21, 90, 400)])):
+        assert like < 0.05
+
+
+def test_passage_inside_unspaced_runs(spark):
+    passage = "".join(chr(0x4E00 + (i * i * 31) % 3000) for i in range(120))
+    df = spark.createDataFrame([(1, passage), (2, "前" * 40 + passage + "後の文" * 20)], "i int, text string")
+    a, b = (set(r["a"]) for r in df.orderBy("i").select(syncmers.anchors(F.col("text")).alias("a")).collect())
+    assert len(a) > 30 and a <= b
+
+
+def test_edited_unspaced_documents(spark):
+    docs = [(i, "".join(chr(0x4E00 + (j * j * (31 + i) + 7 * i) % 2999) for j in range(200))) for i in range(3)]
+    rows = syncmers.fingerprint_report(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert all(0.2 < r["near_edited"] < 0.6 and r["near_next"] < 0.2 for r in rows)
+
+
+def test_pieces_against_plain_python(spark):
+    """Which anchors a run has, everything but the hash in plain Python."""
+    run = "".join(chr(0x4E00 + (i * i * 17) % 900) for i in range(60)) + "\U0001F600" * 2 + "abc"
+    g, k = syncmers.GRAM, syncmers.K
+    df = spark.createDataFrame([(run,)], "t string")
+    chars = {c: spark.range(1).select(F.xxhash64(F.lit(c))).first()[0] for c in set(run[:30])}
+    got = df.select(syncmers.tokens(F.col("t")).alias("t"), syncmers.anchors(F.col("t")).alias("a")).first()
+    assert len(got["t"]) == len(run) - g + 1
+    first = spark.createDataFrame([tuple(chars[c] for c in run[:g])], ", ".join(f"c{i} long" for i in range(g)))
+    assert first.select(F.xxhash64(*first.columns)).first()[0] == got["t"][0]
+    kept = [got["t"][i:i + k] for i in range(len(got["t"]) - k + 1) if min(got["t"][i:i + k]) in (got["t"][i], got["t"][i + k - 1])]
+    assert len(got["a"]) == len({tuple(x) for x in kept})
+
+
 def test_native(spark, docs):
     plan = syncmers.fingerprint_report(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
