@@ -288,7 +288,9 @@ def lang_report(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """Filtering stage: the columns of ``docs``, rows with a language whose posterior is at least ``least_score``."""
+    """Filtering stage: the columns of ``docs``, rows with a language whose posterior is at least ``least_score``.
+    The posterior is over the learned languages only and the whole text: in practice rows without a letter go, and letter
+    noise or a text in no learned language stays."""
     c = fresh(docs, "language")[0]
     return (docs.withColumn(c, fitted(docs)).where((F.col(c)["lang_pred"] != UND) & (F.col(c)["score"] >= least_score))
             .select(*docs.columns))
