@@ -1,16 +1,17 @@
-"""SimHash near-duplicates by multi-index hashing.
+"""SimHash near-duplicates by a table of radius-one neighbourhoods.
 
 A document's fingerprint has a bit for each bit of its shingles' XXH64 values:
 set when over half of them have it set. Two fingerprints link when they differ
 in at most ``max_distance`` (0 to 2) bits.
 
-The 64 bits are segments of 16. For each distinct fingerprint the Hamming ball of radius
+This replaces multi-index hashing: there is no table per segment, the key is the whole
+fingerprint, and going through the segments gives its 64 one-bit neighbours. For each distinct fingerprint the Hamming ball of radius
 one is enumerated within every segment, the other segments kept: 64 probes
 and the fingerprint itself. The probes are the index: fingerprints that
 meet in a table entry lie within two bits of each other, and any two within two
 bits meet in an entry (the one half way). An entry holds at most 65
 fingerprints whatever the data, so it is a bit mask and a flag, combined on the map side; matches
-are fetched from the mask, their complete distance is verified, and each
+are fetched from the mask, their complete distance is within two bits by construction, and each
 is linked to the least of the entry, not to each other. So a hot group of near copies
 costs 65 small rows per distinct fingerprint and never all its pairs, which is why
 segment buckets with candidate lists are not used.
