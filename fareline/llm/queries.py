@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, langid, mixing, periodic, quality, simhash, syncmers, tokencount, toxicity, urls, warc
+from . import bpe, chat, langid, mixing, periodic, quality, simhash, syncmers, tokencount, toxicity, trie, urls, warc
 from .common import read
 
 
@@ -46,6 +46,10 @@ def op10_url_rules(spark, sf_dir):
     return urls.judge_urls(read(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return trie.trie_report(read(spark, sf_dir, "conversations"))
+
+
 def op12_periodic_runs(spark, sf_dir):
     return periodic.runs_report(read(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op8_quality_cascade": (op8_quality_cascade, quality.SQL),
     "op9_chat_format": (op9_chat_format, chat.SQL),
     "op10_url_rules": (op10_url_rules, urls.SQL),
+    "op11_prefix_trie": (op11_prefix_trie, trie.SQL),
     "op12_periodic_runs": (op12_periodic_runs, None),
     "op13_token_counts": (op13_token_counts, None),
 }
