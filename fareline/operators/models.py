@@ -20,15 +20,15 @@ import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Bucketizer, StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, IsotonicRegression, LinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CV_FOLDS, RANDOM_STATE, SEARCH_ITERS, SELECTION_TIERS
 from ..session import remove_path, scratch_path
+from . import isotonic as iso
 from . import metrics as met
 from . import prep as pp
 from . import quantiles as qt
@@ -391,74 +391,56 @@ class Calibration:
     model_path: str | None = None
 
 
-CALIBRATION_BINS = 1000
-
-
 def calibrate(scored_cal: DataFrame, *, label: str = "fare_amount", prediction: str = "prediction",
-              coverage: float = 0.90, bins: int = CALIBRATION_BINS):
-    """CAB-1/CAB-2: isotonic fit of |residual| on prediction (increasing, clipped
-    outside the range), k = exact quantile(|res| / max(iso(pred), 1e-6), coverage),
-    empirical coverage = mean(|res| <= k iso(pred)).
-
-    Spark's isotonic fit ends on the driver, so at every row count it is given
-    ``bins`` prediction bins (edges from a quantile sketch, rows put into them by
-    binary search), each as (mean prediction, mean |residual|, count): one
-    code path, and a fit whose size does not depend on the rows."""
-    d = scored_cal.select(F.col(prediction).alias("p"), F.abs(F.col(label) - F.col(prediction)).alias("r"))
-    d = d.where("p IS NOT NULL AND r IS NOT NULL")
-    probs = [i / bins for i in range(1, bins)]
-    edges = d.agg(F.percentile_approx("p", F.array(*map(F.lit, probs)), 100 * bins)).first()[0]
-    if edges is None:
-        raise ValueError("no scored rows to calibrate on")
-    splits = [float("-inf"), *sorted(set(edges)), float("inf")]
-    binned = Bucketizer(splits=splits, inputCol="p", outputCol="_b", handleInvalid="keep").transform(d)
-    fit_on = binned.groupBy("_b").agg(F.avg("p").alias("p"), F.avg("r").alias("r"),
-                                      F.count(F.lit(1)).cast("double").alias("wt"))
-    iso = IsotonicRegression(featuresCol="p_vec", labelCol="r", predictionCol="w", weightCol="wt", isotonic=True)
-    va = VectorAssembler(inputCols=["p"], outputCol="p_vec")
-    iso_model = Pipeline(stages=[va, iso]).fit(fit_on)
-    w = iso_model.transform(d).withColumn("ratio", F.col("r") / F.greatest(F.col("w"), F.lit(1e-6)))
-    k = qt.quantile_values(w, ["ratio"], [coverage])[((), "ratio", coverage)]
-    emp = w.agg(F.avg((F.col("r") <= k * F.col("w")).cast("double"))).first()[0]
-    return iso_model, Calibration(k=float(k), coverage=coverage, empirical_coverage=float(emp))
-
-
-def predict_with_interval(scored: DataFrame, iso_model: PipelineModel | None, cal: Calibration | None,
+              coverage: float = 0.90) -> tuple[iso.IsotonicFit, Calibration]:
+    """CAB-1/CAB-2: isotonic fit of |residual| on prediction over all rows (increasing, clipped outside the range),
+    k = exact quantile(|res| / max(iso(pred), 1e-6), coverage), empirical coverage = mean(|res| <= k iso(pred))."""
+    d = scored_cal.select(F.col(prediction).cast("double").alias("p"), F.abs(F.col(label) - F.col(prediction)).alias("r"))
+    with qt.kept(d.where("p IS NOT NULL AND r IS NOT NULL")) as rows:       # read by every pass; the model scores once
+        fit = iso.isotonic_fit(rows, "p", "r")
+        with qt.kept(rows.select("r", fit.predict(F.col("p")).alias("w"))) as w:
+            ratio = w.select((F.col("r") / F.greatest("w", F.lit(1e-6))).alias("ratio"))
+            k = qt.quantile_values(ratio, ["ratio"], [coverage])[((), "ratio", coverage)]
+            emp = w.agg(F.avg((F.col("r") <= F.lit(k) * F.col("w")).cast("double"))).first()[0]
+    return fit, Calibration(k=float(k), coverage=coverage, empirical_coverage=float(emp))
+
+
+def predict_with_interval(scored: DataFrame, fit: iso.IsotonicFit | None, cal: Calibration | None,
                           prediction: str = "prediction") -> DataFrame:
     """CAB-3: pred -/+ k iso(pred) (no clamping; NULL bounds without calibration)."""
-    if iso_model is None or cal is None:
+    if fit is None or cal is None:
         return scored.withColumns({"lower": F.lit(None).cast("double"), "upper": F.lit(None).cast("double")})
-    tmp = scored.withColumn("p", F.col(prediction))
-    w = iso_model.transform(tmp).drop("p", "p_vec")
-    half = F.lit(cal.k) * F.col("w")
-    return w.withColumns({"lower": F.col(prediction) - half, "upper": F.col(prediction) + half}).drop("w")
+    half = F.lit(cal.k) * F.col("_w")
+    return (scored.withColumn("_w", fit.predict(F.col(prediction)))
+            .withColumns({"lower": F.col(prediction) - half, "upper": F.col(prediction) + half}).drop("_w"))
 
 
 # --- SNK-7 --------------------------------------------------------------------------
 
-def save_artifacts(path: str, model: PipelineModel, prep: Preprocessor, meta: dict, iso: PipelineModel | None = None,
+def save_artifacts(path: str, model: PipelineModel, prep: Preprocessor, meta: dict, fit: iso.IsotonicFit | None = None,
                    cal: Calibration | None = None) -> str:
     """Versioned model directory: Spark ML model, preprocessing parameters, metadata, and the
-    calibration (isotonic model and its scale) when there is one."""
+    calibration (isotonic knots and their scale) when there is one."""
     from pyspark.sql import SparkSession
 
     model.write().overwrite().save(os.path.join(path, "model"))
-    if iso is not None:
-        iso.write().overwrite().save(os.path.join(path, "calibration"))
     s = SparkSession.getActiveSession()
+    if fit is not None:
+        fit.save(s, os.path.join(path, "calibration"))
     s.createDataFrame([(prep.to_json(), json.dumps(meta), json.dumps(asdict(cal)) if cal else None)],
                       "preprocessor string, meta string, calibration string") \
         .coalesce(1).write.mode("overwrite").json(os.path.join(path, "params"))
     return path
 
 
-def load_calibration(path: str) -> tuple[PipelineModel | None, Calibration | None]:
+def load_calibration(path: str) -> tuple[iso.IsotonicFit | None, Calibration | None]:
     from pyspark.sql import SparkSession
 
-    row = SparkSession.getActiveSession().read.schema("calibration string").json(os.path.join(path, "params")).first()
+    s = SparkSession.getActiveSession()
+    row = s.read.schema("calibration string").json(os.path.join(path, "params")).first()
     if row["calibration"] is None:
         return None, None
-    return PipelineModel.load(os.path.join(path, "calibration")), Calibration(**json.loads(row["calibration"]))
+    return iso.IsotonicFit.load(s, os.path.join(path, "calibration")), Calibration(**json.loads(row["calibration"]))
 
 
 def load_artifacts(path: str):

@@ -52,6 +52,54 @@ def _cab_bucket(spark, sf):
         rnd("k").alias("k"), rnd("empirical_coverage").alias("empirical_coverage"))
 
 
+# --- a rule as predictor: the calibration itself with a SQL oracle --------------------------
+
+# the isotonic fit by its max-min formula over the distinct predictions
+_RULE_SQL = f"""
+, rule AS (SELECT floor(predicted_fare) AS x, actual_fare, abs(actual_fare - floor(predicted_fare)) AS r, {HASH_SQL} AS hb FROM pairs),
+cal AS (SELECT * FROM rule WHERE hb >= 64 AND hb < 80),
+pts AS (SELECT x, sum(r) AS s, count(*) AS w FROM cal GROUP BY x),
+acc AS (SELECT x, row_number() OVER (ORDER BY x) AS i, sum(s) OVER (ORDER BY x) AS s1, sum(w) OVER (ORDER BY x) AS w1, s, w FROM pts),
+means AS (SELECT j.i AS j, k.i AS k, (k.s1 - j.s1 + j.s) / (k.w1 - j.w1 + j.w) AS m FROM acc j JOIN acc k ON j.i <= k.i),
+low AS (SELECT a.i, b.j, min(b.m) AS m FROM acc a JOIN means b ON b.j <= a.i AND b.k >= a.i GROUP BY a.i, b.j),
+steps AS (SELECT a.x, a.w AS n, max(l.m) AS width FROM acc a JOIN low l ON l.i = a.i GROUP BY a.x, a.w),
+k AS (SELECT quantile_cont(r / greatest(width, 1e-6), 0.9) AS k FROM cal JOIN steps USING (x))"""
+
+
+def rule_rows(spark, sf):
+    """Whole dollars of the given prediction, absolute residual and split of every pair."""
+    p = v.pairs(spark, sf).withColumn("split", pp.split_label())
+    return p.select("split", "actual_fare", F.floor("predicted_fare").cast("double").alias("x"))
+
+
+def _rule_calibration(spark, sf):
+    rows = rule_rows(spark, sf)
+    return rows, *md.calibrate(rows.where(F.col("split") == "calibration"), label="actual_fare", prediction="x")
+
+
+@register("cab_isotonic_steps", v.with_views(_RULE_SQL + "\nSELECT x, n, round(width, 6) AS width FROM steps", "pairs"))
+def _cab_steps(spark, sf):
+    """CAB-1 on a given prediction: the exact isotonic half-width at every distinct prediction of the calibration split."""
+    rows, fit, _cal = _rule_calibration(spark, sf)
+    points = rows.where(F.col("split") == "calibration").groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    return points.select("x", "n", F.round(fit.predict(F.col("x")), 6).alias("width"))
+
+
+@register("cab_interval_rule", v.with_views(_RULE_SQL + """
+, ends AS (SELECT t.r, t.x, lo.x AS x0, lo.width AS w0, hi.x AS x1, hi.width AS w1 FROM (SELECT * FROM rule WHERE hb >= 80) t
+  ASOF LEFT JOIN steps lo ON t.x >= lo.x ASOF LEFT JOIN steps hi ON t.x <= hi.x),
+w AS (SELECT r, CASE WHEN x0 IS NULL THEN w1 WHEN x1 IS NULL OR x0 = x1 THEN w0 ELSE w0 + (w1 - w0) * (x - x0) / (x1 - x0) END AS w FROM ends)
+SELECT count(*) AS n, round(k.k, 6) AS k, round(avg(CAST(r <= k.k * w AS DOUBLE)), 6) AS test_coverage, round(avg(2 * k.k * w), 6) AS mean_width
+FROM w, k GROUP BY k.k""", "pairs"))
+def _cab_interval_rule(spark, sf):
+    """CAB-2/CAB-3 on a given prediction: k, and coverage and mean width of the intervals on the test split."""
+    rows, fit, cal = _rule_calibration(spark, sf)
+    iv = md.predict_with_interval(rows.where(F.col("split") == "test"), fit, cal, prediction="x")
+    inside = F.col("actual_fare").between(F.col("lower"), F.col("upper"))
+    return iv.agg(F.count(F.lit(1)).alias("n"), F.lit(round(cal.k, 6)).alias("k"), F.round(F.avg(inside.cast("double")), 6).alias("test_coverage"),
+                  F.round(F.avg(F.col("upper") - F.col("lower")), 6).alias("mean_width"))
+
+
 def _calibrated(spark, sf):
     model, prep, f = fitted(spark, sf, "linear")
     cal = model.transform(prep.transform(f.where(F.col("split") == "calibration")))

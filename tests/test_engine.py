@@ -141,8 +141,9 @@ def test_calibration_is_one_path_at_any_row_count(spark):
     more = df
     for _ in range(3):
         more = more.unionAll(more)
-    _iso2, again = md.calibrate(more)      # eight times the rows: the same bins, the same k up to interpolation
+    _iso2, again = md.calibrate(more)      # eight times the rows: the same fit, the same k up to interpolation
     assert again.k == pytest.approx(cal.k, rel=2e-3)
+    assert _iso2.x == pytest.approx(_iso.x) and _iso2.y == pytest.approx(_iso.y)
 
 
 def test_preprocessor_stage_fit_save_load(spark):
