@@ -4,17 +4,19 @@ Preprocessing (PP-1..PP-6) is fitted once on the train split as small
 parameter tables and applied as Column expressions before a
 ``VectorAssembler``; the regressors are Spark ML's distributed trainers
 (linear: normal equations / L-BFGS / OWL-QN; trees: binned, sub-sampled
-tree aggregation). Hyper-parameter search uses ``CrossValidator`` with a
-stable hash fold column, never ``randomSplit``.
+tree aggregation). The search (``search``) uses a stable hash fold column, never
+``randomSplit``.
 """
 
 from __future__ import annotations
 
+import functools
 import json
+import operator
 import os
-import random
+from contextlib import contextmanager, nullcontext
+from dataclasses import asdict, dataclass, field, replace
 from multiprocessing.pool import ThreadPool
-from dataclasses import asdict, dataclass, field
 
 import numpy as np
 from pyspark import inheritable_thread_target
@@ -22,7 +24,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ from . import isotonic as iso
 from . import metrics as met
 from . import prep as pp
 from . import quantiles as qt
+from . import search as sr
+from . import trees as tr
 
 
 # --- PP-6 preprocessing -------------------------------------------------------
@@ -188,69 +191,74 @@ def make_regressor(family: str, params: dict | None = None, label: str = "fare_a
     raise ValueError(f"unknown model family {family!r}")
 
 
-# parameter grids (the search space of each family)
+# Search space of each family (fixed values; the deepest tree that Spark ML grows stands for an unlimited one).
 GRIDS = {
-    "linear": {"regParam": [0.0, 0.001, 0.01, 0.1, 1.0, 10.0, 50.0], "elasticNetParam": [0.0, 0.5, 1.0]},
-    "tree": {"maxDepth": [5, 10, 20], "minInstancesPerNode": [1, 2, 4]},
-    "forest": {"numTrees": [100, 200], "maxDepth": [10, 15, 20]},
-    "gbt": {"maxIter": [100, 200], "stepSize": [0.05, 0.1], "maxDepth": [3, 5, 7]},
+    "linear": {"regParam": [0.0, 0.001, 0.01, 0.1, 1.0, 10.0, 50.0], "elasticNetParam": [0.0, 0.2, 0.5, 0.8, 1.0]},
+    "tree": {"maxDepth": [5, 10, 20, 30], "minInstancesPerNode": [1, 2, 4]},
+    "forest": {"numTrees": [100, 200], "maxDepth": [10, 15, 20], "minInstancesPerNode": [2, 4]},
+    "gbt": {"maxIter": [80, 150], "stepSize": [0.05, 0.1], "maxDepth": [3, 4], "subsamplingRate": [0.5, 0.8]},
 }
 
 
-def tune(family: str, data: DataFrame, *, n_iter: int = SEARCH_ITERS, folds: int = CV_FOLDS, seed: int = RANDOM_STATE,
-         parallelism: int = 4,
-         label: str = "fare_amount", preprocessor: TripPreprocessor | None = None):
-    """MOD-6: randomised search = a seeded sample of the grid, cross-validated
-    with a hash fold column (``CrossValidator(foldCol=...)``). With a
-    ``preprocessor`` the preprocessing is refitted on every training fold (no
-    leakage from the validation fold), as in the reference's pipelines; it does not
-    depend on the setting, so a fold fits it once and all settings share it.
-    Returns (model of the best setting on all rows, (setting, mean, std) of every setting)."""
-    grid_spec = GRIDS[family]
-    reg = make_regressor(family, label=label, seed=seed)
-    b = ParamGridBuilder()
-    for name, values in grid_spec.items():
-        b = b.addGrid(reg.getParam(name), values)
-    full = b.build()
-    rng = random.Random(seed)
-    maps = rng.sample(full, min(n_iter, len(full)))
-    fold = pp.kfold(k=folds, seed=str(seed))
-    d = data.withColumn("_fold", fold)
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
-    if preprocessor is not None:
-        scores = _fold_scores(reg, maps, ev, d, folds, preprocessor, label, parallelism)
-        averages, deviations = scores.mean(axis=0), scores.std(axis=0)
-        best = reg.copy(maps[int(averages.argmin())])
-        model = Pipeline(stages=[preprocessor, best]).fit(data)
-    else:
-        cv = CrossValidator(estimator=reg, estimatorParamMaps=maps, evaluator=ev, foldCol="_fold", numFolds=folds,
-                            parallelism=parallelism, seed=seed)
-        model = cv.fit(d)
-        averages, deviations = model.avgMetrics, model.stdMetrics
-    rows = []
-    for pm, avg, std in zip(maps, averages, deviations):
-        rows.append(({p.name: v for p, v in pm.items()}, float(avg), float(std)))
-    return model, rows
-
-
-def _fold_scores(reg, maps, ev, d: DataFrame, folds: int, preprocessor, label: str, parallelism: int) -> np.ndarray:
-    """RMSE [fold, setting]; the preprocessing of a fold is fitted on its training rows only."""
-    spark = d.sparkSession
-    scores = np.zeros((folds, len(maps)))
-    for i in range(folds):
-        prep = preprocessor.fit(d.where(F.col("_fold") != i))
+@contextmanager
+def fold_tables(data: DataFrame, folds: int, seed: int, label: str, preprocessor: "TripPreprocessor | None" = None,
+                parallelism: int = 5):
+    """What a search reads. Without a preprocessor: one written table (``_fold``, ``features``, label). With one: a table per fold,
+    the preprocessing fitted on that fold's training rows only (no leakage from the validation fold), with
+    ``features`` (clipped, for trees) and ``scaled`` (for linear models). All families of a search share them."""
+    spark, d = data.sparkSession, data.withColumn("_fold", pp.kfold(k=folds, seed=str(seed)))
+    paths: list[str] = []
+
+    def write(df: DataFrame) -> DataFrame:
         path = scratch_path(spark, "fold")
-        prep.transform(d).select("_fold", "features", label).write.parquet(path)
-        rows = spark.read.parquet(path)
-        train, valid = rows.where(F.col("_fold") != i), rows.where(F.col("_fold") == i)
+        paths.append(path)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def one(i: int) -> DataFrame:
+        get = preprocessor.getOrDefault
+        prep = fit_preprocessor(d.where(F.col("_fold") != i), get("ordinalCols"), get("continuousCols"), get("binaryCols"), scaled=True)
+        both = replace(prep, scaled=False).transform(prep.transform(d, "scaled"))
+        return write(both.select("_fold", "scaled", "features", label))
+
+    try:
+        if preprocessor is None:
+            yield [write(d.select("_fold", "features", label))]
+        else:
+            with ThreadPool(min(parallelism, folds)) as pool:
+                yield pool.map(inheritable_thread_target(spark)(one), range(folds))
+    finally:
+        for path in paths:
+            remove_path(spark, path)
+
+
+def search_family(family: str, tables: list[DataFrame], settings: list[dict], folds: int, *, seed: int = RANDOM_STATE,
+                  label: str = "fare_amount", parallelism: int = 8) -> np.ndarray:
+    """RMSE [fold, setting] of one family over the tables of ``fold_tables``."""
+    per_fold = len(tables) > 1
+    if family == "linear":
+        vector = "scaled" if "scaled" in tables[0].columns else "features"
+        found = [sr.fold_moments(t, vector, label, "_fold") for t in tables]
 
-        def one(pm, train=train, valid=valid) -> float:
-            return ev.evaluate(reg.copy(pm).fit(train).transform(valid))
+        def split(i: int):
+            each = found[i if per_fold else 0]
+            return functools.reduce(operator.add, (m for f, m in each.items() if f != i)), each[i]
 
-        with ThreadPool(min(parallelism, len(maps))) as pool:
-            scores[i] = pool.map(inheritable_thread_target(spark)(one), maps)
-        remove_path(spark, path)
-    return scores
+        return sr.linear_scores(split, folds, settings)
+    pairs = [(t.where(F.col("_fold") != i), t.where(F.col("_fold") == i)) for i, t in enumerate(tables * (1 if per_fold else folds))]
+    return sr.staged_scores(family, lambda s: make_regressor(family, s, label, seed), pairs, settings, features="features",
+                            label=label, parallelism=parallelism)
+
+
+def tune(family: str, data: DataFrame, *, n_iter: int = SEARCH_ITERS, folds: int = CV_FOLDS, seed: int = RANDOM_STATE,
+         label: str = "fare_amount", preprocessor: "TripPreprocessor | None" = None, tables: list[DataFrame] | None = None) -> list[tuple]:
+    """MOD-6 of one family: (setting, mean, population std of the folds' RMSE) of a seeded sample of its grid over stable hash
+    folds. ``data`` is preprocessed (``features``), or is not and ``preprocessor`` is refitted in every training fold;
+    ``tables`` are those of an open ``fold_tables`` that families share."""
+    settings = sr.draw(GRIDS[family], n_iter, seed)
+    with nullcontext(tables) if tables else fold_tables(data, folds, seed, label, preprocessor) as ready:
+        scores = search_family(family, ready, settings, folds, seed=seed, label=label)
+    return [(s, float(a), float(b)) for s, a, b in zip(settings, scores.mean(axis=0), scores.std(axis=0))]
 
 
 def cv_scores(family: str, data: DataFrame, *, folds: int = CV_FOLDS, seed: int = RANDOM_STATE, params: dict | None = None,
@@ -372,6 +380,13 @@ def vector_shap(scored: DataFrame, coefficients, names, features: str = "feature
     return x.join(per, "j").groupBy("feature").agg(F.avg(F.abs(F.col("coef") * (F.col("x") - F.col("m")))).alias("mean_abs_shap"))
 
 
+def attributions(scored: DataFrame, model, names, features: str = "features") -> DataFrame:
+    """EXP-3: feature, mean_abs_shap over all rows, exact for linear and tree models alike."""
+    if hasattr(model, "coefficients"):
+        return vector_shap(scored, model.coefficients.toArray(), names, features)
+    return tr.mean_abs_shap(scored, model, list(names), features)
+
+
 def linear_shap(df: DataFrame, coefs: dict) -> DataFrame:
     """EXP-3 (linear models, exact): mean |coef_j (x_j - mean_j)| per feature, all rows."""
     cols = list(coefs)

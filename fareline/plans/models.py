@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from ..config import SELECT_K
+from ..config import CV_FOLDS, RANDOM_STATE, SELECT_K
 from ..operators import metrics as met
 from ..operators import models as md
 from ..operators import monitor as mon
@@ -85,31 +85,35 @@ for _fam, _id in (("linear", "mod_linear"), ("tree", "mod_tree"), ("forest", "mo
     register(_id)(_family_query(_fam))
 
 
-def searched(spark, sf, family, refit):
-    """MOD-6 of one family: (setting, cv_mean_rmse, cv_std_rmse) of every setting of the search (``SEARCH_ITERS``
-    seeded draws of its grid, ``CV_FOLDS`` hash folds) on the selected features (SEL-2) of the train split. With
-    ``refit`` the preprocessing is refitted on every training fold; otherwise it is fitted once, on the whole split."""
+def searched(spark, sf, refit, families=FAMILIES):
+    """MOD-6: family -> (setting, cv_mean_rmse, cv_std_rmse) of every setting of the search (``SEARCH_ITERS`` seeded draws of
+    its grid, ``CV_FOLDS`` hash folds) on the selected features (SEL-2) of the train split. With ``refit`` the preprocessing
+    is refitted on every training fold; otherwise it is fitted once, on the whole split. The families share the fold tables."""
     train = split_features(spark, sf).where(F.col("split") == "train")
     use = selected_columns(spark, sf)
     ordinal, continuous, binary = ([c for c in cols if c in use] for cols in (ORD, CONT, BIN))
     if refit:
-        prep = md.TripPreprocessor(ordinalCols=ordinal, continuousCols=continuous, binaryCols=binary,
-                                   scaled=family == "linear")
-        return md.tune(family, train, preprocessor=prep)[1]
-    prep = md.fit_preprocessor(train, ordinal, continuous, binary, scaled=family == "linear")
-    data = prep.transform(train).select("event_id", "features", "fare_amount")
-    return md.tune(family, written_table(data, "search"))[1]
+        prep = md.TripPreprocessor(ordinalCols=ordinal, continuousCols=continuous, binaryCols=binary, scaled=True)
+        with md.fold_tables(train, CV_FOLDS, RANDOM_STATE, "fare_amount", prep) as tables:
+            return {fam: md.tune(fam, train, tables=tables) for fam in families}
+    out = {}
+    for scaled, mine in ((True, ("linear",)), (False, ("tree", "forest", "gbt"))):
+        if set(mine) & set(families):
+            prep = md.fit_preprocessor(train, ordinal, continuous, binary, scaled=scaled)
+            with md.fold_tables(prep.transform(train), CV_FOLDS, RANDOM_STATE, "fare_amount") as tables:
+                out |= {fam: md.tune(fam, train, tables=tables) for fam in mine if fam in families}
+    return out
 
 
 _TUNED: dict = {}
 
 
 def tuned(spark, sf, family):
-    """``searched`` with the preprocessing in the folds, run once per session and input."""
-    key = (tuple(v.trips(spark, sf).inputFiles()), id(spark.sparkContext), family)
+    """``searched`` with the preprocessing in the folds, run once per session and input for all families."""
+    key = (tuple(v.trips(spark, sf).inputFiles()), id(spark.sparkContext))
     if key not in _TUNED:
-        _TUNED[key] = searched(spark, sf, family, refit=True)
-    return _TUNED[key]
+        _TUNED[key] = searched(spark, sf, refit=True)
+    return _TUNED[key][family]
 
 
 def best_setting(spark, sf, family):
@@ -126,7 +130,19 @@ def _search_rows(spark, found):
 def _search(spark, sf):
     """MOD-6: randomised search (20 seeded draws of the grid or all of a smaller one, 5 hash folds) of the
     four families, on the selected features preprocessed once (fitted on the train split)."""
-    return _search_rows(spark, [(fam, searched(spark, sf, fam, refit=False)) for fam in FAMILIES])
+    return _search_rows(spark, searched(spark, sf, refit=False).items())
+
+
+@register("mod_search_linear")
+def _search_linear(spark, sf):
+    """MOD-6 of the linear family alone: every setting x fold from one aggregate of fold moments."""
+    return _search_rows(spark, searched(spark, sf, refit=False, families=("linear",)).items())
+
+
+@register("mod_search_tree")
+def _search_tree(spark, sf):
+    """MOD-6 of the decision tree alone: one fit per fold and leaf size, read off at every depth."""
+    return _search_rows(spark, searched(spark, sf, refit=False, families=("tree",)).items())
 
 
 @register("mod_search_fold_refit")
@@ -279,7 +295,14 @@ def _shap_model(spark, sf):
     """EXP-3: mean |SHAP| of every feature of the linear model, all train rows."""
     model, prep, f = fitted(spark, sf, "linear")
     x = prep.transform(f.where(F.col("split") == "train")).select("features")
-    return md.vector_shap(x, model.stages[-1].coefficients.toArray(), prep.feature_order)
+    return md.attributions(x, model.stages[-1], prep.feature_order)
+
+
+@register("exp_tree_shap")
+def _tree_shap(spark, sf):
+    """EXP-3: mean |SHAP| of every feature of the forest, exact path-dependent values of all test rows."""
+    model, prep, f = fitted(spark, sf, "forest")
+    return md.attributions(prep.transform(f.where(F.col("split") == "test")).select("features"), model.stages[-1], prep.feature_order)
 
 
 @register("exp_importance")
