@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..config import SELECT_K
 from ..operators import prep as pp
+from ..operators.knn_mi import knn_mutual_information
 from ..operators.features import FEATURE_COLUMNS
 from . import register
 from . import views as v
@@ -226,6 +227,33 @@ def _topk(spark, sf):
     return m.withColumn("mi", rnd("mi")).orderBy(F.desc("mi"), "feature").limit(TOP_K)
 
 
+# all pairs of rows; psi of a whole number by the harmonic sums
+_KNN_SQL = v.with_views(f"""
+, tr AS MATERIALIZED (SELECT *, row_number() OVER () AS rid FROM features WHERE {HASH_SQL} < 64),
+long AS MATERIALIZED ({" UNION ALL ".join(f"SELECT '{c}' AS feature, rid, CAST({c} AS DOUBLE) AS v, fare_amount AS y FROM tr" for c in MI_COLS)}),
+sc AS (SELECT feature, stddev_pop(v) AS sx, stddev_pop(y) AS sy, count(*) AS n FROM long GROUP BY feature),
+r AS MATERIALIZED (
+  SELECT a.feature, a.rid, any_value(a.v) AS v, any_value(a.y) AS y, any_value(n) AS n, any_value(sx) AS sx, any_value(sy) AS sy,
+    min(greatest(abs(a.v - b.v) / CASE WHEN sx > 0 THEN sx ELSE 1 END, abs(a.y - b.y) / CASE WHEN sy > 0 THEN sy ELSE 1 END), 3)[3] AS r
+  FROM long a JOIN long b ON a.feature = b.feature AND a.rid <> b.rid JOIN sc ON sc.feature = a.feature GROUP BY a.feature, a.rid),
+near AS (
+  SELECT r.feature, r.rid, any_value(r.n) AS n,
+    count(*) FILTER (abs(r.v - b.v) / CASE WHEN sx > 0 THEN sx ELSE 1 END < r.r OR (r.r = 0 AND r.v = b.v)) AS nx,
+    count(*) FILTER (abs(r.y - b.y) / CASE WHEN sy > 0 THEN sy ELSE 1 END < r.r OR (r.r = 0 AND r.y = b.y)) AS ny
+  FROM r JOIN long b ON b.feature = r.feature GROUP BY r.feature, r.rid),
+psi AS (SELECT i, sum(CASE WHEN i > 1 THEN 1e0 / (i - 1) ELSE 0 END) OVER (ORDER BY i) - 0.5772156649015329e0 AS p
+  FROM range(1, (SELECT max(n) + 1 FROM sc)) t(i))
+SELECT feature, round(greatest(any_value(pn.p) + 1.5e0 - 0.5772156649015329e0 - avg(px.p + py.p), 0), 6) AS mi
+FROM near JOIN psi px ON px.i = nx JOIN psi py ON py.i = ny JOIN psi pn ON pn.i = n GROUP BY feature""", "features")
+
+
+@register("sel_knn_mutual_information", _KNN_SQL)
+def _knn_mi(spark, sf):
+    """SEL-1: nearest-neighbour (k = 3) mutual information of each feature with the fare, all rows of the train split."""
+    m = knn_mutual_information(_train(spark, sf), MI_COLS, "fare_amount")
+    return m.withColumn("mi", rnd("mi"))
+
+
 SPLIT_SQL = v.with_views(f"""
 SELECT CASE WHEN {HASH_SQL} < 64 THEN 'train' WHEN {HASH_SQL} < 80 THEN 'calibration' ELSE 'test' END AS split, count(*) AS n
 FROM clean_trips GROUP BY 1""", "clean_trips")
