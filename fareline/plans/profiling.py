@@ -170,6 +170,20 @@ def _prf_density(spark, sf):
     return n.select("airport_trip", "bin", "count", rnd("share").alias("share"))
 
 
+@register("prf_kernel_density", v.with_views("""
+, c AS (SELECT airport_trip, greatest(least(fare_amount, 100e0), 0e0) AS v FROM features),
+st AS (SELECT airport_trip, count(*) AS n, stddev_samp(v) * pow(count(*), -0.2e0) AS bw FROM c GROUP BY 1),
+l AS (SELECT airport_trip, v / (100e0 / 511) AS p, least(floor(v / (100e0 / 511)), 510) AS i FROM c),
+cells AS (SELECT airport_trip, i, sum(w) AS w FROM (SELECT airport_trip, i, 1 - (p - i) AS w FROM l UNION ALL SELECT airport_trip, i + 1, p - i FROM l) GROUP BY 1, 2)
+SELECT airport_trip, CAST(j AS INTEGER) AS point,
+  round(sum(w * exp(-0.5e0 * pow((j - i) * (100e0 / 511) / bw, 2))) / any_value(n * bw * sqrt(2 * pi())), 6) AS density
+FROM cells JOIN st USING (airport_trip), range(0, 512) t(j) GROUP BY 1, 2""", "features"))
+def _prf_kde(spark, sf):
+    """PRF-8: kernel density of the fare (clipped at 100) per airport flag, one bandwidth per group."""
+    d = prf.kernel_density(v.features(spark, sf), "fare_amount", 0.0, 100.0, by=["airport_trip"])
+    return d.select("airport_trip", "point", rnd("density").alias("density"))
+
+
 @register("prf_value_counts", v.with_views("""
 SELECT passenger_count, count(*) AS count, round(count(*) / sum(count(*)) OVER (), 6) AS share
 FROM trips GROUP BY passenger_count""", "trips"))

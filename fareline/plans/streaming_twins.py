@@ -94,6 +94,33 @@ def _st_late(spark, sf):
     return _kpi_stream(spark, sf, late=True)
 
 
+_SESSION_SQL = SCORED_SQL + """
+, s2 AS (SELECT s.*, c.pickup_datetime AS t, c.passenger_count FROM scored s JOIN clean_trips c USING (event_id)),
+g AS (SELECT *, CASE WHEN t - lag(t) OVER w < INTERVAL 10 MINUTE THEN 0 ELSE 1 END AS fresh FROM s2 WINDOW w AS (PARTITION BY passenger_count ORDER BY t, event_id)),
+i AS (SELECT *, sum(fresh) OVER (PARTITION BY passenger_count ORDER BY t, event_id) AS session FROM g),
+x AS (SELECT passenger_count, min(t) AS b, max(t) + INTERVAL 10 MINUTE AS e, count(*) AS n, sum(predicted_fare) AS predicted, sum(actual_fare) AS actual
+      FROM i GROUP BY passenger_count, session)
+SELECT passenger_count, epoch_us(b) AS session_start_us, epoch_us(e) AS session_end_us, n, round(predicted, 4) AS predicted, round(actual, 4) AS actual
+FROM x WHERE e <= (SELECT max(t) FROM s2) - INTERVAL 10 MINUTE"""
+
+
+@register("st_session_kpis", v.with_views(_SESSION_SQL, "features", "pairs", "clean_trips"))
+def _st_sessions(spark, sf):
+    """ST-2: sessions of trips with one passenger count, each within 10 minutes of the one before, 10-minute watermark."""
+    base = scratch_path(spark, "st-session")
+    src, (sink, ckpt) = f"{base}/source", jobs.sink_dir(base, "out")
+    s = scored(spark, sf).select("event_id", "pickup_datetime", "passenger_count", "actual_fare", "predicted_fare")
+
+    def run():
+        stream = jobs.with_event_time(jobs.read_stream(spark, src, s.schema))
+        jobs.run_available_now(jobs.session_kpis(stream, ["passenger_count"]), sink, ckpt)
+
+    jobs.feed_in_slices(s, "pickup_datetime", CHUNKS, src, run)
+    out = spark.read.parquet(sink)
+    return out.select("passenger_count", F.unix_micros("session_start").alias("session_start_us"), F.unix_micros("session_end").alias("session_end_us"),
+                      "n", F.round("predicted", 4).alias("predicted"), F.round("actual", 4).alias("actual"))
+
+
 @register("st_scoring")
 def _st_scoring(spark, sf):
     """ST-1 + SNK-4: raw trip stream -> rules + replay dedup + FT-0 -> fitted model -> pricing

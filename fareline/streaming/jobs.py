@@ -116,6 +116,15 @@ def window_kpis(stream: DataFrame, window: str = "1 hour", slide: str | None = N
                     "surge_rate", "avg_predicted_fare"))
 
 
+def session_kpis(stream: DataFrame, keys, gap: str = "10 minutes", delay: str = "10 minutes") -> DataFrame:
+    """ST-2: sessions of rows of one key, each within ``gap`` of the one before; a session is
+    emitted once the watermark passes its last row by the gap, so its state goes then."""
+    w = F.session_window("event_time", gap)
+    return (stream.withWatermark("event_time", delay).groupBy(*keys, w.alias("w"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("predicted_fare").alias("predicted"), F.sum("actual_fare").alias("actual"))
+            .select(*keys, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n", "predicted", "actual"))
+
+
 def drift_batches(stream: DataFrame, edges: dict, columns, sink: str, checkpoint: str) -> None:
     """ST-4: per micro-batch PSI of each column against stored reference
     edges and shares (``edges`` = {column: (edges list, expected shares)}),
