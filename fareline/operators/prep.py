@@ -29,19 +29,19 @@ def detect_roles(df: DataFrame, threshold: int = ORDINAL_THRESHOLD, exclude=ROLE
 
     Non-numeric / boolean -> ordinal; numeric with 2 distinct values ->
     binary, 3..threshold -> ordinal, anything else (also 1) -> continuous.
-    NULL counts as one more value. Scale: one HyperLogLog pass bounds every
-    column; only columns whose estimate is small get an exact distinct count
-    (a long-form grouping that map-side combines to a few rows per task),
-    so a billion-valued double column is never shuffled value by value. What
-    is small follows the threshold (twice it and 64 more, far outside the
-    sketch's error), so every column that could be ordinal is counted exactly.
+    NULL counts as one more value. Distinct values are counted exactly, as (column, value) groups that map-side
+    combine and spread over all tasks. With ``exact_below`` a HyperLogLog pass goes first and only columns whose
+    estimate is at most that are counted; the others have no ``n_unique`` and are continuous. A bound below twice
+    the threshold and 64 more could miss an ordinal column in the sketch's error and is raised to that.
     """
-    exact_below = 2 * threshold + 64 if exact_below is None else exact_below
     types = dict(df.dtypes)
     cols = [c for c in df.columns if c not in exclude]
-    est = df.agg(*[F.approx_count_distinct(c).alias(f"{c}__a") for c in cols],
-                 *[F.max(F.col(c).isNull().cast("int")).alias(f"{c}__n") for c in cols]).first()
-    small = [c for c in cols if est[f"{c}__a"] <= exact_below]
+    nulls = [F.max(F.col(c).isNull().cast("int")).alias(f"{c}__n") for c in cols]
+    if exact_below is None:
+        est, small = df.agg(*nulls).first(), cols
+    else:
+        est = df.agg(*[F.approx_count_distinct(c).alias(f"{c}__a") for c in cols], *nulls).first()
+        small = [c for c in cols if est[f"{c}__a"] <= max(exact_below, 2 * threshold + 64)]
     exact = {}
     if small:
         entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in small])
@@ -51,7 +51,7 @@ def detect_roles(df: DataFrame, threshold: int = ORDINAL_THRESHOLD, exclude=ROLE
     rows = []
     for c in cols:
         has_null = int(est[f"{c}__n"] or 0)
-        n = (exact.get(c, 0) if c in small else int(est[f"{c}__a"])) + has_null
+        n = (exact.get(c, 0) if c in small else int(est[f"{c}__a"])) + has_null     # an estimate only where it is large
         t = types[c]
         if t not in NUMERIC:
             role = "ordinal"

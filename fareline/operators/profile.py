@@ -171,9 +171,10 @@ def box_stats(df: DataFrame, column: str, by=(), fold: float = 1.5, *, exact: bo
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """PRF-9: count and share of each value; the total is the sum of the grouped counts."""
+    one = F.lit(1).alias("_one")
     g = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    with_total = g.withColumn("_total", F.sum("count").over(Window.partitionBy(F.lit(0))))
-    return with_total.select(column, "count", (F.col("count") / F.col("_total")).alias("share"))
+    total = g.groupBy(one).agg(F.sum("count").alias("_total"))       # one row, from the same grouping
+    return g.select("*", one).join(F.broadcast(total), "_one").select(column, "count", (F.col("count") / F.col("_total")).alias("share"))
 
 
 def group_mean_ci(df: DataFrame, column: str, by, z: float = 1.96) -> DataFrame:

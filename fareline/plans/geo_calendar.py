@@ -106,14 +106,15 @@ def airports_within(trips, points, radius_km: float):
     ).select("*", F.explode(F.sequence(F.floor((F.col("_plon") - dlon) / dlon),
                                        F.floor((F.col("_plon") + dlon) / dlon))).alias("_cx"))
 
-    def side(lat, lon):
-        t = trips.select("*", F.floor(F.col(lat) / dlat).alias("_cy"), F.floor(F.col(lon) / dlon).alias("_cx"))
-        j = t.join(cells, ["_cy", "_cx"])
-        return j.where(geo.haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon")) <= radius_km)
-
-    both = side("pickup_latitude", "pickup_longitude").unionByName(side("dropoff_latitude", "dropoff_longitude"))
-    keep = [c for c in trips.columns] + ["airport"]
-    return both.select(*keep).dropDuplicates(keep)
+    # each row once per airport, whichever of its ends is near; repeated rows stay repeated
+    ends = F.array(F.struct(F.lit(0).alias("_end"), F.col("pickup_latitude").alias("_lat"), F.col("pickup_longitude").alias("_lon")),
+                   F.struct(F.lit(1).alias("_end"), F.col("dropoff_latitude").alias("_lat"), F.col("dropoff_longitude").alias("_lon")))
+    near_pickup = geo.haversine_km(F.col("pickup_latitude"), F.col("pickup_longitude"), F.col("_plat"), F.col("_plon")) <= radius_km
+    t = (trips.select("*", F.inline(ends)).withColumn("_cy", F.floor(F.col("_lat") / dlat)).withColumn("_cx", F.floor(F.col("_lon") / dlon)))
+    near = t.join(cells, ["_cy", "_cx"]).where(geo.haversine_km(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon")) <= radius_km)
+    # an airport near both ends comes from the pickup side only
+    once = near.where((F.col("_end") == 0) | ~F.coalesce(near_pickup, F.lit(False)))
+    return once.select(*trips.columns, "airport")
 
 
 @register("cal_features", v.with_views("""

@@ -36,7 +36,7 @@ def _roles_sql():
         n = f"(count(DISTINCT {c}) + max(CAST({c} IS NULL AS INTEGER)))"
         role = ("'ordinal'" if c == "event_type" else
                 f"CASE WHEN {n} = 2 THEN 'binary' WHEN {n} BETWEEN 3 AND 10 THEN 'ordinal' ELSE 'continuous' END")
-        parts.append(f"SELECT '{c}' AS \"column\", CASE WHEN {n} <= 64 THEN CAST({n} AS BIGINT) END AS n_unique, {role} AS role FROM features")
+        parts.append(f"SELECT '{c}' AS \"column\", CAST({n} AS BIGINT) AS n_unique, {role} AS role FROM features")
     return v.with_views(" UNION ALL ".join(parts), "features")
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import features as ft
 from ..operators import validate as val
@@ -156,11 +157,13 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
     ``events`` (whole table) and written as parquet once, so every query
     scans plain columns (filters and projections pushed into the scan) and
     the written table survives executor loss. Keyed by the source files as
-    Spark lists them (any file system), and read again from the events if
-    the written table is gone.
+    Spark lists them (any file system) with their sizes and times of writing, and read again
+    from the events if these have been written anew or the written table is gone.
     """
     events = tables.read_table(spark, sf, "events")
-    key = (tuple(sorted(events.inputFiles())), events.count(), id(spark.sparkContext))
+    state = F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    version = events.agg(F.count(F.lit(1)), F.sum(F.pmod(state, F.lit(1 << 31)))).first()
+    key = (tuple(sorted(events.inputFiles())), tuple(version), id(spark.sparkContext))
     path = _INGESTED.get(key)
     if path is not None:
         try:
