@@ -4,11 +4,14 @@ Two facts make BPE a finite-state map. A sequence of tokens is the encoding of i
 bytes exactly when every adjacent pair is the encoding of its own two tokens
 (a merge across a boundary would show in that pair alone). And a prefix has at most
 one such sequence per length. So the transducer guesses where the current
-token began: a hypothesis is (tokens not yet emitted, token before, place in
-the vocabulary's trie). A set of hypotheses is a state of the determinised
-machine; whatever all of them agree on is emitted at once, and
-as no token is longer than the longest in the vocabulary, that happens after bounded lookahead.
-States and transitions are made when first met and kept in tables of bounded size.
+token began: a hypothesis is (token before, place in the vocabulary's trie). A set of
+hypotheses is a state of the determinised machine. Tokens not yet certain are not part of
+the state, so texts share states whatever came before: each hypothesis has a register
+with its tokens, and a transition says from which hypothesis each new one comes and
+which token it appends. When all come from one, its tokens are certain and emitted; what all
+registers agree on is emitted too once it has waited as long as the longest token, so lookahead is bounded.
+States and transitions are made when first met; they, the decided token pairs and
+the encoded matches are tables that are emptied once they have taken their bytes.
 
 Decoding is streaming: an incremental UTF-8 state machine takes tokens as they
 come, holds back the bytes of an incomplete character (three at most) and
@@ -23,7 +26,7 @@ looked at; a byte without a token in the vocabulary raises ValueError. Texts are
 from __future__ import annotations
 
 import base64
-from array import array
+import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,9 +40,13 @@ from pyspark.sql import functions as F
 from .common import arrow_batches, held, whole_text
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-MAX_STATES = 250_000        # determinised states held at once
-MAX_PIECES = 400_000        # encoded matches held at once
-MAX_PAIRS = 500_000       # decided token pairs held at once
+ENTRY_BYTES = 150           # of an entry of the transducer's tables, about
+STATE_BYTES = 36 << 20      # of a worker for determinised states and their transitions
+STEP_BYTES = 64 << 20       # for hypotheses and their steps
+PAIR_BYTES = 16 << 20       # for decided token pairs
+PIECE_BYTES = 72 << 20      # for encoded matches
+MAX_BELOW = 16              # tokens below a trie node up to which the tokens before are told apart by them alone
+LONG_PIECE = 64             # matches of more characters are rarely met again and not held
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -66,13 +73,63 @@ class Encoder:
             # only tokens that merging itself arrives at can stand inside an encoding
             if self._merge(token) == [token]:
                 self.token_at[node] = rank
+        self._list_below()
+        self.hypotheses, self.steps = [], {}
+        self.longest = max(map(len, ranks), default=1)
         self.spines: dict[tuple[int, bool], list | None] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}            # token << 32 | next token
         self._reset()
 
+    def _list_below(self) -> None:
+        """For each inner node of at most MAX_BELOW tokens below it, those tokens; for each token,
+        the ranks at which it is merged as the left part of a longer one."""
+        paths, count = [], [0] * len(self.inner)
+        for token, rank in self.ranks.items():
+            node, path = 0, []
+            for b in token[:-1]:
+                node = self.step[node << 8 | b]
+                path.append(node)
+            node = self.step[node << 8 | token[-1]]
+            if self.token_at[node] >= 0:
+                paths.append((rank, path))
+                for x in path:
+                    count[x] += 1
+        self.below: dict[int, list[int]] = {}
+        for rank, path in paths:
+            for x in path:
+                if count[x] <= MAX_BELOW:
+                    self.below.setdefault(x, []).append(rank)
+
+    def _alike(self, last: int, node: int) -> int | None:
+        """A token that stands for ``last`` at ``node``: which tokens below the node may follow is the
+        same for both. -1 when all may, None when none may (the hypothesis cannot survive)."""
+        below = self.below.get(node)
+        if last < 0 or below is None:
+            return last
+        may = tuple([self.follows(last, token) for token in below])
+        return -1 if all(may) else self.alike.setdefault((node, may), last) if any(may) else None
+
     def _reset(self) -> None:
-        start = (((), -1, 0),)
-        self.states, self.number, self.moves = [start], {start: 0}, {}
+        """Forget states and transitions; and hypotheses with their steps too once these have taken their bytes."""
+        if ENTRY_BYTES * (len(self.hypotheses) + len(self.steps)) > STEP_BYTES or not self.hypotheses:
+            self.hypotheses, self.hypothesis_of, self.steps, self.alike = [], {}, {}, {}
+        self.states, self.state_of, self.moves, self.same_ops = [], {}, {}, {}
+        self._state((self._hypothesis(-1, 0),))
+
+    def _hypothesis(self, last: int, node: int) -> int:
+        key = last << 32 | node
+        number = self.hypothesis_of.get(key)
+        if number is None:
+            number = self.hypothesis_of[key] = len(self.hypotheses)
+            self.hypotheses.append((last, node))
+        return number
+
+    def _state(self, members: tuple[int, ...]) -> int:
+        number = self.state_of.get(members)
+        if number is None:
+            number = self.state_of[members] = len(self.states)
+            self.states.append(members)
+        return number
 
     def _merge(self, data: bytes, stop: int = 1) -> list[bytes]:
         """Merging by rank, the definition, down to ``stop`` parts; for the few bytes of a token or two."""
@@ -111,9 +168,9 @@ class Encoder:
         Not so when some part at a's right edge and some at b's left edge, there at
         one time, make a token that is merged before either of them is merged into
         its own side (on equal ranks the left merge goes first)."""
-        known = self.pairs.get((a, b))
+        known = self.pairs.get(a << 32 | b)
         if known is None:
-            if len(self.pairs) >= MAX_PAIRS:
+            if ENTRY_BYTES * len(self.pairs) >= PAIR_BYTES:
                 self.pairs.clear()
             left, right = self._spine(a, True), self._spine(b, False)
             if left is None or right is None:
@@ -130,54 +187,119 @@ class Encoder:
                                 break
                     if not known:
                         break
-            self.pairs[a, b] = known
+            self.pairs[a << 32 | b] = known
         return known
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """The determinised transition: (next state, tokens emitted)."""
-        after, step, token_at, inner = [], self.step.get, self.token_at, self.inner
-        for pending, last, node in self.states[state]:
-            child = step(node << 8 | byte)
-            if child is None:
-                continue
-            token = token_at[child]
+    def _step(self, hypothesis: int, byte: int) -> tuple[tuple[int, int], ...]:
+        """What a hypothesis becomes with one more byte: (hypothesis, token appended or -1) for each."""
+        last, node = self.hypotheses[hypothesis]
+        child, out = self.step.get(node << 8 | byte), []
+        if child is not None:
+            token = self.token_at[child]
             if token >= 0 and (last < 0 or self.follows(last, token)):
-                after.append((pending + (token,), token, 0))
-            if inner[child]:
-                after.append((pending, last, child))
+                out.append((self._hypothesis(token, 0), token))
+            if self.inner[child]:
+                stands = self._alike(last, child)
+                if stands is not None:
+                    out.append((self._hypothesis(stands, child), -1))
+        return tuple(out)
+
+    def _move(self, state: int, byte: int) -> tuple[int, tuple, int]:
+        """The determinised transition: (next state, for each of its hypotheses the one
+        that it comes from and the token appended or -1, the one that all come from or -1)."""
+        after, ops, steps = [], [], self.steps
+        for i, h in enumerate(self.states[state]):
+            step = steps.get(h << 8 | byte)
+            if step is None:
+                step = steps[h << 8 | byte] = self._step(h, byte)
+            for new, token in step:
+                after.append(new)
+                ops.append((i, token))
         if not after:
             raise ValueError(f"byte {byte} has no token here")
-        emitted = after[0][0]
-        if len(after) > 1:
-            agreed, shortest = 0, min([len(p) for p, _, _ in after])
-            while agreed < shortest and all([p[agreed] == emitted[agreed] for p, _, _ in after]):
-                agreed += 1
-            emitted = emitted[:agreed]
-        n = len(emitted)
-        key = tuple([(p[n:], last, node) for p, last, node in after]) if n else tuple(after)
-        number = self.number.get(key)
-        if number is None:
-            number = self.number[key] = len(self.states)
-            self.states.append(key)
-        return number, emitted
+        only = ops[0][0] if ops[0][0] == ops[-1][0] else -1
+        ops = tuple(ops)
+        return self._state(tuple(after)), self.same_ops.setdefault(ops, ops), only
+
+    @staticmethod
+    def _tokens(register: tuple | None) -> list[int]:
+        """The tokens of a register: a chain (earlier tokens, last token)."""
+        out = []
+        while register is not None:
+            register, token = register
+            out.append(token)
+        return out[::-1]
 
     def stream(self, data: Iterable[int]) -> Iterator[int]:
         """Tokens of one match, as soon as they are certain."""
-        if len(self.states) > MAX_STATES:
-            self._reset()
-        state, moves = 0, self.moves
+        state, registers, waited, moves = 0, [None], 0, self.moves
         for b in data:
             move = moves.get(state << 8 | b)
             if move is None:
+                if ENTRY_BYTES * (len(self.states) + len(moves)) > STATE_BYTES:     # begin anew from here
+                    here = [self.hypotheses[h] for h in self.states[state]]
+                    self._reset()
+                    state, moves = self._state(tuple([self._hypothesis(*h) for h in here])), self.moves
                 move = moves[state << 8 | b] = self._move(state, b)
-            state, emitted = move
-            yield from emitted
-        yield from next((p for p, _, node in self.states[state] if node == 0), ())
-
-    def encode(self, data: bytes) -> array:
+            state, ops, only = move
+            if only >= 0:
+                if registers[only] is not None:
+                    yield from self._tokens(registers[only])
+                registers, waited = [None if token < 0 else (None, token) for _, token in ops], 0
+                continue
+            registers = [registers[i] if token < 0 else (registers[i], token) for i, token in ops]
+            waited += 1
+            if waited >= self.longest:
+                each, agreed = list(map(self._tokens, registers)), 0
+                while agreed < min(map(len, each)) and len({x[agreed] for x in each}) == 1:
+                    agreed += 1
+                yield from each[0][:agreed]
+                registers, waited = [functools.reduce(lambda r, t: (r, t), x[agreed:], None) for x in each], 0
+        yield from self._ended(state, registers)
+
+    def _ended(self, state: int, registers: list) -> list[int]:
+        """The tokens of the hypothesis that the match ends in, the one at a token's end."""
+        for r, h in zip(registers, self.states[state]):
+            if not self.hypotheses[h][1]:
+                return self._tokens(r)
+        return []
+
+    def encode(self, data: bytes) -> list[int]:
         """Tokens of one match."""
         whole = self.ranks.get(data)
-        return array("i", (whole,) if whole is not None else self.stream(data))
+        if whole is not None:
+            return [whole]
+        if len(data) > self.longest:
+            return list(self.stream(data))
+        state, registers, moves = 0, [None], self.moves     # nothing has to be emitted before the end
+        for b in data:
+            move = moves.get(state << 8 | b)
+            if move is None:
+                return list(self.stream(data))      # which makes the transitions
+            state, ops, _ = move
+            registers = [registers[i] if token < 0 else (registers[i], token) for i, token in ops]
+        return self._ended(state, registers)
+
+
+class Pieces(dict):
+    """Encoded matches: match -> its tokens as 32-bit integers. When half the bytes are
+    taken the matches become the older half, those not asked for since then are dropped."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder, self.taken, self.older = encoder, 0, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = np.array(self.encoder.encode(piece.encode("utf-8")), np.int32).tobytes()
+        if len(piece) <= LONG_PIECE:
+            if 2 * self.taken > PIECE_BYTES:
+                self.older = dict(self)
+                self.clear()
+                self.taken = 0
+            self[piece] = ids
+            self.taken += 180 + len(piece) + len(ids)
+        return ids
 
 
 class Utf8Stream:
@@ -259,25 +381,18 @@ class Codec:
     def __init__(self, raw: bytes, pattern: str):
         self.encoder = Encoder(read_ranks(raw))
         self.decoder = Utf8Stream(self.encoder.bytes_of)
-        self.split, self.pieces = regex.compile(pattern).findall, {}
+        self.split, self.pieces = regex.compile(pattern).findall, Pieces(self.encoder)
 
     @staticmethod
     def of(raw: bytes, pattern: str) -> Codec:
         return held(("bpe", hash((raw, pattern))), lambda: Codec(raw, pattern))
 
-    def encode(self, text: str) -> array:
-        out, pieces = array("i"), self.pieces
-        add, get = out.extend, pieces.get
-        for piece in self.split(text):
-            ids = get(piece)
-            if ids is None:
-                ids = self.encoder.encode(piece.encode("utf-8"))
-                if len(piece) <= 64:        # long matches are rarely met again
-                    if len(pieces) >= MAX_PIECES:
-                        pieces.clear()
-                    pieces[piece] = ids
-            add(ids)
-        return out
+    def encode_bytes(self, text: str) -> bytes:
+        """The tokens of a text as 32-bit integers."""
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.encode_bytes(text), np.int32).tolist()
 
 
 def vocabulary(spark: SparkSession, path: str | None = None) -> Broadcast:
@@ -286,15 +401,19 @@ def vocabulary(spark: SparkSession, path: str | None = None) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(text: Column, ranks: Broadcast, pattern: str = public_tokenizers.PATTERN) -> Column:
-    """array<int>: the token ids of the whole text."""
-    @F.arrow_udf("array<int>")
+def encode(text: Column, ranks: Broadcast, pattern: str = public_tokenizers.PATTERN, decoded: bool = False) -> Column:
+    """array<int>: the token ids of the whole text. With ``decoded`` struct(ids, decoded), the ids and
+    what they decode to as a stream, from one pass (a second function over the ids would encode again)."""
+    @F.arrow_udf("struct<ids array<int>, decoded string>" if decoded else "array<int>")
     def run(texts: pa.Array) -> pa.Array:
         codec = Codec.of(ranks.value, pattern)
-        each = [codec.encode(t or "") for t in texts.to_pylist()]
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in each])]).astype(np.int32)
-        flat = np.frombuffer(b"".join(each), np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+        each = [codec.encode_bytes(t or "") for t in texts.to_pylist()]
+        offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in each])]).astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(each), np.int32)))
+        if not decoded:
+            return ids
+        back = [codec.decoder.decode(np.frombuffer(x, np.int32).tolist()) for x in each]
+        return pa.StructArray.from_arrays([ids, pa.array(back, pa.string())], ["ids", "decoded"])
 
     return run(text)
 
@@ -313,9 +432,7 @@ def bpe_report(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of the ids and of what they decode to."""
     spark = docs.sparkSession
     arrow_batches(spark)
-    ranks = vocabulary(spark, path)
-    ids = docs.select("doc_id", encode(whole_text(F.col("text")), ranks).alias("ids"))
-    return (ids.withColumn("decoded", decode(F.col("ids"), ranks))
-            .select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                    F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-                    F.sha2("decoded", 256).alias("decoded_sha256")))
+    each = docs.select("doc_id", encode(whole_text(F.col("text")), vocabulary(spark, path), decoded=True).alias("t"))
+    return each.select("doc_id", F.size("t.ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.concat_ws(",", F.col("t.ids").cast("array<string>")), 256).alias("ids_sha256"),
+                       F.sha2("t.decoded", 256).alias("decoded_sha256"))

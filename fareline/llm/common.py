@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,11 +81,20 @@ def arrow_batches(spark: SparkSession, rows: int = 512) -> None:
 _HELD: list = [None, None]
 
 
+def release() -> None:
+    """For functions without tables of their own: what this worker holds for another operator goes."""
+    held(None, lambda: None)
+
+
 def held(key, make):
     """``make()``, kept in this Python worker until another key is asked for. One
     model or codec at a time: a worker serves every operator of a session, and
-    their tables must not add up."""
+    their tables must not add up, so what the last one took goes back to the system."""
     if _HELD[0] != key:
         _HELD[:] = [None, None]
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # where the C library has it
+        if trim is not None:
+            trim(0)
         _HELD[:] = [key, make()]
     return _HELD[1]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, fresh, written
+from .common import arrow_batches, fresh, release, written
 
 SOURCE_WEIGHTS = (5.0, 2.0, 1.0)    # repeating, by code point order of the sources
 MAX_EPOCHS = 3
@@ -39,6 +39,7 @@ def measure(text: Column) -> Column:
     """struct(size, junk): words (runs without ASCII white space) and symbol characters of the whole text."""
     @F.arrow_udf("struct<size long, junk long>")
     def run(texts: pa.Array) -> pa.Array:
+        release()
         size, junk = [], []
         for t in texts.cast(pa.binary()).to_pylist():
             t = t or b""
@@ -160,11 +161,12 @@ def mix_report(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """Pipeline stage: the columns of ``docs``, each row as often as it is taken.
 
-    Keys are hashes, so the second pass over the texts finds them again and
-    only the table of sources is joined; no text is shuffled.
+    The rows are measured once and written with size and key; the mix is made from the narrow
+    columns, and only the table of sources is joined to the texts: no text is shuffled.
     """
     df, cs, ck = measured(docs)
-    narrow = written(df.select("doc_id", "source", F.col(cs).alias("size"), F.col(ck).alias("key")), "mix-narrow")
+    df = written(df, "mix-docs")
+    narrow = df.select("doc_id", "source", F.col(cs).alias("size"), F.col(ck).alias("key"))
     plan = mixture(narrow)
     of, epochs, threshold, copy = fresh(df, "of", "epochs", "threshold", "copy")
     plan = plan.select(F.col("source").alias(of), F.col("epochs").alias(epochs), F.col("threshold").alias(threshold))

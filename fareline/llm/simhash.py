@@ -30,10 +30,10 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, fresh, written
+from .common import arrow_batches, fresh, release, written
 from .components import connected_components
 
 SHINGLE = 3
@@ -63,6 +63,7 @@ def fingerprint(text: Column, k: int = SHINGLE) -> Column:
     """The fingerprint as a (signed) long."""
     @F.arrow_udf("long")
     def run(texts: pa.Array) -> pa.Array:
+        release()
         prints = np.array([fingerprint_of(t or b"", k) for t in texts.cast(pa.binary()).to_pylist()], np.uint64)
         return pa.array(prints.view(np.int64))
 
@@ -122,15 +123,17 @@ def simhash_report(docs: DataFrame, k: int = SHINGLE, max_distance: int = MAX_DI
 
 def keep_first(docs: DataFrame, k: int = SHINGLE, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """Deduplicating stage: the columns of ``docs``, one document of each component
-    (the smallest doc_id; of rows equal in it and in fingerprint any one)."""
+    (the smallest doc_id; of rows equal in it and in fingerprint any one).
+
+    Texts are hashed once: the rows are written with their fingerprint and a number. Everything up to the
+    numbers of the rows to keep works on the narrow columns; then the texts meet those numbers in one join."""
     arrow_batches(docs.sparkSession)
     cf, cr = fresh(docs, "fp", "row")
-    prints = written(docs.select("doc_id", fingerprint(F.col("text"), k).alias("fp")), "sim-docs")
-    of = groups(prints, max_distance)
-    first = (of.groupBy("component_id", "first").agg(F.count(F.lit(1)))
-             .select(F.col("first.doc_id").alias("keep_id"), F.col("first.fp").alias("keep_fp")))
-    first = written(first, "sim-first")
-    marked = docs.withColumn(cf, fingerprint(F.col("text"), k))
-    kept = marked.join(first, marked["doc_id"].eqNullSafe(first["keep_id"]) & (marked[cf] == first["keep_fp"]), "left_semi")
-    return (kept.withColumn(cr, F.row_number().over(Window.partitionBy("doc_id", cf).orderBy("doc_id")))
-            .where(F.col(cr) == 1).select(*docs.columns))
+    marked = written(docs.withColumn(cf, fingerprint(F.col("text"), k)).withColumn(cr, F.monotonically_increasing_id()), "sim-docs")
+    prints = marked.select("doc_id", F.col(cf).alias("fp"), F.col(cr).alias("row"))
+    of = groups(prints.select("doc_id", "fp"), max_distance).select("fp", "component_id", "first")
+    heads = of.groupBy("component_id", "first").agg(F.count(F.lit(1)).alias("n")).select("first.doc_id", "first.fp")
+    rows = prints.groupBy("doc_id", "fp").agg(F.min("row").alias("keep_row"))       # repeated rows become one before the join
+    keep = rows.alias("r").join(heads.alias("h"), F.col("r.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("r.fp") == F.col("h.fp")), "left_semi")
+    keep = written(keep.select("keep_row"), "sim-keep")
+    return marked.join(keep, F.col(cr) == F.col("keep_row"), "left_semi").select(*docs.columns)

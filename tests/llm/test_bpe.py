@@ -73,12 +73,34 @@ def test_tokens_come_before_the_end(raw):
 
 
 def test_small_tables_give_the_same(raw, oracle, monkeypatch):
-    monkeypatch.setattr(bpe, "MAX_STATES", 50)
-    monkeypatch.setattr(bpe, "MAX_PIECES", 3)
-    monkeypatch.setattr(bpe, "MAX_PAIRS", 5)
+    monkeypatch.setattr(bpe, "STATE_BYTES", 3000)
+    monkeypatch.setattr(bpe, "STEP_BYTES", 4000)
+    monkeypatch.setattr(bpe, "PAIR_BYTES", 500)
+    monkeypatch.setattr(bpe, "PIECE_BYTES", 1000)
     codec = bpe.Codec(raw, P.PATTERN)
     s = "Thstinnt thndhain. Onhalyti the in erthst orth it thon tiontiontion éèü " * 5
-    assert list(codec.encode(s)) == oracle.encode_ordinary(s)
+    assert codec.encode(s) == oracle.encode_ordinary(s)
+    assert len(codec.pieces) + len(codec.pieces.older) < 20
+    long = "ab" * 500 + "tionth" * 300
+    assert codec.encode(long) == oracle.encode_ordinary(long)
+
+
+def test_texts_share_states(raw):
+    """A state is what may come, not what came: on made-up words states are far fewer than the words."""
+    enc, rng = bpe.Encoder(bpe.read_ranks(raw)), random.Random(5)
+    parts = ["th", "st", "on", "re", "ing", "ed", "an", "tion", "ly", "at", "er", "in"]
+    words = {"".join(rng.choices(parts, k=rng.randint(2, 6))) for _ in range(12000)}
+    for w in words:
+        enc.encode(w.encode())
+    assert len(enc.states) < len(words) / 3
+
+
+def test_one_pass(spark, table, capsys):
+    """Ids and decoded text come from one function: the plan encodes a text once."""
+    df = bpe.bpe_report(table([(1, "a")]))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    eval_line = [line for line in plan.splitlines() if "ArrowEvalPython" in line and "run(" in line]
+    assert len(eval_line) == 1 and eval_line[0].count("run(") == 1
 
 
 def test_decoder_replaces_malformed_bytes(raw):
