@@ -1,8 +1,8 @@
 """Streaming queries (ST-*) and their batch-twin oracles.
 
-Each query stages the derived trip table as time-ordered parquet batches
-in the shared checkpoint folder, runs the streaming job with
-``trigger(availableNow=True)`` into a file sink, and returns the sink.
+Each query runs its streaming job with ``trigger(availableNow=True)`` into a file sink and returns the sink.
+Where the result does not depend on the order of arrival the stream reads the written trip files as they are; windows, sessions,
+late rows and per-batch drift read files that arrive slice by slice (``arrivals``), the query going on from its checkpoint.
 """
 
 from __future__ import annotations
@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from ..operators import metrics as met
 from ..operators import prep as pp
 from ..session import scratch_path
+from ..sources.prediction_log import read_prediction_log, write_prediction_log
 from ..streaming import jobs
 from . import register
 from . import views as v
+from .arrivals import feed_in_slices
 from .common import rnd
 from .prep import SPLIT_SQL
 from .pricing import SCORED_SQL, scored
@@ -25,16 +27,11 @@ CHUNKS = 4
 @register("st_dedup", v.with_views("SELECT DISTINCT * FROM trips", "trips"))
 def _st_dedup(spark, sf):
     """ST-3: replayed trips removed by dropDuplicatesWithinWatermark on a file stream."""
-    base = scratch_path(spark, "st-dedup")
-    src, (sink, ckpt) = f"{base}/source", jobs.sink_dir(base, "out")
-    t = v.trips(spark, sf)
-
-    def run():
-        stream = jobs.with_event_time(jobs.read_stream(spark, src, t.schema))
-        jobs.run_available_now(jobs.dedup_stream(stream).drop("event_time"), sink, ckpt)
-
-    jobs.feed_in_slices(t, "pickup_datetime", CHUNKS, src, run)
-    return spark.read.parquet(sink).select(*t.columns)
+    sink, ckpt = jobs.sink_dir(scratch_path(spark, "st-dedup"), "out")
+    src, schema = v.trips_path(spark, sf)
+    stream = jobs.with_event_time(jobs.read_stream(spark, src, schema))
+    jobs.run_available_now(jobs.dedup_stream(stream).drop("event_time"), sink, ckpt)
+    return spark.read.parquet(sink).select(*schema.names)
 
 
 _KPI_SQL = SCORED_SQL + """
@@ -69,7 +66,7 @@ def _kpi_stream(spark, sf, late: bool, slide: str | None = None):
     # late: a replay of the first day arriving after the watermark has passed it
     first = s.agg(F.to_date(F.min("pickup_datetime"))).first()[0] if late else None
     extra = s.where(F.to_date("pickup_datetime") == F.lit(first)) if late else None
-    jobs.feed_in_slices(s, "pickup_datetime", CHUNKS, src, run, extra)
+    feed_in_slices(s, "pickup_datetime", CHUNKS, src, run, extra)
     out = spark.read.parquet(sink)
     return out.select(F.unix_micros("window_start").alias("window_start_us"), "n", rnd("mape").alias("mape"),
                       rnd("surge_rate").alias("surge_rate"))
@@ -115,7 +112,7 @@ def _st_sessions(spark, sf):
         stream = jobs.with_event_time(jobs.read_stream(spark, src, s.schema))
         jobs.run_available_now(jobs.session_kpis(stream, ["passenger_count"]), sink, ckpt)
 
-    jobs.feed_in_slices(s, "pickup_datetime", CHUNKS, src, run)
+    feed_in_slices(s, "pickup_datetime", CHUNKS, src, run)
     out = spark.read.parquet(sink)
     return out.select("passenger_count", F.unix_micros("session_start").alias("session_start_us"), F.unix_micros("session_end").alias("session_end_us"),
                       "n", F.round("predicted", 4).alias("predicted"), F.round("actual", 4).alias("actual"))
@@ -130,24 +127,18 @@ def _st_scoring(spark, sf):
     from .models import fitted
 
     model, prep, _f = fitted(spark, sf, "linear")
-    base = scratch_path(spark, "st-score")
-    src, (sink, ckpt) = f"{base}/source", jobs.sink_dir(base, "out")
-    t = v.trips(spark, sf)
-
-    def run():
-        stream = jobs.clean_feature_stream(jobs.with_event_time(jobs.read_stream(spark, src, t.schema)))
-        scored_stream = model.transform(prep.transform(stream))
-        cols = prc.score_columns("prediction")
-        out = scored_stream.select(
-            F.unix_micros(F.current_timestamp()).cast("double").__truediv__(1e6).alias("timestamp"),
-            F.date_format(F.col("pickup_datetime").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss").alias("pickup_datetime"),
-            F.col("passenger_count").cast("int").alias("passenger_count"),
-            cols["predicted_fare_usd"].alias("predicted_fare_usd"), cols["fare_band"].alias("fare_band"),
-            cols["pricing_flag"].alias("pricing_flag"), "event_id")
-        jobs.run_available_now(out, sink, ckpt)
-
-    jobs.feed_in_slices(t, "pickup_datetime", CHUNKS, src, run)
-    return spark.read.parquet(sink)
+    sink, ckpt = jobs.sink_dir(scratch_path(spark, "st-score"), "out")
+    src, schema = v.trips_path(spark, sf)
+    stream = jobs.clean_feature_stream(jobs.with_event_time(jobs.read_stream(spark, src, schema)))
+    cols = prc.score_columns("prediction")
+    out = model.transform(prep.transform(stream)).select(
+        F.unix_micros(F.current_timestamp()).cast("double").__truediv__(1e6).alias("timestamp"),
+        F.date_format(F.col("pickup_datetime").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss").alias("pickup_datetime"),
+        F.col("passenger_count").cast("int").alias("passenger_count"),
+        cols["predicted_fare_usd"].alias("predicted_fare_usd"), cols["fare_band"].alias("fare_band"),
+        cols["pricing_flag"].alias("pricing_flag"), "event_id")
+    write_prediction_log(out, sink, ckpt)
+    return read_prediction_log(spark, sink, out.schema)
 
 
 @register("st_drift")
@@ -181,17 +172,15 @@ def _st_drift(spark, sf):
         stream = jobs.read_stream(spark, src, cur.schema)
         jobs.drift_batches(stream, {c: (edges[c], shares[c]) for c in PSI_COLS}, PSI_COLS, sink, ckpt)
 
-    jobs.feed_in_slices(cur, "pickup_datetime", CHUNKS, src, run)
+    feed_in_slices(cur, "pickup_datetime", CHUNKS, src, run)
     return spark.read.parquet(sink)
 
 
 @register("spl_stream_hash_split", SPLIT_SQL)
 def _stream_split(spark, sf):
     """SPL-1 on a stream: the hash split is a pure expression, so it is the same on every micro-batch."""
-    base = scratch_path(spark, "st-split")
-    src, (sink, ckpt) = f"{base}/source", jobs.sink_dir(base, "out")
-    c = v.clean_trips(spark, sf).select("event_id", "pickup_datetime")
-    jobs.stage_files(c, src, "pickup_datetime", 2)
-    stream = jobs.read_stream(spark, src, c.schema).withColumn("split", pp.split_label())
-    jobs.run_available_now(stream, sink, ckpt)
+    sink, ckpt = jobs.sink_dir(scratch_path(spark, "st-split"), "out")
+    src, schema = v.trips_path(spark, sf)
+    clean = jobs.clean_feature_stream(jobs.with_event_time(jobs.read_stream(spark, src, schema)))
+    jobs.run_available_now(clean.select("event_id", pp.split_label().alias("split")), sink, ckpt)
     return spark.read.parquet(sink).groupBy("split").agg(F.count(F.lit(1)).alias("n"))

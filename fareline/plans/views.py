@@ -6,6 +6,8 @@ Oracle side: CTE text valid in DuckDB, prepended to each oracle query.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -180,6 +182,12 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def trips_path(spark: SparkSession, sf: str) -> tuple:
+    """(folder, schema) of the written trip table, as a stream's source."""
+    t = trips(spark, sf)
+    return os.path.dirname(t.inputFiles()[0]), t.schema
+
+
 def clean_trips(spark: SparkSession, sf: str) -> DataFrame:
     return val.validate_trips(trips(spark, sf), check_size=False)
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareline.operators import profile as prf
+from fareline.plans.arrivals import feed_in_slices
 from fareline.streaming import jobs
 
 
@@ -45,7 +46,7 @@ def test_sessions_across_restarts(spark, tmp_path):
         stream = jobs.read_stream(spark, src, df.schema).withColumn("event_time", F.col("at"))
         jobs.run_available_now(jobs.session_kpis(stream, ["k"]), sink, ckpt)
 
-    jobs.feed_in_slices(df, "at", 4, src, run, late)
+    feed_in_slices(df, "at", 4, src, run, late)
     got = {(r["k"], r["session_start"], r["session_end"], r["n"]) for r in spark.read.parquet(sink).collect()}
     gap, want, last = dt.timedelta(minutes=10), set(), max(r[1] for r in rows)
     for key in (1, 2):
