@@ -27,17 +27,17 @@ from __future__ import annotations
 
 import base64
 import functools
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
-import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, held, whole_text
+from .common import arrow_batches, held, splitter, whole_text
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 ENTRY_BYTES = 150           # of an entry of the transducer's tables, about
@@ -113,7 +113,7 @@ class Encoder:
         """Forget states and transitions; and hypotheses with their steps too once these have taken their bytes."""
         if ENTRY_BYTES * (len(self.hypotheses) + len(self.steps)) > STEP_BYTES or not self.hypotheses:
             self.hypotheses, self.hypothesis_of, self.steps, self.alike = [], {}, {}, {}
-        self.states, self.state_of, self.moves, self.same_ops = [], {}, {}, {}
+        self.states, self.ends, self.state_of, self.moves, self.same_ops = [], [], {}, {}, {}
         self._state((self._hypothesis(-1, 0),))
 
     def _hypothesis(self, last: int, node: int) -> int:
@@ -129,6 +129,7 @@ class Encoder:
         if number is None:
             number = self.state_of[members] = len(self.states)
             self.states.append(members)
+            self.ends.append(next((i for i, h in enumerate(members) if not self.hypotheses[h][1]), -1))     # the one at a token's end
         return number
 
     def _merge(self, data: bytes, stop: int = 1) -> list[bytes]:
@@ -255,30 +256,30 @@ class Encoder:
                     agreed += 1
                 yield from each[0][:agreed]
                 registers, waited = [functools.reduce(lambda r, t: (r, t), x[agreed:], None) for x in each], 0
-        yield from self._ended(state, registers)
-
-    def _ended(self, state: int, registers: list) -> list[int]:
-        """The tokens of the hypothesis that the match ends in, the one at a token's end."""
-        for r, h in zip(registers, self.states[state]):
-            if not self.hypotheses[h][1]:
-                return self._tokens(r)
-        return []
+        if self.ends[state] >= 0:
+            yield from self._tokens(registers[self.ends[state]])
 
     def encode(self, data: bytes) -> list[int]:
-        """Tokens of one match."""
+        """Tokens of one match. One no longer than the longest token need not be emitted on the way: its
+        transitions are kept instead of registers and followed back from the hypothesis it ends in."""
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        if len(data) > self.longest:
+        if len(data) > self.longest or ENTRY_BYTES * (len(self.states) + len(self.moves)) > STATE_BYTES:
             return list(self.stream(data))
-        state, registers, moves = 0, [None], self.moves     # nothing has to be emitted before the end
+        state, trail, moves = 0, [], self.moves
         for b in data:
             move = moves.get(state << 8 | b)
             if move is None:
-                return list(self.stream(data))      # which makes the transitions
+                move = moves[state << 8 | b] = self._move(state, b)
             state, ops, _ = move
-            registers = [registers[i] if token < 0 else (registers[i], token) for i, token in ops]
-        return self._ended(state, registers)
+            trail.append(ops)
+        out, i = [], self.ends[state]
+        for ops in reversed(trail):
+            i, token = ops[i]
+            if token >= 0:
+                out.append(token)
+        return out[::-1]
 
 
 class Pieces(dict):
@@ -291,7 +292,7 @@ class Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = np.array(self.encoder.encode(piece.encode("utf-8")), np.int32).tobytes()
+            ids = array("i", self.encoder.encode(piece.encode("utf-8"))).tobytes()
         if len(piece) <= LONG_PIECE:
             if 2 * self.taken > PIECE_BYTES:
                 self.older = dict(self)
@@ -381,7 +382,7 @@ class Codec:
     def __init__(self, raw: bytes, pattern: str):
         self.encoder = Encoder(read_ranks(raw))
         self.decoder = Utf8Stream(self.encoder.bytes_of)
-        self.split, self.pieces = regex.compile(pattern).findall, Pieces(self.encoder)
+        self.split, self.pieces = splitter(pattern), Pieces(self.encoder)
 
     @staticmethod
     def of(raw: bytes, pattern: str) -> Codec:

@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, held, whole_text
+from .common import arrow_batches, held, splitter, whole_text
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024                # tokens above which a document is over the limit
@@ -114,7 +114,7 @@ class Counter(dict):
         super().__init__(dict.fromkeys(whole, 1))
         self.whole, self.older, self.taken = len(self), {}, 0
         self.merges = Merges(model["vocabulary"], model["merges"])
-        self.split = regex.compile(pattern).findall
+        self.split = splitter(pattern)
         special = sorted(model["special"], key=len, reverse=True)       # the longest of those that begin at a place
         self.special = regex.compile("|".join(map(regex.escape, special))).split if special else None
 
