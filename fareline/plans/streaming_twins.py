@@ -181,6 +181,6 @@ def _stream_split(spark, sf):
     """SPL-1 on a stream: the hash split is a pure expression, so it is the same on every micro-batch."""
     sink, ckpt = jobs.sink_dir(scratch_path(spark, "st-split"), "out")
     src, schema = v.trips_path(spark, sf)
-    clean = jobs.clean_feature_stream(jobs.with_event_time(jobs.read_stream(spark, src, schema)))
+    clean = jobs.clean_stream(jobs.with_event_time(jobs.read_stream(spark, src, schema)))
     jobs.run_available_now(clean.select("event_id", pp.split_label().alias("split")), sink, ckpt)
     return spark.read.parquet(sink).groupBy("split").agg(F.count(F.lit(1)).alias("n"))

@@ -49,10 +49,15 @@ def dedup_stream(stream: DataFrame, delay: str = "10 minutes", keys=TRIP_KEY) ->
     return stream.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def clean_feature_stream(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Row rules (VAL-4..8) + replay dedup + FT-0 on a stream."""
+def clean_stream(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Row rules (VAL-4..8) + replay dedup on a stream."""
     s = val.apply_rules(val.require_columns(stream))
-    s = dedup_stream(s, delay, keys=list(s.columns))
+    return dedup_stream(s, delay, keys=list(s.columns))
+
+
+def clean_feature_stream(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """``clean_stream`` + FT-0."""
+    s = clean_stream(stream, delay)
     return ft.add_engineered_features(s.drop("event_time")).withColumn(
         "event_time", F.col("pickup_datetime").cast("timestamp"))
 
