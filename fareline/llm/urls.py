@@ -139,8 +139,15 @@ def _case(what) -> str:
     return "CASE " + " ".join(f"WHEN {fits(r)} THEN '{what(v, r)}'" for v, r in ordered) + " END"
 
 
-_NODE = ("CASE WHEN contains({u}, '://') THEN lower(regexp_extract({u}, '^(.*?)://', 1)) || '://' || "
-         + _HOST + " || CASE regexp_extract({u}, '://[^/?#]*([^#]*)', 1) WHEN '' THEN '/' ELSE regexp_extract({u}, '://[^/?#]*([^#]*)', 1) END END")
+_LOWER = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SCHEME, _ORIGIN = "regexp_extract({u}, '^(.*?)://', 1)", "regexp_extract({u}, '^(.*?://[^/?#]*)', 1)"
+_QUERY = "coalesce(regexp_extract({u}, '://[^?#]*(\\?[^#]*)', 1), '')"
+# segment by segment; a last dot segment leaves its folder
+_NO_DOTS = ("CASE WHEN contains({p}, '/.') THEN coalesce(nullif(list_reduce(list_concat([''], string_split({p}, '/')[2:]), lambda acc, x: "
+            "CASE x WHEN '.' THEN acc WHEN '..' THEN regexp_replace(acc, '/[^/]*$', '') ELSE acc || '/' || x END) "
+            "|| CASE WHEN string_split({p}, '/')[-1] IN ('.', '..') THEN '/' ELSE '' END, ''), '/') WHEN {p} = '' THEN '/' ELSE {p} END")
+_NODE = ("CASE WHEN contains({u}, '://') THEN " + _LOWER.format(x=_SCHEME) + " || '://' || " + _HOST + " || "
+         + _NO_DOTS.replace("{p}", _PATH) + " || " + _QUERY + " END")
 SQL = f"""
 WITH RECURSIVE tags AS (
   SELECT url, unnest(regexp_extract_all(coalesce(html, ''), '(?is)<(?:link|meta)\\b[^>]*>')) AS tag FROM pages
@@ -153,10 +160,13 @@ WITH RECURSIVE tags AS (
     WHEN regexp_matches(tag, '(?is)^<meta\\b.*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')
       THEN regexp_extract(tag, '(?is)\\burl\\s*=\\s*[''"]?([^''">\\s]+)', 1) ELSE '' END, '&amp;', '&') AS href FROM tags
 ), targets AS (
-  SELECT url, CASE WHEN contains(href, '://') THEN href
-    WHEN starts_with(href, '//') THEN regexp_extract(url, '^(.*?)://', 1) || ':' || href
-    WHEN starts_with(href, '/') THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1) || href
-    ELSE regexp_extract(url, '^(.*?://[^/?#]*)', 1) || CASE regexp_replace({_PATH.format(u='url')}, '[^/]*$', '') WHEN '' THEN '/'
+  SELECT url, CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN href
+    WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    WHEN starts_with(href, '//') THEN {_SCHEME.format(u='url')} || ':' || href
+    WHEN starts_with(href, '/') THEN {_ORIGIN.format(u='url')} || href
+    WHEN starts_with(href, '?') THEN {_ORIGIN.format(u='url')} || {_PATH.format(u='url')} || href
+    WHEN starts_with(href, '#') THEN {_ORIGIN.format(u='url')} || {_PATH.format(u='url')} || {_QUERY.format(u='url')} || href
+    ELSE {_ORIGIN.format(u='url')} || CASE regexp_replace({_PATH.format(u='url')}, '[^/]*$', '') WHEN '' THEN '/'
          ELSE regexp_replace({_PATH.format(u='url')}, '[^/]*$', '') END || href END AS target
   FROM hrefs WHERE href <> ''
 ), pairs AS (

@@ -1,6 +1,8 @@
 import zlib
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from fareline.llm import toxicity
 
@@ -76,3 +78,38 @@ def test_edge_rows(spark, table):
     unlabelled = toxicity.toxicity_report(df, labels.limit(0)).collect()
     assert {r["predicted"] for r in unlabelled} == {0}
     assert toxicity.toxicity_report(df.limit(0), labels).count() == 0
+
+
+def test_scores_are_the_noisy_or_in_plain_python(spark):
+    """Every document's score and located sentences from the definition: sentences, words, their features, logistic, 1 - prod(1 - s)."""
+    import math
+    import random
+    import re
+
+    rng = random.Random(4)
+    weights = {"vile": 7.5, "vile*": 1.0, "bad": 4.0, "hate*": 3.5, "hatef*": 2.0, "kind": -3.0, "é": 2.5}
+    bias = -5.0
+    said = ["vile", "viles", "bad", "Bad", "hateful", "hated", "kind", "plain", "é", "word", "x"]
+    texts = [None, "", "...", "\n!\n"] + ["".join(rng.choice(said) + rng.choice([" ", " ", ", ", ". ", "!", "\n", "? "]) for _ in range(rng.randint(1, 60)))
+                                          for _ in range(60)]
+
+    def want(text):
+        keep, found = 1.0, []
+        for m in re.finditer(r"[^.!?\n]+", text or ""):
+            z = bias
+            for w in re.findall(r"[^\W\d_]+", m.group()):
+                w = w.lower()
+                z += sum(weights.get(f, 0.0) for f in [w] + [w[:n] + "*" for n in (4, 5) if len(w) > n])
+            s = 1 / (1 + math.exp(-z))
+            keep *= 1 - s
+            if s >= 0.5:
+                found.append((m.start(), m.end(), s))
+        return 1 - keep, found
+
+    model = spark.sparkContext.broadcast((bias, weights))
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    for r in df.select("i", toxicity.score(F.col("text"), model).alias("t")).collect():
+        score, found = want(texts[r["i"]])
+        assert r["t"]["score"] == pytest.approx(score, abs=1e-12)
+        assert [(o["start"], o["end"]) for o in r["t"]["offending"]] == [f[:2] for f in found]
+        assert [o["score"] for o in r["t"]["offending"]] == pytest.approx([f[2] for f in found])
