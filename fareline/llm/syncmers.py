@@ -1,14 +1,17 @@
 """Document fingerprints from closed syncmers, with DataFrame expressions only.
 
-The alphabet is words; a run of characters that is no single word counts as its overlapping pieces of
-``GRAM`` characters instead, so that a k-mer in it is ``K + GRAM - 1`` characters: a run longer than
-``LONG_RUN`` characters, one with eight characters in a row of a script written without spaces, and in a text of
-fewer than K words one of ``SHORT_RUN`` characters. A k-mer is ``K`` consecutive words, its inner substrings
-are its ``S``-word pieces, ordered by a 64-bit hash; the k-mer is an anchor when its
-least inner piece lies at its start or at its end. Whether it is one depends on its own
-words alone, so the anchors of a shared passage are the same in every text that has
-it. A fingerprint is the distinct anchors (32-bit hashes) in text order, as hex; the likeness of two is
-the Jaccard similarity of their anchors.
+One alphabet serves every text: outside of ASCII white space a piece is ASCII consonants with the vowels after them, consonants
+that no vowel follows, or any other single character (so in scripts without spaces each character). Where a piece ends
+depends on the two characters there alone, so no length of a word, run or text changes the rule. A k-mer is ``K``
+consecutive pieces, its inner substrings are its ``S`` pieces long, ordered by a 64-bit hash; the k-mer is an
+anchor when its least inner substring lies at its start or at its end. Whether it is one depends on its own
+pieces alone, so the anchors of a shared passage are the same in every text that has
+it, alone or within a longer run. Beyond both ends of a text come ``K - 1`` blanks that are greater than any piece, so that a text
+of any length has anchors. A fingerprint is the distinct anchors (32-bit hashes) in text order, as hex.
+
+Likeness is positional: the common anchors of two texts are put in the order of each; a common anchor counts when the one before it is the
+same in both (the first one always), and the count is divided by the number of distinct anchors of both. Equal texts have 1; a passage
+moved as a whole keeps its count but for its ends.
 
 The edited texts need the next document by doc_id. Documents are dealt into
 ranges of doc_id whose bounds come from a quantile sketch; the first document
@@ -16,8 +19,7 @@ of a range goes along as a sentinel at the end of the range before. So each text
 shuffled once (one more copy per range), a window within a range finds the next
 text, and the order never meets in one task.
 
-Defined results: a null text counts as empty; a text with fewer words (or pieces) than K, or without an anchor, has
-its whole word sequence as the one anchor; a text without words has no anchor and an empty fingerprint, alike (1) only
+Defined results: a null text counts as empty; a text without pieces has no anchor and an empty fingerprint, alike (1) only
 to another such; a null doc_id sorts first; rows with equal doc_id sort by text; the next document of the last is the first, of a single one
 itself; an empty table gives an empty table; other columns are not looked at. Texts are read whole.
 """
@@ -27,14 +29,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, whole_text, words
+from .common import SPACE, let, whole_text
 
-K = 4
+K = 6
 S = 1
-GRAM = 5                # characters of a piece of a long run
-LONG_RUN = 48
-SHORT_RUN = 16
-UNSPACED = "[\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}\\p{IsTibetan}\\x{3000}-\\x{303F}\\x{FF00}-\\x{FFEF}]{8}"
+CONSONANTS = "bcdfghjklmnpqrstvwxzBCDFGHJKLMNPQRSTVWXZ"
+VOWELS = "aeiouyAEIOUY"
+PIECE = f"[{CONSONANTS}]*[{VOWELS}]+|[{CONSONANTS}]+|[^{SPACE}A-Za-z]"
+BLANK = (1 << 63) - 1
 RANGE_ROWS = 500        # documents per range of doc_id, while there are at most MAX_RANGES
 MAX_RANGES = 10_000
 NULL_ID = -(1 << 63)
@@ -45,32 +47,13 @@ def _int32(h: Column) -> Column:
     return F.shiftright(h, 32).cast("int")
 
 
-def _pieces_of(run: Column) -> Column:
-    """Hashes of the overlapping pieces of ``GRAM`` characters."""
-    def grams(c: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(c) - GRAM), lambda i: F.xxhash64(*(F.get(c, i + d) for d in range(GRAM))))
+def tokens(text: Column) -> Column:
+    """array<long>: hashes of the pieces, in order."""
+    return F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda w: F.xxhash64(w))
 
-    return let(F.transform(F.split(run, ""), lambda x: F.xxhash64(x)), grams)
 
-
-def tokens(text: Column, k: int = K) -> Column:
-    """array<long>: hashes of the words and of the pieces of long runs, in order."""
-    def of(ws: Column) -> Column:
-        few = F.size(ws) < k
-
-        def long(w: Column) -> Column:      # the byte length rules out nearly all words at no cost
-            return (F.octet_length(w) >= SHORT_RUN) & (
-                (few & (F.length(w) >= SHORT_RUN))
-                | ((F.octet_length(w) >= 24) & ((F.length(w) > LONG_RUN) | w.rlike(UNSPACED))))
-
-        split = F.flatten(F.transform(ws, lambda w: F.when(long(w), _pieces_of(w)).otherwise(F.array(F.xxhash64(w)))))
-        return F.when(F.exists(ws, long), split).otherwise(F.transform(ws, lambda w: F.xxhash64(w)))
-
-    return let(words(text), of)
-
-
-def anchors(text: Column, k: int = K, s: int = S) -> Column:
-    """array<int>: distinct closed syncmers of the text, in order."""
+def anchors(text: Column, k: int = K, s: int = S, blanks: bool = True) -> Column:
+    """array<int>: distinct closed syncmers of the text, in order; without ``blanks`` only those wholly inside it."""
     def least(p: Column, i: Column) -> Column:
         inner = [F.get(p, i + d) for d in range(k - s + 1)]
         m = F.least(*inner) if len(inner) > 1 else inner[0]
@@ -81,15 +64,15 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
         return F.transform(at, lambda i: _int32(F.xxhash64(*(F.get(h, i + d) for d in range(k)))))
 
     def pick(h: Column) -> Column:
-        whole = F.array(_int32(F.xxhash64(F.lit(-1), h)))
         pieces = h if s == 1 else F.transform(F.slice(h, F.lit(1), F.size(h) - s + 1),
                                               lambda x, i: F.xxhash64(*(F.get(h, i + d) for d in range(s))))
-        found = let(pieces, lambda p: F.array_distinct(chosen(h, p)))
-        return (F.when(F.size(h) == 0, F.array().cast("array<int>"))
-                .when(F.size(h) < k, whole)
-                .otherwise(let(found, lambda a: F.when(F.size(a) == 0, whole).otherwise(a))))
+        return F.when(F.size(h) < k, F.array().cast("array<int>")).otherwise(let(pieces, lambda p: F.array_distinct(chosen(h, p))))
 
-    return let(tokens(text, k), pick)
+    def padded(h: Column) -> Column:
+        ends = F.array_repeat(F.lit(BLANK), k - 1)
+        return F.when(F.size(h) == 0, h).otherwise(F.concat(ends, h, ends))
+
+    return let(tokens(text), lambda h: let(padded(h) if blanks else h, pick))
 
 
 def as_string(a: Column) -> Column:
@@ -98,11 +81,17 @@ def as_string(a: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of two anchor arrays; 1 when both are empty."""
-    def of(common: Column) -> Column:
-        return common / (F.size(a) + F.size(b) - common)
+    """Common anchors that follow the same common anchor in both (and the first), over the distinct anchors of both; 1 when both are empty."""
+    def steps(x: Column) -> Column:     # each anchor with the one before, as one long
+        return F.transform(F.sequence(F.lit(1), F.size(x) - 1), lambda i: F.shiftleft(F.get(x, i - 1).cast("long"), 32)
+                           .bitwiseOR(F.get(x, i).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
+
+    def of(x: Column) -> Column:        # the common anchors in the order of a, and of b
+        kept = F.when(F.size(x["a"]) < 2, F.size(x["a"])).otherwise(
+            F.size(F.array_intersect(steps(x["a"]), steps(x["b"]))) + 1)
+        return kept / (F.size(a) + F.size(b) - F.size(x["a"]))
 
-    both = F.size(F.array_intersect(a, b))
+    both = F.struct(F.array_intersect(a, b).alias("a"), F.array_intersect(b, a).alias("b"))
     return F.when(F.size(a) + F.size(b) == 0, F.lit(1.0)).otherwise(let(both, of))
 
 
