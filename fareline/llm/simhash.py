@@ -1,20 +1,18 @@
-"""SimHash near-duplicates by a table of radius-one neighbourhoods.
+"""SimHash near-duplicates by multi-index hashing.
 
 A document's fingerprint has a bit for each bit of its shingles' XXH64 values:
 set when over half of them have it set. Two fingerprints link when they differ
 in at most ``max_distance`` (0 to 2) bits.
 
-This replaces multi-index hashing: there is no table per segment, the key is the whole
-fingerprint, and going through the segments gives its 64 one-bit neighbours. For each distinct fingerprint the Hamming ball of radius
-one is enumerated within every segment, the other segments kept: 64 probes
-and the fingerprint itself. The probes are the index: fingerprints that
-meet in a table entry lie within two bits of each other, and any two within two
-bits meet in an entry (the one half way). An entry holds at most 65
-fingerprints whatever the data, so it is a bit mask and a flag, combined on the map side; matches
-are fetched from the mask, their complete distance is within two bits by construction, and each
-is linked to the least of the entry, not to each other. So a hot group of near copies
-costs 65 small rows per distinct fingerprint and never all its pairs, which is why
-segment buckets with candidate lists are not used.
+Each distinct fingerprint is in two tables, under its upper and under its lower half. Of two fingerprints within two
+bits, one half differs in at most one; so each fingerprint probes both tables with the Hamming ball of
+radius one of its own half (33 values), fetches what lies there and verifies the complete distance.
+
+Near copies can share a half by the thousand, and a bucket's pairs grow with its square. A bucket of more than ``MAX_BUCKET``
+is therefore split by a second index on the other half: its members are entered under the radius-one ball of that half,
+33 entries each. Members of one entry are within two bits of each other, so each links to the least of the entry; an entry is a
+bit mask and a flag, combined on the map side, whatever the bucket's size. A probe that has spent one bit
+asks the entry of its own other half, whose members are one bit from it at most. So no group makes all its pairs, and none is cut.
 
 Defined results: a null text counts as empty; a text without words has
 fingerprint zero and links like any other; fewer words than a shingle are one
@@ -39,7 +37,9 @@ from .components import connected_components
 SHINGLE = 3
 MAX_DISTANCE = 2
 SEED = 42
-SEGMENT_BITS = 16
+HALF = 32
+MAX_BUCKET = 32         # members of a bucket that a probe fetches one by one
+BROADCAST_ROWS = 10_000     # split buckets up to which they are broadcast
 CHUNK = 1 << 16         # shingles whose hashes are held at once
 
 
@@ -70,35 +70,74 @@ def fingerprint(text: Column, k: int = SHINGLE) -> Column:
     return run(text)
 
 
-def probes(fp: Column) -> Column:
-    """Array of struct(value, flip): the fingerprint itself (flip -1) and the balls
-    of radius one within its segments."""
-    flips = [F.struct(fp.alias("value"), F.lit(-1).alias("flip"))]
-    for low in range(0, 64, SEGMENT_BITS):
-        for bit in range(low, low + SEGMENT_BITS):
-            flips.append(F.struct(fp.bitwiseXOR(F.shiftleft(F.lit(1).cast("long"), bit)).alias("value"), F.lit(bit).alias("flip")))
-    return F.array(*flips)
+def halves(fp: Column) -> Column:
+    """Array of struct(seg, value, other): the upper and the lower half as keys, each with the other one."""
+    upper, lower = F.shiftrightunsigned(fp, HALF), fp.bitwiseAND(F.lit((1 << HALF) - 1))
+    def entry(seg: int, value: Column, other: Column) -> Column:
+        return F.struct(F.lit(seg).alias("seg"), value.alias("value"), other.alias("other"))
+    return F.array(entry(0, upper, lower), entry(1, lower, upper))
+
+
+def whole(seg: Column, value: Column, other: Column) -> Column:
+    """The fingerprint of which ``value`` is the half number ``seg``."""
+    return F.when(seg == 0, F.shiftleft(value, HALF).bitwiseOR(other)).otherwise(F.shiftleft(other, HALF).bitwiseOR(value))
+
+
+def ball(value: Column, radius: int) -> Column:
+    """Array of struct(at, flip): the half itself (flip -1) and, for radius one, its 32 neighbours."""
+    near = [F.struct(value.alias("at"), F.lit(-1).alias("flip"))]
+    for bit in range(HALF if radius else 0):
+        near.append(F.struct(value.bitwiseXOR(F.lit(1 << bit)).alias("at"), F.lit(bit).alias("flip")))
+    return F.array(*near)
+
+
+def distance(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b))
 
 
-def links(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
+def links(prints: DataFrame, max_distance: int = MAX_DISTANCE, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """Edges (a, b) between distinct fingerprints ``fp`` that connect exactly what
     links of at most ``max_distance`` bits connect."""
     if max_distance not in (0, 1, 2):
         raise ValueError("max_distance is 0, 1 or 2")
-    one = F.lit(1).cast("long")
+    entries = prints.select(F.inline(halves(F.col("fp"))))
+    large = written(entries.groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_bucket).select("seg", "value"), "sim-large")
+    split = F.broadcast(large) if large.count() <= BROADCAST_ROWS else large
+    # the half that differs less differs in no bit for distances 0 and 1, in one at most for 2
+    probes = (entries.select("seg", "other", F.inline(ball(F.col("value"), max_distance // 2)))
+              .withColumnRenamed("at", "value").withColumn("spent", (F.col("flip") >= 0).cast("int"))
+              .withColumn("fp", whole(F.col("seg"), F.when(F.col("flip") < 0, F.col("value")).otherwise(
+                  F.col("value").bitwiseXOR(F.expr("shiftleft(1L, greatest(flip, 0))"))), F.col("other"))))
+    table = entries.join(split, ["seg", "value"], "left_anti").groupBy("seg", "value").agg(F.collect_list("other").alias("others"))
+    fetched = (probes.select("seg", "value", "fp").join(table, ["seg", "value"])
+               .select("fp", F.explode(F.transform("others", lambda o: whole(F.col("seg"), F.col("value"), o))).alias("b")))
+    found = fetched.where((F.col("b") < F.col("fp")) & (distance(F.col("fp"), F.col("b")) <= max_distance)).select(F.col("fp").alias("a"), "b")
+    if large.isEmpty():
+        return found
+    return found.unionByName(split_links(entries.join(split, ["seg", "value"], "left_semi"), probes.join(split, ["seg", "value"], "left_semi"), max_distance))
+
+
+def split_links(entries: DataFrame, probes: DataFrame, max_distance: int) -> DataFrame:
+    """The edges that buckets with a second index give: ``entries`` are their members, ``probes`` what asks them."""
     own = F.col("flip") < 0
-    table = (prints.select(F.explode(probes(F.col("fp"))).alias("p")).select("p.value", "p.flip")
-             .groupBy("value").agg(
+    index = (entries.select("seg", "value", F.inline(ball(F.col("other"), min(1, max_distance))))
+             .groupBy("seg", "value", "at").agg(
                  F.bit_or(F.when(own, F.lit(0).cast("long")).otherwise(F.expr("shiftleft(1L, greatest(flip, 0))"))).alias("mask"),
                  F.bool_or(own).alias("own")))
-    least_size = {0: 1 << 30, 1: 2, 2: 2}[max_distance]
-    full = table.where((F.bit_count("mask") + F.col("own").cast("int") >= least_size) & (F.col("own") | F.lit(max_distance == 2)))
-    flipped = F.transform(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit(F.col("mask"), i) == 1),
-                          lambda i: F.col("value").bitwiseXOR(F.call_function("shiftleft", one, i)))
-    members = F.when(F.col("own"), F.concat(F.array("value"), flipped)).otherwise(flipped)
-    hub = F.col("value") if max_distance == 1 else F.array_min("members")
-    return (full.withColumn("members", members).select(hub.alias("b"), F.explode("members").alias("a"))
-            .where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance)))
+    index = written(index.where((F.bit_count("mask") + F.col("own").cast("int")) >= (1 if max_distance == 2 else 2)), "sim-index")
+    flipped = F.transform(F.filter(F.sequence(F.lit(0), F.lit(HALF - 1)), lambda i: F.getbit(F.col("mask"), i) == 1),
+                          lambda i: F.col("at").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)))
+    members = F.when(F.col("own"), F.concat(F.array("at"), flipped)).otherwise(flipped)
+    # for distance 1 only the entry's own fingerprint is near enough to every other member
+    hub = F.col("at") if max_distance == 1 else F.array_min("members")
+    full = index.where(F.col("own") | F.lit(max_distance == 2)).withColumn("members", members).withColumn("hub", whole(F.col("seg"), F.col("value"), hub))
+    inside = full.select(F.col("hub").alias("b"), F.explode(F.transform("members", lambda m: whole(F.col("seg"), F.col("value"), m))).alias("a"))
+    edges = inside.where((F.col("a") != F.col("b")) & (distance(F.col("a"), F.col("b")) <= max_distance))
+    if max_distance < 2:
+        return edges
+    asked = (probes.where("spent = 1").join(full.withColumnRenamed("at", "other"), ["seg", "value", "other"])
+             .select(F.col("fp").alias("a"), F.col("hub").alias("b")))
+    return edges.unionByName(asked.where(distance(F.col("a"), F.col("b")) <= max_distance))
 
 
 def groups(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
@@ -136,4 +175,5 @@ def keep_first(docs: DataFrame, k: int = SHINGLE, max_distance: int = MAX_DISTAN
     rows = prints.groupBy("doc_id", "fp").agg(F.min("row").alias("keep_row"))       # repeated rows become one before the join
     keep = rows.alias("r").join(heads.alias("h"), F.col("r.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("r.fp") == F.col("h.fp")), "left_semi")
     keep = written(keep.select("keep_row"), "sim-keep")
-    return marked.join(keep, F.col(cr) == F.col("keep_row"), "left_semi").select(*docs.columns)
+    # the list of rows to keep grows with the documents: a shuffle join at every size, never a broadcast
+    return marked.join(keep.hint("merge"), F.col(cr) == F.col("keep_row"), "left_semi").select(*docs.columns)

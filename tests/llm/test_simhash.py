@@ -56,3 +56,36 @@ def test_edge_rows(spark, table):
     assert sorted((r["doc_id"] for r in kept.collect())) == [1, 4, 9]
     assert simhash.simhash_report(df.limit(0)).count() == 0
     assert simhash.keep_first(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("bucket", [1, 4, simhash.MAX_BUCKET])
+@pytest.mark.parametrize("k", [1, 2])
+def test_hot_buckets(spark, k, bucket):
+    """Hundreds of fingerprints that share a half, and others one bit off that half: the same components as all
+    pairs whether buckets are split or not, and edges that do not grow with a bucket's square."""
+    rng = np.random.default_rng(7 * k + bucket)
+    fps = set()
+    for upper in (0xDEADBEEF, 0xDEADBEEF ^ 4, 0x12345678):
+        lower = rng.integers(0, 1 << 32, 6, dtype=np.uint64)
+        for _ in range(250):
+            x = int(rng.choice(lower))
+            for bit in rng.integers(0, 9, int(rng.integers(0, 4))):
+                x ^= 1 << int(bit)
+            fps.add(upper << 32 | x)
+    fps |= {(f & 0xFFFFFFFF) << 32 | f >> 32 for f in list(fps)[:200]}
+    rows = [(i, f) for i, f in enumerate(sorted(fps))]
+    df = spark.createDataFrame([(f - (1 << 64) if f >= 1 << 63 else f,) for _, f in rows], "fp long")
+    edges = {(r["a"] % (1 << 64), r["b"] % (1 << 64)) for r in simhash.links(df, k, bucket).collect()}
+    assert all(1 <= (a ^ b).bit_count() <= k for a, b in edges)
+    assert len(edges) <= 64 * len(fps)
+    parent = {f: f for f in fps}
+
+    def find(f):
+        while parent[f] != f:
+            f = parent[f]
+        return f
+
+    for a, b in edges:
+        parent[max(find(a), find(b))] = min(find(a), find(b))
+    number = {f: i for i, f in rows}
+    assert {i: number[find(f)] for i, f in rows} == brute_components(rows, k)
