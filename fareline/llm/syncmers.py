@@ -26,6 +26,9 @@ itself; an empty table gives an empty table; other columns are not looked at. Te
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,8 +59,11 @@ def anchors(text: Column, k: int = K, s: int = S, blanks: bool = True) -> Column
     """array<int>: distinct closed syncmers of the text, in order; without ``blanks`` only those wholly inside it."""
     def least(p: Column, i: Column) -> Column:
         inner = [F.get(p, i + d) for d in range(k - s + 1)]
-        m = F.least(*inner) if len(inner) > 1 else inner[0]
-        return (m == inner[0]) | (m == inner[-1])
+
+        def at(edge: int) -> Column:        # most comparisons end at the first or second
+            return functools.reduce(operator.and_, [inner[edge] <= x for x in inner if x is not inner[edge]], F.lit(True))
+
+        return at(0) | at(-1)
 
     def chosen(h: Column, p: Column) -> Column:
         at = F.filter(F.sequence(F.lit(0), F.size(h) - k), lambda i: least(p, i))
