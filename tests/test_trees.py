@@ -95,3 +95,38 @@ def test_stages_of_a_forest(spark, data):
         assert r["s"][0] == pytest.approx(r["prediction"], rel=1e-12)
         assert r["s"][1] == pytest.approx(np.mean([t.at_depths(x, [None])[0, 0] for t in trees[:3]]), rel=1e-12)
         assert r["s"][2] == pytest.approx(np.mean([t.at_depths(x, [1])[0, 0] for t in trees]), rel=1e-12)
+
+
+def test_subtrees_grown_in_tasks_are_spark_mls(spark):
+    """Label and features without ties in gain: the levels below the top are those of a whole fit."""
+    rng = random.Random(8)
+    rows = [(i, rng.random(), rng.random(), float(rng.randint(0, 6))) for i in range(3000)]
+    df = spark.createDataFrame([(i, a, b, c, 40 * a * a + 9 * math.sin(9 * b) + c * c + rng.gauss(0, 2)) for i, a, b, c in rows],
+                               "id int, a double, b double, c double, fare_amount double").repartition(3)
+    df = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df).cache()
+    is_train = F.col("id") % 4 != 0
+    train, valid = df.where(is_train), df.where(~is_train)
+    cuts = tr.split_candidates(train, md.make_regressor("tree"), "features", 3)
+    assert [len(c) for c in cuts] == [31, 31, 6]
+    top = md.make_regressor("tree", {"maxDepth": 3, "minInstancesPerNode": 20}).fit(train)
+    (t,) = tr.tree_tables(spark, top)
+    got = tr.grown_errors(df, is_train, t, cuts, [5, 7, None], top_depth=3, min_rows=20, features="features", label="fare_amount")
+    for depth, rmse in zip((5, 7, 30), got):
+        m = md.make_regressor("tree", {"maxDepth": depth, "minInstancesPerNode": 20}).fit(train)
+        assert rmse == pytest.approx(m.transform(valid).agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("fare_amount"), F.lit(2.0))))).first()[0], rel=1e-6)
+    df.unpersist()
+
+
+def test_a_deep_tree_search_never_fits_or_reads_a_deep_tree(spark, monkeypatch):
+    from fareline.operators import search as sr
+
+    rng = random.Random(9)
+    df = spark.createDataFrame([(i, rng.random(), rng.random(), rng.gauss(0, 1)) for i in range(600)], "event_id long, a double, b double, fare_amount double")
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    fitted, real = [], md.make_regressor
+    monkeypatch.setattr(sr, "TOP", 3)
+    monkeypatch.setattr(md, "GRIDS", {"tree": {"maxDepth": [2, 12], "minInstancesPerNode": [5]}})
+    monkeypatch.setattr(md, "make_regressor", lambda f, s=None, *a: fitted.append(dict(s or {})) or real(f, s, *a))
+    rows = md.tune("tree", df, folds=2)
+    assert len(rows) == 2 and rows[0][1] != rows[1][1]
+    assert {f["maxDepth"] for f in fitted if f} == {3}
