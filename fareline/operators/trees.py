@@ -16,6 +16,7 @@ Gauss-Legendre nodes for its degree give it exactly. The values of a row sum to
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -33,7 +34,9 @@ EPSILON = 2.0 ** -52        # Spark ML takes a node of less impurity for pure
 SPARK_DEPTH = 30            # the deepest tree that Spark ML grows
 LOT = 100_000               # training rows whose subtrees a task grows, or one leaf's
 NODE_BLOCK = 1 << 20        # nodes x features x bins held at once
-LEAF_BLOCK = 1 << 21        # rows x leaves x features held at once
+LEAF_BLOCK = 1 << 21        # sets x leaves x features held at once
+ROW_BLOCK = 2048            # rows looked up at once
+ROWS_HELD = 1 << 15         # rows of a task whose Shapley values are worked out together
 
 
 @dataclass
@@ -271,26 +274,59 @@ def staged_predictions(features: Column, trees: list[Tree], stages: list[tuple[i
     return run(vector_to_array(features))
 
 
+def _leaf_values(o: np.ndarray, z: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Shapley values [..., slot] of leaves of ``value`` whose path asks the features ``z`` of rows that satisfy ``o`` of them."""
+    at, w = np.polynomial.legendre.leggauss(z.shape[-1] // 2 + 1)      # exact to degree 2 n - 1 >= slots - 1
+    total = 0.0
+    for t, weight in zip((at + 1) / 2, w / 2):
+        term = z * (1 - t) + o * t          # positive, as every path has rows
+        total = total + weight * term.prod(axis=-1, keepdims=True) / term
+    return (o - z) * total * value[..., None]
+
+
 def shapley(x: np.ndarray, leaves: tuple[np.ndarray, ...]) -> np.ndarray:
-    """Exact Shapley values [row, feature] of one tree."""
+    """Exact Shapley values [row, feature] of one tree. A row's values for a leaf depend only on which of the m features on the
+    leaf's path it satisfies; where there are fewer such sets than rows, they are worked out once a set and looked up."""
     value, low, high, z = leaves
-    used = (z != 1).any(axis=0) | np.isfinite(low).any(axis=0) | np.isfinite(high).any(axis=0)
-    most = int((np.isfinite(low) | np.isfinite(high)).sum(axis=1).max(initial=0))
-    out = np.zeros_like(x)
-    if not most:
-        return out
-    x, low, high, z = x[:, used], low[:, used], high[:, used], z[:, used]
-    at, w = np.polynomial.legendre.leggauss(most // 2 + 1)      # exact to degree 2 n - 1 >= most - 1
-    at, w = (at + 1) / 2, w / 2
-    step = max(1, LEAF_BLOCK // (len(value) * x.shape[1]))
-    for i in range(0, len(x), step):
-        rows = x[i:i + step, None, :]
-        o = ((rows > low) & (rows <= high)).astype(float)
-        total = np.zeros_like(o)
-        for t, weight in zip(at, w):
-            term = z * (1 - t) + o * t          # positive, as every path has rows
-            total += weight * term.prod(axis=2, keepdims=True) / term
-        out[i:i + step, used] = np.einsum("rlf,l->rf", (o - z) * total, value)
+    asked = np.isfinite(low) | np.isfinite(high)
+    width, out = asked.sum(axis=1), np.zeros_like(x)
+    cuts = [np.unique(np.concatenate([c[np.isfinite(c)] for c in (low[:, f], high[:, f])])) for f in range(x.shape[1])]
+    codes = [np.searchsorted(c, x[:, f]) for f, c in enumerate(cuts)]
+    for m in np.unique(width[width > 0]):
+        sets = 1 << int(m)
+        table = sets <= max(len(x), 2)
+        group = np.flatnonzero(width == m)
+        step = max(1, LEAF_BLOCK // (min(sets, ROW_BLOCK) * x.shape[1]))
+        for g in (group[i:i + step] for i in range(0, len(group), step)):
+            slots = np.nonzero(asked[g])[1].reshape(len(g), m)
+            zs = np.take_along_axis(z[g], slots, axis=1)
+            each = np.arange(len(g))
+            bit = np.zeros((len(g), x.shape[1]), np.int32)
+            bit[each[:, None], slots] = 1 << np.arange(m)
+            if table:
+                o = ((np.arange(sets)[:, None] >> np.arange(m)) & 1).astype(float)
+                by_set = np.zeros((len(g), sets, x.shape[1]))
+                by_set[each[:, None, None], np.arange(sets)[None, :, None], slots[:, None, :]] = _leaf_values(o[None], zs[:, None], value[g][:, None])
+            inside = []         # by feature: the bit [code, leaf] of rows in the leaf's interval
+            for f in np.unique(slots):
+                c = np.arange(len(cuts[f]) + 1)[:, None]
+                a = np.where(np.isfinite(low[g, f]), np.searchsorted(cuts[f], low[g, f]) + 1, 0)
+                b = np.where(np.isfinite(high[g, f]), np.searchsorted(cuts[f], high[g, f]), len(cuts[f]))
+                inside.append((f, np.where((c >= a) & (c <= b), bit[:, f], 0).astype(np.int32)))
+            for i in range(0, len(x), ROW_BLOCK):
+                sat = np.zeros((len(x[i:i + ROW_BLOCK]), len(g)), np.int32)
+                for f, bits in inside:
+                    sat += bits[codes[f][i:i + ROW_BLOCK]]
+                sat = np.ascontiguousarray(sat.T)
+                part = out[i:i + ROW_BLOCK]
+                if table:
+                    got = np.empty_like(part)
+                    for leaf in range(len(g)):
+                        part += np.take(by_set[leaf], sat[leaf], axis=0, out=got, mode="clip")
+                else:
+                    for leaf in range(len(g)):
+                        o = ((sat[leaf][:, None] >> np.arange(m)) & 1).astype(float)
+                        part[:, slots[leaf]] += _leaf_values(o, zs[leaf][None], value[g[leaf]][None])
     return out
 
 
@@ -307,13 +343,24 @@ def tree_shap(features: Column, trees: list[Tree], n_features: int, spark: Spark
     """EXP-3: array<double>, the Shapley value of each feature for the model's prediction."""
     listed = spark.sparkContext.broadcast([(t.weight, t.leaves(n_features)) for t in trees])
 
-    @F.arrow_udf("array<double>")
-    def run(lists: pa.Array) -> pa.Array:
-        x = _matrix(lists)
-        phi = np.zeros((len(lists), n_features))
-        for weight, leaves in listed.value if len(lists) else ():
+    def values(held: list[np.ndarray]) -> Iterator[pa.Array]:
+        x = np.concatenate(held)
+        phi = np.zeros((len(x), n_features))
+        for weight, leaves in listed.value if len(x) else ():
             phi += weight * shapley(x, leaves)
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(phi) + 1, dtype=np.int32) * n_features), pa.array(phi.ravel()))
+        for part in np.split(phi, np.cumsum([len(h) for h in held])[:-1]):
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * n_features), pa.array(part.ravel()))
+
+    @F.arrow_udf("array<double>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held: list[np.ndarray] = []
+        for lists in batches:
+            held.append(_matrix(lists).reshape(-1, n_features))
+            if sum(map(len, held)) >= ROWS_HELD:
+                yield from values(held)
+                held = []
+        if held:
+            yield from values(held)
 
     return run(vector_to_array(features))
 
@@ -321,6 +368,7 @@ def tree_shap(features: Column, trees: list[Tree], n_features: int, spark: Spark
 def mean_abs_shap(scored: DataFrame, model, names: list[str], features: str = "features") -> DataFrame:
     """feature, mean_abs_shap of a fitted tree model over all rows of ``scored``."""
     spark = scored.sparkSession
+    scored = scored.select(features).repartition(2 * spark.sparkContext.defaultParallelism)      # much work a row: even tasks
     phi = scored.select(F.posexplode(tree_shap(F.col(features), tree_tables(spark, model), len(names), spark)).alias("j", "phi"))
     label = F.broadcast(spark.createDataFrame(list(enumerate(names)), "j int, feature string"))     # one row per feature
     return phi.groupBy("j").agg(F.avg(F.abs("phi")).alias("mean_abs_shap")).join(label, "j").select("feature", "mean_abs_shap")

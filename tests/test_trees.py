@@ -97,6 +97,49 @@ def test_stages_of_a_forest(spark, data):
         assert r["s"][2] == pytest.approx(np.mean([t.at_depths(x, [1])[0, 0] for t in trees]), rel=1e-12)
 
 
+def random_tree(rng, depth, n_features):
+    cells = []
+
+    def grown(level, cover):
+        at = len(cells)
+        cells.append([-1, -1, 0, 0.0, rng.uniform(0, 9), cover])
+        if level < depth and cover > 1:
+            left = rng.randint(1, cover - 1)
+            cells[at][2:4] = rng.randrange(n_features), rng.random()
+            cells[at][:2] = grown(level + 1, left), grown(level + 1, cover - left)
+        return at
+
+    grown(0, 5000)
+    return tr.Tree(*(np.array(c) for c in zip(*cells)))
+
+
+def test_values_are_worked_out_once_a_set_of_satisfied_features(monkeypatch):
+    """4,000 rows cost no more evaluations than there are sets; few rows on long paths are evaluated one by one, alike."""
+    t = random_tree(random.Random(4), 8, 7)
+    x = np.random.default_rng(4).random((4000, 7))
+    leaves, evaluated, real = t.leaves(7), [], tr._leaf_values
+    monkeypatch.setattr(tr, "_leaf_values", lambda o, z, v: evaluated.append(z[..., 0].size * o.shape[-2] // max(1, o.shape[0])) or real(o, z, v))
+    phi = tr.shapley(x, leaves)
+    sets = sum(2 ** int((np.isfinite(a) | np.isfinite(b)).sum()) for a, b in zip(leaves[1], leaves[2]))
+    assert sum(evaluated) <= sets < len(x) * len(leaves[0]) / 4
+    few = np.concatenate([tr.shapley(x[i:i + 3], leaves) for i in range(0, 30, 3)])
+    assert few == pytest.approx(phi[:30], abs=1e-12)
+    assert phi[:10] == pytest.approx(np.array([enumerated(t, r, 7) for r in x[:10]]), abs=1e-9)
+    assert phi.sum(axis=1) == pytest.approx(t.at_depths(x, [None])[:, 0] - tr.base_value([t]), abs=1e-9)
+
+
+def test_batches_held_together_keep_their_rows(spark, data, monkeypatch):
+    model = md.make_regressor("forest", {"numTrees": 3, "maxDepth": 4}).fit(data)
+    trees = tr.tree_tables(spark, model)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = model.transform(data).select("features", "prediction", tr.tree_shap(F.col("features"), trees, 4, spark).alias("phi")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = sum(t.weight * tr.shapley(np.array([r["features"].toArray() for r in rows]), t.leaves(4)) for t in trees)
+    assert np.array([r["phi"] for r in rows]) == pytest.approx(want, abs=1e-9) and len(rows) == 400
+
+
 def test_subtrees_grown_in_tasks_are_spark_mls(spark):
     """Label and features without ties in gain: the levels below the top are those of a whole fit."""
     rng = random.Random(8)
