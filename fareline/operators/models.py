@@ -330,7 +330,8 @@ def feature_importance(model, names, top_k: int = 20):
     return pairs[:top_k]
 
 
-def shuffled_columns(df: DataFrame, columns, seed: int, rows_per_block: int = 10_000, n_rows: int | None = None) -> DataFrame:
+def shuffled_columns(df: DataFrame, columns, seed: int, rows_per_block: int = 10_000, n_rows: int | None = None,
+                     drawn_from=None) -> DataFrame:
     """``df`` with, for each of ``columns``, a column ``_s_<name>`` that holds its values shuffled over the rows.
 
     Rows fall into hash blocks of about ``rows_per_block`` rows and are ordered in a
@@ -338,9 +339,9 @@ def shuffled_columns(df: DataFrame, columns, seed: int, rows_per_block: int = 10
     last of the first), a random cycle. One window for all columns, no global sort, no
     single task. The draws are seeded hashes of the row, not ``rand``: a
     partition recomputed after an executor loss gets the same ones, and even a
-    key shared by a third of all rows is spread over all blocks."""
+    key shared by a third of all rows is spread over all blocks. ``drawn_from``: the columns hashed (default: all)."""
     n_rows = n_rows if n_rows is not None else df.count()
-    row = [F.col(c) for c in df.columns]
+    row = [F.col(c) for c in drawn_from or df.columns]
     base = df.withColumns({"_blk": F.pmod(F.xxhash64(F.lit(seed), *row), F.lit(max(1, n_rows // rows_per_block))),
                            "_ord": F.xxhash64(F.lit(seed + 1), *row)})
     values = F.struct(*columns)
@@ -355,20 +356,25 @@ def permutation_importance(fitted: PipelineModel, prep: Preprocessor, df: DataFr
                            label: str = "fare_amount", seed: int = 42):
     """EXP-2: mean increase of RMSE when one input column is shuffled (repeats).
 
-    One job per repeat: every row is scored once as it is and once per column
-    with that column's shuffled value."""
+    Every output of the preprocessing reads one input, so shuffling an input shuffles that output: rows are preprocessed once and
+    written, a repeat moves their vectors. One job per repeat: every row is scored once as it is and once per column with
+    that column's shuffled value."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
     columns, used = list(columns), list(prep.feature_order)
-    n, sums = df.count(), dict.fromkeys(columns, 0.0)
-    base = df.select(label, *used)
-    for r in range(repeats):
-        s = shuffled_columns(base, columns, seed + 10 * r, n_rows=n)
-        entries = F.array(*[F.struct(F.lit(name).alias("shuffled"), *[
-            F.col(f"_s_{c}" if c == name else c).alias(c) for c in used]) for name in ("", *columns)])
-        scored = fitted.transform(prep.transform(s.select(F.col(label), F.inline(entries))))
-        e = F.col("prediction") - F.col(label)
-        rmse = {x["shuffled"]: x["rmse"] for x in scored.groupBy("shuffled").agg(F.sqrt(F.avg(e * e)).alias("rmse")).collect()}
-        for c in columns:
-            sums[c] += rmse[c] - rmse[""]
+    sums, at = dict.fromkeys(columns, 0.0), [used.index(c) for c in columns]
+    ready = prep.transform(df.select(label, *used), "_x")
+    with qt.kept(ready.select(label, *used, vector_to_array("_x").alias("_x"))) as base:
+        n = base.count()
+        for r in range(repeats):
+            s = shuffled_columns(base, ["_x"], seed + 10 * r, n_rows=n, drawn_from=[label, *used])
+            each = s.select(label, "_x", "_s__x", F.explode(F.array(*map(F.lit, [-1, *at]))).alias("shuffled"))
+            x = F.array(*[F.when(F.col("shuffled") == i, F.col("_s__x")[i]).otherwise(F.col("_x")[i]) for i in range(len(used))])
+            scored = fitted.transform(each.select(label, "shuffled", array_to_vector(x).alias("features")))
+            e = F.col("prediction") - F.col(label)
+            rmse = {v["shuffled"]: v["rmse"] for v in scored.groupBy("shuffled").agg(F.sqrt(F.avg(e * e)).alias("rmse")).collect()}
+            for c, i in zip(columns, at):
+                sums[c] += rmse[i] - rmse[-1]
     return sorted(((c, v / repeats) for c, v in sums.items()), key=lambda t: (-t[1], t[0]))
 
 
