@@ -119,93 +119,105 @@ def _psi(n: Column) -> Column:
 
 
 def _points(df: DataFrame, columns, target: str) -> DataFrame:
-    """feature, x, y, w, sx, sy: distinct points of every feature with the target, and the two standard deviations
-    (1 for a constant). Distances are taken on the values as they are and scaled then, so equal steps stay equal."""
+    """f, x, y, w, sx, sy: distinct points of every feature (its number in ``columns``) with the target, and the two standard
+    deviations (1 for a constant). Distances are taken on the values as they are and scaled then, so equal steps stay equal."""
     rows = df.select(*columns, F.col(target).cast("double").alias("_y")).where("_y IS NOT NULL AND NOT isnan(_y)")
-    long = long_form(rows, list(columns), ["_y"])
-    scale = long.groupBy("feature").agg(F.stddev_pop("v").alias("sx"), F.stddev_pop("_y").alias("sy"))       # one row per feature
+    number = F.create_map(*[F.lit(v) for i, c in enumerate(columns) for v in (c, i)])
+    long = long_form(rows, list(columns), ["_y"]).select(number[F.col("feature")].alias("f"), "v", "_y")
+    scale = long.groupBy("f").agg(F.stddev_pop("v").alias("sx"), F.stddev_pop("_y").alias("sy"))       # one row per feature
     one = lambda c: F.when(F.col(c) > 0, F.col(c)).otherwise(F.lit(1.0))
-    points = long.groupBy("feature", "v", "_y").agg(F.count(F.lit(1)).alias("w"))
-    return points.join(F.broadcast(scale), "feature").select("feature", F.col("v").alias("x"), F.col("_y").alias("y"), "w",
-                                                             one("sx").alias("sx"), one("sy").alias("sy"))
+    points = long.groupBy("f", "v", "_y").agg(F.count(F.lit(1)).alias("w"))
+    return points.join(F.broadcast(scale), "f").select("f", F.col("v").alias("x"), F.col("_y").alias("y"), "w",
+                                                       one("sx").alias("sx"), one("sy").alias("sy"))
+
+
+def _near_strips(box: np.ndarray, own: int, x: np.ndarray, y: np.ndarray, dx: np.ndarray, dy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, strip) of the other strips whose box comes within dx and dy of a query; ``box`` holds rows of strip, x0, x1, y0, y1
+    with x0 and x1 ascending."""
+    i, j = np.searchsorted(box[:, 2], x - dx, side="left"), np.searchsorted(box[:, 1], x + dx, side="right")
+    many = np.maximum(j - i, 0) * (dx > 0)
+    q = np.repeat(np.arange(len(x)), many)
+    at = np.arange(len(q)) - np.repeat(np.cumsum(many) - many, many) + i[q]
+    near = (box[at, 3] <= y[q] + dy[q]) & (box[at, 4] >= y[q] - dy[q]) & (box[at, 0] != own)
+    return q[near], box[at[near], 0].astype(np.int64)
 
 
 def _radii(points: DataFrame, k: int, strip: int) -> DataFrame:
-    """feature, x, y, w, sx, sy, r: the exact distance of every point to its k-th neighbour."""
+    """f, x, y, w, sx, sy, r: the exact distance of every point to its k-th neighbour."""
     spark = points.sparkSession
     n = points.count()
-    ranged = points.repartitionByRange(max(1, -(-n // strip)), "feature", "x", "y").withColumn("strip", F.spark_partition_id())
+    ranged = points.repartitionByRange(max(1, -(-n // strip)), "f", "x", "y").withColumn("strip", F.spark_partition_id())
     ranged = _written(ranged, "mi-strips")
-
-    def local(pdf: pd.DataFrame) -> pd.DataFrame:
-        d = nearest(*(pdf[c].to_numpy() for c in "xyxyw"), k, own=True, scale=(pdf["sx"].iloc[0], pdf["sy"].iloc[0]))
-        return pdf[["feature", "x", "y", "w", "sx", "sy", "strip"]].assign(d=pd.Series(d.tolist(), index=pdf.index, dtype=object))
-
-    schema = "feature string, x double, y double, w long, sx double, sy double, strip int, d array<double>"
-    found = _written(ranged.groupBy("strip", "feature").applyInPandas(local, schema), "mi-local")
-    boxes = found.groupBy("feature", "strip").agg(*[f(c).alias(f"{c}{s}") for c in "xy" for s, f in (("0", F.min), ("1", F.max))])
-    each: dict[str, list] = {}
-    for r in boxes.orderBy("feature", "strip").collect():       # a row for every STRIP points
-        each.setdefault(r["feature"], []).append(tuple(r)[1:])
+    boxes = ranged.groupBy("f", "strip").agg(*[f(c).alias(f"{c}{s}") for c in "xy" for s, f in (("0", F.min), ("1", F.max))])
+    each: dict[int, list] = {}
+    for r in boxes.orderBy("f", "strip").collect():       # a row for every STRIP points
+        each.setdefault(r["f"], []).append(tuple(r)[1:])
     listed = spark.sparkContext.broadcast({f: np.array(b, float) for f, b in each.items()})
+    ds = [f"d{i}" for i in range(k)]
 
-    @F.arrow_udf("array<int>")
-    def others(feature: pa.Array, own: pa.Array, x: pa.Array, y: pa.Array, dx: pa.Array, dy: pa.Array) -> pa.Array:
-        out = []
-        for f, s, a, b, d, e in zip(*(c.to_pylist() for c in (feature, own, x, y, dx, dy))):
-            box = listed.value[f]           # strip, x0, x1, y0, y1: x0 and x1 ascend with the strip
-            i, j = np.searchsorted(box[:, 2], a - d, side="left"), np.searchsorted(box[:, 1], a + d, side="right")
-            near = box[i:j]
-            near = near[(near[:, 3] <= b + e) & (near[:, 4] >= b - e) & (near[:, 0] != s)] if d > 0 else near[:0]
-            out.append([int(t) for t in near[:, 0]])
-        return pa.array(out, pa.list_(pa.int32()))
-
-    reach = lambda c: F.col("r") * F.col(c) * F.lit(1 + 1e-9)
-    asks = (found.withColumn("r", F.element_at("d", -1))
-            .select("feature", "x", "y", "r", F.explode(others("feature", "strip", "x", "y", reach("sx"), reach("sy"))).alias("strip")))
+    def local(pdf: pd.DataFrame) -> pd.DataFrame:
+        (x, y, w), sx, sy = (pdf[c].to_numpy() for c in "xyw"), pdf["sx"].iloc[0], pdf["sy"].iloc[0]
+        d = nearest(x, y, x, y, w, k, own=True, scale=(sx, sy))
+        far = d[:, -1] * (1 + 1e-9)
+        q, other = _near_strips(listed.value[int(pdf["f"].iloc[0])], int(pdf["strip"].iloc[0]), x, y, far * sx, far * sy)
+        asks = np.split(other, np.searchsorted(q, np.arange(1, len(x))))
+        none: list[int] = []
+        return pdf[["f", "x", "y", "w", "sx", "sy"]].assign(**{c: d[:, i] for i, c in enumerate(ds)}, asks=pd.Series([a.tolist() if len(a) else none for a in asks], index=pdf.index, dtype=object))
+
+    distances = ", ".join(f"{c} double" for c in ds)
+    found = _written(ranged.groupBy("strip", "f").applyInPandas(local, f"f int, x double, y double, w long, sx double, sy double, {distances}, asks array<int>"), "mi-local")
+    asks = found.select("f", "x", "y", F.col(ds[-1]).alias("r"), F.explode("asks").alias("strip"))
 
     def answer(block: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if not len(q):
+            return pd.DataFrame({c: [] for c in ("f", "x", "y", *ds)})
         d = nearest(q["x"].to_numpy(), q["y"].to_numpy(), *(block[c].to_numpy() for c in "xyw"), k, bound=q["r"].to_numpy(),
                     scale=(block["sx"].iloc[0], block["sy"].iloc[0]))
-        return q[["feature", "x", "y"]].assign(d=pd.Series(d.tolist(), index=q.index, dtype=object))
+        return q[["f", "x", "y"]].assign(**{c: d[:, i] for i, c in enumerate(ds)})
 
-    answers = (ranged.groupBy("strip", "feature").cogroup(asks.groupBy("strip", "feature"))
-               .applyInPandas(answer, "feature string, x double, y double, d array<double>"))
-    every = found.select("feature", "x", "y", "w", "sx", "sy", "d").unionByName(answers, allowMissingColumns=True)
-    merged = every.groupBy("feature", "x", "y").agg(*[F.max(c).alias(c) for c in ("w", "sx", "sy")], F.flatten(F.collect_list("d")).alias("d"))
-    return _written(merged.select("feature", "x", "y", "w", "sx", "sy", F.get(F.sort_array("d"), F.lit(k - 1)).alias("r")), "mi-radii")
+    answers = (ranged.groupBy("strip", "f").cogroup(asks.groupBy("strip", "f"))
+               .applyInPandas(answer, f"f int, x double, y double, {distances}"))
+    alone, asked = found.where(F.size("asks") == 0), found.where(F.size("asks") > 0)        # the others are exact already
+    every = asked.drop("asks").unionByName(answers, allowMissingColumns=True)
+    merged = every.groupBy("f", "x", "y").agg(*[F.max(c).alias(c) for c in ("w", "sx", "sy")], F.flatten(F.collect_list(F.array(*ds))).alias("d"))
+    columns = ["f", "x", "y", "w", "sx", "sy"]
+    return _written(merged.select(*columns, F.get(F.sort_array("d"), F.lit(k - 1)).alias("r"))
+                    .unionByName(alone.select(*columns, F.col(ds[-1]).alias("r"))), "mi-radii")
 
 
-def _counts(radii: DataFrame, axis: str) -> DataFrame:
-    """feature, x, y, n: rows nearer than r on the axis."""
+def _ranks(radii: DataFrame, axis: str) -> DataFrame:
+    """f, x, y, w, n: for every point two rows, of which the sum of n is the rows nearer than r on the axis."""
     @F.arrow_udf("struct<low double, high double>")
     def ends(v: pa.Array, r: pa.Array, scale: pa.Array) -> pa.Array:
         low, high = thresholds(*(a.to_numpy(zero_copy_only=False) for a in (v, r, scale)))
         return pa.StructArray.from_arrays([pa.array(low), pa.array(high)], ["low", "high"])
 
     none = F.lit(None).cast("double")
-    values = radii.groupBy("feature", F.col(axis).alias("v")).agg(F.sum("w").alias("w")).select("feature", "v", F.lit(1).alias("kind"), none.alias("x"), none.alias("y"), "w")
+    values = radii.groupBy("f", F.col(axis).alias("v")).agg(F.sum("w").alias("held")).select("f", "v", F.lit(1).alias("kind"), none.alias("x"), none.alias("y"), F.lit(None).cast("long").alias("w"), "held")
     asked = radii.withColumn("e", ends(F.col(axis), F.col("r"), F.col(f"s{axis}")))
-    low = asked.select("feature", F.col("e.low").alias("v"), F.lit(0).alias("kind"), "x", "y", F.lit(0).cast("long").alias("w"))
-    high = asked.select("feature", F.col("e.high").alias("v"), F.lit(2).alias("kind"), "x", "y", F.lit(0).cast("long").alias("w"))
-    rows = values.unionByName(low).unionByName(high)
-    order = ["feature", "v", "kind", "x", "y"]
+    both = F.array(F.struct(F.col("e.low").alias("v"), F.lit(0).alias("kind")), F.struct(F.col("e.high").alias("v"), F.lit(2).alias("kind")))
+    rows = values.unionByName(asked.select("f", "x", "y", "w", F.inline(both)).withColumn("held", F.lit(0).cast("long")))
+    order = ["f", "v", "kind", "x", "y"]
     ranged = _written(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "mi-ranks")
-    sums = ranged.groupBy("feature", "part").agg(F.sum("w").alias("s"))
-    before = sums.withColumn("before", F.sum("s").over(Window.partitionBy("feature").orderBy("part")) - F.col("s")).select("feature", "part", "before")
-    run = F.sum("w").over(Window.partitionBy("part", "feature").orderBy("v", "kind", "x", "y").rowsBetween(Window.unboundedPreceding, 0))
-    rank = ranged.withColumn("run", run).where("kind <> 1").join(F.broadcast(before), ["feature", "part"])      # a row per range and feature
+    sums = ranged.groupBy("f", "part").agg(F.sum("held").alias("s"))
+    before = sums.withColumn("before", F.sum("s").over(Window.partitionBy("f").orderBy("part")) - F.col("s")).select("f", "part", "before")
+    run = F.sum("held").over(Window.partitionBy("part", "f").orderBy("v", "kind", "x", "y").rowsBetween(Window.unboundedPreceding, 0))
+    rank = ranged.withColumn("run", run).where("kind <> 1").join(F.broadcast(before), ["f", "part"])      # a row per range and feature
     sign = F.when(F.col("kind") == 2, 1).otherwise(-1)
-    return rank.groupBy("feature", "x", "y").agg(F.sum(sign * (F.col("run") + F.col("before"))).alias("n"))
+    return rank.select("f", "x", "y", "w", (sign * (F.col("run") + F.col("before"))).alias("n"))
 
 
 def knn_mutual_information(df: DataFrame, columns, target: str, *, k: int = NEIGHBOURS, strip: int = STRIP) -> DataFrame:
     """feature, mi: one row per feature with more than ``k`` rows; rows where feature or target is null or NaN do not count for it."""
+    columns = list(columns)
     points = _written(_points(df, columns, target), "mi-points")
-    totals = points.groupBy("feature").agg(F.sum("w").alias("total")).where(F.col("total") > k)
-    radii = _radii(points.join(F.broadcast(totals.select("feature")), "feature", "left_semi"), k, strip)
-    n = _counts(radii, "x").withColumnRenamed("n", "nx").join(_counts(radii, "y").withColumnRenamed("n", "ny"), ["feature", "x", "y"])
-    psi = radii.join(n, ["feature", "x", "y"]).select("feature", "w", (_psi(F.col("nx")) + _psi(F.col("ny"))).alias("p"))
-    mean = psi.groupBy("feature").agg((F.sum(F.col("w") * F.col("p")) / F.sum("w")).alias("mean"), F.sum("w").alias("total"))
+    totals = points.groupBy("f").agg(F.sum("w").alias("total")).where(F.col("total") > k)
+    radii = _radii(points.join(F.broadcast(totals.select("f")), "f", "left_semi"), k, strip)
+    none = F.lit(None).cast("long")
+    ranks = (_ranks(radii, "x").withColumnsRenamed({"n": "nx"}).withColumn("ny", none)
+             .unionByName(_ranks(radii, "y").withColumnsRenamed({"n": "ny"}).withColumn("nx", none)))
+    n = ranks.groupBy("f", "x", "y").agg(F.max("w").alias("w"), F.sum("nx").alias("nx"), F.sum("ny").alias("ny"))
+    psi = n.select("f", "w", (_psi(F.col("nx")) + _psi(F.col("ny"))).alias("p"))
+    mean = psi.groupBy("f").agg((F.sum(F.col("w") * F.col("p")) / F.sum("w")).alias("mean"), F.sum("w").alias("total"))
     mi = _psi(F.col("total")) + F.lit(float(digamma(np.array([k]))[0])) - F.col("mean")
-    return mean.select("feature", F.greatest(mi, F.lit(0.0)).alias("mi"))
+    return mean.select(F.element_at(F.array(*map(F.lit, columns)), F.col("f") + 1).alias("feature"), F.greatest(mi, F.lit(0.0)).alias("mi"))
