@@ -158,6 +158,19 @@ def _yj_aggs(grids: dict) -> list[str]:
     return exprs
 
 
+def _yj_log_aggs(grids: dict) -> list[str]:
+    """``_yj_aggs`` where a column ``<name>__l`` holds log1p(|x|): a power is then one exp, as pow(1 + |x|, a) = exp(a log1p(|x|))."""
+    def moved(c: str, lam: float) -> str:
+        side = lambda a: f"`{c}__l`" if abs(a) < 1e-12 else f"(exp({a!r}D * `{c}__l`) - 1) / {a!r}D"
+        return f"CASE WHEN `{c}` >= 0 THEN {side(lam)} ELSE -({side(2 - lam)}) END"
+
+    exprs = []
+    for c, lams in grids.items():
+        exprs += [f"count(`{c}`) AS `{c}__n`", f"sum(signum(`{c}`) * `{c}__l`) AS `{c}__s`"]
+        exprs += [f"var_pop({moved(c, float(lam))}) AS `{c}__v{i}`" for i, lam in enumerate(lams)]
+    return exprs
+
+
 def yj_loglik_grid(df: DataFrame, columns, lambdas) -> DataFrame:
     """ll(lambda) = -n/2 ln(var_pop(yj(x))) + (lambda - 1) sum(sign(x) log1p(|x|)),
     for every (column, lambda) in ONE aggregate. Output (feature, lambda, ll)."""
@@ -174,12 +187,12 @@ def fit_yeo_johnson(df: DataFrame, columns, lo: float = -2.0, hi: float = 2.0, p
     then zooms ``rounds`` times. std < 1e-8 or a non-finite optimum -> 1.0 (identity)."""
     sd = df.agg(*[F.stddev_pop(number(df, c)).alias(c) for c in columns]).first()
     todo = [c for c in columns if sd[c] is not None and sd[c] >= 1e-8]
-    df = df.select([number(df, c).alias(c) for c in columns])
+    df = df.select([number(df, c).alias(c) for c in columns]).withColumns({f"{c}__l": F.log1p(F.abs(c)) for c in columns})
     out = {c: 1.0 for c in columns}
     ranges, left = {c: (lo, hi) for c in todo}, {c: rounds for c in todo}
     while todo:
         grids = {c: [ranges[c][0] + (ranges[c][1] - ranges[c][0]) * i / (points - 1) for i in range(points)] for c in todo}
-        row = df.selectExpr(*_yj_aggs(grids)).first()
+        row = df.selectExpr(*_yj_log_aggs(grids)).first()
         for c in list(todo):
             best = None
             for i, lam in enumerate(grids[c]):
