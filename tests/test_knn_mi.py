@@ -62,3 +62,14 @@ def test_few_and_no_rows(spark):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (None, 3.0)], "a double, y double")
     assert mi.knn_mutual_information(df, ["a"], "y").count() == 0
     assert mi.knn_mutual_information(df.limit(0), ["a"], "y").count() == 0
+
+
+def test_strips_to_ask_for_many_points_at_once():
+    rng = np.random.default_rng(5)
+    x0 = np.sort(rng.random(40))
+    box = np.column_stack([np.arange(40), x0, np.append(x0[1:], 1.0), rng.random(40) / 2, 0.5 + rng.random(40) / 2])
+    x, y, dx, dy = rng.random(300), rng.random(300), rng.random(300) / 9 * (rng.random(300) > 0.2), rng.random(300) / 9
+    q, strips = mi._near_strips(box, 7, x, y, dx, dy)
+    want = [(i, int(s)) for i in range(300) for s, a, b, c, d in box
+            if dx[i] > 0 and s != 7 and b >= x[i] - dx[i] and a <= x[i] + dx[i] and c <= y[i] + dy[i] and d >= y[i] - dy[i]]
+    assert sorted(zip(q.tolist(), strips.tolist())) == sorted(want) and list(q) == sorted(q)

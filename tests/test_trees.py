@@ -168,6 +168,7 @@ def test_a_deep_tree_search_never_fits_or_reads_a_deep_tree(spark, monkeypatch):
     df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
     fitted, real = [], md.make_regressor
     monkeypatch.setattr(sr, "TOP", 3)
+    monkeypatch.setattr(sr, "WHOLE_ROWS", 100)
     monkeypatch.setattr(md, "GRIDS", {"tree": {"maxDepth": [2, 12], "minInstancesPerNode": [5]}})
     monkeypatch.setattr(md, "make_regressor", lambda f, s=None, *a: fitted.append(dict(s or {})) or real(f, s, *a))
     rows = md.tune("tree", df, folds=2)
