@@ -122,6 +122,31 @@ def test_a_forest_search_never_fits_or_reads_a_forest(rows, monkeypatch):
     assert set(read) == {"DecisionTreeRegressionModel"}     # one feature each: the split candidates
 
 
+@pytest.mark.parametrize("leaf_rows", [500_000, 60])
+def test_a_fitted_forest_is_a_table_that_is_saved_and_loaded(spark, rows, cuts, monkeypatch, tmp_path, leaf_rows):
+    monkeypatch.setattr(sr, "FOREST_ROWS", 100)
+    monkeypatch.setattr(fo, "LEAF_ROWS", leaf_rows)
+    train = pm.written_table(rows.where(F.col("event_id") % 4 != 0), "forest-train")
+    model = md.fit_regressor("forest", {"numTrees": 9, "maxDepth": 12, "minInstancesPerNode": 8}, train)
+    assert isinstance(model.stages[-1], fo.ForestModel)
+    scored = model.transform(rows).collect()
+    assert len(scored) == 1550 and set(scored[0].asDict()) == {"event_id", "features", "fare_amount", "prediction"}
+    path = md.save_artifacts(str(tmp_path / "m"), model, md.Preprocessor(binary=["a"]), {"family": "forest"})
+    loaded, _, meta = md.load_artifacts(path)
+    again = loaded.transform(rows).collect()
+    key = lambda r: (r["event_id"], r["prediction"])
+    assert sorted(map(key, again)) == sorted(map(key, scored)) and meta["family"] == "forest"
+    error = np.sqrt(np.mean([(r["prediction"] - r["fare_amount"]) ** 2 for r in scored if r["event_id"] % 4 == 0]))
+    assert error == pytest.approx(errors(rows, cuts, [(9, 12)])[0], rel=0.06)
+
+
+def test_shallow_or_small_forests_stay_spark_mls(rows, monkeypatch):
+    train = rows.where(F.col("event_id") % 4 != 0)
+    assert type(md.fit_regressor("forest", {"numTrees": 2, "maxDepth": 12}, train).stages[-1]).__name__ == "RandomForestRegressionModel"
+    monkeypatch.setattr(sr, "FOREST_ROWS", 100)
+    assert type(md.fit_regressor("forest", {"numTrees": 2, "maxDepth": 4}, train).stages[-1]).__name__ == "RandomForestRegressionModel"
+
+
 def test_boosting_reads_few_partitions_and_the_same_rows(rows, monkeypatch):
     assert sr.few_partitions(rows.repartition(6)).rdd.getNumPartitions() == 6
     monkeypatch.setattr(sr, "FOREST_ROWS", 100)
