@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, fresh, release, written
+from .common import arrow_batches, by_merge, fresh, release, written
 from .components import connected_components
 
 SHINGLE = 3
@@ -102,14 +102,14 @@ def links(prints: DataFrame, max_distance: int = MAX_DISTANCE, max_bucket: int =
         raise ValueError("max_distance is 0, 1 or 2")
     entries = prints.select(F.inline(halves(F.col("fp"))))
     large = written(entries.groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_bucket).select("seg", "value"), "sim-large")
-    split = F.broadcast(large) if large.count() <= BROADCAST_ROWS else large
+    split = F.broadcast(large) if large.count() <= BROADCAST_ROWS else by_merge(large)
     # the half that differs less differs in no bit for distances 0 and 1, in one at most for 2
     probes = (entries.select("seg", "other", F.inline(ball(F.col("value"), max_distance // 2)))
               .withColumnRenamed("at", "value").withColumn("spent", (F.col("flip") >= 0).cast("int"))
               .withColumn("fp", whole(F.col("seg"), F.when(F.col("flip") < 0, F.col("value")).otherwise(
                   F.col("value").bitwiseXOR(F.expr("shiftleft(1L, greatest(flip, 0))"))), F.col("other"))))
     table = entries.join(split, ["seg", "value"], "left_anti").groupBy("seg", "value").agg(F.collect_list("other").alias("others"))
-    fetched = (probes.select("seg", "value", "fp").join(table, ["seg", "value"])
+    fetched = (probes.select("seg", "value", "fp").join(by_merge(table), ["seg", "value"])      # 66 probes a fingerprint, sized as one
                .select("fp", F.explode(F.transform("others", lambda o: whole(F.col("seg"), F.col("value"), o))).alias("b")))
     found = fetched.where((F.col("b") < F.col("fp")) & (distance(F.col("fp"), F.col("b")) <= max_distance)).select(F.col("fp").alias("a"), "b")
     if large.isEmpty():
@@ -135,7 +135,7 @@ def split_links(entries: DataFrame, probes: DataFrame, max_distance: int) -> Dat
     edges = inside.where((F.col("a") != F.col("b")) & (distance(F.col("a"), F.col("b")) <= max_distance))
     if max_distance < 2:
         return edges
-    asked = (probes.where("spent = 1").join(full.withColumnRenamed("at", "other"), ["seg", "value", "other"])
+    asked = (probes.where("spent = 1").join(by_merge(full.withColumnRenamed("at", "other")), ["seg", "value", "other"])
              .select(F.col("fp").alias("a"), F.col("hub").alias("b")))
     return edges.unionByName(asked.where(distance(F.col("a"), F.col("b")) <= max_distance))
 
@@ -145,10 +145,10 @@ def groups(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     the smallest doc_id of the component, and struct(doc_id is null, doc_id, fp) of its first document."""
     per = written(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("first")), "sim-prints")
     comp = written(connected_components(links(per.select("fp"), max_distance)), "sim-comp")
-    rooted = per.join(comp, per["fp"] == comp["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = per.join(by_merge(comp), F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     rooted = written(rooted, "sim-rooted")
     roots = written(rooted.groupBy("root").agg(F.min("first").alias("least")), "sim-roots")
-    return written(rooted.join(roots, "root").select("fp", F.col("least.doc_id").alias("component_id"), F.col("least").alias("first")), "sim-groups")
+    return written(rooted.join(by_merge(roots), "root").select("fp", F.col("least.doc_id").alias("component_id"), F.col("least").alias("first")), "sim-groups")
 
 
 def simhash_report(docs: DataFrame, k: int = SHINGLE, max_distance: int = MAX_DISTANCE) -> DataFrame:
@@ -156,7 +156,7 @@ def simhash_report(docs: DataFrame, k: int = SHINGLE, max_distance: int = MAX_DI
     arrow_batches(docs.sparkSession)
     prints = written(docs.select("doc_id", fingerprint(F.col("text"), k).alias("fp")), "sim-docs")
     of = groups(prints, max_distance).select("fp", "component_id")
-    return (prints.join(of, "fp")
+    return (prints.join(by_merge(of), "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
@@ -173,7 +173,6 @@ def keep_first(docs: DataFrame, k: int = SHINGLE, max_distance: int = MAX_DISTAN
     of = groups(prints.select("doc_id", "fp"), max_distance).select("fp", "component_id", "first")
     heads = of.groupBy("component_id", "first").agg(F.count(F.lit(1)).alias("n")).select("first.doc_id", "first.fp")
     rows = prints.groupBy("doc_id", "fp").agg(F.min("row").alias("keep_row"))       # repeated rows become one before the join
-    keep = rows.alias("r").join(heads.alias("h"), F.col("r.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("r.fp") == F.col("h.fp")), "left_semi")
+    keep = rows.alias("r").join(by_merge(heads.alias("h")), F.col("r.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("r.fp") == F.col("h.fp")), "left_semi")
     keep = written(keep.select("keep_row"), "sim-keep")
-    # the list of rows to keep grows with the documents: a shuffle join at every size, never a broadcast
-    return marked.join(keep.hint("merge"), F.col(cr) == F.col("keep_row"), "left_semi").select(*docs.columns)
+    return marked.join(by_merge(keep), F.col(cr) == F.col("keep_row"), "left_semi").select(*docs.columns)

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from fareline.llm import simhash
+from fareline.llm import components, simhash
 
 from .brute import brute_components, brute_print
 
@@ -89,3 +89,27 @@ def test_hot_buckets(spark, k, bucket):
         parent[max(find(a), find(b))] = min(find(a), find(b))
     number = {f: i for i, f in rows}
     assert {i: number[find(f)] for i, f in rows} == brute_components(rows, k)
+
+
+@pytest.fixture
+def plans(monkeypatch):
+    """The plans of all tables that the operator writes."""
+    seen = []
+    for module in (simhash, components):
+        known = module.written
+        monkeypatch.setattr(module, "written", lambda df, name, known=known: seen.append(df._jdf.queryExecution().executedPlan().toString()) or known(df, name))
+    return seen
+
+
+@pytest.mark.parametrize("bucket", [1, 32])
+def test_joins_of_the_documents_never_broadcast(spark, table, plans, monkeypatch, bucket):
+    """Tables of the documents, small as they look, stay off the driver: a broadcast side is sized before its 66 probes a row."""
+    monkeypatch.setattr(simhash, "BROADCAST_ROWS", -1)      # the list of split buckets too is taken for a long one
+    monkeypatch.setattr(simhash.links, "__defaults__", (simhash.MAX_DISTANCE, bucket))
+    df = table([(i, f"one two three four {i % 7} five six seven {i % 3}") for i in range(60)])
+    found = simhash.simhash_report(df)
+    assert found.count() == 60
+    simhash.keep_first(df)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 5
+    assert not [p for p in plans if "Broadcast" in p]
