@@ -109,7 +109,9 @@ def test_joins_of_the_documents_never_broadcast(spark, table, plans, monkeypatch
     df = table([(i, f"one two three four {i % 7} five six seven {i % 3}") for i in range(60)])
     found = simhash.simhash_report(df)
     assert found.count() == 60
-    simhash.keep_first(df)
+    kept = simhash.keep_first(df)       # the stage of the pipeline
+    assert 0 < kept.count() < 60
+    plans.append(kept._jdf.queryExecution().executedPlan().toString())
     plans.append(found._jdf.queryExecution().executedPlan().toString())
     assert sum("SortMergeJoin" in p for p in plans) >= 5
     assert not [p for p in plans if "Broadcast" in p]
